@@ -1 +1,250 @@
-"""Registered ingest / streaming keys (filled in below)."""
+"""Incremental ingest and streaming silver, plus the file-based keys.
+
+* ``stream_bronze``  (A2/A3/A4/H1/H3): file source over the landing folder,
+  ``availableNow`` trigger, checkpointed, so a rerun reads only files it
+  has not seen; the rescue column is built inside the stream.
+* ``stream_silver``  (A5/H2/B8/B10): stream over the bronze sink; each
+  micro-batch writes kept rows and rejected rows (two sinks) through
+  ``foreachBatch`` into a directory named by the batch id, so a replayed
+  batch overwrites its own output (idempotent); expectation counts are
+  published with ``observe``.
+
+Output folders live under the shared checkpoint folder of the session
+(``spark.checkpoint.dir``), never under the input directory."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hourglass import constants as K
+from hourglass.operators import silver as S
+from hourglass.operators.gold import dim_station
+from hourglass.plans.catalog import QUERIES
+from hourglass.plans.oracle import POL, cte, with_ctes
+from hourglass.plans.oracle_queries import ORACLE
+from hourglass.session import shared_path
+from hourglass.sources import adapters as A
+from hourglass.sources import raw_json as RJ
+from hourglass.sources.sinks import overwrite, upsert
+
+BRONZE_SCHEMA = T.StructType(RJ.RAW_SCHEMA.fields + [
+    T.StructField("_rescued_data", T.StringType()), T.StructField("_ingested_at", T.TimestampType()),
+    T.StructField("_source_file", T.StringType())])
+
+
+def run_dir(spark: SparkSession, tag: str) -> str:
+    return shared_path(spark, "runs", f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def land_hourly(spark: SparkSession, sf_dir: str) -> str:
+    return RJ.land(A.hourly_records(spark, sf_dir), run_dir(spark, "raw"))
+
+
+def bronze_stream_frame(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.load(raw_dir).select(F.col("value").alias(RJ.RAW_TEXT),
+                                      F.col("_metadata.file_path").alias("_source_path"))
+    rows = RJ.rescue(src)
+    return rows.select(*RJ.KNOWN, "_rescued_data", F.current_timestamp().alias("_ingested_at"),
+                       RJ.chunk_name(F.col("_source_path")).alias("_source_file"))
+
+
+def stream_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None) -> None:
+    q = (bronze_stream_frame(spark, raw_dir, max_files_per_trigger).writeStream.format("parquet")
+         .outputMode("append").option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start(bronze_dir))
+    q.awaitTermination()
+
+
+def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarantine_dir: str,
+                  checkpoint: str) -> list[dict]:
+    """Returns the per-batch expectation metrics collected by ``observe``."""
+    src = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir)
+    flat = S.clean(S.flatten(src), generation=2)
+    metrics: list[dict] = []
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        obs = Observation(f"silver_{batch_id}")
+        checks = [F.count_if(~S.passes(c)).alias(f"failed_{n}") for n, c in S.drop_rules() + S.track_rules()]
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *checks)
+        kept = S.expect_or_drop(df, S.drop_rules())
+        overwrite(kept, f"{silver_dir}/batch_id={batch_id}")
+        rejected = S.split_quarantine(S.reject_reason(df))[1]
+        overwrite(rejected, f"{quarantine_dir}/batch_id={batch_id}")
+        metrics.append({"batch_id": batch_id, **obs.get})
+
+    q = (flat.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return metrics
+
+
+# ---- registered keys ----------------------------------------------------------
+SOURCE_COLS = ["Site_Id", "ParameterCode", "Units", "Frequency", "Date", "Hour", "Value", "AirQualityCategory"]
+
+
+def _flat_raw(df: DataFrame) -> DataFrame:
+    return df.select("Site_Id", "Parameter.*", "Date", "Hour", "Value", "AirQualityCategory",
+                     *[c for c in df.columns if c in ("_rescued_data", "_source_file")])
+
+
+def _bronze_batch(spark, sf_dir):
+    raw = land_hourly(spark, sf_dir)
+    df = RJ.read_raw(spark, raw)
+    return _flat_raw(df.withColumn("_source_file", RJ.chunk_name(F.col("_source_path"))))
+
+
+def _bronze_rescued(spark, sf_dir):
+    return _flat_raw(RJ.read_rescued(spark, land_hourly(spark, sf_dir)))
+
+
+def _bronze_stream(spark, sf_dir):
+    raw, out = land_hourly(spark, sf_dir), run_dir(spark, "bronze")
+    ck = run_dir(spark, "ckpt")
+    stream_bronze(spark, raw, out, ck, max_files_per_trigger=16)
+    stream_bronze(spark, raw, out, ck)      # rerun: nothing new, nothing added
+    return _flat_raw(spark.read.parquet(out))
+
+
+def _silver_stream(spark, sf_dir):
+    raw, bronze, silver, quar = (land_hourly(spark, sf_dir), run_dir(spark, "bronze"),
+                                 run_dir(spark, "silver"), run_dir(spark, "quarantine"))
+    stream_bronze(spark, raw, bronze, run_dir(spark, "ckpt"))
+    stream_silver(spark, bronze, silver, quar, run_dir(spark, "ckpt"))
+    return spark.read.parquet(silver).select("site_id", "parameter_code", "units", "obs_date", "hour_1based",
+                                             "obs_time", "value", "below_detection", "value_clean", "_source_file")
+
+
+def _manifest(spark, sf_dir):
+    return RJ.manifest(spark, land_hourly(spark, sf_dir))
+
+
+def _chunk_status(spark, sf_dir):
+    man = RJ.manifest(spark, land_hourly(spark, sf_dir))
+    span = man.agg(F.min("year").alias("a"), F.max("year").alias("b")).first()   # two scalars
+    stations = dim_station(A.station_details(spark, sf_dir))
+    plan = RJ.chunk_plan(stations, K.PARAMETERS, span["a"], span["b"])
+    return plan, man
+
+
+def _rows_vs_manifest(spark, sf_dir):
+    raw = land_hourly(spark, sf_dir)
+    rows = RJ.read_raw(spark, raw).agg(F.count(F.lit(1)).alias("table_rows")).withColumn("_k", F.lit(1))
+    rec = RJ.manifest(spark, raw).agg(F.sum("records").alias("records_on_disk")).withColumn("_k", F.lit(1))
+    return rows.join(F.broadcast(rec), "_k").drop("_k").withColumn(
+        "difference", F.col("table_rows") - F.col("records_on_disk"))
+
+
+def _reprocessed_week(fact: DataFrame) -> DataFrame:
+    """The upsert source: one week of the fact re-cleaned with the Gen 1 rule
+    (universal floor), so negative weather readings change value."""
+    week = fact.filter((F.col("obs_date") >= F.lit("2024-01-08").cast("date")) &
+                       (F.col("obs_date") < F.lit("2024-01-15").cast("date")))
+    return week.withColumn("value_clean", F.greatest(F.col("value"), F.lit(0.0)))
+
+
+UPSERT_COLS = ["site_id", "parameter_code", "obs_time", "value", "value_clean"]
+
+
+def _upsert_versions(spark, sf_dir):
+    fact = S.dedup(S.silver(A.hourly_records(spark, sf_dir))).select(*UPSERT_COLS)
+    root = run_dir(spark, "upsert")
+    overwrite(fact, f"{root}/v0")
+    src = _reprocessed_week(fact)
+    upsert(spark, f"{root}/v0", src, K.SILVER_GRAIN, f"{root}/v1")
+    upsert(spark, f"{root}/v1", src, K.SILVER_GRAIN, f"{root}/v2")   # replay
+    return [spark.read.parquet(f"{root}/v{i}") for i in range(3)], src
+
+
+def _upsert_replay(spark, sf_dir):
+    (v0, v1, v2), _ = _upsert_versions(spark, sf_dir)
+    return v2
+
+
+def _upsert_counts(spark, sf_dir):
+    """Rows before, after the upsert, after the replay; changed rows."""
+    (v0, v1, v2), src = _upsert_versions(spark, sf_dir)
+    changed = (v0.alias("a").join(v2.alias("b"), K.SILVER_GRAIN)
+                 .filter(~F.col("a.value_clean").eqNullSafe(F.col("b.value_clean"))))
+    parts = [v0.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_before").alias("t"), "n"),
+             v1.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_after_upsert").alias("t"), "n"),
+             v2.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_after_replay").alias("t"), "n"),
+             src.agg(F.count(F.lit(1)).alias("n")).select(F.lit("source_rows").alias("t"), "n"),
+             changed.agg(F.count(F.lit(1)).alias("n")).select(F.lit("changed_rows").alias("t"), "n")]
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
+    names = ["rows_before", "rows_after_upsert", "rows_after_replay", "source_rows", "changed_rows"]
+    return u.groupBy().pivot("t", names).agg(F.first("n")).select(*names)
+
+
+QUERIES.update({
+    "bronze_batch": _bronze_batch,
+    "bronze_rescued": _bronze_rescued,
+    "bronze_stream": _bronze_stream,
+    "silver_stream": _silver_stream,
+    "ingest_manifest": _manifest,
+    "manifest_by_class": lambda spark, sf_dir: RJ.manifest_by_class(_manifest(spark, sf_dir)),
+    "chunk_plan": lambda spark, sf_dir: _chunk_status(spark, sf_dir)[0],
+    "manifest_summary": lambda spark, sf_dir: RJ.manifest_summary(RJ.chunk_status(*_chunk_status(spark, sf_dir))),
+    "rows_vs_manifest": _rows_vs_manifest,
+    "upsert_replay": _upsert_replay,
+    "upsert_counts": _upsert_counts,
+})
+
+# ---- oracle SQL for the file / stream keys --------------------------------------
+RAW_SQL = """SELECT site_id_raw AS Site_Id, code AS ParameterCode, units AS Units, frequency AS Frequency,
+  date_raw AS Date, hour_raw AS Hour, value_raw AS Value,
+  CASE WHEN code IN (%s) THEN (CASE WHEN value_raw < 20 THEN 'GOOD' WHEN value_raw < 60 THEN 'FAIR' ELSE 'POOR' END) END AS AirQualityCategory""" % POL
+RESCUED = """CASE WHEN value_raw IS NULL THEN '{"Value":"n/a","k":"' ELSE '{"k":"' END
+  || json_extract_string(props, '$.k') || '"}' AS _rescued_data"""
+cte("hbx", """SELECT hb.*, e.props FROM hb JOIN events e ON hb._record_id = e.event_id""", ["hb"])
+ORACLE["bronze_batch"] = with_ctes(f"{RAW_SQL}, _source_file FROM hb", ["hb"])
+ORACLE["bronze_rescued"] = with_ctes(f"{RAW_SQL}, {RESCUED} FROM hbx", ["hbx"])
+ORACLE["bronze_stream"] = with_ctes(f"{RAW_SQL}, {RESCUED}, _source_file FROM hbx", ["hbx"])
+ORACLE["silver_stream"] = with_ctes(
+    """SELECT hs.site_id, hs.parameter_code, hs.units, hs.obs_date, hs.hour_1based, hs.obs_time, hs.value,
+  hs.below_detection, hs.value_clean, hb._source_file
+FROM hs JOIN hb ON hs._record_id = hb._record_id""", ["hs", "hb"])
+MAN = r"""SELECT TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 1) AS INTEGER) AS site_id,
+  replace(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 2), '_', '.') AS pollutant,
+  TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 3) AS INTEGER) AS year,
+  _source_file AS path, COUNT(*) AS records, 'landed' AS status
+FROM hb GROUP BY _source_file"""
+cte("man", MAN, ["hb"])
+_params = ", ".join(f"('{p}')" for p in K.PARAMETERS)
+cte("plan", f"""SELECT d.site_id, p.pollutant, CAST(y.year AS INTEGER) AS year FROM dim d
+CROSS JOIN (VALUES {_params}) AS p(pollutant)
+CROSS JOIN (SELECT unnest(generate_series((SELECT MIN(year) FROM man), (SELECT MAX(year) FROM man))) AS year) y""",
+    ["dim", "man"])
+ORACLE["ingest_manifest"] = with_ctes("SELECT * FROM man", ["man"])
+ORACLE["manifest_by_class"] = with_ctes(f"""SELECT CASE WHEN pollutant IN ({POL}) THEN 'pollutant' ELSE 'weather' END
+  AS parameter_class, COUNT(*) AS files, SUM(records) AS records FROM man GROUP BY 1""".replace(
+    "SUM(records)", "CAST(SUM(records) AS BIGINT)"), ["man"])
+ORACLE["chunk_plan"] = with_ctes("SELECT * FROM plan", ["plan"])
+ORACLE["manifest_summary"] = with_ctes("""SELECT COUNT(*) AS chunks, COUNT(*) FILTER (WHERE m.records IS NULL) AS empty_chunks,
+  CAST(SUM(coalesce(m.records, 0)) AS BIGINT) AS records
+FROM plan p LEFT JOIN man m ON p.site_id = m.site_id AND p.pollutant = m.pollutant AND p.year = m.year""",
+                                       ["plan", "man"])
+ORACLE["rows_vs_manifest"] = with_ctes("""SELECT COUNT(*) AS table_rows, COUNT(*) AS records_on_disk,
+  CAST(0 AS BIGINT) AS difference FROM hb""", ["hb"])
+cte("ufact", "SELECT site_id, parameter_code, obs_time, value, value_clean FROM hfact", ["hfact"])
+cte("usrc", """SELECT site_id, parameter_code, obs_time, value, greatest(value, 0.0) AS value_clean FROM ufact
+WHERE obs_date_of(obs_time) >= DATE '2024-01-08' AND obs_date_of(obs_time) < DATE '2024-01-15'""".replace(
+    "obs_date_of(obs_time)", "CAST(obs_time AS DATE)"), ["ufact"])
+cte("uv2", """SELECT * FROM ufact t WHERE NOT EXISTS (
+  SELECT 1 FROM usrc s WHERE s.site_id = t.site_id AND s.parameter_code = t.parameter_code AND s.obs_time = t.obs_time)
+UNION ALL SELECT * FROM usrc""", ["ufact", "usrc"])
+ORACLE["upsert_replay"] = with_ctes("SELECT * FROM uv2", ["uv2"])
+ORACLE["upsert_counts"] = with_ctes("""SELECT (SELECT COUNT(*) FROM ufact) AS rows_before, (SELECT COUNT(*) FROM uv2) AS rows_after_upsert,
+  (SELECT COUNT(*) FROM uv2) AS rows_after_replay, (SELECT COUNT(*) FROM usrc) AS source_rows,
+  (SELECT COUNT(*) FROM ufact a JOIN uv2 b ON a.site_id = b.site_id AND a.parameter_code = b.parameter_code
+     AND a.obs_time = b.obs_time WHERE a.value_clean IS DISTINCT FROM b.value_clean) AS changed_rows""",
+                                    ["ufact", "uv2"])
