@@ -23,8 +23,7 @@ from pyspark.sql.window import Window
 
 from hourglass import constants as K
 from hourglass.functions.exprs import anomaly_class, fixed, health_status, pct, safe_div
-from hourglass.operators.joins import bounded_broadcast
-from hourglass.operators.sequence import CHUNK, runs, sequence
+from hourglass.operators.sequence import CHUNK, largest_group_bound, pick_method, runs, sequence
 
 SERIES = ["site_id", "parameter_code"]
 
@@ -40,6 +39,8 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
     previous ``window_rows`` rows of the series, and ``prev_value``.
     sd is NULL with fewer than 2 rows and exactly 0 when constant."""
     keys = keys or SERIES
+    if method == "auto":
+        method = pick_method(largest_group_bound(fact, keys))
     if method == "frames":
         w = Window.partitionBy(*keys).orderBy("obs_time")
         cols = [F.lag(value, 1).over(w).alias("prev_value")]
@@ -58,7 +59,8 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
         raise ValueError(f"unknown method {method!r}")
 
     centers = fact.groupBy(*keys).agg(F.avg(value).alias("_c"))
-    f = (fact.join(bounded_broadcast(centers), keys, "inner")
+    # one row per series: AQE broadcasts it when its measured size is small
+    f = (fact.join(centers, keys, "inner")
              .withColumn("_x", F.col(value) - F.col("_c"))
              .withColumn("_x2", F.col("_x") * F.col("_x")))
     s = sequence(f, keys, "obs_time", _month_chunk(), sums=("_x", "_x2"), runs_of=value).drop(CHUNK)
@@ -130,12 +132,12 @@ def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
 
 
 def flatline_runs(fact: DataFrame, value: str = "value_clean", min_rows: int = K.FLATLINE_MIN_ROWS,
-                  exclude_zero: bool = False) -> DataFrame:
+                  exclude_zero: bool = False, method: str = "chunked") -> DataFrame:
     """Maximal runs of identical consecutive readings (present
     rows; a missing hour does not break a run) of at least ``min_rows``.
     ``exclude_zero`` drops zero readings first (the raw-value detector)."""
     f = fact.filter(F.col(value) != 0) if exclude_zero else fact
-    tagged = runs(f.select(*SERIES, "obs_time", value), SERIES, "obs_time", value, _month_chunk())
+    tagged = runs(f.select(*SERIES, "obs_time", value), SERIES, "obs_time", value, _month_chunk(), method)
     return (tagged.groupBy(*SERIES, "_run")
                   .agg(F.min(value).alias("stuck_value"), F.min("obs_time").alias("run_start"),
                        F.max("obs_time").alias("run_end"), F.count(F.lit(1)).alias("hours_stuck"))
@@ -171,7 +173,7 @@ def seasonal_anomaly(fact: DataFrame, exclude_current_year: bool = False) -> Dat
     if not exclude_current_year:
         norms = f.groupBy(*keys).agg(F.avg("value_clean").alias("seasonal_mean"),
                                      F.stddev("value_clean").alias("seasonal_sd"))
-        j = f.join(bounded_broadcast(norms), keys, "inner")
+        j = f.join(norms, keys, "inner")
     else:
         yr = f.withColumn("yr", F.year("obs_date"))
         per = yr.groupBy(*keys, "yr").agg(F.count(F.lit(1)).alias("n"), F.sum("value_clean").alias("s1"),
@@ -185,7 +187,7 @@ def seasonal_anomaly(fact: DataFrame, exclude_current_year: bool = False) -> Dat
                          F.when(F.col("n") >= 2, F.sqrt(F.greatest(
                              (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1),
                              F.lit(0.0)))).alias("seasonal_sd"))
-        j = yr.join(bounded_broadcast(norms), [*keys, "yr"], "inner")
+        j = yr.join(norms, [*keys, "yr"], "inner")
     return j.select("site_id", "parameter_code", "obs_time", "obs_date", "value_clean",
                     fixed(F.col("seasonal_mean"), 3).alias("seasonal_mean"),
                     fixed(safe_div(F.col("value_clean") - F.col("seasonal_mean"), F.col("seasonal_sd")), 2)

@@ -45,14 +45,19 @@ def hourly_classification(state: DataFrame, min_reporting: int = K.MIN_STATIONS_
 
 
 def air_quality_event(classification: DataFrame, min_hours: int = K.MIN_EPISODE_HOURS,
-                      event_classes: tuple[str, ...] = ("widespread", "network_wide")) -> DataFrame:
+                      event_classes: tuple[str, ...] = ("widespread", "network_wide"),
+                      method: str = "window") -> DataFrame:
     """Consecutive event hours (present rows) per parameter -> episodes
-    of at least ``min_hours`` rows. The per-parameter ordering is split into
-    monthly chunks, so each parameter is not a single task."""
+    of at least ``min_hours`` rows.
+
+    The input has one row per hour and parameter, so its size is bounded by
+    the time span (10 years ~ 88k rows per parameter) whatever the data
+    volume: a per-parameter window (``method="window"``) is safe. The
+    chunked plan remains available for unbounded inputs."""
     flagged = classification.withColumn(
         "is_event", F.when(F.col("event_class").isin(*event_classes), 1).otherwise(0))
     tagged = runs(flagged, ["parameter_code"], "obs_time", "is_event",
-                  F.trunc(F.col("obs_time").cast("date"), "month"))
+                  F.trunc(F.col("obs_time").cast("date"), "month"), method)
     return (tagged.filter(F.col("is_event") == 1)
                   .groupBy("parameter_code", "_run").agg(
                       F.min("obs_time").alias("event_start"), F.max("obs_time").alias("event_end"),

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from hourglass import constants as K
 from hourglass.functions.exprs import fixed, pct, safe_div
-from hourglass.operators.joins import bounded_broadcast, fixed_broadcast
+from hourglass.operators.joins import fixed_broadcast
 from hourglass.operators.sequence import runs
 
 
@@ -49,7 +49,10 @@ def dim_parameter(bronze: DataFrame) -> DataFrame:
 
 
 def _stations(dim: DataFrame, cols: list[str]) -> DataFrame:
-    return bounded_broadcast(dim.select("site_id", *cols))
+    """The station columns a join needs. Pass ``bounded_broadcast(dim)``
+    to broadcast it behind a size check; otherwise Spark decides from its
+    statistics (and AQE from the measured shuffle size)."""
+    return dim.select("site_id", *cols)
 
 
 def gold_daily(fact: DataFrame, dim: DataFrame, generation: int = 2) -> DataFrame:
@@ -148,7 +151,7 @@ def standards_frame(spark: SparkSession) -> DataFrame:
 
 
 def exceedance_events(daily: DataFrame, standards: DataFrame,
-                      min_completeness: float = K.MIN_DAILY_COMPLETENESS) -> DataFrame:
+                      min_completeness: float = K.MIN_DAILY_COMPLETENESS, method: str = "chunked") -> DataFrame:
     """Station-days above the daily standard (strictly), among
     days with completeness >= ``min_completeness``, with the length of the
     consecutive (present-row) exceedance run each day belongs to."""
@@ -157,7 +160,7 @@ def exceedance_events(daily: DataFrame, standards: DataFrame,
                     .withColumn("is_exceedance",
                                 F.when(F.col("daily_avg") > F.col("daily_standard"), 1).otherwise(0)))
     tagged = runs(flagged, ["site_id", "parameter_code"], "obs_date", "is_exceedance",
-                  F.trunc("obs_date", "year"))
+                  F.trunc("obs_date", "year"), method)
     ex = tagged.filter(F.col("is_exceedance") == 1)
     w = Window.partitionBy("site_id", "parameter_code", "_run")
     return ex.select(

@@ -62,25 +62,48 @@ def reconciliation(bronze: DataFrame, kept_before_dedup: DataFrame, quarantine:
                      .alias("balanced")))
 
 
+def grain_profile(df: DataFrame, keys: list[str], extra: dict | None = None) -> DataFrame:
+    """Rows, duplicate grain keys and optional extra counters of one table in
+    ONE pass: a partial aggregate per grain key, then a global aggregate.
+    ``extra`` maps a name to a boolean Column counted per row (``count_if``)
+    or to ``("max", Column)``."""
+    extra = extra or {}
+    per_key = [F.count(F.lit(1)).alias("_n")]
+    final = [F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("duplicate_keys")]
+    for name, spec in extra.items():
+        if isinstance(spec, tuple):
+            per_key.append(F.max(spec[1]).alias(f"_{name}"))
+            final.append(F.max(f"_{name}").alias(name))
+        else:
+            per_key.append(F.count_if(spec).alias(f"_{name}"))
+            final.append(F.sum(f"_{name}").alias(name))
+    return df.groupBy(*keys).agg(*per_key).agg(*final)
+
+
 def quality_gate(bronze: DataFrame, silver: DataFrame, daily: DataFrame, regional: DataFrame,
                  max_drop_rate: float = K.MAX_DROP_RATE) -> DataFrame:
-    """K4-K6: rows ``(check_name, observed, limit_value, passed)``."""
-    acc = pipeline_accounting(bronze, silver, daily, regional).select(
-        F.lit("drop_rate_pct").alias("check_name"), F.col("drop_rate_pct").alias("observed"),
-        F.lit(max_drop_rate).alias("limit_value"))
-    dup = lambda name, df, keys: grain_violations(df, keys).select(
-        F.lit(name).alias("check_name"), F.col("duplicate_keys").cast("double").alias("observed"),
-        F.lit(0.0).alias("limit_value"))
-    neg = silver.agg(F.count_if(F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0))
-                     .cast("double").alias("observed")).select(
-        F.lit("negative_pollutant_value_clean").alias("check_name"), "observed", F.lit(0.0).alias("limit_value"))
-    comp = daily.agg(F.max("completeness_pct").alias("observed")).select(
-        F.lit("max_completeness_pct").alias("check_name"), "observed", F.lit(100.0).alias("limit_value"))
-    rows = (acc.unionByName(dup("silver_duplicate_keys", silver, K.SILVER_GRAIN))
-               .unionByName(dup("daily_duplicate_keys", daily, K.DAILY_GRAIN))
-               .unionByName(dup("regional_duplicate_keys", regional, K.REGIONAL_GRAIN))
-               .unionByName(neg).unionByName(comp))
-    return rows.withColumn("passed", F.coalesce(F.col("observed") <= F.col("limit_value"), F.lit(True)))
+    """K4-K6: rows ``(check_name, observed, limit_value, passed)``. Each
+    table is read once: rows, duplicate keys and the table's own checks come
+    from one grain profile."""
+    b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows")).withColumn("_k", F.lit(1))
+    s = grain_profile(silver, K.SILVER_GRAIN, {
+        "neg": F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0)}).withColumn("_k", F.lit(1))
+    d = grain_profile(daily, K.DAILY_GRAIN, {"maxc": ("max", F.col("completeness_pct"))}).withColumn("_k", F.lit(1))
+    r = grain_profile(regional, K.REGIONAL_GRAIN).withColumn("_k", F.lit(1))
+    one = (b.join(s.select("_k", F.col("rows").alias("silver_rows"), F.col("duplicate_keys").alias("sd"), "neg"), "_k")
+            .join(d.select("_k", F.col("duplicate_keys").alias("dd"), "maxc"), "_k")
+            .join(r.select("_k", F.col("duplicate_keys").alias("rd")), "_k"))
+    drop = pct(F.col("bronze_rows") - F.col("silver_rows"), F.col("bronze_rows"))
+    cells = [("drop_rate_pct", drop, F.lit(max_drop_rate)),
+             ("silver_duplicate_keys", F.col("sd"), F.lit(0.0)),
+             ("daily_duplicate_keys", F.col("dd"), F.lit(0.0)),
+             ("regional_duplicate_keys", F.col("rd"), F.lit(0.0)),
+             ("negative_pollutant_value_clean", F.col("neg"), F.lit(0.0)),
+             ("max_completeness_pct", F.col("maxc"), F.lit(100.0))]
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), o.cast("double").alias("observed"),
+                                        lim.alias("limit_value")) for n, o, lim in cells])).alias("c")
+    return (one.select(rows).select("c.*")
+               .withColumn("passed", F.coalesce(F.col("observed") <= F.col("limit_value"), F.lit(True))))
 
 
 class QualityGateError(Exception):

@@ -99,9 +99,36 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
     return res.drop(*[c for c in internal if c in res.columns])
 
 
-def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column) -> DataFrame:
+def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
+         method: str = "chunked") -> DataFrame:
     """Gaps-and-islands: tag each row with the id of its maximal run of equal
     ``state`` values in ``order`` within ``keys`` (``_run``; rows of one run
-    share it). Equivalent to ROW_NUMBER() - ROW_NUMBER() BY state, without a
-    per-series single-task window."""
+    share it, within ``keys``).
+
+    ``method="chunked"``: run ids from the chunked sequence (no single-task
+    series). ``method="window"``: ROW_NUMBER() - ROW_NUMBER() BY state, one
+    shuffle, every series sorted in one task — for inputs whose series are
+    known to be small."""
+    if method == "window":
+        w_all = Window.partitionBy(*keys).orderBy(order)
+        w_state = Window.partitionBy(*keys, state).orderBy(order)
+        grp = F.row_number().over(w_all) - F.row_number().over(w_state)
+        return df.withColumn("_run", F.struct(F.col(state).alias("s"), grp.alias("g")))
     return sequence(df, keys, order, chunk, runs_of=state).drop(CHUNK, f"_prev_{state}", "_chg", "_idx")
+
+
+# Rows one task may hold for a per-series window (sort + frame buffers).
+MAX_SERIES_ROWS_PER_TASK = 2_000_000
+
+
+def largest_group_bound(df: DataFrame, keys: list[str]) -> int:
+    """Rows in the largest ``keys`` group of ``df`` (one partially-aggregated
+    pass; pass a pre-dedup input to get a cheap upper bound)."""
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
+def pick_method(bound_rows: int, budget: int = MAX_SERIES_ROWS_PER_TASK) -> str:
+    """``frames``/``window`` plans when every series fits one task, else the
+    chunked (skew-proof) plans."""
+    return "frames" if bound_rows <= budget else "prefix"

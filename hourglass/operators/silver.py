@@ -18,21 +18,24 @@ def flatten(bronze: DataFrame) -> DataFrame:
     obs_time (hour 1 = 00:00, hour 24 = 23:00), calendar parts. Dates that do
     not parse become NULL (``try_to_date``) instead of failing under ANSI."""
     prov = [c for c in PROVENANCE if c in bronze.columns]
-    flat = bronze.select(
+    obs_date = F.try_to_date(F.col("Date"))
+    hour1 = F.col("Hour").cast("int")
+    # one projection (one analyzer pass), columns in the published order
+    return bronze.select(
         F.col("Site_Id").cast("int").alias("site_id"),
         F.col("Parameter.ParameterCode").alias("parameter_code"),
         F.col("Parameter.Units").alias("units"),
         F.col("Parameter.Frequency").alias("frequency"),
-        F.try_to_date(F.col("Date")).alias("obs_date"),
-        F.col("Hour").cast("int").alias("hour_1based"),
+        obs_date.alias("obs_date"),
+        hour1.alias("hour_1based"),
         F.col("Value").cast("double").alias("value"),
         F.col("AirQualityCategory").alias("aqi_category"),
         *prov,
+        (hour1 - 1).alias("obs_hour"),
+        obs_time_from(obs_date, hour1 - 1).alias("obs_time"),
+        F.year(obs_date).alias("year"),
+        F.month(obs_date).alias("month"),
     )
-    return (flat.withColumn("obs_hour", F.col("hour_1based") - 1)
-                .withColumn("obs_time", obs_time_from(F.col("obs_date"), F.col("obs_hour")))
-                .withColumn("year", F.year("obs_date"))
-                .withColumn("month", F.month("obs_date")))
 
 
 def clean(flat: DataFrame, generation: int = 2) -> DataFrame:
@@ -41,11 +44,11 @@ def clean(flat: DataFrame, generation: int = 2) -> DataFrame:
     flag. Gen 1: the floor and flag apply to every parameter."""
     v = F.col("value")
     if generation == 1:
-        return (flat.withColumn("below_detection", v < 0)
-                    .withColumn("value_clean", F.greatest(v, F.lit(0.0))))
+        return flat.select("*", (v < 0).alias("below_detection"),
+                           F.greatest(v, F.lit(0.0)).alias("value_clean"))
     is_pol = F.col("parameter_code").isin(K.POLLUTANTS)
-    return (flat.withColumn("below_detection", F.when(is_pol, v < 0).otherwise(F.lit(None).cast("boolean")))
-                .withColumn("value_clean", F.when(is_pol, F.greatest(v, F.lit(0.0))).otherwise(v)))
+    return flat.select("*", F.when(is_pol, v < 0).otherwise(F.lit(None).cast("boolean")).alias("below_detection"),
+                       F.when(is_pol, F.greatest(v, F.lit(0.0))).otherwise(v).alias("value_clean"))
 
 
 def drop_rules() -> list[tuple[str, Column]]:
@@ -143,6 +146,10 @@ def dedup(df: DataFrame, keys: list[str] | None = None,
               .select(*df.columns))
 
 
+FACT_COLUMNS = ["site_id", "parameter_code", "units", "obs_date", "hour_1based", "obs_hour", "obs_time",
+                "year", "month", "value", "below_detection", "value_clean", "_ingested_at", "_record_id"]
+
+
 def fact_observation(bronze: DataFrame, parameters: list[str] | None = None) -> DataFrame:
     """Gen 1 fact: rejects removed by reason, universal floor, one row per
     grain key. Restricted to ``parameters`` (default: the pollutants, the
@@ -150,7 +157,7 @@ def fact_observation(bronze: DataFrame, parameters: list[str] | None = None) ->
     parameters = parameters or K.POLLUTANTS
     tagged = reject_reason(clean(flatten(bronze), generation=1))
     kept, _ = split_quarantine(tagged)
-    return dedup(kept.filter(F.col("parameter_code").isin(parameters)))
+    return dedup(kept.filter(F.col("parameter_code").isin(parameters)).select(*FACT_COLUMNS))
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:

@@ -273,31 +273,31 @@ def _anomaly_by_year(p): return R.anomaly_by_year(p.anomaly)
 
 
 @query("sensor_flatline")
-def _sensor_flatline(p): return AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER)
+def _sensor_flatline(p): return AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method)
 
 
 @query("sensor_flatline_raw")
-def _sensor_flatline_raw(p): return AN.flatline_runs(p.fact1, value="value", exclude_zero=True)
+def _sensor_flatline_raw(p): return AN.flatline_runs(p.fact1, value="value", exclude_zero=True, method=p.runs_method)
 
 
 @query("run_length_summary")
 def _run_length_summary(p):
-    return R.run_length_summary(AN.flatline_runs(p.fact1, value="value", exclude_zero=True, min_rows=2))
+    return R.run_length_summary(AN.flatline_runs(p.fact1, value="value", exclude_zero=True, min_rows=2, method=p.runs_method))
 
 
 @query("flatline_run_type")
-def _flatline_run_type(p): return R.flatline_run_type(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER))
+def _flatline_run_type(p): return R.flatline_run_type(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method))
 
 
 @query("flatline_top")
-def _flatline_top(p): return R.flatline_top(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER), p.dim)
+def _flatline_top(p): return R.flatline_top(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method), p.dim)
 
 
 @query("flatline_compare")
 def _flatline_compare(p):
-    return Q._counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER),
+    return Q._counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method),
                       "raw_runs": AN.flatline_runs(p.fact1, value="value", exclude_zero=True,
-                                                   min_rows=FLATLINE_MIN_ROWS_ADAPTER)})
+                                                   min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method)})
 
 
 @query("sensor_health")

@@ -27,12 +27,31 @@ from hourglass.operators import anomaly as AN
 from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import silver as S
+from hourglass.operators.joins import bounded_broadcast
+from hourglass.operators.sequence import largest_group_bound, pick_method
 from hourglass.sources import adapters as A
 
 
+_DIM_BROADCAST: dict[tuple, bool] = {}
+
+
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, method: str = "prefix"):
-        self.spark, self.sf_dir, self.method = spark, sf_dir, method
+    def __init__(self, spark: SparkSession, sf_dir: str, method: str = "auto"):
+        self.spark, self.sf_dir, self._method = spark, sf_dir, method
+
+    @cached_property
+    def method(self) -> str:
+        """Per-series plan: ``frames`` when the largest pollutant series
+        (bounded from the pre-dedup records, one cheap aggregate) fits one
+        task, else the chunked ``prefix`` plan."""
+        if self._method != "auto":
+            return self._method
+        pol = self.flat.filter(F.col("parameter_code").isin(K.POLLUTANTS))
+        return pick_method(largest_group_bound(pol, ["site_id", "parameter_code"]))
+
+    @property
+    def runs_method(self) -> str:
+        return "window" if self.method == "frames" else "chunked"
 
     # ---- hourly chain ---------------------------------------------------
     @cached_property
@@ -50,7 +69,7 @@ class Pipeline:
     @cached_property
     def fact(self) -> DataFrame:
         """Gen 2 silver, one row per grain key (input of the gold tables)."""
-        return S.dedup(self.silver)
+        return S.dedup(self.silver.select(*S.FACT_COLUMNS))
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -68,7 +87,13 @@ class Pipeline:
 
     @cached_property
     def dim(self) -> DataFrame:
-        return G.dim_station(A.station_details(self.spark, self.sf_dir))
+        """Station dimension, broadcast only after its size is checked (once
+        per session and source folder)."""
+        d = G.dim_station(A.station_details(self.spark, self.sf_dir))
+        key = (id(self.spark), self.sf_dir)
+        if key not in _DIM_BROADCAST:
+            _DIM_BROADCAST[key] = bounded_broadcast(d) is not d
+        return F.broadcast(d) if _DIM_BROADCAST[key] else d
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -83,7 +108,7 @@ class Pipeline:
         return G.hourly_wide(self.silver)
 
     def exceedance(self, min_completeness: float = K.MIN_DAILY_COMPLETENESS) -> DataFrame:
-        return G.exceedance_events(self.daily, G.standards_frame(self.spark), min_completeness)
+        return G.exceedance_events(self.daily, G.standards_frame(self.spark), min_completeness, self.runs_method)
 
     @cached_property
     def anomaly(self) -> DataFrame:
@@ -112,7 +137,7 @@ class Pipeline:
 
     @cached_property
     def long_fact(self) -> DataFrame:
-        return S.dedup(S.silver(self.long_bronze))
+        return S.dedup(S.silver(self.long_bronze).select(*S.FACT_COLUMNS))
 
     @cached_property
     def regional(self) -> DataFrame:

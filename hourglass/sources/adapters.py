@@ -50,7 +50,8 @@ def _aqi(value: Column) -> Column:
 
 def hourly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped hourly records, one per row of ``events``."""
-    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"],
+              spread_on="event_id")
     p = (F.col("event_id") % 9).cast("int")
     code = _case(p, [(i, c) for i, (c, _) in enumerate(HOURLY_PARAMETERS)])
     units = _case(p, [(i, u) for i, (_, u) in enumerate(HOURLY_PARAMETERS)])
@@ -79,7 +80,7 @@ def hourly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("_rescued_data"),
         F.timestamp_add("HOUR", F.lit(1), F.col("ts")).alias("_ingested_at"),
         F.concat(F.lit("site"), F.coalesce(site.cast("string"), F.lit("x")), F.lit("_"),
-                 F.regexp_replace(code, r"\.", "_"), F.lit("_"),
+                 F.translate(code, ".", "_"), F.lit("_"),
                  F.year("ts").cast("string"), F.lit(".json")).alias("_source_file"),
         F.col("event_id").alias("_record_id"),
     )
@@ -89,7 +90,7 @@ def long_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped multi-year records, one per row of ``lineitem``."""
     li = table(spark, sf_dir, "lineitem",
                ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
-                "l_linestatus", "l_shipdate"])
+                "l_linestatus", "l_shipdate"], spread_on="l_orderkey")
     flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
     code = _case(flag, [(f, c) for f, c, _ in LONG_PARAMETERS], "OZONE")
     units = _case(flag, [(f, u) for f, _, u in LONG_PARAMETERS], "pphm")
@@ -106,7 +107,7 @@ def long_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("_rescued_data"),
         F.timestamp_add("DAY", F.lit(1), F.col("l_shipdate")).alias("_ingested_at"),
         F.concat(F.lit("site"), site.cast("string"), F.lit("_"),
-                 F.regexp_replace(code, r"\.", "_"), F.lit("_"),
+                 F.translate(code, ".", "_"), F.lit("_"),
                  F.year("l_shipdate").cast("string"), F.lit(".json")).alias("_source_file"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_record_id"),
     )
