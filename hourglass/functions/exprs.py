@@ -25,6 +25,16 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def safe_corr(a: Column | str, b: Column | str) -> Column:
+    """Pearson correlation over rows where both are present; NULL (not an
+    ANSI division error, not NaN) when a variance is zero or n < 2."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def pct(num: Column, den: Column) -> Column:
     """100 * num / den as DOUBLE (never DECIMAL), NULL on a zero denominator."""
     return safe_div(num.cast("double") * F.lit(100.0), den)
@@ -56,7 +66,7 @@ def event_class(reporting: Column, anomalous: Column,
                 widespread: float = K.WIDESPREAD_FRACTION) -> Column:
     """Rule order matters: reporting < min, 0 anomalous, exactly 1, then by
     fraction (< localised, < widespread, else network_wide)."""
-    frac = anomalous.cast("double") / reporting.cast("double")
+    frac = safe_div(anomalous, reporting)
     return (F.when(reporting < min_reporting, "insufficient_network")
              .when(anomalous == 0, "quiet")
              .when(anomalous == 1, "isolated_fault")

@@ -75,10 +75,10 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
     s1 = F.col("_pre__x") - F.coalesce(F.col("_bx"), F.lit(0.0))
     s2 = F.col("_pre__x2") - F.coalesce(F.col("_bx2"), F.lit(0.0))
     constant = (F.col("_run") - F.col("_chg")) == F.coalesce(F.col("_brun"), F.lit(1))
-    var = (s2 - s1 * s1 / cnt) / (cnt - 1.0)
+    var = safe_div(s2 - safe_div(s1 * s1, cnt), cnt - 1.0)
     return j.select(
         *fact.columns, "prev_value", "window_rows",
-        F.when(cnt >= 1, F.col("_c") + s1 / cnt).alias("roll_mean"),
+        F.when(cnt >= 1, F.col("_c") + safe_div(s1, cnt)).alias("roll_mean"),
         F.when(cnt < 2, F.lit(None).cast("double")).when(constant, F.lit(0.0))
          .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias("roll_sd"))
 
@@ -115,7 +115,7 @@ def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
                (F.col("obs_date") < F.lit(slice_end).cast("date"))
     s, m = F.col("roll_sd"), F.col("roll_mean")
     valid = s.isNotNull() & (s > 0)
-    az = F.abs((F.col("value_clean") - m) / s)
+    az = F.abs(safe_div(F.col("value_clean") - m, s))
     aggs = [F.count_if(valid).alias("total")]
     for ti, t in enumerate(thresholds):
         aggs.append(F.count_if(valid & (az > t)).alias(f"a{ti}"))
@@ -185,7 +185,8 @@ def seasonal_anomaly(fact: DataFrame, exclude_current_year: bool = False) -> Dat
         norms = o.select(*keys, "yr",
                          safe_div(F.col("s1"), F.col("n")).alias("seasonal_mean"),
                          F.when(F.col("n") >= 2, F.sqrt(F.greatest(
-                             (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1),
+                             safe_div(F.col("s2") - safe_div(F.col("s1") * F.col("s1"), F.col("n")),
+                                      F.col("n") - 1),
                              F.lit(0.0)))).alias("seasonal_sd"))
         j = yr.join(norms, [*keys, "yr"], "inner")
     return j.select("site_id", "parameter_code", "obs_time", "obs_date", "value_clean",

@@ -97,7 +97,7 @@ def monthly_regional(fact: DataFrame, dim: DataFrame) -> DataFrame:
         F.sum("value_clean").alias("s"), F.count("value_clean").alias("n"))
     j = per_site.join(_stations(dim, ["region"]), "site_id", "inner")
     return j.groupBy("region", "parameter_code", "units", "month_start").agg(
-        (F.sum("s") / F.sum("n")).alias("monthly_avg"),
+        safe_div(F.sum("s"), F.sum("n")).alias("monthly_avg"),
         F.count(F.lit(1)).alias("stations_reporting"),
         F.sum("n").alias("readings"))
 
@@ -120,7 +120,7 @@ def gold_regional(fact: DataFrame, dim: DataFrame, lag_mode: str = "rows") -> Da
     last = F.col("same_month_last_year")
     return m.withColumn("yoy_pct_change",
                         F.when(last.isNotNull() & (last != 0),
-                               (F.col("monthly_avg") - last) / last * 100.0))
+                               safe_div(F.col("monthly_avg") - last, last) * 100.0))
 
 
 def hourly_wide(silver: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ from hourglass.sources import adapters as A
 
 
 _DIM_BROADCAST: dict[tuple, bool] = {}
+_SERIES_BOUND: dict[tuple, int] = {}
 
 
 class Pipeline:
@@ -46,8 +47,11 @@ class Pipeline:
         task, else the chunked ``prefix`` plan."""
         if self._method != "auto":
             return self._method
-        pol = self.flat.filter(F.col("parameter_code").isin(K.POLLUTANTS))
-        return pick_method(largest_group_bound(pol, ["site_id", "parameter_code"]))
+        key = (id(self.spark), self.sf_dir)
+        if key not in _SERIES_BOUND:
+            pol = self.flat.filter(F.col("parameter_code").isin(K.POLLUTANTS))
+            _SERIES_BOUND[key] = largest_group_bound(pol, ["site_id", "parameter_code"])
+        return pick_method(_SERIES_BOUND[key])
 
     @property
     def runs_method(self) -> str:

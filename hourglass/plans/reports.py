@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from hourglass import constants as K
 from hourglass.functions.exprs import (fixed, interpretation, pct, rain_condition, run_type,
-                                       wind_band)
+                                       safe_corr, wind_band)
 
 
 def share(df: DataFrame, key: str, digits: int = 2, count_name: str = "rows") -> DataFrame:
@@ -149,10 +149,13 @@ def hourly_curve(profile: DataFrame, parameter: str = "NO2") -> DataFrame:
 
 
 def dash_trend(regional: DataFrame, pollutant: str) -> DataFrame:
-    """Regional trend for one pollutant, ordered by month."""
-    return (regional.filter(F.col("parameter_code") == pollutant)
-                    .select("region", "month_start", "monthly_avg", "rolling_12m_avg", "yoy_pct_change")
-                    .orderBy("month_start", "region"))
+    """Regional trend for one pollutant, ordered by month —
+    the dashboard's SQL with a named parameter marker, over the DataFrame
+    passed as a query-scoped relation (no global temp view)."""
+    return regional.sparkSession.sql(
+        """SELECT region, month_start, monthly_avg, rolling_12m_avg, yoy_pct_change
+           FROM {trend} WHERE parameter_code = :pollutant ORDER BY month_start, region""",
+        args={"pollutant": pollutant}, trend=regional)
 
 
 def dash_station_map(daily: DataFrame, pollutant: str, year: int) -> DataFrame:
@@ -245,7 +248,7 @@ CORRELATION_PAIRS = [
 
 def weather_correlations(wide: DataFrame) -> DataFrame:
     """Pearson correlations over pairwise-complete rows, one pass."""
-    return wide.agg(*[fixed(F.corr(a, b), 3).alias(n) for n, a, b in CORRELATION_PAIRS])
+    return wide.agg(*[fixed(safe_corr(a, b), 3).alias(n) for n, a, b in CORRELATION_PAIRS])
 
 
 def wide_yearly_cte(wide: DataFrame) -> DataFrame:

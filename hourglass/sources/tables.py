@@ -23,11 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return spread_scan(df, spread_on) if spread_on else df
 
 
+_SPLITS: dict[tuple, int] = {}
+
+
 def spread_scan(df: DataFrame, key: str, min_splits: int | None = None) -> DataFrame:
     """Hash-redistribute on a unique ``key`` column when the scan has fewer
     splits than task slots. Hash partitioning on a column is deterministic,
-    so (unlike round-robin) a retried task needs no pre-sort."""
-    slots = min_splits or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    so (unlike round-robin) a retried task needs no pre-sort. The split
+    count is planned once per session and input."""
+    spark = df.sparkSession
+    slots = min_splits or spark.sparkContext.defaultParallelism
+    sig = (id(spark), tuple(sorted(df.inputFiles())))
+    if sig not in _SPLITS:
+        _SPLITS[sig] = df.rdd.getNumPartitions()
+    if _SPLITS[sig] < slots:
         return df.repartition(slots, key)
     return df

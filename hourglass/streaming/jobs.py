@@ -197,8 +197,14 @@ QUERIES.update({
     "rows_vs_manifest": _rows_vs_manifest,
     "upsert_replay": _upsert_replay,
     "upsert_counts": _upsert_counts,
+    "pipeline_gate": lambda spark, sf_dir: _pipeline_gate(spark, sf_dir),
 })
 
+
+def _pipeline_gate(spark, sf_dir):
+    from hourglass.plans import pipeline
+    return pipeline.gate(spark, sf_dir, run_dir(spark, "pipeline"))
+
 # ---- oracle SQL for the file / stream keys --------------------------------------
 RAW_SQL = """SELECT site_id_raw AS Site_Id, code AS ParameterCode, units AS Units, frequency AS Frequency,
   date_raw AS Date, hour_raw AS Hour, value_raw AS Value,
@@ -243,6 +249,7 @@ cte("uv2", """SELECT * FROM ufact t WHERE NOT EXISTS (
   SELECT 1 FROM usrc s WHERE s.site_id = t.site_id AND s.parameter_code = t.parameter_code AND s.obs_time = t.obs_time)
 UNION ALL SELECT * FROM usrc""", ["ufact", "usrc"])
 ORACLE["upsert_replay"] = with_ctes("SELECT * FROM uv2", ["uv2"])
+ORACLE["pipeline_gate"] = ORACLE["quality_gate"]
 ORACLE["upsert_counts"] = with_ctes("""SELECT (SELECT COUNT(*) FROM ufact) AS rows_before, (SELECT COUNT(*) FROM uv2) AS rows_after_upsert,
   (SELECT COUNT(*) FROM uv2) AS rows_after_replay, (SELECT COUNT(*) FROM usrc) AS source_rows,
   (SELECT COUNT(*) FROM ufact a JOIN uv2 b ON a.site_id = b.site_id AND a.parameter_code = b.parameter_code
