@@ -33,12 +33,19 @@ def _month_chunk() -> Column:
 
 
 def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix",
-                      keys: list[str] | None = None, value: str = "value_clean") -> DataFrame:
+                      keys: list[str] | None = None, value: str = "value_clean",
+                      frame: str = "rows") -> DataFrame:
     """Rows of ``fact`` x ``windows`` (long format, column ``window_rows``)
     with ``roll_mean`` / ``roll_sd`` (sample sd) of ``value`` over the
     previous ``window_rows`` rows of the series, and ``prev_value``.
-    sd is NULL with fewer than 2 rows and exactly 0 when constant."""
+    sd is NULL with fewer than 2 rows and exactly 0 when constant.
+
+    ``frame="rows"`` is the previous n *rows* (gaps stretch it in time);
+    ``frame="time"`` is the previous n *hours* (a RANGE frame on epoch
+    seconds, window plan only)."""
     keys = keys or SERIES
+    if frame == "time":
+        return _trailing_time(fact, windows, keys, value)
     if method == "auto":
         method = pick_method(largest_group_bound(fact, keys))
     if method == "frames":
@@ -83,13 +90,30 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
          .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias("roll_sd"))
 
 
+def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value: str) -> DataFrame:
+    secs = F.col("obs_time").cast("timestamp").cast("long")
+    f = fact.withColumn("_secs", secs)
+    w = Window.partitionBy(*keys).orderBy("_secs")
+    cols = [F.lag(value, 1).over(Window.partitionBy(*keys).orderBy("obs_time")).alias("prev_value")]
+    for n in windows:
+        fr = w.rangeBetween(-n * 3600, -1)
+        cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
+    wide = f.select("*", *cols)
+    k = F.explode(F.sequence(F.lit(0), F.lit(len(windows) - 1))).alias("_k")
+    pick = lambda p: F.element_at(F.array(*[F.col(f"_{p}{n}") for n in windows]), F.col("_k") + 1)
+    return (wide.select("*", k)
+                .select(*fact.columns, "prev_value",
+                        F.element_at(F.array(*[F.lit(n) for n in windows]), F.col("_k") + 1).alias("window_rows"),
+                        pick("m").alias("roll_mean"), pick("s").alias("roll_sd")))
+
+
 def observation_anomaly(fact: DataFrame, window: int = K.ANOMALY_WINDOW_ROWS,
                         unusual: float = K.UNUSUAL_Z, extreme: float = K.EXTREME_Z,
-                        method: str = "prefix") -> DataFrame:
+                        method: str = "prefix", frame: str = "rows") -> DataFrame:
     """Per reading, trailing mean/sd over the previous ``window``
     rows, z-score, hourly delta and class. Output columns are rounded like
     the published table; the class uses the unrounded values."""
-    b = trailing_baseline(fact, [window], method)
+    b = trailing_baseline(fact, [window], method, frame=frame)
     m, s, v = F.col("roll_mean"), F.col("roll_sd"), F.col("value_clean")
     z = safe_div(v - m, s)
     return b.select(
@@ -135,9 +159,11 @@ def flatline_runs(fact: DataFrame, value: str = "value_clean", min_rows: int = K
                   exclude_zero: bool = False, method: str = "chunked") -> DataFrame:
     """Maximal runs of identical consecutive readings (present
     rows; a missing hour does not break a run) of at least ``min_rows``.
-    ``exclude_zero`` drops zero readings first (the raw-value detector)."""
+    ``exclude_zero`` drops zero readings first (the raw-value detector).
+    ``method="time"`` makes a missing hour break the run."""
     f = fact.filter(F.col(value) != 0) if exclude_zero else fact
-    tagged = runs(f.select(*SERIES, "obs_time", value), SERIES, "obs_time", value, _month_chunk(), method)
+    tagged = runs(f.select(*SERIES, "obs_time", value), SERIES, "obs_time", value, _month_chunk(), method,
+                  step_seconds=3600)
     return (tagged.groupBy(*SERIES, "_run")
                   .agg(F.min(value).alias("stuck_value"), F.min("obs_time").alias("run_start"),
                        F.max("obs_time").alias("run_end"), F.count(F.lit(1)).alias("hours_stuck"))

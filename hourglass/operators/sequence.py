@@ -100,7 +100,7 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
 
 
 def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
-         method: str = "chunked") -> DataFrame:
+         method: str = "chunked", step_seconds: int | None = None) -> DataFrame:
     """Gaps-and-islands: tag each row with the id of its maximal run of equal
     ``state`` values in ``order`` within ``keys`` (``_run``; rows of one run
     share it, within ``keys``).
@@ -108,7 +108,15 @@ def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
     ``method="chunked"``: run ids from the chunked sequence (no single-task
     series). ``method="window"``: ROW_NUMBER() - ROW_NUMBER() BY state, one
     shuffle, every series sorted in one task — for inputs whose series are
-    known to be small."""
+    known to be small. ``method="time"``: runs must also be consecutive in
+    time (``step_seconds`` apart for timestamps, 1 for day numbers)."""
+    if method == "time":
+        # consecutive in time: rows one ``step_seconds`` apart with equal state;
+        # island key = time - rank-within-state * step (missing hours break runs)
+        w_state = Window.partitionBy(*keys, state).orderBy(order)
+        secs = F.col(order).cast("timestamp").cast("long") if step_seconds else F.col(order)
+        grp = secs - F.row_number().over(w_state) * F.lit(step_seconds or 1)
+        return df.withColumn("_run", F.struct(F.col(state).alias("s"), grp.alias("g")))
     if method == "window":
         w_all = Window.partitionBy(*keys).orderBy(order)
         w_state = Window.partitionBy(*keys, state).orderBy(order)

@@ -18,22 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
           spread_on: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
-    return spread_scan(df, spread_on) if spread_on else df
+    return spread_scan(df, spread_on, cache_key=path) if spread_on else df
 
 
 _SPLITS: dict[tuple, int] = {}
 
 
-def spread_scan(df: DataFrame, key: str, min_splits: int | None = None) -> DataFrame:
+def spread_scan(df: DataFrame, key: str, min_splits: int | None = None, cache_key: str | None = None) -> DataFrame:
     """Hash-redistribute on a unique ``key`` column when the scan has fewer
     splits than task slots. Hash partitioning on a column is deterministic,
     so (unlike round-robin) a retried task needs no pre-sort. The split
     count is planned once per session and input."""
     spark = df.sparkSession
     slots = min_splits or spark.sparkContext.defaultParallelism
-    sig = (id(spark), tuple(sorted(df.inputFiles())))
+    sig = (id(spark), cache_key or id(df))
     if sig not in _SPLITS:
         _SPLITS[sig] = df.rdd.getNumPartitions()
     if _SPLITS[sig] < slots:

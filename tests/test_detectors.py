@@ -156,3 +156,20 @@ def test_runs_window_equals_chunked(spark, sf_dir):
     b = AN.flatline_runs(f, min_rows=2, method="chunked").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert runs is not None
+
+
+def test_time_frame_option(spark):
+    # readings at hours 0,1,2 then a 10-hour gap: a 3-hour time window sees nothing before hour 12
+    f = fact(spark, {(1, "NO2"): [1.0, 2.0, 3.0] + [None] * 9 + [10.0, 11.0]})
+    rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3, method="frames", frame="time").collect()}
+    assert rows[12]["roll_mean"] is None and rows[13]["roll_mean"] == 10.0
+    by_rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3, method="frames").collect()}
+    assert by_rows[12]["roll_mean"] == 2.0                 # rows frame reaches back over the gap
+
+
+def test_time_strict_runs(spark):
+    f = fact(spark, {(1, "PM10"): [4.0] * 8}, skip_hours={4})
+    rows_mode = AN.flatline_runs(f, value="value", min_rows=2, method="window").collect()
+    time_mode = AN.flatline_runs(f, value="value", min_rows=2, method="time").collect()
+    assert [r["hours_stuck"] for r in rows_mode] == [7]
+    assert sorted(r["hours_stuck"] for r in time_mode) == [3, 4]
