@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from hourglass import constants as K
 from hourglass.functions.exprs import anomaly_class, fixed, health_status, pct, safe_div
 from hourglass.operators.sequence import CHUNK, largest_group_bound, pick_method, runs, sequence
+from hourglass.sources.sinks import materialize
 
 SERIES = ["site_id", "parameter_code"]
 
@@ -65,13 +66,16 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
     if method != "prefix":
         raise ValueError(f"unknown method {method!r}")
 
+    # the input feeds the centres and the sequence, the sequence feeds both
+    # sides of the look-back join: each is written once (shared folder)
+    fact = materialize(fact, "baseline-input")
     centers = fact.groupBy(*keys).agg(F.avg(value).alias("_c"))
     # one row per series: AQE broadcasts it when its measured size is small
     f = (fact.join(centers, keys, "inner")
              .withColumn("_x", F.col(value) - F.col("_c"))
              .withColumn("_x2", F.col("_x") * F.col("_x")))
     s = sequence(f, keys, "obs_time", _month_chunk(), sums=("_x", "_x2"), runs_of=value).drop(CHUNK)
-    s = s.withColumnRenamed(f"_prev_{value}", "prev_value")
+    s = materialize(s.withColumnRenamed(f"_prev_{value}", "prev_value"), "baseline-sequence")
     # one probe row per (reading, window): the row n positions back
     nn = F.explode(F.array(*[F.lit(n) for n in windows])) if len(windows) > 1 else F.lit(windows[0])
     probe = s.withColumn("window_rows", nn).withColumn("_j", F.col("_idx") - F.col("window_rows"))

@@ -30,7 +30,7 @@ def grain_checks(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return out
 
 
-def _counts(named: dict[str, DataFrame]) -> DataFrame:
+def row_counts(named: dict[str, DataFrame]) -> DataFrame:
     """Row counts of several DataFrames as ONE row (union of one-row
     aggregates pivoted on their names — no cross join)."""
     parts = None
@@ -44,7 +44,7 @@ def pipeline_accounting(bronze: DataFrame, silver: DataFrame, daily: DataFrame,
                         regional: DataFrame) -> DataFrame:
     """Layer row counts, dropped rows and drop rate (NULL on an
     empty bronze instead of a division error)."""
-    c = _counts({"bronze_rows": bronze, "silver_rows": silver, "daily_gold_rows": daily,
+    c = row_counts({"bronze_rows": bronze, "silver_rows": silver, "daily_gold_rows": daily,
                  "regional_gold_rows": regional})
     return (c.withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
              .withColumn("drop_rate_pct", pct(F.col("dropped_rows"), F.col("bronze_rows"))))
@@ -54,7 +54,7 @@ def reconciliation(bronze: DataFrame, kept_before_dedup: DataFrame, quarantine:
                    fact: DataFrame) -> DataFrame:
     """K2: bronze = silver + quarantine + duplicates removed, each side
     counted independently (the identity can fail)."""
-    c = _counts({"bronze": bronze, "before_dedup": kept_before_dedup, "quarantine": quarantine,
+    c = row_counts({"bronze": bronze, "before_dedup": kept_before_dedup, "quarantine": quarantine,
                  "silver": fact})
     return (c.withColumn("duplicates", F.col("before_dedup") - F.col("silver"))
              .select("bronze", "silver", "quarantine", "duplicates",
@@ -160,7 +160,7 @@ def regression_suite(bronze: DataFrame, silver: DataFrame, wide: DataFrame,
         F.lit("hour_offset_corrected").alias("test_name"),
         ((F.col("incorrect_hour_1") == 0) & (F.col("min_obs_hour") == 0) & (F.col("max_obs_hour") == 23))
         .alias("passed"))
-    acc = _counts({"b": bronze, "s": silver}).select(
+    acc = row_counts({"b": bronze, "s": silver}).select(
         F.lit("pipeline_accounting").alias("test_name"),
         ((F.col("s") <= F.col("b")) & F.coalesce(pct(F.col("b") - F.col("s"), F.col("b")) <= max_drop_rate,
                                                  F.lit(False))).alias("passed"))

@@ -33,7 +33,8 @@ CHUNK = "_chunk"
 
 def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
              sums: tuple[str, ...] = (), lags: tuple[str, ...] = (),
-             runs_of: str | None = None, firsts: tuple[str, ...] = ()) -> DataFrame:
+             runs_of: str | None = None, firsts: tuple[str, ...] = (),
+             materialize_local: bool = True) -> DataFrame:
     lags = tuple(dict.fromkeys(lags + ((runs_of,) if runs_of else ())))
     d = df.withColumn(CHUNK, chunk)
     w = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -56,6 +57,12 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
         d = d.select("*", F.sum("_lchg").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_lrun"),
                      F.sum("_lchg").over(whole).alias("_tchg"))
 
+    if materialize_local:
+        # the chunk-local pass feeds both the chunk table and the join back:
+        # write it once instead of planning it (and everything upstream) twice
+        from hourglass.sources.sinks import materialize
+        d = materialize(d, "sequence-local")
+
     # level 2: one row per chunk -> offsets
     carry = ["_cn"] + [f"_tot_{c}" for c in sums] + [f"_last_{c}" for c in lags] + \
             [f"_f_{c}" for c in dict.fromkeys(firsts + ((runs_of,) if runs_of else ()))] + \

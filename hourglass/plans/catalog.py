@@ -140,7 +140,7 @@ def _stations_without_data(p):
 @query("retention_pct")
 def _retention_pct(p):
     kept, _ = S.split_quarantine(p.tagged)
-    c = Q._counts({"kept": S.dedup(kept), "bronze": p.bronze})
+    c = Q.row_counts({"kept": S.dedup(kept), "bronze": p.bronze})
     return c.select(F.round(F.try_divide(F.col("kept") * 100.0, F.col("bronze")).cast("decimal(38,9)"), 2)
                     .cast("double").alias("pct_retained"))
 
@@ -295,7 +295,7 @@ def _flatline_top(p): return R.flatline_top(AN.flatline_runs(p.fact1, min_rows=F
 
 @query("flatline_compare")
 def _flatline_compare(p):
-    return Q._counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method),
+    return Q.row_counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method),
                       "raw_runs": AN.flatline_runs(p.fact1, value="value", exclude_zero=True,
                                                    min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method)})
 

@@ -413,12 +413,14 @@ def quantile_profile(quarantine: DataFrame, reason: str = "implausible_negative"
 def floor_bias(fact: DataFrame, quarantine: DataFrame, reason: str = "implausible_negative") -> DataFrame:
     """Mean with negatives floored (kept rows plus quarantined
     negatives, UNION ALL) vs mean of kept rows; % overstated."""
-    neg = quarantine.filter(F.col("reject_reason") == reason).select("parameter_code", "value")
-    both = fact.select("parameter_code", "value").unionByName(neg)
-    floored = both.groupBy("parameter_code").agg(
-        fixed(F.avg(F.greatest(F.col("value"), F.lit(0.0))), 3).alias("avg_floored"))
-    excluded = fact.groupBy("parameter_code").agg(fixed(F.avg("value"), 3).alias("avg_excluded"))
-    j = excluded.join(floored, "parameter_code", "inner")
+    neg = quarantine.filter(F.col("reject_reason") == reason).select(
+        "parameter_code", "value", F.lit(False).alias("_kept"))
+    both = fact.select("parameter_code", "value", F.lit(True).alias("_kept")).unionByName(neg)
+    # one pass over the union: both means from one aggregate (the fact is read once)
+    j = both.groupBy("parameter_code").agg(
+        fixed(F.avg(F.greatest(F.col("value"), F.lit(0.0))), 3).alias("avg_floored"),
+        fixed(F.avg(F.when(F.col("_kept"), F.col("value"))), 3).alias("avg_excluded"),
+        F.count_if(F.col("_kept")).alias("_n_kept")).filter(F.col("_n_kept") > 0)
     return j.select("parameter_code", "avg_excluded", "avg_floored",
                     fixed(pct(F.col("avg_excluded") - F.col("avg_floored"), F.col("avg_floored")), 2)
                     .alias("pct_overstated"))

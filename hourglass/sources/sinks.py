@@ -22,6 +22,24 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     return path
 
 
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a DataFrame reading it back.
+
+    Used where one intermediate feeds several branches of a plan (Spark
+    would otherwise recompute it per branch) and to cut long lineages: a
+    lost executor recomputes from this table, not from the raw scan. (A
+    reliable ``checkpoint()`` would compute the input twice unless it is
+    also persisted.)"""
+    import uuid
+
+    from hourglass.session import shared_path
+    spark = df.sparkSession
+    path = shared_path(spark, "tmp", f"{tag}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str],
            out_path: str, order: tuple[str, ...] | None = None) -> DataFrame:
     """Update matched keys, insert unmatched ones, into ``out_path``.
