@@ -54,8 +54,10 @@ def land(records: DataFrame, out_dir: str) -> str:
 
 
 def chunk_name(path: Column) -> Column:
-    """The chunk file name from a landed file path."""
-    return F.regexp_extract(path, rf"{CHUNK_FILE}=([^/]+)/", 1)
+    """The chunk file name from a file path: the landing folder name
+    (``_chunk_file=<name>/part-…``) or, for plain files, the file name."""
+    landed = F.regexp_extract(path, rf"{CHUNK_FILE}=([^/]+)/", 1)
+    return F.when(landed != "", landed).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
 
 
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -99,13 +101,28 @@ def read_rescued(spark: SparkSession, path: str) -> DataFrame:
     return out.select(*KNOWN, "_rescued_data", "_source_path")
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
+def manifest(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """One row per landed chunk: site, parameter, year parsed from the
-    file name, and the number of records. A distributed count grouped by the
-    file path (partially aggregated), not a driver loop over files."""
-    lines = spark.read.text(path).select(chunk_name(F.col("_metadata.file_path")).alias("path"),
-                                         F.length("value").alias("_len"))
-    per = lines.groupBy("path").agg(F.count_if(F.col("_len") > 0).alias("records"))
+    file name, and the number of records — 0 for an empty file.
+
+    Files are listed with the ``binaryFile`` source selecting only path and
+    length (file contents are not read); records are counted per file in a
+    distributed scan (lines, or ``json_array_length`` of each JSON-array file,
+    whose size is bounded by one station-parameter-year), then joined to the
+    listing. No driver loop over files."""
+    files = (spark.read.format("binaryFile").load(path)
+                  .select(chunk_name(F.col("path")).alias("path")).distinct())
+    if multiline:
+        text = spark.read.option("wholetext", True).text(path)
+        counted = text.select(chunk_name(F.col("_metadata.file_path")).alias("path"),
+                              F.coalesce(F.json_array_length("value"), F.lit(0)).alias("_n"))
+    else:
+        text = spark.read.text(path)
+        counted = text.select(chunk_name(F.col("_metadata.file_path")).alias("path"),
+                              (F.length("value") > 0).cast("int").alias("_n"))
+    per = counted.groupBy("path").agg(F.sum("_n").cast("long").alias("records"))
+    per = files.join(per, "path", "left").select("path", F.coalesce("records", F.lit(0)).cast("long")
+                                                 .alias("records"))
     return per.select(
         F.regexp_extract("path", FILE_PATTERN, 1).try_cast("int").alias("site_id"),
         F.regexp_replace(F.regexp_extract("path", FILE_PATTERN, 2), "_", ".").alias("pollutant"),

@@ -74,3 +74,14 @@ def test_materialized_pipeline_partitions_silver(spark, sf_dir, tmp_path):
     assert (tmp_path / "run" / "silver" / "parameter_code=PM2.5").exists()
     plan = t.silver.filter(F.col("parameter_code") == "PM2.5")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PM2.5" in plan
+
+
+def test_manifest_counts_empty_array_files(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "site1_PM10_2024.json").write_text('[{"Site_Id": 1, "Hour": 1}, {"Site_Id": 1, "Hour": 2}]')
+    (d / "site1_WSP_2024.json").write_text("[]")
+    m = {r["path"]: r for r in RJ.manifest(spark, str(d), multiline=True).collect()}
+    assert m["site1_PM10_2024.json"]["records"] == 2 and m["site1_PM10_2024.json"]["pollutant"] == "PM10"
+    assert m["site1_WSP_2024.json"]["records"] == 0 and m["site1_WSP_2024.json"]["status"] == "empty"
+    assert RJ.read_raw(spark, str(d), multiline=True).count() == 2
