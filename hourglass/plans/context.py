@@ -10,9 +10,8 @@ until an action. Two source chains feed it:
 * long   — ``lineitem`` -> bronze -> silver -> fact -> regional trend,
   seasonal z-scores.
 
-``materialize`` writes a layer to the shared checkpoint folder and reads it
-back, cutting lineage for long pipelines so a lost executor recomputes from
-the last written layer, not from the raw scan.
+``plans.pipeline.run`` is the same chain with every layer written to shared
+storage and read back (lineage cut at each layer).
 """
 
 from __future__ import annotations
@@ -150,17 +149,3 @@ class Pipeline:
     @cached_property
     def seasonal(self) -> DataFrame:
         return AN.seasonal_anomaly(self.long_fact)
-
-
-def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder (or
-    ``root``) and return a DataFrame reading it back (lineage cut)."""
-    from hourglass.session import shared_path
-    import uuid
-    path = f"{root.rstrip('/')}/{name}" if root else shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def bronze_row_count_frame(p: Pipeline) -> DataFrame:
-    return p.bronze.select(F.lit(1).alias("one"))

@@ -64,3 +64,23 @@ def gate(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     tables."""
     t = run(spark, sf_dir, root)
     return Q.quality_gate(t.bronze, t.silver, t.daily, t.regional, K.MAX_DROP_RATE)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m hourglass.plans.pipeline SF_DIR OUT_ROOT``: build every layer
+    under OUT_ROOT (shared storage on a cluster), then print the gate and
+    exit non-zero when a check fails."""
+    import sys
+
+    from hourglass.session import get_session
+    args = argv if argv is not None else sys.argv[1:]
+    if len(args) != 2:
+        raise SystemExit("usage: python -m hourglass.plans.pipeline SF_DIR OUT_ROOT")
+    spark = get_session()
+    g = gate(spark, args[0], args[1])
+    g.show(truncate=False)
+    Q.assert_gate(g)
+
+
+if __name__ == "__main__":
+    main()

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,11 @@ from hourglass import constants as K
 from hourglass.operators import silver as S
 from hourglass.operators.gold import dim_station
 from hourglass.plans.catalog import QUERIES
-from hourglass.plans.oracle import POL, cte, with_ctes
+from hourglass.plans.oracle import CTES, POL, cte, with_ctes
+
+
+def _daily_sql() -> str:
+    return CTES["daily"][0]
 from hourglass.plans.oracle_queries import ORACLE
 from hourglass.session import shared_path
 from hourglass.sources import adapters as A
@@ -64,21 +69,30 @@ def stream_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, checkpoint
 
 
 def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarantine_dir: str,
-                  checkpoint: str) -> list[dict]:
+                  checkpoint: str, max_files_per_trigger: int | None = None) -> list[dict]:
     """Returns the per-batch expectation metrics collected by ``observe``."""
-    src = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir)
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(bronze_dir)
     flat = S.clean(S.flatten(src), generation=2)
     metrics: list[dict] = []
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"silver_{batch_id}")
-        checks = [F.count_if(~S.passes(c)).alias(f"failed_{n}") for n, c in S.drop_rules() + S.track_rules()]
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *checks)
-        kept = S.expect_or_drop(df, S.drop_rules())
-        overwrite(kept, f"{silver_dir}/batch_id={batch_id}")
-        rejected = S.split_quarantine(S.reject_reason(df))[1]
-        overwrite(rejected, f"{quarantine_dir}/batch_id={batch_id}")
-        metrics.append({"batch_id": batch_id, **obs.get})
+        # one micro-batch (bounded by maxFilesPerTrigger) feeds two sinks:
+        # keep it for the duration of this function instead of reading it twice
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            obs = Observation(f"silver_{batch_id}")
+            checks = [F.count_if(~S.passes(c)).alias(f"failed_{n}") for n, c in S.drop_rules() + S.track_rules()]
+            observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *checks)
+            kept = S.expect_or_drop(observed, S.drop_rules())
+            overwrite(kept, f"{silver_dir}/batch_id={batch_id}")
+            rejected = S.split_quarantine(S.reject_reason(df))[1]
+            overwrite(rejected, f"{quarantine_dir}/batch_id={batch_id}")
+            metrics.append({"batch_id": batch_id, **obs.get})
+        finally:
+            df.unpersist()
 
     q = (flat.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -114,12 +128,25 @@ def _bronze_stream(spark, sf_dir):
 
 
 def _silver_stream(spark, sf_dir):
+    return _streamed_silver(spark, sf_dir).select(
+        "site_id", "parameter_code", "units", "obs_date", "hour_1based", "obs_time", "value",
+        "below_detection", "value_clean", "_source_file")
+
+
+def _streamed_silver(spark, sf_dir) -> DataFrame:
     raw, bronze, silver, quar = (land_hourly(spark, sf_dir), run_dir(spark, "bronze"),
                                  run_dir(spark, "silver"), run_dir(spark, "quarantine"))
     stream_bronze(spark, raw, bronze, run_dir(spark, "ckpt"))
     stream_silver(spark, bronze, silver, quar, run_dir(spark, "ckpt"))
-    return spark.read.parquet(silver).select("site_id", "parameter_code", "units", "obs_date", "hour_1based",
-                                             "obs_time", "value", "below_detection", "value_clean", "_source_file")
+    return spark.read.parquet(silver)
+
+
+def _gold_daily_streamed(spark, sf_dir):
+    """H4: the daily table as a batch view over the streaming silver table,
+    read after the streams have drained (silver as streamed, duplicates
+    included, as the declarative pipeline's view reads it)."""
+    from hourglass.operators import gold as G
+    return G.gold_daily(_streamed_silver(spark, sf_dir), dim_station(A.station_details(spark, sf_dir)))
 
 
 def _manifest(spark, sf_dir):
@@ -190,6 +217,7 @@ QUERIES.update({
     "bronze_rescued": _bronze_rescued,
     "bronze_stream": _bronze_stream,
     "silver_stream": _silver_stream,
+    "gold_daily_streamed": _gold_daily_streamed,
     "ingest_manifest": _manifest,
     "manifest_by_class": lambda spark, sf_dir: RJ.manifest_by_class(_manifest(spark, sf_dir)),
     "chunk_plan": lambda spark, sf_dir: _chunk_status(spark, sf_dir)[0],
@@ -250,6 +278,8 @@ cte("uv2", """SELECT * FROM ufact t WHERE NOT EXISTS (
 UNION ALL SELECT * FROM usrc""", ["ufact", "usrc"])
 ORACLE["upsert_replay"] = with_ctes("SELECT * FROM uv2", ["uv2"])
 ORACLE["pipeline_gate"] = ORACLE["quality_gate"]
+cte("daily_hs", _daily_sql().replace("FROM hfact f", "FROM hs f"), ["hs", "dim"])
+ORACLE["gold_daily_streamed"] = with_ctes("SELECT * FROM daily_hs", ["daily_hs"])
 ORACLE["upsert_counts"] = with_ctes("""SELECT (SELECT COUNT(*) FROM ufact) AS rows_before, (SELECT COUNT(*) FROM uv2) AS rows_after_upsert,
   (SELECT COUNT(*) FROM uv2) AS rows_after_replay, (SELECT COUNT(*) FROM usrc) AS source_rows,
   (SELECT COUNT(*) FROM ufact a JOIN uv2 b ON a.site_id = b.site_id AND a.parameter_code = b.parameter_code

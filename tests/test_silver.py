@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from fixtures import bronze
 from hourglass.operators import silver as S
 from hourglass.operators import gold as G
@@ -78,7 +76,6 @@ def test_station_dimension(spark):
 
 
 def test_stations_without_data(spark):
-    from hourglass.plans.catalog import QUERIES  # noqa: F401
     dim = spark.createDataFrame([(1, "a", "r"), (2, "b", "r")], "site_id int, site_name string, region string")
     seen = spark.createDataFrame([(1,)], "site_id int")
     assert [r["site_id"] for r in dim.join(seen, "site_id", "left_anti").collect()] == [2]
@@ -92,4 +89,3 @@ def test_reconciliation_balances(spark):
     kept, rej = S.split_quarantine(tagged)
     r = Q.reconciliation(b, kept, rej, S.dedup(kept)).first()
     assert (r["bronze"], r["silver"], r["quarantine"], r["duplicates"], r["balanced"]) == (4, 1, 2, 1, True)
-    assert F is not None
