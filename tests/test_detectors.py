@@ -168,3 +168,11 @@ def test_time_strict_runs(spark):
     time_mode = AN.flatline_runs(f, value="value", min_rows=2, method="time").collect()
     assert [r["hours_stuck"] for r in rows_mode] == [7]
     assert sorted(r["hours_stuck"] for r in time_mode) == [3, 4]
+
+
+@pytest.mark.parametrize("method", ["window", "chunked", "time"])
+def test_run_lengths_sum_to_rows(spark, sf_dir, method):
+    from hourglass.plans.context import Pipeline
+    f = Pipeline(spark, sf_dir).fact1
+    runs_all = AN.flatline_runs(f, min_rows=1, method=method)
+    assert runs_all.agg(F.sum("hours_stuck")).first()[0] == f.count()

@@ -67,12 +67,12 @@ def test_humidity_in_wide(spark):
 
 
 def test_station_dimension(spark):
-    rows = [(1, "Supplier#1", "SYDNEY EAST", -33.0, 151.0), (2, "b", "sydney west", None, 151.0),
+    rows = [(1, "Supplier#1", "NORTH COAST", -33.0, 151.0), (2, "b", "north west", None, 151.0),
             (3, "c", "Hunter", -32.0, 151.0)]
     d = spark.createDataFrame(rows, "Site_Id int, SiteName string, Region string, Latitude double, Longitude double")
     out = {r["site_id"]: r for r in G.dim_station(d).collect()}
-    assert set(out) == {1, 3} and out[1]["region"] == "Sydney East"
-    assert {r["site_id"] for r in G.dim_station(d, region_prefix="sydney").collect()} == {1}
+    assert set(out) == {1, 3} and out[1]["region"] == "North Coast"
+    assert {r["site_id"] for r in G.dim_station(d, region_prefix="north c").collect()} == {1}
 
 
 def test_stations_without_data(spark):
