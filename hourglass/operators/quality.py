@@ -30,6 +30,14 @@ def grain_checks(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return out
 
 
+def units_per_parameter(df: DataFrame) -> DataFrame:
+    """Distinct units per parameter (the regional windows partition by
+    region and parameter only, so more than one unit would mix series);
+    ``consistent`` is false where a parameter carries several units."""
+    return df.groupBy("parameter_code").agg(F.countDistinct("units").alias("units_count")) \
+             .withColumn("consistent", F.col("units_count") <= 1)
+
+
 def row_counts(named: dict[str, DataFrame]) -> DataFrame:
     """Row counts of several DataFrames as ONE row (union of one-row
     aggregates pivoted on their names — no cross join)."""

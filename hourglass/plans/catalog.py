@@ -407,3 +407,7 @@ def _check_humidity(p): return Q.check_humidity(p.silver, p.wide)
 
 @query("regression_suite")
 def _regression_suite(p): return Q.regression_suite(p.bronze, p.silver, p.wide)
+
+
+@query("units_per_parameter")
+def _units_per_parameter(p): return Q.units_per_parameter(p.long_fact)
