@@ -24,9 +24,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-          .config("spark.ui.enabled", "false")
-          .config("spark.ui.showConsoleProgress", "false"))
+          .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true"))
+    if master and master.startswith("local"):
+        # single-machine runs (tests, bench): no web UI, no console progress bars
+        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
