@@ -411,3 +411,20 @@ def _regression_suite(p): return Q.regression_suite(p.bronze, p.silver, p.wide)
 
 @query("units_per_parameter")
 def _units_per_parameter(p): return Q.units_per_parameter(p.long_fact)
+
+
+# The skew-safe chunked plans, registered separately so both physical
+# strategies are checked against the same oracle.
+@query("observation_anomaly_chunked")
+def _observation_anomaly_chunked(p): return AN.observation_anomaly(p.fact1, method="prefix")
+
+
+@query("sensor_flatline_chunked")
+def _sensor_flatline_chunked(p):
+    return AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method="chunked")
+
+
+@query("threshold_sweep_chunked")
+def _threshold_sweep_chunked(p):
+    return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0], slice_end=SWEEP_SLICE[1],
+                              method="prefix")
