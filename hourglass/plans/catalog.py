@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hourglass import constants as K
 from hourglass.operators import anomaly as AN
+from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
@@ -25,7 +26,8 @@ from hourglass.plans.context import Pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-from hourglass.plans.params import (DIURNAL, EXCEEDANCE_MIN_COMPLETENESS,  # noqa: E402
+from hourglass.plans.params import (DIURNAL, EPISODE_CLASSES_ADAPTER,  # noqa: E402
+                                    EPISODE_MIN_HOURS_ADAPTER, EXCEEDANCE_MIN_COMPLETENESS,
                                     FLATLINE_MIN_ROWS_ADAPTER, LOOKUP, MAP_YEAR, MONTH, SWEEP_SLICE,
                                     TREND_POLLUTANT)
 
@@ -428,3 +430,15 @@ def _sensor_flatline_chunked(p):
 def _threshold_sweep_chunked(p):
     return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0], slice_end=SWEEP_SLICE[1],
                               method="prefix")
+
+
+@query("anomaly_episodes")
+def _anomaly_episodes(p):
+    return EV.air_quality_event(p.classification, min_hours=EPISODE_MIN_HOURS_ADAPTER,
+                                event_classes=EPISODE_CLASSES_ADAPTER)
+
+
+@query("anomaly_episodes_chunked")
+def _anomaly_episodes_chunked(p):
+    return EV.air_quality_event(p.classification, min_hours=EPISODE_MIN_HOURS_ADAPTER,
+                                event_classes=EPISODE_CLASSES_ADAPTER, method="chunked")

@@ -11,3 +11,7 @@ LOOKUP = (1, "PM2.5", "2024-01-05")
 DIURNAL = ("NO2", "Africa")
 TREND_POLLUTANT = "PM2.5"
 MAP_YEAR = 2024
+# Episodes of hours with any anomalous station (the reference-default
+# episodes need >= 25 % of stations for 3 hours, which this data never has).
+EPISODE_CLASSES_ADAPTER = ("isolated_fault", "localised", "widespread", "network_wide")
+EPISODE_MIN_HOURS_ADAPTER = 2

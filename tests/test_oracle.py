@@ -30,3 +30,12 @@ def test_query_matches_oracle(spark, con, sf_dir, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "daily_avg" in df.columns
+
+
+@pytest.mark.parametrize("name", ["anomaly_episodes", "anomaly_episodes_chunked"])
+def test_episode_islands_against_oracle_on_dense_data(spark, name):
+    """At sf0.1 enough stations report per hour for episodes to exist; both
+    island plans must reproduce the oracle's episodes exactly."""
+    sf = "/root/testdata/sf0.1"
+    r = compare(spark, duck(sf), QUERIES[name], ORACLE[name], sf)
+    assert r["rows_spark"] == r["rows_oracle"] > 0 and r["hash_match"], r
