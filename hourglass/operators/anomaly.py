@@ -207,7 +207,7 @@ def seasonal_anomaly(fact: DataFrame, exclude_current_year: bool = False) -> Dat
     else:
         yr = f.withColumn("yr", F.year("obs_date"))
         per = yr.groupBy(*keys, "yr").agg(F.count(F.lit(1)).alias("n"), F.sum("value_clean").alias("s1"),
-                                          F.sum(F.col("value_clean") ** 2).alias("s2"))
+                                          F.sum(F.col("value_clean") * F.col("value_clean")).alias("s2"))
         tot = per.groupBy(*keys).agg(F.sum("n").alias("tn"), F.sum("s1").alias("ts1"), F.sum("s2").alias("ts2"))
         o = per.join(tot, keys).select(*keys, "yr", (F.col("tn") - F.col("n")).alias("n"),
                                        (F.col("ts1") - F.col("s1")).alias("s1"),

@@ -442,3 +442,11 @@ def _anomaly_episodes(p):
 def _anomaly_episodes_chunked(p):
     return EV.air_quality_event(p.classification, min_hours=EPISODE_MIN_HOURS_ADAPTER,
                                 event_classes=EPISODE_CLASSES_ADAPTER, method="chunked")
+
+
+@query("seasonal_anomaly_other_years")
+def _seasonal_other_years(p): return AN.seasonal_anomaly(p.long_fact, exclude_current_year=True)
+
+
+@query("gold_regional_calendar")
+def _gold_regional_calendar(p): return G.gold_regional(p.long_fact, p.dim, lag_mode="calendar")
