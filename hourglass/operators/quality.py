@@ -61,7 +61,8 @@ def pipeline_accounting(bronze: DataFrame, silver: DataFrame, daily: DataFrame,
 def reconciliation(bronze: DataFrame, kept_before_dedup: DataFrame, quarantine: DataFrame,
                    fact: DataFrame) -> DataFrame:
     """K2: bronze = silver + quarantine + duplicates removed, each side
-    counted independently (the identity can fail)."""
+    counted independently (the identity can fail). ``fact`` may be the
+    deduplicated table or just its distinct grain keys (same row count)."""
     c = row_counts({"bronze": bronze, "before_dedup": kept_before_dedup, "quarantine": quarantine,
                  "silver": fact})
     return (c.withColumn("duplicates", F.col("before_dedup") - F.col("silver"))

@@ -142,7 +142,8 @@ def _stations_without_data(p):
 @query("retention_pct")
 def _retention_pct(p):
     kept, _ = S.split_quarantine(p.tagged)
-    c = Q.row_counts({"kept": S.dedup(kept), "bronze": p.bronze})
+    # rows after dedup = distinct grain keys (a hash aggregate on the keys only)
+    c = Q.row_counts({"kept": kept.select(*K.SILVER_GRAIN).distinct(), "bronze": p.bronze})
     return c.select(F.round(F.try_divide(F.col("kept") * 100.0, F.col("bronze")).cast("decimal(38,9)"), 2)
                     .cast("double").alias("pct_retained"))
 
@@ -384,7 +385,8 @@ def _grain_checks(p):
 @query("reconciliation")
 def _reconciliation(p):
     kept, rejected = S.split_quarantine(p.tagged)
-    return Q.reconciliation(p.bronze, kept, rejected, S.dedup(kept))
+    # rows after dedup = distinct grain keys (a hash aggregate on the keys only)
+    return Q.reconciliation(p.bronze, kept, rejected, kept.select(*K.SILVER_GRAIN).distinct())
 
 
 @query("pipeline_accounting")
