@@ -50,12 +50,7 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
     if method == "auto":
         method = pick_method(largest_group_bound(fact, keys))
     if method == "frames":
-        w = Window.partitionBy(*keys).orderBy("obs_time")
-        cols = [F.lag(value, 1).over(w).alias("prev_value")]
-        for n in windows:
-            fr = w.rowsBetween(-n, -1)
-            cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
-        wide = fact.select("*", *cols)
+        wide = frames_wide(fact, windows, keys, value)
         pick = lambda p: F.element_at(F.array(*[F.col(f"_{p}{n}") for n in windows]),
                                       F.col("_k") + 1)
         return (wide.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(len(windows) - 1))))
@@ -94,6 +89,19 @@ def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix
          .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias("roll_sd"))
 
 
+def frames_wide(fact: DataFrame, windows: list[int], keys: list[str] | None = None,
+                value: str = "value_clean") -> DataFrame:
+    """Window-frame plan, one row per reading: ``_m{n}`` / ``_s{n}`` for every
+    window n (all frames in one Window node) and ``prev_value``."""
+    keys = keys or SERIES
+    w = Window.partitionBy(*keys).orderBy("obs_time")
+    cols = [F.lag(value, 1).over(w).alias("prev_value")]
+    for n in windows:
+        fr = w.rowsBetween(-n, -1)
+        cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
+    return fact.select("*", *cols)
+
+
 def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value: str) -> DataFrame:
     secs = F.col("obs_time").cast("timestamp").cast("long")
     f = fact.withColumn("_secs", secs)
@@ -138,9 +146,29 @@ def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
     thresholds = thresholds or K.SWEEP_Z
     windows = windows or K.SWEEP_WINDOWS
     one = fact.filter(F.col("parameter_code") == parameter)
-    b = trailing_baseline(one, windows, method)
     in_slice = (F.col("obs_date") >= F.lit(slice_start).cast("date")) & \
                (F.col("obs_date") < F.lit(slice_end).cast("date"))
+    if method == "auto":
+        method = pick_method(largest_group_bound(one, SERIES))
+    if method == "frames":
+        # one row per reading carrying all window baselines: aggregate the
+        # (window, threshold) cells directly, without a row per window
+        wide = frames_wide(one, windows)
+        aggs = []
+        for wi, n in enumerate(windows):
+            s_, m_ = F.col(f"_s{n}"), F.col(f"_m{n}")
+            valid = s_.isNotNull() & (s_ > 0)
+            az = F.abs(safe_div(F.col("value_clean") - m_, s_))
+            aggs.append(F.count_if(valid).alias(f"t{wi}"))
+            for ti, t in enumerate(thresholds):
+                aggs.append(F.count_if(valid & (az > t)).alias(f"a{wi}_{ti}"))
+                aggs.append(F.count_if(valid & (az > t) & in_slice).alias(f"j{wi}_{ti}"))
+        cells = [f"CAST({t} AS DOUBLE), {n}, t{wi}, a{wi}_{ti}, j{wi}_{ti}"
+                 for wi, n in enumerate(windows) for ti, t in enumerate(thresholds)]
+        long = wide.agg(*aggs).selectExpr(
+            f"stack({len(cells)}, {', '.join(cells)}) AS (z_threshold, window_hours, total, anomalies, slice_anomalies)")
+        return _sweep_rates(long)
+    b = trailing_baseline(one, windows, method)
     s, m = F.col("roll_sd"), F.col("roll_mean")
     valid = s.isNotNull() & (s > 0)
     az = F.abs(safe_div(F.col("value_clean") - m, s))
@@ -153,6 +181,10 @@ def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
     long = per_window.selectExpr(
         "window_hours", "total",
         f"stack({len(cells)}, {', '.join(cells)}) AS (z_threshold, anomalies, slice_anomalies)")
+    return _sweep_rates(long)
+
+
+def _sweep_rates(long: DataFrame) -> DataFrame:
     return long.select(
         "z_threshold", "window_hours", "total", "anomalies", "slice_anomalies",
         F.coalesce(fixed(pct(F.col("anomalies"), F.col("total")), 4), F.lit(0.0)).alias("anomaly_rate_pct"),
