@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,17 +39,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder (HDFS/S3/ABFS) there; we only set our own
-    when it is unset, which happens in local tests.
+    A cluster names a shared folder (HDFS/S3/ABFS) there. Only a local master
+    (tests, bench), where driver and executors are one process, may go
+    without: it gets a temporary folder. Any other master without the setting
+    is refused, because other nodes could not read what is written.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="hourglass-ckpt-")
+        d = local_checkpoint_dir(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)
+    elif spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def local_checkpoint_dir(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all nodes share (master {master})")
+    return tempfile.mkdtemp(prefix="hourglass-ckpt-")
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
