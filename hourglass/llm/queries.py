@@ -3,17 +3,21 @@ DataFrame``, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, mixing, quality_rules
+from hourglass.llm import bpe, mixing, nearest, quality_rules, warc
 from hourglass.llm.storage import table
 
 QUERIES = {
     "op2_quality_rules": lambda spark, sf_dir: quality_rules.query(table(spark, sf_dir, "documents")),
     "op3_bpe": lambda spark, sf_dir: bpe.digests(table(spark, sf_dir, "documents")),
+    "op6_warc": lambda spark, sf_dir: warc.query(table(spark, sf_dir, "pages")),
     "op7_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
+    "op8_nearest": lambda spark, sf_dir: nearest.query(table(spark, sf_dir, "embeddings")),
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
     "op7_mixing": mixing.oracle_sql(),
+    "op8_nearest": nearest.ORACLE_SQL,
 }
