@@ -3,10 +3,11 @@ DataFrame``, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, language, mixing, nearest, quality_rules, warc
+from hourglass.llm import bpe, language, mixing, nearest, pii, quality_rules, warc
 from hourglass.llm.storage import table
 
 QUERIES = {
+    "op1_pii": lambda spark, sf_dir: pii.digests(table(spark, sf_dir, "documents")),
     "op2_quality_rules": lambda spark, sf_dir: quality_rules.query(table(spark, sf_dir, "documents")),
     "op3_bpe": lambda spark, sf_dir: bpe.digests(table(spark, sf_dir, "documents")),
     "op4_language": lambda spark, sf_dir: language.query(table(spark, sf_dir, "documents")),
