@@ -3,7 +3,7 @@ DataFrame``, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, language, mixing, nearest, pii, quality_rules, toxicity, warc
+from hourglass.llm import bpe, jaccard, language, mixing, nearest, pii, quality_rules, toxicity, warc
 from hourglass.llm.storage import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op2_quality_rules": lambda spark, sf_dir: quality_rules.query(table(spark, sf_dir, "documents")),
     "op3_bpe": lambda spark, sf_dir: bpe.digests(table(spark, sf_dir, "documents")),
     "op4_language": lambda spark, sf_dir: language.query(table(spark, sf_dir, "documents")),
+    "op5_jaccard_join": lambda spark, sf_dir: jaccard.query(table(spark, sf_dir, "documents")),
     "op6_warc": lambda spark, sf_dir: warc.query(table(spark, sf_dir, "pages")),
     "op7_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
     "op8_nearest": lambda spark, sf_dir: nearest.query(table(spark, sf_dir, "embeddings")),
