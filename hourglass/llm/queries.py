@@ -3,11 +3,12 @@ DataFrame``, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, jaccard, language, mixing, nearest, pii, quality_rules, toxicity, warc
+from hourglass.llm import bpe, jaccard, language, lattice, mixing, nearest, pii, quality_rules, toxicity, warc
 from hourglass.llm.storage import table
 
 QUERIES = {
     "op1_pii": lambda spark, sf_dir: pii.digests(table(spark, sf_dir, "documents")),
+    "op9_lattice": lambda spark, sf_dir: lattice.query(table(spark, sf_dir, "documents")),
     "op10_toxicity": lambda spark, sf_dir: toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op2_quality_rules": lambda spark, sf_dir: quality_rules.query(table(spark, sf_dir, "documents")),
     "op3_bpe": lambda spark, sf_dir: bpe.digests(table(spark, sf_dir, "documents")),
