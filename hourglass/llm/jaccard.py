@@ -50,7 +50,7 @@ VERIFY_COST = 20.0
 
 
 def counted(hashes: DataFrame, make, columns: list[str], counters: int = COUNTERS):
-    """Counts of ``make(batch)`` (arrays of 64-bit hashes) by their lowest bits
+    """Counts of the hashes in the arrays that ``make(batch)`` yields by their lowest bits
     over all rows, as one numpy array of ``counters`` numbers. Tasks count
     into a table of that size; tables are summed by parts."""
     import numpy as np
@@ -59,8 +59,7 @@ def counted(hashes: DataFrame, make, columns: list[str], counters: int = COUNTER
         import pyarrow as pa
         total = np.zeros(counters, "i8")
         for batch in batches:
-            h = make(batch)
-            if len(h):
+            for h in make(batch):
                 total += np.bincount((h & np.uint64(counters - 1)).astype("i8"), minlength=counters)
         parts = total.reshape(-1, PER_ROW)
         used = np.flatnonzero(parts.any(1))
@@ -103,8 +102,9 @@ def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n, signature, matches, prefix) of each row: the size of its set,
     a digest of it, and its adaptive prefix in the common order."""
     def hashes(batch):
-        from hourglass.llm.shingles import shingle_sets
-        return shingle_sets(batch.column(0), width)[1]
+        from hourglass.llm.shingles import shingle_sets, sliced
+        for part in sliced(batch, 0):
+            yield shingle_sets(part.column(0), width)[1]
 
     import numpy as np
 
@@ -122,11 +122,10 @@ def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from hourglass.llm.shingles import shingle_sets
+        from hourglass.llm.shingles import shingle_sets, sliced
         often = np.frombuffer(table.value, "<u4")
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for batch in sliced(whole, 1):
                 _, found, sizes = shingle_sets(batch.column(1), width)
                 digests, matches, kept, ends, pos = [], [], [], [0], 0
                 for n in sizes.tolist():
@@ -168,7 +167,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     hashed = F.xxhash64("id")
-    may_be = counted(ids.select(hashed.alias("h")), lambda batch: batch.column(0).to_numpy().view("u8"), ["h"]) > 0
+    may_be = counted(ids.select(hashed.alias("h")), lambda batch: [batch.column(0).to_numpy().view("u8")], ["h"]) > 0
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(may_be).tobytes())  # COUNTERS / 8 bytes
 
     def sift(batches):
@@ -187,10 +186,9 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     def check(batches):
         import pyarrow as pa
 
-        from hourglass.llm.shingles import shingle_sets
+        from hourglass.llm.shingles import shingle_sets, sliced
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in sliced(whole, 2, 3):
                 sides = []
                 for ids_, column in ((0, 2), (1, 3)):  # of an id that stands in many rows, the set is made once
                     index, firsts = {}, []

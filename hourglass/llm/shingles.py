@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 #: Bytes of text hashed at a time.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -33,7 +33,7 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(n: int):
     import numpy as np
     with np.errstate(over="ignore"):
@@ -57,7 +57,7 @@ def _word_hashes(data, breaks):
     first = np.flatnonzero(inside & (~before | fresh[:n]))
     after = np.concatenate([inside[1:], [False]])
     last = np.flatnonzero(inside & (~after | fresh[1:]))
-    up, down = _powers(1 << max(n - 1, 1).bit_length())
+    up, down = _powers(max(SLICE, 1 << n.bit_length()) if n > SLICE else SLICE)
     sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(codes[data] * up[:n])])
     words = (sums[last + 1] - sums[first]) * down[first]  # as if each word stood at 0
     return mixed(words + (last - first + 1).astype("u8") * np.uint64(0xD6E8FEB86659FD93)), first
@@ -84,6 +84,21 @@ def _batch_words(data, offsets):
     return np.concatenate(hashes), np.concatenate(rows)
 
 
+def sliced(batch, *texts: int):
+    """A record batch in slices of about 1 MB in its columns ``texts``, so that
+    work on a slice needs little memory; a longer text is a slice alone."""
+    import numpy as np
+    import pyarrow.compute as pc
+    size = np.zeros(batch.num_rows)
+    for i in texts:
+        size += pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
+    number = (np.cumsum(size) // SLICE).astype("i8")
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            yield batch.slice(lo, hi - lo)
+
+
 def shingle_sets(column, width: int = 5):
     """(row, hash) of the distinct shingles of an Arrow string column, sorted
     by row and hash, and how many each row has. A text of fewer words has
