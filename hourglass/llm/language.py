@@ -64,30 +64,35 @@ def features(texts: list[str | None]):
     import numpy as np
     out = np.zeros((len(texts), DIM + 1), "f4")
 
-    def count(rows: list[int], parts: list[bytes]) -> None:
-        joined = np.frombuffer(b"  ".join(parts) + b"   ", "u1").astype("u4")
-        sizes = np.array([len(p) + 2 for p in parts])
-        sizes[-1] += 1
-        row = np.repeat(np.arange(len(parts)), sizes)[:-2]
-        a, b, c = joined[:-2], joined[1:-1], joined[2:]
-        two = (a * 0x9E3779B1 + b * 0x85EBCA77) >> 20
-        three = ((a * 0x9E3779B1 + b * 0x85EBCA77) ^ (c * 0xC2B2AE3D)) * np.uint32(0x27D4EB2F) >> 20
-        found = np.bincount(np.concatenate([row * DIM + two, row * DIM + three]), minlength=len(parts) * DIM)
+    def count(rows: list[int], parts: list[bytes], starts: list[int]) -> None:
+        """``starts``: how many n-grams of each part count, from its beginning;
+        those behind would reach into the next part."""
+        joined = np.frombuffer(b"   ".join(parts) + b"   ", "u1").astype("u4")
+        row, at = np.full(len(joined), -1, "i8"), 0
+        for k, (part, n) in enumerate(zip(parts, starts)):
+            row[at:at + n] = k
+            at += len(part) + 3
+        here = np.flatnonzero(row >= 0)
+        row, a, b, c = row[here] * DIM, joined[here], joined[here + 1], joined[here + 2]
+        two = a * 0x9E3779B1 + b * 0x85EBCA77
+        three = (two ^ (c * 0xC2B2AE3D)) * np.uint32(0x27D4EB2F) >> 20
+        found = np.bincount(np.concatenate([row + (two >> 20), row + three]), minlength=len(parts) * DIM)
         np.add.at(out, (np.array(rows),), np.pad(found.reshape(len(parts), DIM), ((0, 0), (0, 1))).astype("f4"))
 
-    rows, parts, held = [], [], 0
+    rows, parts, starts, held = [], [], [], 0
     for i, t in enumerate(texts):
         data = (t or "").lower().encode("utf-8", "replace").translate(PLAIN)
         for at in range(0, max(len(data), 1), SLICE):
-            part = data[at:at + SLICE + 2]  # an n-gram of the cut belongs to one side
+            last = at + SLICE >= len(data)
             rows.append(i)
-            parts.append(part)
-            held += len(part)
+            parts.append(data[at:] if last else data[at:at + SLICE + 2])
+            starts.append(len(parts[-1]) + 1 if last else SLICE)
+            held += len(parts[-1])
             if held > SLICE or len(parts) >= 512:
-                count(rows, parts)
-                rows, parts, held = [], [], 0
+                count(rows, parts, starts)
+                rows, parts, starts, held = [], [], [], 0
     if parts:
-        count(rows, parts)
+        count(rows, parts, starts)
     out[:, :DIM] = np.sqrt(out[:, :DIM])
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
     out[:, DIM] = 1
