@@ -23,8 +23,8 @@ Defined cases: vectors that are null or empty, zero, or hold a null or
 non-finite component take no part, neither as query nor as candidate; vectors
 of different length are not compared; rows with a null id take no part; equal
 scores go to the smaller id, and repeated ids are separate candidates (a
-query's own id is never its neighbour); a query without candidates has no
-rows; other columns are ignored.
+query's own id is never its neighbour) but one query, the one of the smallest vector;
+a query without candidates has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -138,7 +138,8 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     # Queries go to all slices of their block, candidates to all blocks of their slice.
     rows = vectors.join(counts, "dim")
-    queries = rows.filter("asks").withColumn("block", hashed(1, "blocks")).withColumn("slice", each("slices"))
+    once = rows.filter("asks").groupBy("id", "dim", "blocks", "slices").agg(F.min("v").alias("v")).withColumn("asks", F.lit(True))
+    queries = once.withColumn("block", hashed(1, "blocks")).withColumn("slice", each("slices"))
     candidates = rows.withColumn("asks", F.lit(False)).withColumn("slice", hashed(2, "slices")) \
         .withColumn("block", each("blocks"))
     cells = queries.unionByName(candidates).select("id", "v", "dim", "block", "slice", "asks") \

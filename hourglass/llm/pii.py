@@ -264,13 +264,14 @@ def accepted(model: Model, kind: str, c: str) -> str:
     if threshold is None:
         return "false"
     struct = "named_struct('kind', " + f"{c}.kind, " + ", ".join(f"'{n}', {x}" for n, x in features(c).items()) + ")"
-    return let(struct, "f", f"({model.sql('f')}) >= {threshold!r}D")
+    # The sums of the same tree values may round otherwise in SQL.
+    return let(struct, "f", f"({model.sql('f')}) >= {threshold - 1e-9!r}D")
 
 
-def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Adds ``pii``: an array of (kind, base, start, end, text), by start, kind
+def find(df: DataFrame, model: Model, text_col: str = "text", into: str = "pii") -> DataFrame:
+    """Adds ``pii`` (or ``into``): an array of (kind, base, start, end, text), by start, kind
     and end; ``base`` tells base spans from what the trees add."""
-    keep = [c for c in df.columns if c != "pii"]
+    keep = [c for c in df.columns if c != into]
     rows = _text(df, text_col)
     added = [f"filter({spans('_masked', k, LOOSE[k], LOOSE_NEEDS[k], 'length({m}) >= 7', 0)}, c -> {accepted(model, k, 'c')})"
              for k in KINDS if model.thresholds.get(k) is not None]
@@ -278,14 +279,14 @@ def find(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     names = "element_at(array(" + ", ".join(f"'{k}'" for k in KINDS) + "), x.kind + 1)"
     shown = (f"transform(array_sort(transform({every}, x -> named_struct('s', x.s, 'kind', x.kind, 'e', x.e, 'base', x.base, 'm', x.m))), "
              f"x -> named_struct('kind', {names}, 'base', x.base = 1, 'start', x.s, 'end', x.e, 'text', x.m))")
-    return rows.select(*[F.col(f"`{c}`") for c in keep], F.expr(shown).alias("pii"))
+    return rows.select(*[F.col(f"`{c}`") for c in keep], F.expr(shown).alias(into))
 
 
 def redact(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with what the spans cover of the text replaced by ``[EMAIL]``,
     ``[IP]``, ``[CARD]`` or ``[PHONE]``, the kind of the first of spans that
     overlap; a null text stays null."""
-    rows = find(df.withColumn("_own", F.col(f"`{text_col}`")), model, "_own").withColumnRenamed("pii", "_pii")
+    rows = find(df.withColumn("_own", F.col(f"`{text_col}`")), model, "_own", "_pii")
     rows = rows.withColumn("_ends", F.expr(f"CASE WHEN size(_pii) > 0 THEN {running('_pii', 'x.end', 'greatest({a}, {x})')} END"))
     # Up to which place all before a span is told; texts are cut in blocks of 256 spans, then in those.
     told = let("_ends[k * 256 + j]", "done", "CASE WHEN x.start >= done THEN concat(substring(block, done - _ends[k * 256] + 1, "

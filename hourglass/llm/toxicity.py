@@ -302,6 +302,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_R
         .agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     docs = docs.select("doc_id", "text").filter(train)
     sample, stands_for = sampled(docs, labels, max_rows)
+    if sample.isEmpty():  # no labels: the label model's posteriors are all there is
+        dice = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 20)) / (1 << 20)
+        sample = docs.filter(dice < 2 * max_rows / max(docs.count(), 1)).withColumn("toxic", F.lit(0))
     known = lexicon()
     patterns = tuple(known + mine(sample, stands_for, known, VOTERS - len(LEXICON)))
     voters = 1 + max(p.voter for p in patterns)
@@ -325,8 +328,6 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_R
 
     drawn = _added(sample, [T.StructField("x", T.ArrayType(T.DoubleType())), *field_], rows, "text") \
         .groupBy("x", "votes", "toxic").count().collect()  # the sample's, equal rows as one
-    if not drawn:
-        return Model(patterns, label_model, [0.0] * (len(patterns) + VOTERS) + [float(np.log(label_model.prior / (1 - label_model.prior)))])
     drawn.sort()
     goal = label_model.posterior([spread(r["votes"]) for r in drawn])
     weight = np.array([r["count"] * stands_for.get(r["toxic"], 1.0) for r in drawn])
