@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Words whose ids a task remembers at most; then it starts anew.
-MAX_REMEMBERED = 500_000
+MAX_REMEMBERED = 200_000
 #: Characters of the pattern's white space (Unicode White_Space).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # Fixed value: the word pattern of the vocabulary, with white space spelled out.
@@ -121,7 +121,7 @@ class Vocabulary:
                 x_used, x = self.made[x], self.parts[x][1]
             else:
                 y_used, y = self.made[y], self.parts[y][0]
-        if len(self.borders) > 1_000_000:
+        if len(self.borders) > 250_000:
             self.borders.clear()
         self.borders[left << 32 | right] = holds
         return holds
@@ -244,7 +244,7 @@ class Encoder:
             found = self.words(text or "")
             group.append(found)
             size += len(found)
-            if size > 500_000:
+            if size > 250_000:
                 yield from self._group(group)
                 size, group = 0, []
         yield from self._group(group)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 UNKNOWN = "und"
 DIM = 4096
 #: Rows that the machines are fitted on at most, over all languages.
-MAX_ROWS = 4000
+MAX_ROWS = 2000
 #: Bytes of text whose n-grams are counted at a time.
 SLICE = 1 << 20
 
