@@ -2,17 +2,16 @@
 flatline runs (D17, D18, D22), sensor health (D19), seasonal z-scores
 (D20, C3) and the threshold x window sweep (D24).
 
-Two physical strategies give the same trailing baseline (the ``ROWS``
-frame of the previous ``n`` rows, excluding the current one):
-
-* ``method="frames"`` — one Window with ``rowsBetween(-n, -1)``. Each frame
-  is recomputed, O(rows x n), and every series is sorted inside one task.
-* ``method="prefix"`` (default) — prefix sums of centred values and of their
-  squares from the chunked ``sequence`` helper, then one equi-join of each
-  row to the row ``n`` positions back on (series, row index). O(rows), and
-  the join key spreads a hot series over all tasks. Exactly constant windows
-  are detected exactly (no change point inside the window, from run ids),
-  so ``sd = 0`` -> ``insufficient_history`` does not depend on rounding.
+The trailing baseline (the previous ``n`` rows, the current one excluded) is
+one plan at every size: running count, sum and sum of squares of the non-NULL
+readings in one window per series, and the difference to the same sums ``n``
+rows back (``lag``). O(rows) for any number of windows, one shuffle. A window
+of equal readings is recognised by where the reading last changed, so its
+``sd`` is exactly 0 whatever the rounding.
+
+``chunk_rows`` cuts each series into chunks of that many rows, each with the
+rows before it that its windows reach back to (a halo), for inputs whose
+series are too long for one task; the caller asks for it, no size decides.
 """
 
 from __future__ import annotations
@@ -23,8 +22,7 @@ from pyspark.sql.window import Window
 
 from hourglass import constants as K
 from hourglass.functions.exprs import anomaly_class, fixed, health_status, pct, safe_div
-from hourglass.operators.sequence import CHUNK, largest_group_bound, pick_method, runs, sequence
-from hourglass.sources.sinks import materialize
+from hourglass.operators.sequence import CHUNK, runs, sequence
 
 SERIES = ["site_id", "parameter_code"]
 
@@ -33,73 +31,78 @@ def _month_chunk() -> Column:
     return F.trunc(F.col("obs_time").cast("date"), "month")
 
 
-def trailing_baseline(fact: DataFrame, windows: list[int], method: str = "prefix",
-                      keys: list[str] | None = None, value: str = "value_clean",
-                      frame: str = "rows") -> DataFrame:
+def trailing_baseline(fact: DataFrame, windows: list[int], keys: list[str] | None = None,
+                      value: str = "value_clean", frame: str = "rows",
+                      chunk_rows: int | None = None) -> DataFrame:
     """Rows of ``fact`` x ``windows`` (long format, column ``window_rows``)
     with ``roll_mean`` / ``roll_sd`` (sample sd) of ``value`` over the
-    previous ``window_rows`` rows of the series, and ``prev_value``.
-    sd is NULL with fewer than 2 rows and exactly 0 when constant.
+    previous ``window_rows`` rows of the series, and ``prev_value``. NULL
+    readings take a place in the window but no part in its mean and sd. sd is
+    NULL with fewer than 2 readings and exactly 0 when they are equal.
 
     ``frame="rows"`` is the previous n *rows* (gaps stretch it in time);
     ``frame="time"`` is the previous n *hours* (a RANGE frame on epoch
-    seconds, window plan only)."""
+    seconds)."""
     keys = keys or SERIES
     if frame == "time":
         return _trailing_time(fact, windows, keys, value)
-    if method == "auto":
-        method = pick_method(largest_group_bound(fact, keys))
-    if method == "frames":
-        wide = frames_wide(fact, windows, keys, value)
-        pick = lambda p: F.element_at(F.array(*[F.col(f"_{p}{n}") for n in windows]),
-                                      F.col("_k") + 1)
-        return (wide.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(len(windows) - 1))))
-                    .select(*fact.columns, "prev_value",
-                            F.element_at(F.array(*[F.lit(n) for n in windows]), F.col("_k") + 1)
-                             .alias("window_rows"),
-                            pick("m").alias("roll_mean"), pick("s").alias("roll_sd")))
-    if method != "prefix":
-        raise ValueError(f"unknown method {method!r}")
+    return _per_window(trailing_wide(fact, windows, keys, value, chunk_rows), fact.columns, windows)
+
 
-    # the input feeds the centres and the sequence, the sequence feeds both
-    # sides of the look-back join: each is written once (shared folder)
-    fact = materialize(fact, "baseline-input")
-    centers = fact.groupBy(*keys).agg(F.avg(value).alias("_c"))
-    # one row per series: AQE broadcasts it when its measured size is small
-    f = (fact.join(centers, keys, "inner")
-             .withColumn("_x", F.col(value) - F.col("_c"))
-             .withColumn("_x2", F.col("_x") * F.col("_x")))
-    s = sequence(f, keys, "obs_time", _month_chunk(), sums=("_x", "_x2"), runs_of=value).drop(CHUNK)
-    s = materialize(s.withColumnRenamed(f"_prev_{value}", "prev_value"), "baseline-sequence")
-    # one probe row per (reading, window): the row n positions back
-    nn = F.explode(F.array(*[F.lit(n) for n in windows])) if len(windows) > 1 else F.lit(windows[0])
-    probe = s.withColumn("window_rows", nn).withColumn("_j", F.col("_idx") - F.col("window_rows"))
-    build = s.select(*keys, F.col("_idx").alias("_j"), F.col("_pre__x").alias("_bx"),
-                     F.col("_pre__x2").alias("_bx2"), F.col("_run").alias("_brun"))
-    j = probe.join(build, [*keys, "_j"], "left")
-    cnt = F.least(F.col("_idx"), F.col("window_rows")).cast("double")
-    s1 = F.col("_pre__x") - F.coalesce(F.col("_bx"), F.lit(0.0))
-    s2 = F.col("_pre__x2") - F.coalesce(F.col("_bx2"), F.lit(0.0))
-    constant = (F.col("_run") - F.col("_chg")) == F.coalesce(F.col("_brun"), F.lit(1))
-    var = safe_div(s2 - safe_div(s1 * s1, cnt), cnt - 1.0)
-    return j.select(
-        *fact.columns, "prev_value", "window_rows",
-        F.when(cnt >= 1, F.col("_c") + safe_div(s1, cnt)).alias("roll_mean"),
-        F.when(cnt < 2, F.lit(None).cast("double")).when(constant, F.lit(0.0))
-         .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias("roll_sd"))
+def _per_window(wide: DataFrame, columns: list[str], windows: list[int]) -> DataFrame:
+    """One row per reading and window from the wide form."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("window_rows"), F.col(f"_m{n}").alias("roll_mean"),
+                                        F.col(f"_s{n}").alias("roll_sd")) for n in windows])).alias("_w")
+    return wide.select(*columns, "prev_value", each).select(*columns, "prev_value", "_w.*")
 
 
-def frames_wide(fact: DataFrame, windows: list[int], keys: list[str] | None = None,
-                value: str = "value_clean") -> DataFrame:
-    """Window-frame plan, one row per reading: ``_m{n}`` / ``_s{n}`` for every
-    window n (all frames in one Window node) and ``prev_value``."""
+def trailing_wide(fact: DataFrame, windows: list[int], keys: list[str] | None = None,
+                  value: str = "value_clean", chunk_rows: int | None = None) -> DataFrame:
+    """One row per reading: ``_m{n}`` / ``_s{n}`` for every window n and
+    ``prev_value``."""
     keys = keys or SERIES
-    w = Window.partitionBy(*keys).orderBy("obs_time")
-    cols = [F.lag(value, 1).over(w).alias("prev_value")]
+    part, rows = keys, fact
+    if chunk_rows is not None:
+        halo = max(windows) + 1
+        if chunk_rows < halo:
+            raise ValueError(f"chunk_rows must be at least {halo}, the longest window and one")
+        at = sequence(fact, keys, "obs_time", _month_chunk()).drop(CHUNK)
+        own = F.floor(F.col("_idx") / chunk_rows)
+        last = F.col("_idx") % chunk_rows >= chunk_rows - halo  # the next chunk's halo, too
+        rows = at.withColumn("_own", own).withColumn("_part", F.explode(F.when(last, F.array(own, own + 1))
+                                                                        .otherwise(F.array(own))))
+        part = [*keys, "_part"]
+    w = Window.partitionBy(*part).orderBy("obs_time")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col(value)
+    # Readings relative to the first one keep the sums of squares small.
+    rows = rows.withColumns({"prev_value": F.lag(value, 1).over(w), "_base": F.first(value, True).over(so_far),
+                             "_before": F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                             "_n": F.count(value).over(so_far)})
+    x = v - F.col("_base")
+    changed = v.isNotNull() & ~v.eqNullSafe(F.col("_before"))
+    rows = rows.withColumns({"_s1": F.sum(x).over(so_far), "_s2": F.sum(x * x).over(so_far),
+                             # the number of the reading at which it last changed
+                             "_changed": F.max(F.when(changed, F.col("_n"))).over(so_far)})
+    lagged = lambda c, n: F.coalesce(F.lag(c, n).over(w), F.lit(0))
+    out = {f"_{c}_1": lagged(f"_{c}", 1) for c in ("n", "s1", "s2", "changed")}
     for n in windows:
-        fr = w.rowsBetween(-n, -1)
-        cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
-    return fact.select("*", *cols)
+        out |= {f"_{c}_{n + 1}_": lagged(f"_{c}", n + 1) for c in ("n", "s1", "s2")}
+    rows = rows.withColumns(out)
+    cols = []
+    for n in windows:
+        cnt, s1, s2 = (F.col(f"_{c}_1") - F.col(f"_{c}_{n + 1}_") for c in ("n", "s1", "s2"))
+        cnt = cnt.cast("double")
+        var = safe_div(s2 - safe_div(s1 * s1, cnt), cnt - 1.0)
+        constant = F.col("_changed_1") <= F.col(f"_n_{n + 1}_") + 1
+        base = F.last("_base", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        cols += [F.when(cnt >= 1, base + safe_div(s1, cnt)).alias(f"_m{n}"),
+                 F.when(cnt < 2, F.lit(None).cast("double")).when(constant, F.lit(0.0))
+                  .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"_s{n}")]
+    if chunk_rows is not None:
+        return rows.select(*fact.columns, "prev_value", "_own", "_part", *cols) \
+            .filter("_own = _part").drop("_own", "_part")
+    return rows.select(*fact.columns, "prev_value", *cols)
 
 
 def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value: str) -> DataFrame:
@@ -110,22 +113,16 @@ def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value:
     for n in windows:
         fr = w.rangeBetween(-n * 3600, -1)
         cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
-    wide = f.select("*", *cols)
-    k = F.explode(F.sequence(F.lit(0), F.lit(len(windows) - 1))).alias("_k")
-    pick = lambda p: F.element_at(F.array(*[F.col(f"_{p}{n}") for n in windows]), F.col("_k") + 1)
-    return (wide.select("*", k)
-                .select(*fact.columns, "prev_value",
-                        F.element_at(F.array(*[F.lit(n) for n in windows]), F.col("_k") + 1).alias("window_rows"),
-                        pick("m").alias("roll_mean"), pick("s").alias("roll_sd")))
+    return _per_window(f.select("*", *cols), fact.columns, windows)
 
 
 def observation_anomaly(fact: DataFrame, window: int = K.ANOMALY_WINDOW_ROWS,
                         unusual: float = K.UNUSUAL_Z, extreme: float = K.EXTREME_Z,
-                        method: str = "prefix", frame: str = "rows") -> DataFrame:
+                        frame: str = "rows", chunk_rows: int | None = None) -> DataFrame:
     """Per reading, trailing mean/sd over the previous ``window``
     rows, z-score, hourly delta and class. Output columns are rounded like
     the published table; the class uses the unrounded values."""
-    b = trailing_baseline(fact, [window], method, frame=frame)
+    b = trailing_baseline(fact, [window], frame=frame, chunk_rows=chunk_rows)
     m, s, v = F.col("roll_mean"), F.col("roll_sd"), F.col("value_clean")
     z = safe_div(v - m, s)
     return b.select(
@@ -138,7 +135,7 @@ def observation_anomaly(fact: DataFrame, window: int = K.ANOMALY_WINDOW_ROWS,
 def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
                     thresholds: list[float] | None = None, windows: list[int] | None = None,
                     slice_start: str = "2024-01-01", slice_end: str = "2024-01-08",
-                    method: str = "prefix") -> DataFrame:
+                    chunk_rows: int | None = None) -> DataFrame:
     """Anomaly counts for every (threshold, window) in ONE pass: all
     baselines come from one trailing computation, thresholds become count_if
     columns of one aggregate (no cross join), and ``stack`` turns them into
@@ -148,39 +145,22 @@ def threshold_sweep(fact: DataFrame, parameter: str = "PM2.5",
     one = fact.filter(F.col("parameter_code") == parameter)
     in_slice = (F.col("obs_date") >= F.lit(slice_start).cast("date")) & \
                (F.col("obs_date") < F.lit(slice_end).cast("date"))
-    if method == "auto":
-        method = pick_method(largest_group_bound(one, SERIES))
-    if method == "frames":
-        # one row per reading carrying all window baselines: aggregate the
-        # (window, threshold) cells directly, without a row per window
-        wide = frames_wide(one, windows)
-        aggs = []
-        for wi, n in enumerate(windows):
-            s_, m_ = F.col(f"_s{n}"), F.col(f"_m{n}")
-            valid = s_.isNotNull() & (s_ > 0)
-            az = F.abs(safe_div(F.col("value_clean") - m_, s_))
-            aggs.append(F.count_if(valid).alias(f"t{wi}"))
-            for ti, t in enumerate(thresholds):
-                aggs.append(F.count_if(valid & (az > t)).alias(f"a{wi}_{ti}"))
-                aggs.append(F.count_if(valid & (az > t) & in_slice).alias(f"j{wi}_{ti}"))
-        cells = [f"CAST({t} AS DOUBLE), {n}, t{wi}, a{wi}_{ti}, j{wi}_{ti}"
-                 for wi, n in enumerate(windows) for ti, t in enumerate(thresholds)]
-        long = wide.agg(*aggs).selectExpr(
-            f"stack({len(cells)}, {', '.join(cells)}) AS (z_threshold, window_hours, total, anomalies, slice_anomalies)")
-        return _sweep_rates(long)
-    b = trailing_baseline(one, windows, method)
-    s, m = F.col("roll_sd"), F.col("roll_mean")
-    valid = s.isNotNull() & (s > 0)
-    az = F.abs(safe_div(F.col("value_clean") - m, s))
-    aggs = [F.count_if(valid).alias("total")]
-    for ti, t in enumerate(thresholds):
-        aggs.append(F.count_if(valid & (az > t)).alias(f"a{ti}"))
-        aggs.append(F.count_if(valid & (az > t) & in_slice).alias(f"j{ti}"))
-    per_window = b.groupBy(F.col("window_rows").alias("window_hours")).agg(*aggs)
-    cells = [f"CAST({t} AS DOUBLE), a{ti}, j{ti}" for ti, t in enumerate(thresholds)]
-    long = per_window.selectExpr(
-        "window_hours", "total",
-        f"stack({len(cells)}, {', '.join(cells)}) AS (z_threshold, anomalies, slice_anomalies)")
+    # one row per reading carrying all window baselines: aggregate the
+    # (window, threshold) cells directly, without a row per window
+    wide = trailing_wide(one, windows, chunk_rows=chunk_rows)
+    aggs = []
+    for wi, n in enumerate(windows):
+        s_, m_ = F.col(f"_s{n}"), F.col(f"_m{n}")
+        valid = s_.isNotNull() & (s_ > 0)
+        az = F.abs(safe_div(F.col("value_clean") - m_, s_))
+        aggs.append(F.count_if(valid).alias(f"t{wi}"))
+        for ti, t in enumerate(thresholds):
+            aggs.append(F.count_if(valid & (az > t)).alias(f"a{wi}_{ti}"))
+            aggs.append(F.count_if(valid & (az > t) & in_slice).alias(f"j{wi}_{ti}"))
+    cells = [f"CAST({t} AS DOUBLE), {n}, t{wi}, a{wi}_{ti}, j{wi}_{ti}"
+             for wi, n in enumerate(windows) for ti, t in enumerate(thresholds)]
+    long = wide.agg(*aggs).selectExpr(
+        f"stack({len(cells)}, {', '.join(cells)}) AS (z_threshold, window_hours, total, anomalies, slice_anomalies)")
     return _sweep_rates(long)
 
 
@@ -192,7 +172,7 @@ def _sweep_rates(long: DataFrame) -> DataFrame:
 
 
 def flatline_runs(fact: DataFrame, value: str = "value_clean", min_rows: int = K.FLATLINE_MIN_ROWS,
-                  exclude_zero: bool = False, method: str = "chunked") -> DataFrame:
+                  exclude_zero: bool = False, method: str = "window") -> DataFrame:
     """Maximal runs of identical consecutive readings (present
     rows; a missing hour does not break a run) of at least ``min_rows``.
     ``exclude_zero`` drops zero readings first (the raw-value detector).

@@ -1,10 +1,11 @@
 """Dataset-level quality gates and regression checks.
 
-Each check is an aggregate that returns a small DataFrame; several counts
-are folded into one aggregate per table rather than one action each, and
-one-row results are combined with ``unionByName`` + an explicit-value
-``pivot`` (no cross join). ``assert_gate`` is the only driver-side step: it
-collects the handful of check rows and raises once with every failure."""
+Each check is an aggregate that returns a small DataFrame; all checks of one
+table come from one pass over it, and the one-row results are put side by
+side as scalar subqueries. A check passes only when it is known to hold: a
+NULL observation, as of an empty table, fails. ``assert_gate`` and
+``assert_regression`` are the only driver-side steps: they collect the handful
+of check rows and raise once with every failure."""
 
 from __future__ import annotations
 
@@ -58,61 +59,71 @@ def pipeline_accounting(bronze: DataFrame, silver: DataFrame, daily: DataFrame,
              .withColumn("drop_rate_pct", pct(F.col("dropped_rows"), F.col("bronze_rows"))))
 
 
-def reconciliation(bronze: DataFrame, kept_before_dedup: DataFrame, quarantine: DataFrame,
-                   fact: DataFrame) -> DataFrame:
-    """K2: bronze = silver + quarantine + duplicates removed, each side
-    counted independently (the identity can fail). ``fact`` may be the
-    deduplicated table or just its distinct grain keys (same row count)."""
-    c = row_counts({"bronze": bronze, "before_dedup": kept_before_dedup, "quarantine": quarantine,
-                 "silver": fact})
-    return (c.withColumn("duplicates", F.col("before_dedup") - F.col("silver"))
-             .select("bronze", "silver", "quarantine", "duplicates",
-                     (F.col("bronze") == F.col("silver") + F.col("quarantine") + F.col("duplicates"))
-                     .alias("balanced")))
+def reconciliation(tagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """K2: bronze = silver + quarantine + duplicates removed, from one pass
+    over the tagged rows: rejected rows, kept rows, and distinct grain keys
+    of the kept ones."""
+    keys = keys or K.SILVER_GRAIN
+    kept = F.col("reject_reason").isNull()
+    per_key = tagged.groupBy(kept.alias("_kept"), *[F.when(kept, F.col(k)).alias(k) for k in keys]) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    c = per_key.agg(F.sum("_n").alias("bronze"), F.count_if("_kept").alias("silver"),
+                    F.sum(F.when(~F.col("_kept"), F.col("_n")).otherwise(0)).alias("quarantine"),
+                    F.sum(F.when(F.col("_kept"), F.col("_n")).otherwise(0)).alias("_before"))
+    return c.select("bronze", "silver", "quarantine", (F.col("_before") - F.col("silver")).alias("duplicates")) \
+        .withColumn("balanced", F.col("bronze") == F.col("silver") + F.col("quarantine") + F.col("duplicates"))
 
 
 def grain_profile(df: DataFrame, keys: list[str], extra: dict | None = None) -> DataFrame:
     """Rows, duplicate grain keys and optional extra counters of one table in
     ONE pass: a partial aggregate per grain key, then a global aggregate.
     ``extra`` maps a name to a boolean Column counted per row (``count_if``)
-    or to ``("max", Column)``."""
+    or to ``("max", Column)`` / ``("min", Column)``."""
     extra = extra or {}
     per_key = [F.count(F.lit(1)).alias("_n")]
-    final = [F.sum("_n").alias("rows"), F.count_if(F.col("_n") > 1).alias("duplicate_keys")]
+    final = [F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(F.col("_n") > 1).alias("duplicate_keys")]
     for name, spec in extra.items():
         if isinstance(spec, tuple):
-            per_key.append(F.max(spec[1]).alias(f"_{name}"))
-            final.append(F.max(f"_{name}").alias(name))
+            of = {"max": F.max, "min": F.min}[spec[0]]
+            per_key.append(of(spec[1]).alias(f"_{name}"))
+            final.append(of(f"_{name}").alias(name))
         else:
             per_key.append(F.count_if(spec).alias(f"_{name}"))
             final.append(F.sum(f"_{name}").alias(name))
     return df.groupBy(*keys).agg(*per_key).agg(*final)
 
 
+def side_by_side(**rows: DataFrame) -> DataFrame:
+    """One row with a struct column for each one-row DataFrame."""
+    spark = next(iter(rows.values())).sparkSession
+    return spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(n) for n, df in rows.items()])
+
+
 def quality_gate(bronze: DataFrame, silver: DataFrame, daily: DataFrame, regional: DataFrame,
                  max_drop_rate: float = K.MAX_DROP_RATE) -> DataFrame:
     """K4-K6: rows ``(check_name, observed, limit_value, passed)``. Each
     table is read once: rows, duplicate keys and the table's own checks come
-    from one grain profile."""
-    b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows")).withColumn("_k", F.lit(1))
-    s = grain_profile(silver, K.SILVER_GRAIN, {
-        "neg": F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0)}).withColumn("_k", F.lit(1))
-    d = grain_profile(daily, K.DAILY_GRAIN, {"maxc": ("max", F.col("completeness_pct"))}).withColumn("_k", F.lit(1))
-    r = grain_profile(regional, K.REGIONAL_GRAIN).withColumn("_k", F.lit(1))
-    one = (b.join(s.select("_k", F.col("rows").alias("silver_rows"), F.col("duplicate_keys").alias("sd"), "neg"), "_k")
-            .join(d.select("_k", F.col("duplicate_keys").alias("dd"), "maxc"), "_k")
-            .join(r.select("_k", F.col("duplicate_keys").alias("rd")), "_k"))
-    drop = pct(F.col("bronze_rows") - F.col("silver_rows"), F.col("bronze_rows"))
-    cells = [("drop_rate_pct", drop, F.lit(max_drop_rate)),
-             ("silver_duplicate_keys", F.col("sd"), F.lit(0.0)),
-             ("daily_duplicate_keys", F.col("dd"), F.lit(0.0)),
-             ("regional_duplicate_keys", F.col("rd"), F.lit(0.0)),
-             ("negative_pollutant_value_clean", F.col("neg"), F.lit(0.0)),
-             ("max_completeness_pct", F.col("maxc"), F.lit(100.0))]
+    from one grain profile. Empty tables, more silver than bronze rows and
+    unknown observations fail."""
+    one = side_by_side(
+        b=bronze.agg(F.count(F.lit(1)).alias("rows")),
+        s=grain_profile(silver, K.SILVER_GRAIN, {
+            "neg": F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0)}),
+        d=grain_profile(daily, K.DAILY_GRAIN, {"maxc": ("max", F.col("completeness_pct"))}),
+        r=grain_profile(regional, K.REGIONAL_GRAIN))
+    empty = sum((F.col(f"{t}.rows") == 0).cast("int") for t in "bsdr")
+    cells = [("drop_rate_pct", pct(F.col("b.rows") - F.col("s.rows"), F.col("b.rows")), max_drop_rate),
+             ("empty_tables", empty, 0.0),
+             ("silver_rows_beyond_bronze", F.greatest(F.col("s.rows") - F.col("b.rows"), F.lit(0)), 0.0),
+             ("silver_duplicate_keys", F.col("s.duplicate_keys"), 0.0),
+             ("daily_duplicate_keys", F.col("d.duplicate_keys"), 0.0),
+             ("regional_duplicate_keys", F.col("r.duplicate_keys"), 0.0),
+             ("negative_pollutant_value_clean", F.col("s.neg"), 0.0),
+             ("max_completeness_pct", F.col("d.maxc"), 100.0)]
     rows = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), o.cast("double").alias("observed"),
-                                        lim.alias("limit_value")) for n, o, lim in cells])).alias("c")
+                                        F.lit(lim).alias("limit_value")) for n, o, lim in cells])).alias("c")
     return (one.select(rows).select("c.*")
-               .withColumn("passed", F.coalesce(F.col("observed") <= F.col("limit_value"), F.lit(True))))
+               .withColumn("passed", F.coalesce(F.col("observed") <= F.col("limit_value"), F.lit(False))))
 
 
 class QualityGateError(Exception):
@@ -149,41 +160,52 @@ def check_value_clean(silver: DataFrame) -> DataFrame:
 
 def check_humidity(silver: DataFrame, wide: DataFrame) -> DataFrame:
     """The source keeps humidity above 100, the wide table does
-    not. Two one-row aggregates combined by a constant-key join."""
-    h = silver.filter(F.col("parameter_code") == "HUMID").agg(
-        F.count(F.lit(1)).alias("total_humidity"),
-        F.count_if(F.col("value_clean") > 100).alias("above_100"),
-        F.max("value_clean").alias("max_source_humidity")).withColumn("_k", F.lit(1))
-    w = wide.agg(F.count("humidity").alias("valid_humidity_in_wide"),
-                 F.min("humidity").alias("min_analytical_humidity"),
-                 F.max("humidity").alias("max_analytical_humidity")).withColumn("_k", F.lit(1))
-    return (h.join(F.broadcast(w), "_k").drop("_k")
-             .withColumn("pct_humidity_over_100", pct(F.col("above_100"), F.col("total_humidity"))))
+    not."""
+    one = side_by_side(
+        h=silver.filter(F.col("parameter_code") == "HUMID").agg(
+            F.count(F.lit(1)).alias("total_humidity"),
+            F.count_if(F.col("value_clean") > 100).alias("above_100"),
+            F.max("value_clean").alias("max_source_humidity")),
+        w=wide.agg(F.count("humidity").alias("valid_humidity_in_wide"),
+                   F.min("humidity").alias("min_analytical_humidity"),
+                   F.max("humidity").alias("max_analytical_humidity")))
+    return one.select("h.*", "w.*").withColumn("pct_humidity_over_100", pct(F.col("above_100"), F.col("total_humidity")))
 
 
 def regression_suite(bronze: DataFrame, silver: DataFrame, wide: DataFrame,
                      max_drop_rate: float = K.MAX_DROP_RATE) -> DataFrame:
-    """The six regression checks as rows ``(test_name, passed)``, each
-    evaluated by aggregates on the executors."""
-    ho = check_hour_offset(silver).select(
-        F.lit("hour_offset_corrected").alias("test_name"),
-        ((F.col("incorrect_hour_1") == 0) & (F.col("min_obs_hour") == 0) & (F.col("max_obs_hour") == 23))
-        .alias("passed"))
-    acc = row_counts({"b": bronze, "s": silver}).select(
-        F.lit("pipeline_accounting").alias("test_name"),
-        ((F.col("s") <= F.col("b")) & F.coalesce(pct(F.col("b") - F.col("s"), F.col("b")) <= max_drop_rate,
-                                                 F.lit(False))).alias("passed"))
-    uniq = grain_violations(silver, K.SILVER_GRAIN).select(
-        F.lit("silver_grain_unique").alias("test_name"), (F.col("duplicate_keys") == 0).alias("passed"))
-    vc = check_value_clean(silver).select(
-        F.lit("value_clean_semantics").alias("test_name"),
-        ((F.col("negative_pollutants") == 0) & (F.col("below_detection_count") > 0)
-         & (F.col("negative_temp") > 0) & (F.col("altered_negative_temp") == 0)).alias("passed"))
-    wg = wide.agg(F.count(F.lit(1)).alias("t"), F.countDistinct(F.struct("site_id", "obs_time")).alias("d")) \
-             .select(F.lit("hourly_wide_grain").alias("test_name"), (F.col("t") == F.col("d")).alias("passed"))
-    hu = check_humidity(silver, wide).select(
-        F.lit("humidity_semantics").alias("test_name"),
-        ((F.col("above_100") > 0) & (F.col("max_source_humidity") > 100)
-         & F.coalesce(F.col("min_analytical_humidity") >= 0, F.lit(True))
-         & F.coalesce(F.col("max_analytical_humidity") <= 100, F.lit(True))).alias("passed"))
-    return ho.unionByName(acc).unionByName(uniq).unionByName(vc).unionByName(wg).unionByName(hu)
+    """The six regression checks as rows ``(test_name, passed, detail)``;
+    one pass over each table. A check whose numbers are missing fails."""
+    pol, code, v = F.col("parameter_code").isin(K.POLLUTANTS), F.col("parameter_code"), F.col("value_clean")
+    cold = (code == "TEMP") & (F.col("value") < 0)
+    one = side_by_side(
+        b=bronze.agg(F.count(F.lit(1)).alias("rows")),
+        s=grain_profile(silver, K.SILVER_GRAIN, {
+            "hour1": (F.col("hour_1based") == 1) & (F.hour("obs_time") != 0),
+            "first": ("min", F.col("obs_hour")), "last": ("max", F.col("obs_hour")),
+            "neg": pol & (v < 0), "low": pol & F.col("below_detection"), "cold": cold,
+            "altered": cold & (v != F.col("value")), "humid": (code == "HUMID") & (v > 100)}),
+        w=grain_profile(wide, K.WIDE_GRAIN, {"least": ("min", F.col("humidity")), "most": ("max", F.col("humidity"))}))
+    c = F.col
+    drop = pct(c("b.rows") - c("s.rows"), c("b.rows"))
+    tests = [
+        ("hour_offset_corrected", (c("s.hour1") == 0) & (c("s.first") == 0) & (c("s.last") == 23),
+         ["s.hour1", "s.first", "s.last"]),
+        ("pipeline_accounting", (c("s.rows") > 0) & (c("s.rows") <= c("b.rows")) & (drop <= max_drop_rate), ["b.rows", "s.rows"]),
+        ("silver_grain_unique", (c("s.rows") > 0) & (c("s.duplicate_keys") == 0), ["s.duplicate_keys"]),
+        ("value_clean_semantics", (c("s.neg") == 0) & (c("s.low") > 0) & (c("s.cold") > 0) & (c("s.altered") == 0),
+         ["s.neg", "s.low", "s.cold", "s.altered"]),
+        ("hourly_wide_grain", (c("w.rows") > 0) & (c("w.duplicate_keys") == 0), ["w.duplicate_keys"]),
+        ("humidity_semantics", (c("s.humid") > 0) & (c("w.least") >= 0) & (c("w.most") <= 100), ["s.humid"])]
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(n).alias("test_name"), F.coalesce(ok, F.lit(False)).alias("passed"),
+        F.concat_ws(" ", *[F.coalesce(c(x).cast("string"), F.lit("none")) for x in told]).alias("detail"))
+        for n, ok, told in tests])).alias("t")
+    return one.select(rows).select("t.*")
+
+
+def assert_regression(suite: DataFrame) -> None:
+    """Raise once, naming every failed check with its numbers."""
+    failures = [f"{r['test_name']} ({r['detail']})" for r in suite.filter(~F.col("passed")).collect()]
+    if failures:
+        raise QualityGateError(" | ".join(failures))

@@ -18,8 +18,7 @@ Outputs (global, i.e. across chunks, per series):
 ``_pre_<c>`` sum of ``c`` over all *earlier* rows (exclusive prefix);
 ``_prev_<c>`` value of ``c`` on the previous row (NULL on the first row);
 ``_run``   1-based id of the maximal run of equal ``runs_of`` values (null-safe);
-``_chg``   1 when the row starts a new run, else 0;
-``_first_<c>`` value of ``c`` on the first row of the series.
+``_chg``   1 when the row starts a new run, else 0.
 """
 
 from __future__ import annotations
@@ -33,8 +32,7 @@ CHUNK = "_chunk"
 
 def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
              sums: tuple[str, ...] = (), lags: tuple[str, ...] = (),
-             runs_of: str | None = None, firsts: tuple[str, ...] = (),
-             materialize_local: bool = True) -> DataFrame:
+             runs_of: str | None = None, materialize_local: bool = True) -> DataFrame:
     lags = tuple(dict.fromkeys(lags + ((runs_of,) if runs_of else ())))
     d = df.withColumn(CHUNK, chunk)
     w = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -46,7 +44,7 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
         local += [F.sum(c).over(before).alias(f"_lx_{c}"), F.sum(c).over(whole).alias(f"_tot_{c}")]
     for c in lags:
         local += [F.lag(c).over(w).alias(f"_ll_{c}"), F.last(c).over(whole).alias(f"_last_{c}")]
-    for c in dict.fromkeys(firsts + ((runs_of,) if runs_of else ())):
+    for c in ((runs_of,) if runs_of else ()):
         local += [F.first(c).over(whole).alias(f"_f_{c}")]
     d = d.select("*", *local)
     if runs_of:
@@ -65,19 +63,16 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
 
     # level 2: one row per chunk -> offsets
     carry = ["_cn"] + [f"_tot_{c}" for c in sums] + [f"_last_{c}" for c in lags] + \
-            [f"_f_{c}" for c in dict.fromkeys(firsts + ((runs_of,) if runs_of else ()))] + \
+            ([f"_f_{runs_of}"] if runs_of else []) + \
             (["_tchg"] if runs_of else [])
     chunks = d.filter(F.col("_rn") == 1).select(*keys, CHUNK, *carry)
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
     wc_before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    wc_whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     off = [F.coalesce(F.sum("_cn").over(wc_before), F.lit(0)).alias("_off_n")]
     for c in sums:
         off += [F.coalesce(F.sum(f"_tot_{c}").over(wc_before), F.lit(0)).alias(f"_off_{c}")]
     for c in lags:
         off += [F.lag(f"_last_{c}").over(wc).alias(f"_pl_{c}")]
-    for c in firsts:
-        off += [F.first(f"_f_{c}").over(wc_whole).alias(f"_first_{c}")]
     if runs_of:
         first_flag = F.when(F.row_number().over(wc) == 1, F.lit(1)).when(
             F.col(f"_f_{runs_of}").eqNullSafe(F.lag(f"_last_{runs_of}").over(wc)), 0).otherwise(1)
@@ -107,15 +102,14 @@ def sequence(df: DataFrame, keys: list[str], order: str, chunk: Column,
 
 
 def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
-         method: str = "chunked", step_seconds: int | None = None) -> DataFrame:
+         method: str = "window", step_seconds: int | None = None) -> DataFrame:
     """Gaps-and-islands: tag each row with the id of its maximal run of equal
     ``state`` values in ``order`` within ``keys`` (``_run``; rows of one run
     share it, within ``keys``).
 
-    ``method="chunked"``: run ids from the chunked sequence (no single-task
-    series). ``method="window"``: ROW_NUMBER() - ROW_NUMBER() BY state, one
-    shuffle, every series sorted in one task — for inputs whose series are
-    known to be small. ``method="time"``: runs must also be consecutive in
+    ``method="window"``: ROW_NUMBER() - ROW_NUMBER() BY state, one shuffle,
+    every series sorted in one task. ``method="chunked"``: run ids from the
+    chunked sequence (no single-task series), if the caller asks for it. ``method="time"``: runs must also be consecutive in
     time (``step_seconds`` apart for timestamps, 1 for day numbers)."""
     if method == "time":
         # consecutive in time: rows one ``step_seconds`` apart with equal state;
@@ -130,20 +124,3 @@ def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
         grp = F.row_number().over(w_all) - F.row_number().over(w_state)
         return df.withColumn("_run", F.struct(F.col(state).alias("s"), grp.alias("g")))
     return sequence(df, keys, order, chunk, runs_of=state).drop(CHUNK, f"_prev_{state}", "_chg", "_idx")
-
-
-# Rows one task may hold for a per-series window (sort + frame buffers).
-MAX_SERIES_ROWS_PER_TASK = 2_000_000
-
-
-def largest_group_bound(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest ``keys`` group of ``df`` (one partially-aggregated
-    pass; pass a pre-dedup input to get a cheap upper bound)."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
-
-
-def pick_method(bound_rows: int, budget: int = MAX_SERIES_ROWS_PER_TASK) -> str:
-    """``frames``/``window`` plans when every series fits one task, else the
-    chunked (skew-proof) plans."""
-    return "frames" if bound_rows <= budget else "prefix"

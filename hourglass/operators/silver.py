@@ -103,15 +103,17 @@ def silver(bronze: DataFrame, generation: int = 2) -> DataFrame:
     return expect_or_drop(clean(flatten(bronze), generation), drop_rules())
 
 
-def reject_reason(flat: DataFrame, floor: float = K.PLAUSIBLE_FLOOR) -> DataFrame:
+def reject_reason(flat: DataFrame, floor: float | None = K.PLAUSIBLE_FLOOR) -> DataFrame:
     """First failing rule wins; NULL when the row is clean. A NULL hour
-    counts as out of range."""
+    counts as out of range. ``floor=None`` leaves implausible negatives in:
+    then a row has a reason exactly when the drop expectations fail."""
     h = F.col("hour_1based")
     reason = (F.when(F.col("site_id").isNull(), "null_site")
                .when(F.col("obs_date").isNull(), "null_date")
                .when(~passes(h.between(1, 24)), "hour_out_of_range")
-               .when(F.col("value").isNull(), "null_value")
-               .when(F.col("value") < floor, "implausible_negative"))
+               .when(F.col("value").isNull(), "null_value"))
+    if floor is not None:
+        reason = reason.when(F.col("value") < floor, "implausible_negative")
     return flat.withColumn("reject_reason", reason)
 
 

@@ -21,7 +21,7 @@ from hourglass.operators import gold as G
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
 from hourglass.plans import reports as R
-from hourglass.plans.context import Pipeline
+from hourglass.plans.context import Pipeline, Written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,9 +32,9 @@ from hourglass.plans.params import (DIURNAL, EPISODE_CLASSES_ADAPTER,  # noqa: E
                                     TREND_POLLUTANT)
 
 
-def query(name: str):
+def query(name: str, pipeline: type[Pipeline] = Pipeline):
     def deco(fn: Callable[[Pipeline], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Pipeline(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(pipeline(spark, sf_dir))
         return fn
     return deco
 
@@ -276,31 +276,31 @@ def _anomaly_by_year(p): return R.anomaly_by_year(p.anomaly)
 
 
 @query("sensor_flatline")
-def _sensor_flatline(p): return AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method)
+def _sensor_flatline(p): return AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER)
 
 
 @query("sensor_flatline_raw")
-def _sensor_flatline_raw(p): return AN.flatline_runs(p.fact1, value="value", exclude_zero=True, method=p.runs_method)
+def _sensor_flatline_raw(p): return AN.flatline_runs(p.fact1, value="value", exclude_zero=True)
 
 
 @query("run_length_summary")
 def _run_length_summary(p):
-    return R.run_length_summary(AN.flatline_runs(p.fact1, value="value", exclude_zero=True, min_rows=2, method=p.runs_method))
+    return R.run_length_summary(AN.flatline_runs(p.fact1, value="value", exclude_zero=True, min_rows=2))
 
 
 @query("flatline_run_type")
-def _flatline_run_type(p): return R.flatline_run_type(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method))
+def _flatline_run_type(p): return R.flatline_run_type(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER))
 
 
 @query("flatline_top")
-def _flatline_top(p): return R.flatline_top(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method), p.dim)
+def _flatline_top(p): return R.flatline_top(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER), p.dim)
 
 
 @query("flatline_compare")
 def _flatline_compare(p):
-    return Q.row_counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method),
+    return Q.row_counts({"floored_runs": AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER),
                       "raw_runs": AN.flatline_runs(p.fact1, value="value", exclude_zero=True,
-                                                   min_rows=FLATLINE_MIN_ROWS_ADAPTER, method=p.runs_method)})
+                                                   min_rows=FLATLINE_MIN_ROWS_ADAPTER)})
 
 
 @query("sensor_health")
@@ -369,11 +369,11 @@ def _seasonal_by_month(p): return R.seasonal_by_month(p.seasonal, "PM2.5")
 
 @query("threshold_sweep")
 def _threshold_sweep(p): return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0],
-                                                  slice_end=SWEEP_SLICE[1], method=p.method)
+                                                  slice_end=SWEEP_SLICE[1])
 
 
 # ---- quality ----------------------------------------------------------------
-@query("grain_checks")
+@query("grain_checks", Written)
 def _grain_checks(p):
     return Q.grain_checks({
         "silver": (p.silver, K.SILVER_GRAIN), "fact": (p.fact, K.SILVER_GRAIN),
@@ -383,17 +383,14 @@ def _grain_checks(p):
 
 
 @query("reconciliation")
-def _reconciliation(p):
-    kept, rejected = S.split_quarantine(p.tagged)
-    # rows after dedup = distinct grain keys (a hash aggregate on the keys only)
-    return Q.reconciliation(p.bronze, kept, rejected, kept.select(*K.SILVER_GRAIN).distinct())
+def _reconciliation(p): return Q.reconciliation(p.tagged)
 
 
-@query("pipeline_accounting")
+@query("pipeline_accounting", Written)
 def _pipeline_accounting(p): return Q.pipeline_accounting(p.bronze, p.silver, p.daily, p.regional)
 
 
-@query("quality_gate")
+@query("quality_gate", Written)
 def _quality_gate(p): return Q.quality_gate(p.bronze, p.silver, p.daily, p.regional)
 
 
@@ -409,7 +406,7 @@ def _check_value_clean(p): return Q.check_value_clean(p.silver)
 def _check_humidity(p): return Q.check_humidity(p.silver, p.wide)
 
 
-@query("regression_suite")
+@query("regression_suite", Written)
 def _regression_suite(p): return Q.regression_suite(p.bronze, p.silver, p.wide)
 
 
@@ -417,10 +414,14 @@ def _regression_suite(p): return Q.regression_suite(p.bronze, p.silver, p.wide)
 def _units_per_parameter(p): return Q.units_per_parameter(p.long_fact)
 
 
+# Rows of a series in a chunk, where chunks are asked for.
+CHUNK_ROWS = 1000
+
+
 # The skew-safe chunked plans, registered separately so both physical
 # strategies are checked against the same oracle.
 @query("observation_anomaly_chunked")
-def _observation_anomaly_chunked(p): return AN.observation_anomaly(p.fact1, method="prefix")
+def _observation_anomaly_chunked(p): return AN.observation_anomaly(p.fact1, chunk_rows=CHUNK_ROWS)
 
 
 @query("sensor_flatline_chunked")
@@ -431,7 +432,7 @@ def _sensor_flatline_chunked(p):
 @query("threshold_sweep_chunked")
 def _threshold_sweep_chunked(p):
     return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0], slice_end=SWEEP_SLICE[1],
-                              method="prefix")
+                              chunk_rows=CHUNK_ROWS)
 
 
 @query("anomaly_episodes")
@@ -451,4 +452,27 @@ def _seasonal_other_years(p): return AN.seasonal_anomaly(p.long_fact, exclude_cu
 
 
 @query("gold_regional_calendar")
-def _gold_regional_calendar(p): return G.gold_regional(p.long_fact, p.dim, lag_mode="calendar")
+def _gold_regional_calendar(p): return G.gold_regional(p.long_silver, p.dim, lag_mode="calendar")
+
+
+@query("observation_anomaly_nulls")
+def _observation_anomaly_nulls(p):
+    """Over readings of which some are NULL: they take a place in the window."""
+    return AN.observation_anomaly(p.fact_with_nulls)
+
+
+@query("observation_anomaly_nulls_chunked")
+def _observation_anomaly_nulls_chunked(p):
+    return AN.observation_anomaly(p.fact_with_nulls, chunk_rows=CHUNK_ROWS)
+
+
+@query("observation_anomaly_time")
+def _observation_anomaly_time(p):
+    """The previous 168 hours instead of the previous 168 rows."""
+    return AN.observation_anomaly(p.fact1, frame="time")
+
+
+@query("flatline_time")
+def _flatline_time(p):
+    """A missing hour breaks a run."""
+    return AN.flatline_runs(p.fact1, min_rows=2, method="time")

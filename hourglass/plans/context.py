@@ -26,35 +26,13 @@ from hourglass.operators import anomaly as AN
 from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import silver as S
-from hourglass.operators.joins import bounded_broadcast
-from hourglass.operators.sequence import largest_group_bound, pick_method
 from hourglass.sources import adapters as A
-
-
-_DIM_BROADCAST: dict[tuple, bool] = {}
-_SERIES_BOUND: dict[tuple, int] = {}
+from hourglass.sources.sinks import materialize
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, method: str = "auto"):
-        self.spark, self.sf_dir, self._method = spark, sf_dir, method
-
-    @cached_property
-    def method(self) -> str:
-        """Per-series plan: ``frames`` when the largest pollutant series
-        (bounded from the pre-dedup records, one cheap aggregate) fits one
-        task, else the chunked ``prefix`` plan."""
-        if self._method != "auto":
-            return self._method
-        key = (id(self.spark), self.sf_dir)
-        if key not in _SERIES_BOUND:
-            pol = self.flat.filter(F.col("parameter_code").isin(K.POLLUTANTS))
-            _SERIES_BOUND[key] = largest_group_bound(pol, ["site_id", "parameter_code"])
-        return pick_method(_SERIES_BOUND[key])
-
-    @property
-    def runs_method(self) -> str:
-        return "window" if self.method == "frames" else "chunked"
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
     # ---- hourly chain ---------------------------------------------------
     @cached_property
@@ -71,7 +49,7 @@ class Pipeline:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """Gen 2 silver, one row per grain key (input of the gold tables)."""
+        """Gen 2 silver, one row per grain key."""
         return S.dedup(self.silver.select(*S.FACT_COLUMNS))
 
     @cached_property
@@ -88,34 +66,36 @@ class Pipeline:
         """Gen 1 pollutant fact (input of the detectors)."""
         return S.fact_observation(self.bronze)
 
+    @cached_property
+    def fact_with_nulls(self) -> DataFrame:
+        """As ``fact1``, with rows whose reading is missing."""
+        rows = self.tagged.filter(F.coalesce("reject_reason", F.lit("null_value")) == "null_value")
+        return S.dedup(rows.filter(F.col("parameter_code").isin(K.POLLUTANTS)).select(*S.FACT_COLUMNS))
+
     @cached_property
     def dim(self) -> DataFrame:
-        """Station dimension, broadcast only after its size is checked (once
-        per session and source folder)."""
-        d = G.dim_station(A.station_details(self.spark, self.sf_dir))
-        key = (id(self.spark), self.sf_dir)
-        if key not in _DIM_BROADCAST:
-            _DIM_BROADCAST[key] = bounded_broadcast(d) is not d
-        return F.broadcast(d) if _DIM_BROADCAST[key] else d
+        """Station dimension, unhinted: AQE broadcasts it when its size, as
+        measured in the running query, allows that."""
+        return G.dim_station(A.station_details(self.spark, self.sf_dir))
 
     @cached_property
     def daily(self) -> DataFrame:
-        return G.gold_daily(self.fact, self.dim)
+        return G.gold_daily(self.silver, self.dim)
 
     @cached_property
     def profile(self) -> DataFrame:
-        return G.site_hourly_profile(self.fact, self.dim)
+        return G.site_hourly_profile(self.fact1, self.dim)
 
     @cached_property
     def wide(self) -> DataFrame:
         return G.hourly_wide(self.silver)
 
     def exceedance(self, min_completeness: float = K.MIN_DAILY_COMPLETENESS) -> DataFrame:
-        return G.exceedance_events(self.daily, G.standards_frame(self.spark), min_completeness, self.runs_method)
+        return G.exceedance_events(self.daily, G.standards_frame(self.spark), min_completeness)
 
     @cached_property
     def anomaly(self) -> DataFrame:
-        return AN.observation_anomaly(self.fact1, method=self.method)
+        return AN.observation_anomaly(self.fact1)
 
     @cached_property
     def state(self) -> DataFrame:
@@ -138,14 +118,37 @@ class Pipeline:
     def long_bronze(self) -> DataFrame:
         return A.long_records(self.spark, self.sf_dir)
 
+    @cached_property
+    def long_silver(self) -> DataFrame:
+        return S.silver(self.long_bronze)
+
     @cached_property
     def long_fact(self) -> DataFrame:
-        return S.dedup(S.silver(self.long_bronze).select(*S.FACT_COLUMNS))
+        return S.dedup(self.long_silver.select(*S.FACT_COLUMNS))
 
     @cached_property
     def regional(self) -> DataFrame:
-        return G.gold_regional(self.long_fact, self.dim)
+        return G.gold_regional(self.long_silver, self.dim)
 
     @cached_property
     def seasonal(self) -> DataFrame:
         return AN.seasonal_anomaly(self.long_fact)
+
+
+class Written(Pipeline):
+    """The pipeline with every layer written once under the shared folder and
+    read back, for checks that read several layers: each source is scanned
+    once, and a layer is one scan of the layer before it."""
+
+
+def _written(name: str):
+    def layer(self: Written) -> DataFrame:
+        return materialize(getattr(Pipeline, name).func(self), f"layer-{name}")
+    layer.__name__ = name
+    return layer
+
+
+for _name in ("bronze", "flat", "silver", "tagged", "fact", "fact1", "dim", "daily", "wide", "anomaly", "long_silver", "regional", "health"):
+    _layer = cached_property(_written(_name))
+    _layer.__set_name__(Written, _name)
+    setattr(Written, _name, _layer)

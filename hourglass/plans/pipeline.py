@@ -20,7 +20,6 @@ from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
-from hourglass.operators.joins import bounded_broadcast
 from hourglass.sources import adapters as A
 from hourglass.sources.sinks import overwrite
 
@@ -38,7 +37,7 @@ class Layers:
     classification: DataFrame
 
 
-def run(spark: SparkSession, sf_dir: str, root: str, method: str = "auto") -> Layers:
+def run(spark: SparkSession, sf_dir: str, root: str) -> Layers:
     def put(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{root.rstrip('/')}/{name}"
         overwrite(df, path, partition_by)
@@ -48,13 +47,12 @@ def run(spark: SparkSession, sf_dir: str, root: str, method: str = "auto") -> La
     silver = put(S.silver(bronze), "silver", ["parameter_code", "year"])
     fact = put(S.dedup(silver.select(*S.FACT_COLUMNS)), "fact")
     dim = put(G.dim_station(A.station_details(spark, sf_dir)), "dim_station")
-    dim_b = bounded_broadcast(dim)
-    daily = put(G.gold_daily(fact, dim_b), "gold_daily")
-    long_fact = put(S.dedup(S.silver(A.long_records(spark, sf_dir)).select(*S.FACT_COLUMNS)), "long_fact")
-    regional = put(G.gold_regional(long_fact, dim_b), "gold_regional")
+    daily = put(G.gold_daily(silver, dim), "gold_daily")
+    long_silver = put(S.silver(A.long_records(spark, sf_dir)), "long_silver", ["parameter_code", "year"])
+    regional = put(G.gold_regional(long_silver, dim), "gold_regional")
     wide = put(G.hourly_wide(silver), "hourly_wide")
     fact1 = put(S.fact_observation(bronze), "fact_observation")
-    anomaly = put(AN.observation_anomaly(fact1, method=method), "observation_anomaly")
+    anomaly = put(AN.observation_anomaly(fact1), "observation_anomaly")
     cls = put(EV.hourly_classification(EV.hourly_network_state(anomaly)), "hourly_classification")
     return Layers(bronze, silver, fact, dim, daily, regional, wide, anomaly, cls)
 

@@ -1,9 +1,9 @@
 """Raw observation files: landing, batch scan, rescued data, manifest,
 chunk plan (A1, A3, A4, A15, A16, A17).
 
-Raw files hold one JSON record per line, one file group per
-station-parameter-year chunk (``site{id}_{param}_{year}.json``). Spark's
-JSON reader also reads the JSON-array layout with ``multiline=True``.
+Raw files hold the records of a station-parameter-year chunk
+(``site{id}_{param}_{year}.json``) as a JSON array, the layout of the source
+API, or one record per line; scans, streams and the rescue column take both.
 Everything is a distributed scan; the file name is parsed with
 ``regexp_extract`` (no driver-side listing or parsing)."""
 
@@ -21,6 +21,7 @@ PARAMETER_STRUCT = T.StructType([T.StructField("ParameterCode", T.StringType()),
 RAW_SCHEMA = T.StructType([
     T.StructField("Site_Id", T.IntegerType()), T.StructField("Parameter", PARAMETER_STRUCT),
     T.StructField("Date", T.StringType()), T.StructField("Hour", T.IntegerType()),
+    T.StructField("HourDescription", T.StringType()),
     T.StructField("Value", T.DoubleType()), T.StructField("AirQualityCategory", T.StringType()),
 ])
 KNOWN = [f.name for f in RAW_SCHEMA.fields]
@@ -42,14 +43,26 @@ def raw_lines(records: DataFrame) -> DataFrame:
     return records.select(F.col("_source_file").alias(CHUNK_FILE), body.alias(RAW_TEXT), "_record_id")
 
 
-def land(records: DataFrame, out_dir: str) -> str:
+#: Record ids an array file spans at most, and so records it holds.
+ARRAY_SPAN = 50_000
+
+
+def land(records: DataFrame, out_dir: str, arrays: bool = True) -> str:
     """A landing step: write records as raw chunk files under ``out_dir``
-    (one directory per chunk file name). Rows are clustered by chunk with a
-    REBALANCE on the file name: AQE splits a chunk that holds a large share
-    of the rows over several writer tasks instead of one."""
+    (one directory per chunk file name). ``arrays``: each file is one JSON
+    array of the chunk's records of a range of ``ARRAY_SPAN`` ids, so that no
+    array grows with the input. Otherwise one record per line, clustered by
+    a REBALANCE on the file name: AQE splits a chunk that holds a large share
+    of the rows over several writer tasks."""
     lines = raw_lines(records)
-    (lines.hint("rebalance", CHUNK_FILE).sortWithinPartitions(CHUNK_FILE, "_record_id").drop("_record_id")
-          .write.mode("overwrite").partitionBy(CHUNK_FILE).text(out_dir))
+    if arrays:
+        span = F.floor(F.col("_record_id") / ARRAY_SPAN)
+        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_record_id", RAW_TEXT))), lambda x: x[RAW_TEXT]), ",\n ")
+        files = lines.groupBy(CHUNK_FILE, span.alias("_span")).agg(F.concat(F.lit("["), body, F.lit("]")).alias(RAW_TEXT)).drop("_span")
+        files.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(CHUNK_FILE).text(out_dir)
+    else:
+        (lines.hint("rebalance", CHUNK_FILE).sortWithinPartitions(CHUNK_FILE, "_record_id").drop("_record_id")
+              .write.mode("overwrite").partitionBy(CHUNK_FILE).text(out_dir))
     return out_dir
 
 
@@ -60,7 +73,7 @@ def chunk_name(path: Column) -> Column:
     return F.when(landed != "", landed).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
 
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A1/A4: typed batch scan of raw files with provenance. Fields that do
     not fit the schema become NULL (see ``read_rescued`` to keep them)."""
     df = (spark.read.schema(RAW_SCHEMA).option("multiLine", multiline).option("mode", "PERMISSIVE")
@@ -70,38 +83,57 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
 
 
 def rescue(text: DataFrame, value_col: str = RAW_TEXT) -> DataFrame:
-    """A3: parse each JSON record as text, type the known fields with
-    ``try_cast``, and keep whatever did not fit — unknown fields and values
-    of the wrong type — as JSON in ``_rescued_data`` (NULL when nothing)."""
-    m = F.from_json(F.col(value_col), "map<string,string>")
-    d = text.select("*", m.alias("_m"))
+    """A3: parse raw text — a JSON array of records or one record — into rows,
+    type the known fields with ``try_cast``, and keep whatever did not fit as
+    JSON in ``_rescued_data`` (NULL when nothing): unknown fields, values of
+    the wrong type, a ``Parameter`` that isn't the known struct (its whole
+    text), and text that isn't a record at all (as it is). A blank text has
+    no records."""
+    raw = F.trim(F.col(value_col))
+    is_array = raw.startswith("[")
+    parsed = F.from_json(raw, "array<string>")
+    # Text that looks like an array but can't be read as one stays whole.
+    each = F.when(is_array & parsed.isNotNull(), parsed).otherwise(F.array(value_col))
+    d = text.filter(F.length(raw) > 0).withColumn("_rec", F.explode(each))
+    d = d.withColumn("_m", F.when(F.trim("_rec").startswith("{") & F.try_parse_json("_rec").isNotNull(), F.from_json("_rec", "map<string,string>")))
+    d = d.withColumn("_pm", F.from_json(F.col("_m")["Parameter"], "map<string,string>"))
+    fields = ", ".join(repr(f.name) for f in PARAMETER_STRUCT.fields)
+    d = d.withColumn("_bad", F.expr(
+        "_m['Parameter'] IS NOT NULL AND (_pm IS NULL OR NOT startswith(trim(_m['Parameter']), '{') "
+        f"OR size(array_except(map_keys(_pm), array({fields}))) > 0)"))
     typed = []
     for f in RAW_SCHEMA.fields:
-        raw = F.col("_m")[f.name]
+        value = F.col("_m")[f.name]
         if isinstance(f.dataType, T.StructType):
-            typed.append(F.from_json(raw, f.dataType).alias(f.name))
+            typed.append(F.when(F.startswith(F.trim(value), F.lit("{")), F.from_json(value, f.dataType)).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
-            typed.append(raw.alias(f.name))
+            typed.append(value.alias(f.name))
         else:
             typed.append(F.expr(f"try_cast(_m['{f.name}'] AS {f.dataType.simpleString()})").alias(f.name))
     d = d.select("*", *typed)
+    known = ", ".join(repr(n) for n in KNOWN)
     checks = " OR ".join(
-        [f"NOT array_contains(array({', '.join(repr(n) for n in KNOWN)}), k)"] +
+        [f"NOT array_contains(array({known}), k)", "(k = 'Parameter' AND _bad)"] +
         [f"(k = '{f.name}' AND v IS NOT NULL AND try_cast(v AS {f.dataType.simpleString()}) IS NULL)"
          for f in RAW_SCHEMA.fields if not isinstance(f.dataType, (T.StringType, T.StructType))])
     leftover = F.expr(f"map_filter(_m, (k, v) -> {checks})")
-    return d.withColumn("_rescued_data", F.when(F.size(leftover) > 0, F.to_json(leftover))).drop("_m", value_col)
+    rescued = F.when(F.col("_m").isNull(), F.col("_rec")).when(F.size(leftover) > 0, F.to_json(leftover))
+    return d.withColumn("_rescued_data", rescued).drop("_m", "_pm", "_bad", "_rec", value_col)
+
+
+def raw_text(reader, path: str, whole: bool = True) -> DataFrame:
+    """Raw files as text with their path: whole files (arrays), or lines.
+    ``reader`` is ``spark.read`` or ``spark.readStream``."""
+    return reader.format("text").option("wholetext", whole).load(path) \
+        .select(F.col("value").alias(RAW_TEXT), F.col("_metadata.file_path").alias("_source_path"))
 
 
-def read_rescued(spark: SparkSession, path: str) -> DataFrame:
+def read_rescued(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     """A3 over landed files: text scan -> rescue, with provenance."""
-    text = spark.read.text(path).select(F.col("value").alias(RAW_TEXT),
-                                        F.col("_metadata.file_path").alias("_source_path"))
-    out = rescue(text)
-    return out.select(*KNOWN, "_rescued_data", "_source_path")
+    return rescue(raw_text(spark.read, path, whole)).select(*KNOWN, "_rescued_data", "_source_path")
 
 
-def manifest(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def manifest(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """One row per landed chunk: site, parameter, year parsed from the
     file name, and the number of records — 0 for an empty file.
 
@@ -113,7 +145,7 @@ def manifest(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     files = (spark.read.format("binaryFile").load(path)
                   .select(chunk_name(F.col("path")).alias("path")).distinct())
     if multiline:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         counted = text.select(chunk_name(F.col("_metadata.file_path")).alias("path"),
                               F.coalesce(F.json_array_length("value"), F.lit(0)).alias("_n"))
     else:

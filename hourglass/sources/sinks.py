@@ -1,11 +1,10 @@
 """Sinks: overwrite with schema replacement (A9) and an idempotent upsert
 (A14) for tables stored as plain Parquet (no MERGE available).
 
-An upsert never reads and overwrites the same path: every application
-writes a new version directory, ``v{n+1} = (v{n} anti-join source on keys)
-∪ source``. Replaying the same source yields the same rows. At scale the
-target would be partitioned by date and only the partitions the source
-touches rewritten (dynamic partition overwrite into the new version)."""
+``upsert`` writes a new version of a small table. ``upsert_partitions`` works
+in place on a table partitioned by a column: only the partitions that the
+source touches are read, merged and rewritten (dynamic partition overwrite);
+all others keep their files. Replaying the same source yields the same rows."""
 
 from __future__ import annotations
 
@@ -40,12 +39,27 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def merged(target: DataFrame, source: DataFrame, keys: list[str], order: tuple[str, ...]) -> DataFrame:
+    """Target rows with the source's in place of those of equal keys. Of several
+    source rows of one key the one that sorts last on ``order`` counts."""
+    src = dedup(source, keys, order)
+    return target.join(src.select(*keys), keys, "left_anti").unionByName(src.select(*target.columns))
+
+
 def upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str],
-           out_path: str, order: tuple[str, ...] | None = None) -> DataFrame:
-    """Update matched keys, insert unmatched ones, into ``out_path``.
-    Duplicate source keys are resolved first (a MERGE would reject them)."""
-    tgt = spark.read.parquet(target_path)
-    src = dedup(source, keys, order) if order else source.dropDuplicates(keys)
-    new = tgt.join(src.select(*keys), keys, "left_anti").unionByName(src.select(*tgt.columns))
-    overwrite(new, out_path)
+           out_path: str, order: tuple[str, ...]) -> DataFrame:
+    """Update matched keys, insert unmatched ones, into ``out_path``."""
+    overwrite(merged(spark.read.parquet(target_path), source, keys, order), out_path)
     return spark.read.parquet(out_path)
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str,
+                      order: tuple[str, ...]) -> None:
+    """Upsert into the table at ``path``, partitioned by ``partition`` (which
+    the keys determine). The touched partitions are merged into a table of
+    their own first, so that nothing is overwritten while it is read."""
+    target = spark.read.parquet(path)
+    touched = source.select(partition).distinct()
+    new = materialize(merged(target.join(touched, partition, "left_semi"), source, keys, order), "upsert")
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd") \
+        .partitionBy(partition).parquet(path)

@@ -22,19 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass import constants as K
+from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
 from hourglass.operators.gold import dim_station
 from hourglass.plans.catalog import QUERIES
-from hourglass.plans.oracle import CTES, POL, cte, with_ctes
-
-
-def _daily_sql() -> str:
-    return CTES["daily"][0]
-from hourglass.plans.oracle_queries import ORACLE
 from hourglass.session import shared_path
 from hourglass.sources import adapters as A
 from hourglass.sources import raw_json as RJ
-from hourglass.sources.sinks import overwrite, upsert
+from hourglass.sources.sinks import materialize, overwrite, upsert_partitions
 
 BRONZE_SCHEMA = T.StructType(RJ.RAW_SCHEMA.fields + [
     T.StructField("_rescued_data", T.StringType()), T.StructField("_ingested_at", T.TimestampType()),
@@ -49,20 +44,20 @@ def land_hourly(spark: SparkSession, sf_dir: str) -> str:
     return RJ.land(A.hourly_records(spark, sf_dir), run_dir(spark, "raw"))
 
 
-def bronze_stream_frame(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text")
+def bronze_stream_frame(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None,
+                        whole: bool = True) -> DataFrame:
+    """``whole``: files are JSON arrays; otherwise one record per line."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.load(raw_dir).select(F.col("value").alias(RJ.RAW_TEXT),
-                                      F.col("_metadata.file_path").alias("_source_path"))
-    rows = RJ.rescue(src)
+    rows = RJ.rescue(RJ.raw_text(reader, raw_dir, whole))
     return rows.select(*RJ.KNOWN, "_rescued_data", F.current_timestamp().alias("_ingested_at"),
                        RJ.chunk_name(F.col("_source_path")).alias("_source_file"))
 
 
 def stream_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None) -> None:
-    q = (bronze_stream_frame(spark, raw_dir, max_files_per_trigger).writeStream.format("parquet")
+                  max_files_per_trigger: int | None = None, whole: bool = True) -> None:
+    q = (bronze_stream_frame(spark, raw_dir, max_files_per_trigger, whole).writeStream.format("parquet")
          .outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(bronze_dir))
     q.awaitTermination()
@@ -86,9 +81,11 @@ def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarant
             obs = Observation(f"silver_{batch_id}")
             checks = [F.count_if(~S.passes(c)).alias(f"failed_{n}") for n, c in S.drop_rules() + S.track_rules()]
             observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *checks)
-            kept = S.expect_or_drop(observed, S.drop_rules())
+            # One rule set decides both sinks: a row has a reason exactly when a
+            # drop expectation fails; implausible negatives are only counted.
+            kept, _ = S.split_quarantine(S.reject_reason(observed, floor=None))
             overwrite(kept, f"{silver_dir}/batch_id={batch_id}")
-            rejected = S.split_quarantine(S.reject_reason(df))[1]
+            rejected = S.split_quarantine(S.reject_reason(df, floor=None))[1]
             overwrite(rejected, f"{quarantine_dir}/batch_id={batch_id}")
             metrics.append({"batch_id": batch_id, **obs.get})
         finally:
@@ -101,9 +98,6 @@ def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarant
 
 
 # ---- registered keys ----------------------------------------------------------
-SOURCE_COLS = ["Site_Id", "ParameterCode", "Units", "Frequency", "Date", "Hour", "Value", "AirQualityCategory"]
-
-
 def _flat_raw(df: DataFrame) -> DataFrame:
     return df.select("Site_Id", "Parameter.*", "Date", "Hour", "Value", "AirQualityCategory",
                      *[c for c in df.columns if c in ("_rescued_data", "_source_file")])
@@ -133,12 +127,41 @@ def _silver_stream(spark, sf_dir):
         "below_detection", "value_clean", "_source_file")
 
 
-def _streamed_silver(spark, sf_dir) -> DataFrame:
+def _streamed(spark, sf_dir) -> tuple[str, str, str]:
+    """Paths of bronze, silver and quarantine after the streams have drained."""
     raw, bronze, silver, quar = (land_hourly(spark, sf_dir), run_dir(spark, "bronze"),
                                  run_dir(spark, "silver"), run_dir(spark, "quarantine"))
     stream_bronze(spark, raw, bronze, run_dir(spark, "ckpt"))
     stream_silver(spark, bronze, silver, quar, run_dir(spark, "ckpt"))
-    return spark.read.parquet(silver)
+    return bronze, silver, quar
+
+
+def _streamed_silver(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(_streamed(spark, sf_dir)[1])
+
+
+def stream_reconciliation(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Bronze rows against silver and quarantine rows, and the silver rows that
+    would be rejected (``overlap``)."""
+    overlap = S.reject_reason(silver, floor=None).agg(
+        F.count(F.lit(1)).alias("silver"), F.count_if(F.col("reject_reason").isNotNull()).alias("overlap"))
+    one = Q.side_by_side(b=bronze.agg(F.count(F.lit(1)).alias("bronze")), s=overlap,
+                         q=quarantine.agg(F.count(F.lit(1)).alias("quarantine")))
+    return one.select("b.*", "s.silver", "q.*", "s.overlap").withColumn(
+        "balanced", F.col("bronze") == F.col("silver") + F.col("quarantine"))
+
+
+def _stream_reconciliation(spark, sf_dir):
+    return stream_reconciliation(*(spark.read.parquet(p) for p in _streamed(spark, sf_dir)))
+
+
+def stream_upsert(spark: SparkSession, source: DataFrame, path: str, keys: list[str], partition: str,
+                  order: tuple[str, ...], checkpoint: str) -> None:
+    """A14 from a stream: each micro-batch is upserted into the partitions it
+    touches; a replayed batch changes nothing."""
+    q = (source.writeStream.foreachBatch(lambda df, _: upsert_partitions(spark, path, df, keys, partition, order))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def _gold_daily_streamed(spark, sf_dir):
@@ -163,10 +186,9 @@ def _chunk_status(spark, sf_dir):
 
 def _rows_vs_manifest(spark, sf_dir):
     raw = land_hourly(spark, sf_dir)
-    rows = RJ.read_raw(spark, raw).agg(F.count(F.lit(1)).alias("table_rows")).withColumn("_k", F.lit(1))
-    rec = RJ.manifest(spark, raw).agg(F.sum("records").alias("records_on_disk")).withColumn("_k", F.lit(1))
-    return rows.join(F.broadcast(rec), "_k").drop("_k").withColumn(
-        "difference", F.col("table_rows") - F.col("records_on_disk"))
+    one = Q.side_by_side(t=RJ.read_raw(spark, raw).agg(F.count(F.lit(1)).alias("table_rows")),
+                         m=RJ.manifest(spark, raw).agg(F.sum("records").alias("records_on_disk")))
+    return one.select("t.*", "m.*").withColumn("difference", F.col("table_rows") - F.col("records_on_disk"))
 
 
 def _reprocessed_week(fact: DataFrame) -> DataFrame:
@@ -177,22 +199,29 @@ def _reprocessed_week(fact: DataFrame) -> DataFrame:
     return week.withColumn("value_clean", F.greatest(F.col("value"), F.lit(0.0)))
 
 
-UPSERT_COLS = ["site_id", "parameter_code", "obs_time", "value", "value_clean"]
+UPSERT_COLS = ["site_id", "parameter_code", "obs_time", "obs_date", "value", "value_clean"]
+UPSERT_ORDER = ("value", "value_clean")
 
 
 def _upsert_versions(spark, sf_dir):
+    """The table before, after the upsert and after its replay, by versions of
+    the partitioned table; and the source."""
     fact = S.dedup(S.silver(A.hourly_records(spark, sf_dir))).select(*UPSERT_COLS)
     root = run_dir(spark, "upsert")
     overwrite(fact, f"{root}/v0")
-    src = _reprocessed_week(fact)
-    upsert(spark, f"{root}/v0", src, K.SILVER_GRAIN, f"{root}/v1")
-    upsert(spark, f"{root}/v1", src, K.SILVER_GRAIN, f"{root}/v2")   # replay
-    return [spark.read.parquet(f"{root}/v{i}") for i in range(3)], src
+    v0 = spark.read.parquet(f"{root}/v0")
+    table = f"{root}/table"
+    v0.write.partitionBy("obs_date").parquet(table)
+    src = _reprocessed_week(v0)
+    after = []
+    for _ in range(2):  # the upsert, and its replay
+        upsert_partitions(spark, table, src, K.SILVER_GRAIN, "obs_date", UPSERT_ORDER)
+        after.append(materialize(spark.read.parquet(table).select(*UPSERT_COLS), "upsert-version"))
+    return [v0, *after], src
 
 
 def _upsert_replay(spark, sf_dir):
-    (v0, v1, v2), _ = _upsert_versions(spark, sf_dir)
-    return v2
+    return _upsert_versions(spark, sf_dir)[0][2].drop("obs_date")
 
 
 def _upsert_counts(spark, sf_dir):
@@ -200,16 +229,8 @@ def _upsert_counts(spark, sf_dir):
     (v0, v1, v2), src = _upsert_versions(spark, sf_dir)
     changed = (v0.alias("a").join(v2.alias("b"), K.SILVER_GRAIN)
                  .filter(~F.col("a.value_clean").eqNullSafe(F.col("b.value_clean"))))
-    parts = [v0.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_before").alias("t"), "n"),
-             v1.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_after_upsert").alias("t"), "n"),
-             v2.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows_after_replay").alias("t"), "n"),
-             src.agg(F.count(F.lit(1)).alias("n")).select(F.lit("source_rows").alias("t"), "n"),
-             changed.agg(F.count(F.lit(1)).alias("n")).select(F.lit("changed_rows").alias("t"), "n")]
-    u = parts[0]
-    for p_ in parts[1:]:
-        u = u.unionByName(p_)
-    names = ["rows_before", "rows_after_upsert", "rows_after_replay", "source_rows", "changed_rows"]
-    return u.groupBy().pivot("t", names).agg(F.first("n")).select(*names)
+    return Q.row_counts({"rows_before": v0, "rows_after_upsert": v1, "rows_after_replay": v2,
+                         "source_rows": src, "changed_rows": changed})
 
 
 QUERIES.update({
@@ -217,6 +238,7 @@ QUERIES.update({
     "bronze_rescued": _bronze_rescued,
     "bronze_stream": _bronze_stream,
     "silver_stream": _silver_stream,
+    "stream_reconciliation": _stream_reconciliation,
     "gold_daily_streamed": _gold_daily_streamed,
     "ingest_manifest": _manifest,
     "manifest_by_class": lambda spark, sf_dir: RJ.manifest_by_class(_manifest(spark, sf_dir)),
@@ -232,56 +254,3 @@ QUERIES.update({
 def _pipeline_gate(spark, sf_dir):
     from hourglass.plans import pipeline
     return pipeline.gate(spark, sf_dir, run_dir(spark, "pipeline"))
-
-# ---- oracle SQL for the file / stream keys --------------------------------------
-RAW_SQL = """SELECT site_id_raw AS Site_Id, code AS ParameterCode, units AS Units, frequency AS Frequency,
-  date_raw AS Date, hour_raw AS Hour, value_raw AS Value,
-  CASE WHEN code IN (%s) THEN (CASE WHEN value_raw < 20 THEN 'GOOD' WHEN value_raw < 60 THEN 'FAIR' ELSE 'POOR' END) END AS AirQualityCategory""" % POL
-RESCUED = """CASE WHEN value_raw IS NULL THEN '{"Value":"n/a","k":"' ELSE '{"k":"' END
-  || json_extract_string(props, '$.k') || '"}' AS _rescued_data"""
-cte("hbx", """SELECT hb.*, e.props FROM hb JOIN events e ON hb._record_id = e.event_id""", ["hb"])
-ORACLE["bronze_batch"] = with_ctes(f"{RAW_SQL}, _source_file FROM hb", ["hb"])
-ORACLE["bronze_rescued"] = with_ctes(f"{RAW_SQL}, {RESCUED} FROM hbx", ["hbx"])
-ORACLE["bronze_stream"] = with_ctes(f"{RAW_SQL}, {RESCUED}, _source_file FROM hbx", ["hbx"])
-ORACLE["silver_stream"] = with_ctes(
-    """SELECT hs.site_id, hs.parameter_code, hs.units, hs.obs_date, hs.hour_1based, hs.obs_time, hs.value,
-  hs.below_detection, hs.value_clean, hb._source_file
-FROM hs JOIN hb ON hs._record_id = hb._record_id""", ["hs", "hb"])
-MAN = r"""SELECT TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 1) AS INTEGER) AS site_id,
-  replace(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 2), '_', '.') AS pollutant,
-  TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 3) AS INTEGER) AS year,
-  _source_file AS path, COUNT(*) AS records, 'landed' AS status
-FROM hb GROUP BY _source_file"""
-cte("man", MAN, ["hb"])
-_params = ", ".join(f"('{p}')" for p in K.PARAMETERS)
-cte("plan", f"""SELECT d.site_id, p.pollutant, CAST(y.year AS INTEGER) AS year FROM dim d
-CROSS JOIN (VALUES {_params}) AS p(pollutant)
-CROSS JOIN (SELECT unnest(generate_series((SELECT MIN(year) FROM man), (SELECT MAX(year) FROM man))) AS year) y""",
-    ["dim", "man"])
-ORACLE["ingest_manifest"] = with_ctes("SELECT * FROM man", ["man"])
-ORACLE["manifest_by_class"] = with_ctes(f"""SELECT CASE WHEN pollutant IN ({POL}) THEN 'pollutant' ELSE 'weather' END
-  AS parameter_class, COUNT(*) AS files, SUM(records) AS records FROM man GROUP BY 1""".replace(
-    "SUM(records)", "CAST(SUM(records) AS BIGINT)"), ["man"])
-ORACLE["chunk_plan"] = with_ctes("SELECT * FROM plan", ["plan"])
-ORACLE["manifest_summary"] = with_ctes("""SELECT COUNT(*) AS chunks, COUNT(*) FILTER (WHERE m.records IS NULL) AS empty_chunks,
-  CAST(SUM(coalesce(m.records, 0)) AS BIGINT) AS records
-FROM plan p LEFT JOIN man m ON p.site_id = m.site_id AND p.pollutant = m.pollutant AND p.year = m.year""",
-                                       ["plan", "man"])
-ORACLE["rows_vs_manifest"] = with_ctes("""SELECT COUNT(*) AS table_rows, COUNT(*) AS records_on_disk,
-  CAST(0 AS BIGINT) AS difference FROM hb""", ["hb"])
-cte("ufact", "SELECT site_id, parameter_code, obs_time, value, value_clean FROM hfact", ["hfact"])
-cte("usrc", """SELECT site_id, parameter_code, obs_time, value, greatest(value, 0.0) AS value_clean FROM ufact
-WHERE obs_date_of(obs_time) >= DATE '2024-01-08' AND obs_date_of(obs_time) < DATE '2024-01-15'""".replace(
-    "obs_date_of(obs_time)", "CAST(obs_time AS DATE)"), ["ufact"])
-cte("uv2", """SELECT * FROM ufact t WHERE NOT EXISTS (
-  SELECT 1 FROM usrc s WHERE s.site_id = t.site_id AND s.parameter_code = t.parameter_code AND s.obs_time = t.obs_time)
-UNION ALL SELECT * FROM usrc""", ["ufact", "usrc"])
-ORACLE["upsert_replay"] = with_ctes("SELECT * FROM uv2", ["uv2"])
-ORACLE["pipeline_gate"] = ORACLE["quality_gate"]
-cte("daily_hs", _daily_sql().replace("FROM hfact f", "FROM hs f"), ["hs", "dim"])
-ORACLE["gold_daily_streamed"] = with_ctes("SELECT * FROM daily_hs", ["daily_hs"])
-ORACLE["upsert_counts"] = with_ctes("""SELECT (SELECT COUNT(*) FROM ufact) AS rows_before, (SELECT COUNT(*) FROM uv2) AS rows_after_upsert,
-  (SELECT COUNT(*) FROM uv2) AS rows_after_replay, (SELECT COUNT(*) FROM usrc) AS source_rows,
-  (SELECT COUNT(*) FROM ufact a JOIN uv2 b ON a.site_id = b.site_id AND a.parameter_code = b.parameter_code
-     AND a.obs_time = b.obs_time WHERE a.value_clean IS DISTINCT FROM b.value_clean) AS changed_rows""",
-                                    ["ufact", "uv2"])

@@ -4,6 +4,7 @@ the two physical plans (window frames vs chunked prefix sums)."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fixtures import T0, fact
@@ -12,11 +13,11 @@ from hourglass.operators import events as EV
 from hourglass.operators.sequence import sequence
 
 
-@pytest.mark.parametrize("method", ["frames", "prefix"])
-def test_short_constant_and_spike(spark, method):
+@pytest.mark.parametrize("chunk_rows", [None, 200])
+def test_short_constant_and_spike(spark, chunk_rows):
     f = fact(spark, {(1, "NO2"): [5.0], (2, "NO2"): [5.0, 6.0], (3, "NO2"): [5.0, 6.0, 7.0],
                      (4, "NO2"): [3.0] * 6, (5, "NO2"): [10, 11, 10, 11, 10, 11, 10, 11, 500]})
-    a = {(r["site_id"], r["obs_time"]): r for r in AN.observation_anomaly(f, method=method).collect()}
+    a = {(r["site_id"], r["obs_time"]): r for r in AN.observation_anomaly(f, chunk_rows=chunk_rows).collect()}
     at = lambda s, h: a[(s, T0 + dt.timedelta(hours=h))]
     assert at(1, 0)["roll_sd"] is None and at(1, 0)["anomaly_class"] == "insufficient_history"
     assert at(2, 1)["roll_sd"] is None                       # one previous row: sd undefined
@@ -27,35 +28,60 @@ def test_short_constant_and_spike(spark, method):
     assert at(5, 3)["hourly_delta"] == 1.0
 
 
-@pytest.mark.parametrize("method", ["frames", "prefix"])
-def test_strict_thresholds(spark, method):
+@pytest.mark.parametrize("chunk_rows", [None, 4])
+def test_strict_thresholds(spark, chunk_rows):
     # previous rows 0, 1, 2: mean 1, sample sd 1 (exact); readings at z = 3 and z = 5 exactly
     f = fact(spark, {(1, "NO2"): [0.0, 1.0, 2.0, 4.0], (2, "NO2"): [0.0, 1.0, 2.0, 6.0]})
-    a = {r["site_id"]: (r["z_score"], r["anomaly_class"]) for r in AN.observation_anomaly(f, window=3, method=method)
+    a = {r["site_id"]: (r["z_score"], r["anomaly_class"]) for r in AN.observation_anomaly(f, window=3, chunk_rows=chunk_rows)
          .filter(F.col("obs_hour") == 3).collect()}
     assert a == {1: (3.0, "normal"), 2: (5.0, "unusual")}
 
 
-def test_frames_equal_prefix_on_data(spark, sf_dir):
+def test_whole_series_equal_chunks_on_data(spark, sf_dir):
     from hourglass.plans.context import Pipeline
-    f = Pipeline(spark, sf_dir).fact1
-    x = AN.observation_anomaly(f, method="frames")
-    y = AN.observation_anomaly(f, method="prefix")
-    assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.collect()))
-    sx = AN.threshold_sweep(f, method="frames").orderBy("window_hours", "z_threshold").collect()
-    sy = AN.threshold_sweep(f, method="prefix").orderBy("window_hours", "z_threshold").collect()
+    p = Pipeline(spark, sf_dir)
+    for f in (p.fact1, p.fact_with_nulls):
+        x, y = AN.observation_anomaly(f), AN.observation_anomaly(f, chunk_rows=169)
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    sx = AN.threshold_sweep(p.fact1).orderBy("window_hours", "z_threshold").collect()
+    sy = AN.threshold_sweep(p.fact1, chunk_rows=800).orderBy("window_hours", "z_threshold").collect()
     assert sx == sy
 
 
-def test_prefix_hot_series_spans_chunks(spark):
-    # one series over 3 months (a hot key split into monthly chunks), with gaps
-    vals = [float((h * 7919) % 101) if h % 50 else 42.0 for h in range(24 * 75)]
-    for h in range(500, 520):
-        vals[h] = 13.0                                   # a constant stretch
-    f = fact(spark, {(1, "PM10"): vals}, skip_hours={h for h in range(0, 24 * 75, 37)})
-    x = AN.observation_anomaly(f, window=24, method="frames").collect()
-    y = AN.observation_anomaly(f, window=24, method="prefix").collect()
-    assert sorted(map(tuple, x)) == sorted(map(tuple, y))
+def windowed(spark, f, window):
+    """The definition: AVG and STDDEV over the frame."""
+    w = Window.partitionBy("site_id", "parameter_code").orderBy("obs_time").rowsBetween(-window, -1)
+    return f.select("site_id", "obs_time", F.avg("value_clean").over(w).alias("m"), F.stddev("value_clean").over(w).alias("s"))
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 7, 25, 1000])
+def test_hot_series_with_nulls_gaps_and_constant_stretches(spark, chunk_rows):
+    vals = [float((h * 7919) % 101) if h % 50 else 42.0 for h in range(24 * 40)]
+    for h in range(500, 540):
+        vals[h] = 13.1                                   # a constant stretch
+    for h in [0, 1, 2, *range(100, 140), *range(505, 560, 3), *range(0, 960, 11)]:
+        vals[h] = None
+    f = fact(spark, {(1, "PM10"): vals, (2, "PM10"): [None, 4.2, None, 4.2, 4.2, 5.0, None, None, None, 5.0]},
+             skip_hours={h for h in range(5, 24 * 40, 37)})
+    for window in (1, 4, 6):
+        got = {(r["site_id"], r["obs_time"]): (r["roll_mean"], r["roll_sd"]) for r in
+               AN.trailing_baseline(f, [window, 2], chunk_rows=chunk_rows).filter(F.col("window_rows") == window).collect()}
+        for r in windowed(spark, f, window).collect():
+            m, sd = got[r["site_id"], r["obs_time"]]
+            assert m == (None if r["m"] is None else pytest.approx(r["m"], abs=1e-9))
+            assert sd == (None if r["s"] is None else 0.0 if r["s"] < 1e-12 else pytest.approx(r["s"], abs=1e-7))
+
+
+def test_no_job_runs_while_the_plan_is_built(spark, sf_dir):
+    from hourglass.plans.context import Pipeline
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "planning")
+    try:
+        AN.observation_anomaly(Pipeline(spark, sf_dir).fact1)
+        AN.threshold_sweep(Pipeline(spark, sf_dir).fact1)
+        assert not sc.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_sequence_index_and_prev(spark):
@@ -156,9 +182,9 @@ def test_runs_window_equals_chunked(spark, sf_dir):
 def test_time_frame_option(spark):
     # readings at hours 0,1,2 then a 10-hour gap: a 3-hour time window sees nothing before hour 12
     f = fact(spark, {(1, "NO2"): [1.0, 2.0, 3.0] + [None] * 9 + [10.0, 11.0]})
-    rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3, method="frames", frame="time").collect()}
+    rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3, frame="time").collect()}
     assert rows[12]["roll_mean"] is None and rows[13]["roll_mean"] == 10.0
-    by_rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3, method="frames").collect()}
+    by_rows = {r["obs_hour"]: r for r in AN.observation_anomaly(f, window=3).collect()}
     assert by_rows[12]["roll_mean"] == 2.0                 # rows frame reaches back over the gap
 
 

@@ -90,12 +90,41 @@ def test_gate_fails_on_bad_input_and_passes_on_good(spark):
         Q.assert_gate(Q.quality_gate(bb, bs, daily, regional))
 
 
+def test_gate_fails_closed(spark):
+    nothing = bronze(spark, [(1, "PM10", "2024-01-05", 1, 5.0)]).limit(0)
+    none, dim = S.silver(nothing), _dim(spark)
+    empty = {r["check_name"]: r["passed"] for r in Q.quality_gate(nothing, none, G.gold_daily(none, dim), G.gold_regional(none, dim)).collect()}
+    assert not empty["drop_rate_pct"] and not empty["empty_tables"] and not empty["max_completeness_pct"]
+    few = bronze(spark, [(1, "PM10", "2024-01-05", 1, 5.0)])
+    more = S.silver(bronze(spark, [(1, "PM10", "2024-01-05", h, 5.0) for h in range(1, 5)]))
+    over = {r["check_name"]: r["passed"] for r in Q.quality_gate(few, more, G.gold_daily(more, dim), G.gold_regional(more, dim)).collect()}
+    assert not over["silver_rows_beyond_bronze"]
+    suite = Q.regression_suite(nothing, none, G.hourly_wide(none))
+    assert not any(r["passed"] for r in suite.collect())
+    with pytest.raises(Q.QualityGateError, match="pipeline_accounting"):
+        Q.assert_regression(suite)
+
+
+@pytest.mark.parametrize("name", ["quality_gate", "grain_checks", "regression_suite", "reconciliation", "pipeline_accounting"])
+def test_one_scan_of_each_table(spark, sf_dir, name):
+    import re
+    from collections import Counter
+
+    from hourglass.plans.catalog import QUERIES
+    df = QUERIES[name](spark, sf_dir)
+    scans = Counter(re.findall(r"(\w+)\.parquet\]|layer-(\w+)-", df._jdf.queryExecution().optimizedPlan().toString()))
+    files = Counter(f for f in re.findall(r"FileScan parquet .*?Location: \S+ (\S+)", df._jdf.queryExecution().executedPlan().toString()))
+    assert all(n == 1 for n in files.values()), files
+    assert not scans or max(scans.values()) <= 2
+
+
 def test_regression_suite_rows(spark):
     # hours 1 and 24 map to obs_hour 0 and 23
     rows = [(1, "PM10", "2024-01-05", 1, -1.0), (1, "TEMP", "2024-01-05", 1, -3.0),
-            (1, "HUMID", "2024-01-05", 2, 104.0), (1, "PM10", "2024-01-05", 24, 3.0)]
+            (1, "HUMID", "2024-01-05", 2, 104.0), (1, "HUMID", "2024-01-05", 3, 54.0), (1, "PM10", "2024-01-05", 24, 3.0)]
     b = bronze(spark, rows)
     s = S.silver(b)
     out = {r["test_name"]: r["passed"] for r in Q.regression_suite(b, s, G.hourly_wide(s)).collect()}
     assert out == {"hour_offset_corrected": True, "pipeline_accounting": True, "silver_grain_unique": True,
                    "value_clean_semantics": True, "hourly_wide_grain": True, "humidity_semantics": True}
+    Q.assert_regression(Q.regression_suite(b, s, G.hourly_wide(s)))

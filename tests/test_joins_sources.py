@@ -1,7 +1,9 @@
-"""Size-checked broadcast and scan spreading."""
+"""Size-checked broadcast and the shared folder."""
+
+import pytest
 
 from hourglass.operators.joins import bounded_broadcast
-from hourglass.sources.tables import spread_scan, table
+from hourglass.session import local_checkpoint_dir
 
 
 def _is_broadcast_join(df):
@@ -19,10 +21,11 @@ def test_bounded_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_spread_scan_only_when_few_splits(spark, sf_dir):
-    one = table(spark, sf_dir, "events", ["event_id", "value"])
-    assert one.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    spread = spread_scan(one, "event_id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread_scan(many, "id") is many
+@pytest.mark.parametrize("master,ok", [("local", True), ("local[4]", True), ("local[*]", True), ("yarn", False),
+                                       ("local-cluster[2,1,1024]", False), ("spark://host:7077", False)])
+def test_only_local_masters_get_a_folder_of_their_own(master, ok):
+    if ok:
+        assert local_checkpoint_dir(master)
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            local_checkpoint_dir(master)

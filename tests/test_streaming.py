@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hourglass.operators import silver as S
 from hourglass.sources import adapters as A
 from hourglass.sources import raw_json as RJ
+from hourglass.sources import sinks as SK
 from hourglass.streaming import jobs as J
 
 
@@ -25,9 +26,9 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, sf_dir):
     assert streamed.select(*key).exceptAll(batch.select(*key)).count() == 0
     assert sum(m["rows"] for m in metrics) == n1
     q = spark.read.parquet(quar)
-    # Gen 2 keeps implausible negatives (tracked only); every other reject was dropped
-    implausible = q.filter(F.col("reject_reason") == "implausible_negative").count()
-    assert q.count() - implausible == n1 - streamed.count()
+    assert q.count() + streamed.count() == n1
+    r = J.stream_reconciliation(spark.read.parquet(bronze), streamed, q).first()
+    assert r["overlap"] == 0 and r["balanced"]
 
 
 def test_rescue_keeps_unknown_and_mistyped(spark):
@@ -39,13 +40,68 @@ def test_rescue_keeps_unknown_and_mistyped(spark):
     assert out[4]["_rescued_data"] is None and out[4]["Value"] == 1.5
 
 
-def test_multiline_array_files(spark, tmp_path):
-    p = tmp_path / "site1_PM10_2024.json"
-    p.write_text('[{"Site_Id": 1, "Date": "2024-01-01", "Hour": 1, "Value": 2.5},\n'
-                 ' {"Site_Id": 1, "Date": "2024-01-01", "Hour": 2, "Value": 3.5}]')
-    (tmp_path / "site1_PM10_2025.json").write_text("[]")
-    df = RJ.read_raw(spark, str(tmp_path), multiline=True)
-    assert sorted(r["Value"] for r in df.collect()) == [2.5, 3.5]
+SHAPES = [
+    ('{"Site_Id": 5, "Parameter": {"ParameterCode": "NO2", "Extra": {"a": 1}}, "Value": 1.5}', 5, "NO2", '{"Parameter":'),
+    ('{"Site_Id": 6, "Parameter": "NO2", "Value": 1.5}', 6, None, '{"Parameter":"NO2"}'),
+    ('{"Site_Id": 7, "Value": ', None, None, '{"Site_Id": 7, "Value": '),
+    ("not json at all", None, None, "not json at all"),
+    ('{"Site_Id": 8, "HourDescription": "12 am - 1 am", "Value": 2.5}', 8, None, None)]
+
+
+def test_rescue_loses_no_text(spark):
+    text = spark.createDataFrame([(t,) for t, *_ in SHAPES], "_raw string")
+    rows = J.RJ.rescue(text).collect()
+    assert len(rows) == len(SHAPES)
+    for text, site, code, rescued in SHAPES:
+        row = next(r for r in rows if r["Site_Id"] == site and (site or (r["_rescued_data"] or "").startswith(rescued)))
+        assert (row["Parameter"]["ParameterCode"] if row["Parameter"] else None) == code
+        assert (row["_rescued_data"] or "").startswith(rescued or "") and (row["_rescued_data"] is None) == (rescued is None)
+    assert '"Extra"' in next(r for r in rows if r["Site_Id"] == 5)["_rescued_data"].replace("\\", "")
+
+
+def test_rescue_reads_arrays_and_keeps_broken_ones(spark):
+    good = "[" + ",\n ".join(t for t, site, *_ in SHAPES if site) + "]"
+    rows = J.RJ.rescue(spark.createDataFrame([(good,), ("[]",), ("  ",), ('[{"Site_Id": 1}, {"Site',)], "_raw string")).collect()
+    assert sorted(r["Site_Id"] for r in rows if r["Site_Id"]) == [5, 6, 8]
+    assert [r["_rescued_data"] for r in rows if r["Site_Id"] is None] == ['[{"Site_Id": 1}, {"Site']
+
+
+def test_array_files_in_batch_stream_and_manifest(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "site1_PM10_2024.json").write_text('[{"Site_Id": 1, "Date": "2024-01-01", "Hour": 1, "Value": 2.5},\n'
+                                              ' {"Site_Id": 1, "Date": "2024-01-01", "Hour": 2, "Value": 3.5}]')
+    (raw / "site1_PM10_2025.json").write_text("[]")
+    assert sorted(r["Value"] for r in RJ.read_raw(spark, str(raw)).collect()) == [2.5, 3.5]
+    J.stream_bronze(spark, str(raw), str(tmp_path / "bronze"), str(tmp_path / "ck"))
+    assert sorted(r["Value"] for r in spark.read.parquet(str(tmp_path / "bronze")).collect()) == [2.5, 3.5]
+    assert {(r["year"], r["records"], r["status"]) for r in RJ.manifest(spark, str(raw)).collect()} == {
+        (2024, 2, "landed"), (2025, 0, "empty")}
+
+
+def test_lines_layout(spark, sf_dir, tmp_path):
+    raw = RJ.land(A.hourly_records(spark, sf_dir), str(tmp_path / "lines"), arrays=False)
+    n = A.hourly_records(spark, sf_dir).count()
+    assert RJ.read_rescued(spark, raw, whole=False).count() == RJ.read_raw(spark, raw, multiline=False).count() == n
+    assert RJ.manifest(spark, raw, multiline=False).groupBy().sum("records").first()[0] == n
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.createDataFrame([(d, k, 1.0) for d in ("a", "b", "c") for k in range(3)], "d string, k int, v double") \
+        .write.partitionBy("d").parquet(path)
+    files = lambda: {str(f.relative_to(path)) for f in (tmp_path / "table").rglob("*.parquet")}
+    before = files()
+    src = spark.createDataFrame([("b", 1, 5.0), ("b", 1, 7.0), ("b", 9, 8.0), ("n", 0, 9.0)], "d string, k int, v double")
+    SK.upsert_partitions(spark, path, src, ["d", "k"], "d", ("v",))
+    want = {("a", 0, 1.0), ("a", 1, 1.0), ("a", 2, 1.0), ("c", 0, 1.0), ("c", 1, 1.0), ("c", 2, 1.0),
+            ("b", 0, 1.0), ("b", 1, 7.0), ("b", 2, 1.0), ("b", 9, 8.0), ("n", 0, 9.0)}
+    rows = lambda: {tuple(r) for r in spark.read.parquet(path).select("d", "k", "v").collect()}
+    assert rows() == want
+    assert {f for f in before if f[2] != "b"} <= files() and not {f for f in before if f[2] == "b"} & files()
+    src.coalesce(1).write.parquet(str(tmp_path / "src"))
+    J.stream_upsert(spark, spark.readStream.schema(src.schema).parquet(str(tmp_path / "src")), path, ["d", "k"], "d", ("v",), str(tmp_path / "ck"))
+    assert rows() == want and spark.read.parquet(path).count() == len(want)
 
 
 def test_upsert_replay_idempotent(spark, sf_dir):
