@@ -271,8 +271,10 @@ def _led(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of different labels that may link. Entries that can't
-    reach any partner in their bucket, and buckets of one label, go first."""
+    """(a, b): all pairs of different labels that may link: enough common
+    shingles in their prefixes, and enough that they can share altogether (the
+    common ones up to the last, and what either has after that). Entries that
+    can't reach any partner in their bucket, and buckets of one label, go first."""
     rows = buckets.join(labels, F.col("doc") == F.col("id"), "left").drop("id") \
         .withColumn("label", F.coalesce("component", "doc")).drop("component")
     by_token = W.partitionBy("token")
@@ -283,11 +285,21 @@ def _rest(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             .filter(f"n - own >= {_least_overlap('n', partner, percent)}").drop("_a", "_b", "_least_n")
     rows = written(rows.withColumns({"_a": F.min("label").over(by_token), "_b": F.max("label").over(by_token)})
                    .filter("_a < _b").drop("_a", "_b"), "jaccard-rest")
-    a, b = rows.alias("x"), rows.alias("y")
-    pairs = a.join(b, F.expr("x.token = y.token AND x.doc < y.doc AND x.label <> y.label AND " + _may_link("x", "y", percent)))
-    return pairs.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")) \
-        .agg(F.countDistinct("x.token").alias("c"), F.min(F.least("x.matches", "y.matches")).alias("need")) \
-        .filter("c >= need").select("a", "b")
+    # Beside each entry, the shared shingles of the document's whole prefix: a
+    # pair then comes once, at its first common shingle, and is judged by all.
+    own = buckets.join(rows.select("doc").distinct(), "doc", "left_semi").groupBy("doc", "n", "matches") \
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("t")) \
+        .select("doc", "n", "matches", F.col("t.token").alias("tokens"), F.col("t.pos").alias("places")) \
+        .withColumn("mixed", F.size(F.array_distinct("places")) < F.size("places"))  # texts of one id
+    rows = rows.join(own, ["doc", "n", "matches"])
+    common = "array_intersect(x.tokens, y.tokens)"
+    last = lambda t: f"{t}.places[array_position({t}.tokens, element_at({common}, -1)) - 1]"
+    at_most = f"size({common}) + least(x.n - {last('x')}, y.n - {last('y')}) - 1"
+    pairs = rows.alias("x").join(rows.alias("y"), F.expr(
+        f"x.token = y.token AND x.doc < y.doc AND x.label <> y.label AND {_may_link('x', 'y', percent)} "
+        f"AND {common}[0] = x.token AND (x.mixed OR y.mixed OR (size({common}) >= least(x.matches, y.matches) "
+        f"AND {at_most} >= {_least_overlap('x.n', 'y.n', percent)}))"))
+    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
