@@ -21,10 +21,11 @@ from hourglass.operators import gold as G
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
 from hourglass.plans import reports as R
-from hourglass.plans.context import Pipeline, Written
+from hourglass.plans.context import Dense, Pipeline, Written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+REPORTS: dict[str, Callable[[Pipeline], DataFrame]] = {}
 
 from hourglass.plans.params import (DIURNAL, EPISODE_CLASSES_ADAPTER,  # noqa: E402
                                     EPISODE_MIN_HOURS_ADAPTER, EXCEEDANCE_MIN_COMPLETENESS,
@@ -35,6 +36,7 @@ from hourglass.plans.params import (DIURNAL, EPISODE_CLASSES_ADAPTER,  # noqa: E
 def query(name: str, pipeline: type[Pipeline] = Pipeline):
     def deco(fn: Callable[[Pipeline], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: fn(pipeline(spark, sf_dir))
+        REPORTS[name] = fn
         return fn
     return deco
 
@@ -476,3 +478,63 @@ def _observation_anomaly_time(p):
 def _flatline_time(p):
     """A missing hour breaks a run."""
     return AN.flatline_runs(p.fact1, min_rows=2, method="time")
+
+
+@query("flatline_summary")
+def _flatline_summary(p): return R.flatline_summary(AN.flatline_runs(p.fact1, min_rows=FLATLINE_MIN_ROWS_ADAPTER))
+
+
+@query("flatline_raw_summary")
+def _flatline_raw_summary(p): return R.flatline_summary(_sensor_flatline_raw(p))
+
+
+@query("flatline_raw_top")
+def _flatline_raw_top(p): return R.flatline_top(_sensor_flatline_raw(p), p.dim)
+
+
+@query("sweep_ranked")
+def _sweep_ranked(p): return R.sweep_ranked(_threshold_sweep(p))
+
+
+@query("humidity_top")
+def _humidity_top(p): return R.humidity_top(p.silver)
+
+
+@query("hour1_sample")
+def _hour1_sample(p): return R.silver_sample(p.silver, F.col("hour_1based") == 1)
+
+
+@query("below_detection_sample")
+def _below_detection_sample(p): return R.silver_sample(p.silver, F.col("below_detection"))
+
+
+@query("widget_year_parameter")
+def _widget_year_parameter(p): return R.widget_sum(R.anomaly_by_year(p.anomaly), ["yr", "parameter_code"], "unusual")
+
+
+@query("widget_region_month")
+def _widget_region_month(p): return R.widget_sum(p.regional, ["region", "month_start"], "readings")
+
+
+@query("widget_site_hour")
+def _widget_site_hour(p): return R.widget_sum(p.profile, ["site_id", "obs_hour"], "readings")
+
+
+@query("widget_class")
+def _widget_class(p): return R.widget_sum(p.state, ["parameter_code"], "stations_anomalous")
+
+
+@query("widget_daily_mean")
+def _widget_daily_mean(p): return R.widget_daily_mean(p.daily)
+
+
+# The detectors and their reports over the dense records, where every class,
+# state and run type occurs and the library's own limits select something.
+DENSE = ["observation_anomaly", "observation_anomaly_chunked", "observation_anomaly_time", "anomaly_share", "hourly_network_state",
+         "hourly_classification", "discrimination_summary", "fault_vs_event", "air_quality_event", "episode_summary",
+         "episode_top", "event_hours_by_month", "anomaly_episodes", "sensor_flatline", "sensor_flatline_chunked",
+         "sensor_flatline_raw", "flatline_raw_summary", "flatline_raw_top", "flatline_run_type", "flatline_time",
+         "run_length_summary", "sensor_health", "health_share", "health_worst", "exceedance_events", "exceedance_summary",
+         "exceedance_by_year"]
+for _name in DENSE:
+    query(f"dense_{_name}", Dense)(REPORTS[_name])

@@ -135,6 +135,14 @@ class Pipeline:
         return AN.seasonal_anomaly(self.long_fact)
 
 
+class Dense(Pipeline):
+    """The hourly chain over the dense records."""
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return A.dense_records(self.spark, self.sf_dir)
+
+
 class Written(Pipeline):
     """The pipeline with every layer written once under the shared folder and
     read back, for checks that read several layers: each source is scanned

@@ -424,3 +424,36 @@ def floor_bias(fact: DataFrame, quarantine: DataFrame, reason: str = "implausibl
     return j.select("parameter_code", "avg_excluded", "avg_floored",
                     fixed(pct(F.col("avg_excluded") - F.col("avg_floored"), F.col("avg_floored")), 2)
                     .alias("pct_overstated"))
+
+
+# ---- samples and re-aggregations ---------------------------------------------
+
+def sweep_ranked(sweep: DataFrame) -> DataFrame:
+    """The sweep's settings (a fixed grid) by the share of their anomalies
+    that fall in the slice."""
+    order = Window.orderBy(F.desc("slice_share_pct"), "z_threshold", "window_hours")
+    return sweep.withColumn("share_rank", F.row_number().over(order))
+
+
+def humidity_top(silver: DataFrame, n: int = 20) -> DataFrame:
+    """The highest humidity readings above 100 (top-k, ties on the key)."""
+    return silver.filter((F.col("parameter_code") == "HUMID") & (F.col("value_clean") > 100)) \
+        .select("site_id", "obs_time", "value_clean", "_record_id") \
+        .orderBy(F.desc("value_clean"), "site_id", "obs_time", "_record_id").limit(n)
+
+
+def silver_sample(silver: DataFrame, condition: Column, n: int = 10) -> DataFrame:
+    """The first rows of a kind in time (top-k, ties on the record)."""
+    return silver.filter(condition).select(
+        "site_id", "parameter_code", "obs_date", "hour_1based", "obs_time", "value", "value_clean", "below_detection", "_record_id") \
+        .orderBy("obs_time", "_record_id").limit(n)
+
+
+def widget_sum(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """A widget's re-aggregation: the sum of a report's column by keys."""
+    return df.groupBy(*keys).agg(F.sum(value).alias("total"))
+
+
+def widget_daily_mean(daily: DataFrame) -> DataFrame:
+    """Mean of the stations' daily means by day and parameter."""
+    return daily.groupBy("obs_date", "parameter_code").agg(fixed(F.avg("daily_avg"), 3).alias("mean_daily_avg"))

@@ -10,6 +10,9 @@ is sampled or capped):
   keys seeded by deterministic rules on ``event_id``.
 * ``long_records``    — from ``lineitem``: multi-year pollutant readings, one
   station per supplier, for monthly / yearly / seasonal analyses.
+* ``dense_records``   — from ``lineitem``: one pollutant series per supplier, an
+  hour per row, with shocks at one, some or most stations, stuck readings and
+  gaps, so that the detectors meet every case; stations grow with the data.
 * ``station_details`` — from ``supplier ⋈ nation ⋈ region``: one station per
   supplier, with mixed-case region names and some NULL coordinates.
 
@@ -20,7 +23,7 @@ so the bronze → silver code path is the one real raw files take.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.sources.tables import table
@@ -112,6 +115,45 @@ def long_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the dense adapter: first hour, and pollutant by l_suppkey % 4.
+DENSE_START = "2023-02-01"
+DENSE_PARAMETERS = [("PM2.5", "ug/m3"), ("PM10", "ug/m3"), ("NO2", "pphm"), ("OZONE", "pphm")]
+
+
+def dense_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped records, one per row of ``lineitem``: the supplier's rows in
+    order are its station's hours. With ``k = l_suppkey div 4`` a station has
+
+    * every hour; every third if ``k % 5 = 4``; four of five if ``k % 5 = 3``;
+    * ten equal readings in every 200 if ``k % 10`` is 2 (7.0) or 5 (-1.0);
+    * a shock of four hours in every 150 at all stations, one at a third of
+      them (``k % 3 = 0``), one of an hour at ``k = 1``, and one hour in 40 at
+      ``k % 10 = 7``."""
+    li = table(spark, sf_dir, "lineitem",
+               ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"])
+    order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    li = li.withColumn("n", F.row_number().over(order) - 1).withColumn("k", F.floor(F.col("l_suppkey") / 4))
+    n, k = F.col("n"), F.col("k")
+    code = _case(F.col("l_suppkey") % 4, [(i, c) for i, (c, _) in enumerate(DENSE_PARAMETERS)])
+    units = _case(F.col("l_suppkey") % 4, [(i, u) for i, (_, u) in enumerate(DENSE_PARAMETERS)])
+    hour = F.when(k % 5 == 4, n * 3).when(k % 5 == 3, n + F.floor(n / 4)).otherwise(n).cast("int")
+    shock = (F.when((n % 150).between(100, 103), 400.0).when((n % 150).between(60, 63) & (k % 3 == 0), 400.0)
+              .when((n % 150 == 30) & (k == 1), 400.0).when((n % 40 == 20) & (k % 10 == 7), 1500.0).otherwise(0.0))
+    stuck = (n % 200).between(150, 159)
+    value = F.when(stuck & (k % 10 == 2), 7.0).when(stuck & (k % 10 == 5), -1.0).otherwise(F.col("l_quantity") + shock)
+    at = F.timestamp_add("HOUR", hour, F.lit(DENSE_START).cast("timestamp_ntz"))
+    site = (F.col("l_suppkey") + 1).cast("int")
+    return li.select(
+        site.alias("Site_Id"),
+        F.struct(code.alias("ParameterCode"), units.alias("Units"), F.lit(FREQUENCY).alias("Frequency")).alias("Parameter"),
+        at.cast("date").cast("string").alias("Date"), (F.hour(at) + 1).cast("int").alias("Hour"), value.alias("Value"),
+        _aqi(value).alias("AirQualityCategory"), F.lit(None).cast("string").alias("_rescued_data"),
+        F.timestamp_add("HOUR", F.lit(1), at).alias("_ingested_at"),
+        F.concat(F.lit("site"), site.cast("string"), F.lit("_"), F.translate(code, ".", "_"), F.lit("_"),
+                 F.year(at).cast("string"), F.lit(".json")).alias("_source_file"),
+        (F.col("l_suppkey") * 10_000_000 + n).alias("_record_id"))
+
+
 def station_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station details (``Site_Id, SiteName, Region, Latitude, Longitude``),
     one per supplier; region names arrive upper-case and are normalised by

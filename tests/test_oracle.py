@@ -41,3 +41,19 @@ def test_episode_islands_against_oracle_on_dense_data(spark, name):
     sf = "/root/testdata/sf0.1"
     r = compare(spark, duck(sf), QUERIES[name], ORACLE[name], sf)
     assert r["rows_spark"] == r["rows_oracle"] > 0 and r["hash_match"], r
+
+
+def test_dense_data_makes_every_branch_fire(spark):
+    """At sf0.01 every event class, health state and run type occurs, and no
+    dense key compares nothing with nothing."""
+    from hourglass import constants as K
+    from hourglass.plans.context import Dense
+    sf = "/root/testdata/sf0.01"
+    p = Dense(spark, sf)
+    seen = lambda df, c: {r[0] for r in df.select(c).distinct().collect()}
+    assert seen(p.classification, "event_class") == set(K.EVENT_CLASSES)
+    assert seen(p.health, "health_status") == {"poor_coverage", "suspect", "gappy", "healthy"}
+    assert len(seen(QUERIES["dense_flatline_run_type"](spark, sf), "run_type")) == 2
+    for name in ("dense_air_quality_event", "dense_episode_summary", "dense_sensor_flatline_raw", "dense_exceedance_events"):
+        r = compare(spark, duck(sf), QUERIES[name], ORACLE[name], sf)
+        assert r["rows_spark"] == r["rows_oracle"] > 0 and r["hash_match"], (name, r)
