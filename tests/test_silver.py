@@ -86,6 +86,5 @@ def test_reconciliation_balances(spark):
     b = bronze(spark, [(1, "NO2", "2024-01-05", 3, 1.0), (1, "NO2", "2024-01-05", 3, 2.0),
                        (None, "NO2", "2024-01-05", 3, 1.0), (1, "NO2", "2024-01-05", 4, None)])
     tagged = S.reject_reason(S.clean(S.flatten(b), 1))
-    kept, rej = S.split_quarantine(tagged)
-    r = Q.reconciliation(b, kept, rej, S.dedup(kept)).first()
+    r = Q.reconciliation(tagged).first()
     assert (r["bronze"], r["silver"], r["quarantine"], r["duplicates"], r["balanced"]) == (4, 1, 2, 1, True)
