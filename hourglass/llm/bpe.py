@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.llm.storage import small_batches
+
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Words whose ids a task remembers at most; then it starts anew.
 MAX_REMEMBERED = 200_000
@@ -291,6 +293,7 @@ def _mapped(df: DataFrame, fields: list[T.StructField], make) -> DataFrame:
             arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             yield pa.RecordBatch.from_arrays(arrays + work(batch), names=[f.name for f in keep + fields])
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, T.StructType(keep + fields))
 
 

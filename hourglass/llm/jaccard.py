@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import written
+from hourglass.llm.storage import small_batches, written
 
 WIDTH = 5
 PERCENT = 80
@@ -305,6 +305,7 @@ def _rest(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of ``docs``
     (doc_id, text)."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(prefixes(docs, width, percent), "jaccard-prefixes")
     nodes = rows.filter("n > 0 AND doc_id IS NOT NULL")

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.llm.storage import small_batches
+
 UNKNOWN = "und"
 DIM = 4096
 #: Rows that the machines are fitted on at most, over all languages.
@@ -170,6 +172,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
         max_rows: int = MAX_ROWS, seed: int = 5) -> Model:
     """Fits on rows where ``train`` holds, that have a language and a letter.
     ``docs`` needs doc_id, whose hash chooses the sample, evenly by language."""
+    small_batches(docs.sparkSession)
     rows = docs.filter(train).select("doc_id", F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")) \
         .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
@@ -243,6 +246,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
                     + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in keep + fields])
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, T.StructType(keep + fields))
 
 

@@ -33,7 +33,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import written
+from hourglass.llm.storage import small_batches, written
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 #: Words whose scores are broadcast, at most.
@@ -284,6 +284,7 @@ def score(docs: DataFrame, held_out: Column, vocabulary_file: str = DEFAULT_VOCA
           hot: int = HOT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     of each row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     counts = written(word_counts(docs), "lm-counts")
     words = written(counts.repartitionByRange("word").sortWithinPartitions("word"), "lm-words")

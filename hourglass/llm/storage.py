@@ -24,3 +24,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+#: Rows in an Arrow batch: they hold whole texts, and both sides keep a batch in memory.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch if it allows more."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))

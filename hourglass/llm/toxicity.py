@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.llm.storage import small_batches
+
 #: Voters at most: the themes and the mined beginnings.
 VOTERS = 14
 #: Labelled rows of either class in the sample, at most about.
@@ -146,6 +148,7 @@ def _added(df: DataFrame, fields: list[T.StructField], work, text_col: str) -> D
                 yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(f.name)) for f in keep]
                                                  + work(_texts(batch, text_col)), names=[f.name for f in keep] + names)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, T.StructType(keep + fields))
 
 

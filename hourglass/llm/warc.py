@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import new_path
+from hourglass.llm.storage import new_path, small_batches
 
 SEGMENT_BYTES = 16384
 CHUNK_BYTES = 4096
@@ -128,6 +128,7 @@ def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES,
                 chunk_bytes: int = CHUNK_BYTES, records_per_file: int = RECORDS_PER_FILE, date: str = DATE) -> None:
     """Archives ``pages`` (page_id, url, html) under the folder ``path``."""
+    small_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     rows = pages.join(revisits(pages, min_bytes), "page_id", "left")
 
@@ -233,6 +234,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, record_type, uri, refers_to, stated_digest, segments, payload,
     problem) of the archives' records; those of type continuation are part
     of the record they continue."""
+    small_batches(spark)
     columns = ["record_id", "record_type", "uri", "refers_to", "stated_digest", "segments", "payload", "problem"]
     whole = _records(spark, path, False).withColumn("segments", F.lit(1))
     pieces = _records(spark, path, True)
