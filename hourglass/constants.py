@@ -22,16 +22,13 @@ WIDE_COLUMNS = [
 DAILY_STANDARDS = [("PM2.5", 25.0), ("PM10", 50.0)]
 MIN_DAILY_COMPLETENESS = 75.0
 
-# Silver plausibility floor and ordered reject reasons.
+# Fixed value: silver plausibility floor.
 PLAUSIBLE_FLOOR = -20.0
-REJECT_REASONS = ["null_site", "null_date", "hour_out_of_range", "null_value",
-                  "implausible_negative"]
 
 # Rolling anomaly detector.
 ANOMALY_WINDOW_ROWS = 168
 UNUSUAL_Z = 3.0
 EXTREME_Z = 5.0
-ANOMALY_CLASSES = ["normal", "unusual", "extreme", "insufficient_history"]
 
 # Network event classification.
 MIN_STATIONS_REPORTING = 3
