@@ -7,7 +7,7 @@ hash inside the row, so the cost is n log n in the words of a text.
 
 ``cascade`` first rejects by the base rule. The other rules are tried in the
 order of rejections per cost, both estimated on a bounded sample (the leading
-``sample_rows`` rows; it only decides the order), and a text that one rule
+``sample_rows`` texts of ordinary length; it only decides the order), and a text that one rule
 rejects is not looked at by the later, dearer ones: the cascade is one CASE
 expression, which stops at its first true branch. The order never changes
 which texts are kept.
@@ -30,7 +30,8 @@ from hourglass.llm.storage import written
 
 #: The separators of words, as a pattern: space, and tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
-SAMPLE_ROWS = 2000
+#: Texts in the sample at most, and characters in one of them (it is held by the driver).
+SAMPLE_ROWS, SAMPLE_CHARS = 500, 100_000
 
 
 @dataclass(frozen=True)
@@ -84,10 +85,15 @@ def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
         .alias("n_repeat_words"))
 
 
-def ordered_rules(stats: DataFrame, rules: list[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+def ordered_rules(df: DataFrame, text_col: str = "text", rules: list[Rule] = RULES,
+                  sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """``rules`` by rejections per second, each measured on the sample. What
-    the base rule rejects is left out: the cascade doesn't see it."""
-    sample = written(stats.limit(sample_rows).filter(f"NOT ({BASE})"), "rule-sample")
+    the base rule rejects is left out: the cascade doesn't see it. The sample
+    is taken from as few partitions as it needs."""
+    text = F.col(f"`{text_col}`")
+    drawn = df.filter(F.length(text) <= SAMPLE_CHARS).select(text.alias("text")).limit(sample_rows).collect()
+    texts = df.sparkSession.createDataFrame([(r["text"],) for r in drawn], "text string")
+    sample = written(statistics(texts).filter(f"NOT ({BASE})"), "rule-sample")
 
     def measured(condition: Column) -> tuple[int, float]:
         job = sample.agg(F.count_if(condition).alias("n"), F.count("_text").alias("of"))
@@ -109,7 +115,7 @@ def cascade(df: DataFrame, text_col: str = "text", rules: list[Rule] = RULES,
     """``df`` with its statistics, ``base_failed`` and ``kept`` (boolean)."""
     stats = statistics(df, text_col)
     verdict = F.when(F.expr(BASE), F.lit(False))
-    for r in ordered_rules(stats, rules, sample_rows):
+    for r in ordered_rules(df, text_col, rules, sample_rows):
         verdict = verdict.when(F.expr(r.rejects), F.lit(False))
     return stats.withColumns({"base_failed": F.expr(BASE), "kept": verdict.otherwise(True)}).drop("_text", "n_lines")
 
