@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from hourglass.llm.storage import written
 
-#: The separators of words, as a pattern: space, and tab to carriage return.
-BLANK = r"[\x20\x09-\x0D]+"
 #: Texts in the sample at most, and characters in one of them (it is held by the driver).
 SAMPLE_ROWS, SAMPLE_CHARS = 500, 100_000
 
@@ -54,35 +52,38 @@ RULES = [
 BASE = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once. Expressions
+    that hold what they need stay linear wherever the optimiser moves them,
+    as when it pushes a filter on a statistic below its projection."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+WORDS = r"array_remove(split(_text, '[\\x20\\x09-\\x0D]+'), '')"
+LINES = r"filter(split(_text, '\\n'), line -> line rlike '[^\\x20\\x09-\\x0D]')"
+#: Windows of three words by hash, with their places.
+WINDOWS = """CASE WHEN size(w) < 3 THEN array() ELSE array_sort(transform(sequence(0, size(w) - 3),
+    i -> named_struct('h', xxhash64(w[i], w[i + 1], w[i + 2]), 'i', i))) END"""
+#: Where windows start that occur again: beside one of the same hash.
+AGAIN = """transform(filter(s, (x, j) -> (j > 0 AND s[greatest(j - 1, 0)].h = x.h)
+    OR (j < size(s) - 1 AND s[least(j + 1, size(s) - 1)].h = x.h)), x -> x.i)"""
+COVERED = "CASE WHEN size(a) = 0 THEN 0 ELSE size(array_distinct(concat(a, transform(a, i -> i + 1), transform(a, i -> i + 2)))) END"
+STATISTICS = {
+    "n_words": f"size({WORDS})",
+    "word_chars": r"length(regexp_replace(_text, '[\\x20\\x09-\\x0D]+', ''))",
+    "n_symbols": "length(regexp_replace(_text, '[^#*$%&|<>]+', ''))",
+    "n_lines": f"size({LINES})",
+    "n_dup_lines": _let(LINES, "l", "size(l) - size(array_distinct(l))"),
+    "n_repeat_words": _let(WORDS, "w", _let(WINDOWS, "s", _let(AGAIN, "a", COVERED))),
+}
+
+
 def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines,
     n_repeat_words (long)."""
-    words = F.array_remove(F.split("_text", BLANK), "")
-    keep = [c for c in df.columns if c not in (
-        "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "_text")]
+    keep = [c for c in df.columns if c not in (*STATISTICS, "_text")]
     df = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-    df = df.select("*", words.alias("_words"),
-                   F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
-    windows = F.expr("""
-        CASE WHEN size(_words) >= 3 THEN array_sort(transform(sequence(0, size(_words) - 3),
-             i -> named_struct('h', xxhash64(_words[i], _words[i + 1], _words[i + 2]), 'i', i)))
-        ELSE array() END""")
-    df = df.select("*", windows.alias("_windows"))
-    df = df.select("*", F.expr("""
-        transform(filter(_windows, (x, j) -> (j > 0 AND _windows[greatest(j - 1, 0)].h = x.h)
-            OR (j < size(_windows) - 1 AND _windows[least(j + 1, size(_windows) - 1)].h = x.h)),
-            x -> x.i)""").alias("_starts"))
-    count = lambda c: c.cast("long")
-    return df.select(
-        *[F.col(f"`{c}`") for c in keep], "_text",
-        count(F.size("_words")).alias("n_words"),
-        count(F.length(F.regexp_replace("_text", BLANK, ""))).alias("word_chars"),
-        count(F.length(F.regexp_replace("_text", "[^#*$%&|<>]+", ""))).alias("n_symbols"),
-        count(F.size("_lines")).alias("n_lines"),
-        count(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
-        count(F.expr("""CASE WHEN size(_starts) = 0 THEN 0 ELSE size(array_distinct(
-            concat(_starts, transform(_starts, i -> i + 1), transform(_starts, i -> i + 2)))) END"""))
-        .alias("n_repeat_words"))
+    return df.select("*", *[F.expr(x).cast("long").alias(n) for n, x in STATISTICS.items()])
 
 
 def ordered_rules(df: DataFrame, text_col: str = "text", rules: list[Rule] = RULES,
@@ -93,7 +94,7 @@ def ordered_rules(df: DataFrame, text_col: str = "text", rules: list[Rule] = RUL
     text = F.col(f"`{text_col}`")
     drawn = df.filter(F.length(text) <= SAMPLE_CHARS).select(text.alias("text")).limit(sample_rows).collect()
     texts = df.sparkSession.createDataFrame([(r["text"],) for r in drawn], "text string")
-    sample = written(statistics(texts).filter(f"NOT ({BASE})"), "rule-sample")
+    sample = written(statistics(texts), "rule-sample").filter(f"NOT ({BASE})")
 
     def measured(condition: Column) -> tuple[int, float]:
         job = sample.agg(F.count_if(condition).alias("n"), F.count("_text").alias("of"))
