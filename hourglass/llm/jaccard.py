@@ -45,6 +45,8 @@ PERCENT = 80
 #: Counters of shingles, and how many of them travel in a row.
 COUNTERS, PER_ROW = 1 << 20, 1 << 12
 MAX_MATCHES = 4
+#: Documents in a bucket whose pairs are made before they are judged.
+SMALL_BUCKET = 32
 #: Cost of verifying a candidate, in index entries.
 VERIFY_COST = 20.0
 
@@ -283,23 +285,30 @@ def _rest(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         rows = rows.withColumns({"_a": F.min("label").over(by_token), "_b": F.max("label").over(by_token),
                                  "_least_n": F.min("n").over(by_token)}).filter("_a < _b") \
             .filter(f"n - own >= {_least_overlap('n', partner, percent)}").drop("_a", "_b", "_least_n")
-    rows = written(rows.withColumns({"_a": F.min("label").over(by_token), "_b": F.max("label").over(by_token)})
+    rows = written(rows.withColumns({"_a": F.min("label").over(by_token), "_b": F.max("label").over(by_token),
+                                     "_size": F.count(F.lit(1)).over(by_token)})
                    .filter("_a < _b").drop("_a", "_b"), "jaccard-rest")
-    # Beside each entry, the shared shingles of the document's whole prefix: a
-    # pair then comes once, at its first common shingle, and is judged by all.
-    own = buckets.join(rows.select("doc").distinct(), "doc", "left_semi").groupBy("doc", "n", "matches") \
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("t")) \
-        .select("doc", "n", "matches", F.col("t.token").alias("tokens"), F.col("t.pos").alias("places")) \
-        .withColumn("mixed", F.size(F.array_distinct("places")) < F.size("places"))  # texts of one id
-    rows = rows.join(own, ["doc", "n", "matches"])
+    # The shared shingles of a document's whole prefix, by which a pair is judged.
+    own = written(buckets.join(rows.select("doc").distinct(), "doc", "left_semi").groupBy("doc", "n", "matches")
+                  .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("t"))
+                  .select("doc", "n", "matches", F.col("t.token").alias("tokens"), F.col("t.pos").alias("places"))
+                  .withColumn("mixed", F.size(F.array_distinct("places")) < F.size("places")), "jaccard-own")  # mixed: texts of one id
     common = "array_intersect(x.tokens, y.tokens)"
     last = lambda t: f"{t}.places[array_position({t}.tokens, element_at({common}, -1)) - 1]"
     at_most = f"size({common}) + least(x.n - {last('x')}, y.n - {last('y')}) - 1"
-    pairs = rows.alias("x").join(rows.alias("y"), F.expr(
-        f"x.token = y.token AND x.doc < y.doc AND x.label <> y.label AND {_may_link('x', 'y', percent)} "
-        f"AND {common}[0] = x.token AND (x.mixed OR y.mixed OR (size({common}) >= least(x.matches, y.matches) "
-        f"AND {at_most} >= {_least_overlap('x.n', 'y.n', percent)}))"))
-    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    enough = (f"(x.mixed OR y.mixed OR (size({common}) >= least(x.matches, y.matches) "
+              f"AND {at_most} >= {_least_overlap('x.n', 'y.n', percent)}))")
+    meet = f"x.token = y.token AND x.doc < y.doc AND x.label <> y.label AND {_may_link('x', 'y', percent)}"
+    ids = [F.col("x.doc").alias("a"), F.col("y.doc").alias("b")]
+    # Small buckets: their few pairs first, each of which then meets its two prefixes.
+    few = rows.filter(F.col("_size") <= SMALL_BUCKET)
+    met = few.alias("x").join(few.alias("y"), F.expr(meet)).select(*ids).distinct()
+    met = met.join(own.alias("x"), F.col("a") == F.col("x.doc")).join(own.alias("y"), F.col("b") == F.col("y.doc")) \
+        .filter(f"size({common}) > 0 AND {enough}").select("a", "b")
+    # Large buckets: prefixes go along, so that a pair that can't link is never made.
+    many = rows.filter(F.col("_size") > SMALL_BUCKET).join(own, ["doc", "n", "matches"])
+    found = many.alias("x").join(many.alias("y"), F.expr(f"{meet} AND {enough}")).select(*ids)
+    return met.union(found).distinct()
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
