@@ -69,8 +69,9 @@ def test_shingles_equal_brute_force():
         assert len(sets[i] & sets[j]) == len(want[i] & want[j])
 
 
-@pytest.mark.parametrize("seed,percent", [(1, 80), (2, 80), (3, 60)])
-def test_components_equal_all_pairs(frame, seed, percent):
+@pytest.mark.parametrize("seed,percent,small", [(1, 80, 32), (2, 80, 2), (3, 60, 2)])
+def test_components_equal_all_pairs(frame, monkeypatch, seed, percent, small):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
     rows = corpus(seed) + [(i and 5000 + i, t) for i, t in EDGE] + [(6000, "a b c d e f"), (6000, "q r s t u v"), (6001, "A B C D E F"), (6002, "q r s t u v")]
     got = jaccard.join(frame(rows), percent=percent).collect()
     want = groups(rows, percent)
