@@ -3,9 +3,10 @@
 The family of a text's language is decided first, then the language within
 the family, each by one-versus-one linear support vector machines over hashed
 byte n-grams of the whole text. A vote is the sign of a margin; a margin also
-gives a probability (fitted on rows that the machine hasn't seen), and the
-score of a prediction is the probability of the family times that of the
-language in it.
+gives a probability (fitted on rows that the machine hasn't seen). A class is
+as probable as it is in the duel that is worst for it, however many classes
+there are, and the score of a prediction is the probability of the family times
+that of the language in it.
 
 The machines are fitted in a task on a bounded sample of labelled rows, at
 most ``max_rows`` over all languages (whole texts, chosen by a hash of
@@ -204,11 +205,12 @@ def predict_rows(model: Model, texts: list[str | None]) -> tuple[list[str], list
     x = features([texts[i] for i in rows])
 
     def level(name: str, x):
-        """Class number and probability of each row."""
+        """Class number of each row, and its least probability in a duel."""
         names = model.classes[name]
         if len(names) == 1:
             return np.zeros(len(x), int), np.ones(len(x))
         votes, p = np.zeros((len(x), len(names))), np.zeros((len(x), len(names)))
+        least = np.ones((len(x), len(names)))
         for d in model.duels[name]:
             m = x @ np.array(d.weights, "f4")
             i, j = names.index(d.first), names.index(d.second)
@@ -217,9 +219,11 @@ def predict_rows(model: Model, texts: list[str | None]) -> tuple[list[str], list
             votes[:, j] += m <= 0
             p[:, i] += q
             p[:, j] += 1 - q
+            least[:, i] = np.minimum(least[:, i], q)
+            least[:, j] = np.minimum(least[:, j], 1 - q)
         p /= p.sum(1, keepdims=True)
         best = (votes + p / 2).argmax(1)
-        return best, p[np.arange(len(x)), best]
+        return best, least[np.arange(len(x)), best]
 
     family, p = level("", x)
     for f, name in enumerate(model.classes[""]):

@@ -1,5 +1,6 @@
 """The pipeline against brute force, on its own input at each stage."""
 
+import random
 import re
 
 import corpus_pipeline as P
@@ -38,6 +39,24 @@ def test_stages_on_edge_rows(spark, frame):
     assert all((r.doc_id, b"".join(vocab.bytes_of[x] for x in r.token_ids).decode()) in texts and r.n_tokens == len(r.token_ids) for r in after)
 
 
+WORDS = {
+    "de": "der die das und ist nicht haus wald auf mit einem wir gehen schnee", "en": "the and is not house forest on with we walk through snow this which",
+    "nl": "het een en niet huis bos wij lopen door sneeuw naar zijn deze voor", "sv": "och inte huset skogen med vi genom detta som till hade vintern",
+    "es": "el los una y no casa bosque con nosotros nieve hacia esta por", "fr": "le les une et pas maison avec nous dans neige vers cette pour",
+    "pl": "nie jest dom las przez my idziemy do ten oraz kiedy zima", "fi": "ei ole talo metsä me kävelemme läpi tämä kun talvi ja",
+    "tr": "ve bir değil ev orman biz yürüyoruz bu için kar kış ile", "hi": "और नहीं घर जंगल हम बर्फ यह के लिए साथ", "zh": "和 不 房子 森林 我们 走 雪 这个 冬天 一起",
+    "xx": "qua zzu bxi wopq vvyx kjq zxo qwy"}
+
+
+def test_languages_of_many_families_are_kept(spark, frame):
+    """Twelve languages in eight families, four of them in one: clean texts stay, whatever their number."""
+    rng = random.Random(6)
+    rows = [(100 * k + i, " ".join(rng.choice(words.split()) for _ in range(30)), lang) for k, (lang, words) in enumerate(WORDS.items(), 1)
+            for i in range(60)]
+    kept = {r.doc_id: r.lang for r in P.language_id(spark, frame(rows), "").collect()}
+    assert kept == {i: lang for i, _, lang in rows}
+
+
 def test_run_equals_its_stages_and_empty_tables(spark, frame):
     assert P.run(spark, "/root/testdata/sf0.001").columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
     docs = frame([], extra=False)
