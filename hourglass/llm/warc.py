@@ -17,6 +17,10 @@ segment says, joined, and then decoded as HTTP with chunked framing; only
 segments are shuffled, and a group is one record. What can't be read has a
 ``problem`` and no payload; nothing is dropped.
 
+A record's identifier is its page_id; for rows that share one, and rows without
+one, a digest of url and payload and a number among equal rows follow. A revisit
+names one of the responses with its own payload.
+
 Defined cases: null html is an empty payload; a null url is recorded as the
 record's identifier; line breaks in a url are percent-encoded; repeated rows
 give a record each, which are both responses if they have the largest id of
@@ -31,11 +35,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import new_path, small_batches
+from hourglass.llm.storage import new_path, small_batches, written
 
 SEGMENT_BYTES = 16384
 CHUNK_BYTES = 4096
 RECORDS_PER_FILE = 20_000
+#: Equal rows that a task numbers at a time.
+COPIES = 1000
 END = "\r\n\r\n"
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -115,32 +121,70 @@ def page_records(record_id: str, uri: str, payload: bytes, refers_to: str | None
         yield _record(b"continuation", f"{record_id}:{n}", part, date, (b"WARC-Target-URI", uri), *own)
 
 
-def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload a larger id has, too."""
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    slim = pages.select("page_id", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("n")) \
-        .filter((F.col("n") >= min_bytes) & F.col("page_id").isNotNull())
-    shared = slim.groupBy("sha", "n").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")) \
-        .filter("least < refers_to").drop("least")
-    return slim.join(shared, ["sha", "n"]).filter("page_id < refers_to").select("page_id", "refers_to").distinct()
+def _payload() -> F.Column:
+    return F.coalesce("html", F.lit("")).cast("binary")
+
+
+def _key(sha: F.Column) -> F.Column:
+    """A digest of url and payload."""
+    return F.sha1(F.concat(F.coalesce(F.concat(F.lit("u"), F.col("url")), F.lit("")), F.lit(" "), sha))
+
+
+def _name(page_id: str) -> F.Column:
+    return F.concat(F.lit("urn:page:"), F.coalesce(F.col(page_id).cast("string"), F.lit("null")))
+
+
+def revisits(slim: DataFrame, repeated: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(page_id, sha, n, refers_to) of the pages whose payload a larger id has, too:
+    the identifier of a response with that payload."""
+    slim = slim.filter(F.col("n") >= min_bytes)
+    shared = slim.groupBy("sha", "n").agg(F.max("page_id").alias("last"), F.min("page_id").alias("least")) \
+        .filter("least < last").drop("least")
+    pairs = slim.join(shared, ["sha", "n"]).filter("page_id < last").select("page_id", "sha", "n", "last").distinct()
+    keys = slim.join(repeated, "page_id", "left_semi").groupBy(F.col("page_id").alias("last"), "sha", "n").agg(F.max("key").alias("key"))
+    to = F.when(F.col("key").isNull(), _name("last")).otherwise(F.concat(_name("last"), F.lit(":"), "key", F.lit(":1")))
+    return pairs.join(keys, ["last", "sha", "n"], "left").select("page_id", "sha", "n", to.alias("refers_to"))
+
+
+def named(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(record_id, url, html, refers_to), a row for each row of ``pages``."""
+    sha = F.sha1(_payload())
+    slim = written(pages.filter("page_id IS NOT NULL").select("page_id", "url", sha.alias("sha"), F.octet_length(_payload()).alias("n"))
+                   .withColumn("key", _key(F.col("sha"))).drop("url"), "warc-pages")
+    repeated = written(slim.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("page_id"), "warc-repeated")
+    found = written(revisits(slim, repeated, min_bytes), "warc-revisits")
+    # Ids of one row: the id names the record.
+    known = found.join(repeated, "page_id", "left_anti").select("page_id", "refers_to", F.lit(False).alias("many")) \
+        .unionByName(repeated.select("page_id", F.lit(None).cast("string").alias("refers_to"), F.lit(True).alias("many")))
+    single = pages.filter("page_id IS NOT NULL").join(known, "page_id", "left").filter("NOT coalesce(many, false)") \
+        .select(_name("page_id").alias("record_id"), "url", "html", "refers_to")
+    # Others: equal rows are counted, then numbered in parts of COPIES, so that no task makes all of them.
+    html = F.coalesce("html", F.lit("")).alias("html")
+    others = pages.filter("page_id IS NULL").unionByName(pages.join(repeated, "page_id", "left_semi")) \
+        .groupBy("page_id", "url", html).agg(F.count(F.lit(1)).alias("rows")) \
+        .withColumns({"sha": sha, "n": F.octet_length(_payload())}).withColumn("key", _key(F.col("sha"))) \
+        .join(found, ["page_id", "sha", "n"], "left") \
+        .withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "rows", F.lit(COPIES).cast("long")))) \
+        .repartition("key", "page_id", "first") \
+        .withColumn("copy", F.explode(F.sequence("first", F.least("rows", F.col("first") + COPIES - 1)))) \
+        .select(F.concat_ws(":", _name("page_id"), "key", F.col("copy").cast("string")).alias("record_id"), "url", "html", "refers_to")
+    return single.unionByName(others)
 
 
 def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES,
                 chunk_bytes: int = CHUNK_BYTES, records_per_file: int = RECORDS_PER_FILE, date: str = DATE) -> None:
     """Archives ``pages`` (page_id, url, html) under the folder ``path``."""
     small_batches(pages.sparkSession)
-    pages = pages.select("page_id", "url", "html")
-    rows = pages.join(revisits(pages, min_bytes), "page_id", "left")
+    rows = named(pages.select("page_id", "url", "html"), min_bytes)
 
     def run(batches):
         import pyarrow as pa
-        name = lambda i: f"urn:page:{'null' if i is None else i}"
         for batch in batches:
             out, held = [], 0
-            for i, url, html, to in zip(*(batch.column(k) for k in range(4))):
-                record_id, url, to = name(i.as_py()), url.as_py(), to.as_py()
+            for record_id, url, html, to in zip(*(batch.column(k) for k in range(4))):
+                record_id, url = record_id.as_py(), url.as_py()
                 uri = record_id if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
-                records = page_records(record_id, uri, (html.as_py() or "").encode(), to is not None and name(to) or None,
+                records = page_records(record_id, uri, (html.as_py() or "").encode(), to.as_py(),
                                        segment_bytes, chunk_bytes, date.encode())
                 for r in records:
                     out.append(r)
@@ -287,18 +331,17 @@ def query(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_pages(pages, path)
-    number = lambda c: F.when(~c.endswith("null"), F.regexp_extract(c, r"(-?[0-9]+)$", 1).cast("long"))
+    number = lambda c: F.nullif(F.regexp_extract(c, r"^urn:page:(-?[0-9]+)", 1), F.lit("")).cast("long")
     records = read_records(spark, path).select(
-        number(F.col("record_id")).alias("page_id"), "record_type", number(F.col("refers_to")).alias("refers_to"),
+        "record_id", number(F.col("record_id")).alias("page_id"), "record_type", "refers_to",
         F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("sha"), "problem")
     records = records.withColumn("ok", F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")))
                                  .otherwise(F.lit(True)).cast("boolean")).filter("ok")
-    records = records.select("page_id", "record_type", "refers_to", "payload_bytes", "sha")
-    held = records.filter("record_type = 'response'")
+    held = records.filter("record_type = 'response'").select("record_id", "page_id", "record_type", "refers_to", "payload_bytes", "sha")
     again = records.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to") \
-        .join(held.select(F.col("page_id").alias("refers_to"), "payload_bytes", "sha").distinct(), "refers_to")
-    return held.unionByName(again).select("page_id", "payload_bytes", base32(F.col("sha")).alias("payload_digest"),
-                                          "record_type", "refers_to")
+        .join(held.select(F.col("record_id").alias("refers_to"), "payload_bytes", "sha"), "refers_to")
+    return held.drop("record_id").unionByName(again).select("page_id", "payload_bytes", base32(F.col("sha")).alias("payload_digest"),
+                                                            "record_type", number(F.col("refers_to")).alias("refers_to"))
 
 
 ORACLE_SQL = """

@@ -151,6 +151,29 @@ def test_round_trip_with_small_segments_over_many_files(spark):
     assert by["urn:page:2"].record_type == "revisit" and by["urn:page:2"].refers_to == "urn:page:9" and by["urn:page:2"].uri == "http://b%0D%0Ax"
 
 
+LONG = "l\u00f6ng " * 9000
+REPEATED = [(1, "a", LONG), (1, "a", LONG), (1, "b", LONG + "."), (2, "c", LONG + "."), (2, "c", "short"), (2, "c", "short"), (0, None, LONG), (0, None, LONG),
+            (3, "d", "short"), (3, "e", "short"), (3, "e", "other"), (-4, "f", "other"), (None, "n", LONG), (None, "n", LONG), (None, None, LONG + "!"),
+            (None, None, None), (None, "", ""), (1, "a", None)]
+
+
+@pytest.mark.parametrize("copies", [1000, 1])
+def test_repeated_and_null_ids_longer_than_a_segment(spark, monkeypatch, copies):
+    monkeypatch.setattr(warc, "COPIES", copies, raising=False)
+    con = duckdb.connect()
+    con.register("pages", pages_frame(spark, REPEATED).toArrow())
+    cur = con.execute(warc.ORACLE_SQL)
+    columns, want = [d[0] for d in cur.description], cur.fetchall()
+    got = warc.query(pages_frame(spark, REPEATED))
+    assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest(columns, want)
+    path = new_path(spark, "test-repeated")
+    warc.write_pages(pages_frame(spark, REPEATED), path)
+    rows = warc.read_records(spark, path).collect()
+    by = {r.record_id: r for r in rows}
+    assert len(by) == len(rows) == len(REPEATED) and all(r.problem is None for r in rows)
+    assert all(by[r.refers_to].stated_digest == r.stated_digest for r in rows if r.record_type == "revisit")
+
+
 def test_missing_segments_and_broken_payloads_are_told(spark):
     whole = list(warc.page_records("urn:a", "u", b"x" * 5000, None, 1000, 512, b"2024-01-01T00:00:00Z"))
     other = list(warc.page_records("urn:b", "u", b"y" * 5000, None, 1000, 512, b"2024-01-01T00:00:00Z"))
