@@ -10,8 +10,9 @@ whether it would pass the base check once its format is normalised, over all
 documents; as features are small integers, all that training needs is the
 count of proposals and labels per combination (at most ``MAX_CELLS``), and
 the trees become CASE expressions. A kind's threshold is the lowest score
-from which on held-out documents at least ``PRECISION`` of the proposals
-carry the label; a kind that never gets there adds nothing. Base spans stay.
+from which on in held-out documents at least ``PRECISION`` of the loose
+proposals, the only ones it decides about, carry the label; a kind that never
+gets there adds nothing. Base spans stay, and take part in the training only.
 
 Everything happens inside the row, in SQL functions: a text is split at a
 generator's matches, and positions are prefix sums of piece lengths (in
@@ -242,19 +243,26 @@ def _proposed() -> str:
     return "concat(" + ", ".join(spans("_masked", k, LOOSE[k], LOOSE_NEEDS[k], "length({m}) >= 7", 0) for k in KINDS) + ")"
 
 
-def fit(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Model:
-    """Learns from the proposals in all documents, a fifth of them (by hash of
-    doc_id) for the thresholds."""
+def proposals(docs: DataFrame, text_col: str = "text") -> list[dict]:
+    """Counts of proposals and labels: held (a fifth of the documents, by hash of
+    doc_id), base, kind, features, n, positives."""
     held = F.pmod(F.xxhash64(F.lit("pii"), F.col("doc_id")), F.lit(5)) == 0
     rows = _text(docs.select(held.alias("held"), F.col(f"`{text_col}`").alias("text")), "text")
     c = rows.select("held", F.explode(F.expr(f"concat({_base()}, {_proposed()})")).alias("c"))
     label = "CASE c.kind " + " ".join(f"WHEN {k} THEN {LABELS[kind].format(m='c.m')}" for k, kind in enumerate(KINDS)) + " END"
-    c = c.select("held", F.expr("c.kind").alias("kind"), F.expr(label).alias("y"),
+    c = c.select("held", F.expr("c.base = 1").alias("base"), F.expr("c.kind").alias("kind"), F.expr(label).alias("y"),
                  *[F.expr(x).alias(n) for n, x in features("c").items()])
-    cells = c.groupBy("held", "kind", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("positives"))
-    cells = [r.asDict() for r in cells.orderBy("held", "kind", *FEATURES).collect()]  # at most MAX_CELLS
+    by = ["held", "base", "kind", *FEATURES]
+    cells = c.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("positives"))
+    return [r.asDict() for r in cells.orderBy(*by).collect()]  # at most MAX_CELLS
+
+
+def fit(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Model:
+    """Learns from the proposals in all documents but the held ones, whose loose
+    proposals give the thresholds."""
+    cells = proposals(docs, text_col)
     model = Model(*boost([x for x in cells if not x["held"]]))
-    model.thresholds = calibrated(model, [x for x in cells if x["held"]], precision)
+    model.thresholds = calibrated(model, [x for x in cells if x["held"] and not x["base"]], precision)
     return model
 
 

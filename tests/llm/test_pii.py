@@ -95,6 +95,16 @@ def test_trees_add_what_looks_like_personal_data_and_leave_the_rest(frame):
         assert "(dot) org" in r.pii[1].text
 
 
+def test_base_spans_do_not_pay_for_wrong_additions(frame):
+    """Many sure phone numbers, and few numbers that are none: the thresholds
+    are for the latter alone."""
+    rows = [(i, "call " + ", ".join(f"+1 415 555 {2000 + (i * k) % 7000}" for k in range(1, 7)) + (" values 1999 2000 2001" if i % 100 == 0 else ""))
+            for i in range(1500)]
+    model = pii.fit(frame(rows))
+    assert model.thresholds["phone"] is None and model.thresholds["card"] is None
+    assert all(x.base for r in pii.find(frame(rows), model).collect() for x in r.pii)
+
+
 def test_boosting_learns_an_interaction():
     cells = [{"kind": 0, **dict.fromkeys(pii.FEATURES, 0), "size": a, "cue": b, "n": 100, "positives": 95 if a and b else 5}
              for a in (0, 1) for b in (0, 1)]
