@@ -22,12 +22,19 @@ that of all pairs. Verification compares the whole shingle sets.
 Components are found by alternating stars over the verified links. Every
 step's table is written to the shared folder.
 
+The query also counts each document's links, all of them. Linked documents are
+in one component, so the sets of a component are compared with each other: in
+parts of bounded size, each pair of parts by itself, as products of matrices
+that tell which set holds which shingle. A part's task gives sums for each set,
+weighted by the copies of its partner, and no pairs. The time grows with the
+square of a component's different sets, the rows with that square over a part's.
+
 Defined cases: null, empty or blank texts have no shingles and are linked with
 nothing (their component is their own id); a text of fewer words than a
 shingle is one shingle of all its words; equal texts are linked; rows with
 equal doc_id count as one document; a row without doc_id is linked with
 nothing and has component null; other columns are ignored; empty tables give
-empty results. Shingles are compared by 64-bit hashes.
+empty results; ``n_links`` counts other doc_ids, each once. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -47,6 +54,8 @@ COUNTERS, PER_ROW = 1 << 20, 1 << 12
 MAX_MATCHES = 4
 #: Documents in a bucket whose pairs are made before they are judged.
 SMALL_BUCKET = 32
+#: Sets in a part of a component, and their shingles altogether, about; columns of a matrix.
+PART, PART_SHINGLES, COLUMNS = 256, 300_000, 4096
 #: Cost of verifying a candidate, in index entries.
 VERIFY_COST = 20.0
 
@@ -311,11 +320,8 @@ def _rest(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return met.union(found).distinct()
 
 
-def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id), a row for each row of ``docs``
-    (doc_id, text)."""
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _joined(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``prefixes``, and (id, component) of the linked documents."""
     rows = written(prefixes(docs, width, percent), "jaccard-prefixes")
     nodes = rows.filter("n > 0 AND doc_id IS NOT NULL")
     first = nodes.groupBy("signature").agg(F.min("doc_id").alias("node"))
@@ -328,11 +334,141 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     rest = written(_rest(buckets, labels, percent), "jaccard-pairs")
     found = verified(rest, docs, width, percent)
     links = led.union(found).union(same.filter("a <> b"))
-    reached = components(links)
+    return rows, components(links)
+
+
+def _told(rows: DataFrame, reached: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles")) \
         .join(reached.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id), a row for each row of ``docs``
+    (doc_id, text)."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _told(*_joined(docs, width, percent))
+
+
+def compared(parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, other, links) of rows (component, i, j, part, node, weight, mixed,
+    text), of which those with equal component, i and j are compared: sums of
+    the linked nodes' weights, and the pairs that have a mixed node. Texts that
+    aren't of their node (their document has several) are left out."""
+    def links(group):
+        import numpy as np
+        i, j = group[0][:2]
+        where = np.array([g[2] for g in group])
+        weights, mixed = np.array([g[4] for g in group], "i8"), np.array([g[5] for g in group], bool)
+        sets = [g[6] for g in group]
+        sizes = np.array([len(x) for x in sets], "i8")
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        kept = often > 1
+        row, column = np.repeat(np.arange(len(sets)), sizes)[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        a, b = np.flatnonzero(where == i), np.flatnonzero(where == j)
+        shared = np.zeros((len(a), len(b)), "i8")
+        for at in range(0, int(kept.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+            x = np.zeros((len(sets), min(COLUMNS, int(kept.sum()) - at)), "f4")
+            x[row[lo:hi], column[lo:hi] - at] = 1
+            shared += (x[a] @ x[b].T).astype("i8")
+        good = (shared > 0) & (100 * shared >= percent * (sizes[a][:, None] + sizes[b][None, :] - shared))
+        if i == j:
+            np.fill_diagonal(good, False)
+        sums = np.zeros(len(sets), "i8")
+        sums[a] += good @ weights[b]
+        if i != j:
+            sums[b] += good.T @ weights[a]
+        out = [(group[k][3], None, int(sums[k])) for k in np.flatnonzero(sums)]
+        for k, m in zip(*np.nonzero(good & (mixed[a][:, None] | mixed[b][None, :]))):
+            one, two = group[a[k]][3], group[b[m]][3]
+            out += [(one, two, 0)] if i == j else [(one, two, 0), (two, one, 0)]
+        return out
+
+    def run(batches):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        from hourglass.llm.shingles import shingle_sets, sliced
+
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.string(), pa.int64()))],
+                                              names=["node", "other", "links"])
+
+        now, group, held, out = None, [], set(), []
+        for whole in batches:
+            for batch in sliced(whole, 7):
+                _, found, n = shingle_sets(batch.column(7), width)
+                sets = np.split(found, np.cumsum(n)[:-1])
+                for component, *rest, own in zip(*(batch.column(k).to_pylist() for k in range(7)), sets):
+                    key = (component, *rest[:2])
+                    if key != now:
+                        out += links(group) if group else []
+                        now, group, held = key, [], set()
+                        if len(out) > 5000:
+                            yield batch_of(out)
+                            out = []
+                    node = rest[3]
+                    if node not in held and hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() == node:
+                        held.add(node)
+                        group.append((*rest, own.copy()))
+        out += links(group) if group else []
+        if out:
+            yield batch_of(out)
+
+    rows = parts.select("component", "i", "j", "part", "node", "weight", "mixed", "text")
+    return rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j") \
+        .mapInArrow(run, "node string, other string, links long")
+
+
+def link_counts(docs: DataFrame, rows: DataFrame, reached: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, n_links): how many other documents each is linked with, of those
+    in components; the nodes are signatures. Documents of several texts ("mixed")
+    are counted by pairs, so that no document counts twice for another."""
+    nodes = rows.filter("n > 0 AND doc_id IS NOT NULL")
+    members = nodes.select("doc_id", F.col("signature").alias("node")).distinct()
+    several = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id", F.lit(True).alias("mixed"))
+    members = written(members.join(several, "doc_id", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False))), "jaccard-members")
+    weights = members.groupBy("node").agg(F.count_if(~F.col("mixed")).alias("weight"), F.max("mixed").alias("mixed"))
+    texts = nodes.groupBy(F.col("signature").alias("node"), "n").agg(F.min("doc_id").alias("doc_id"))
+    every = written(weights.join(texts, "node").join(reached.withColumnRenamed("id", "doc_id"), "doc_id"), "jaccard-nodes")
+    sizes = every.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles")).filter("nodes > 1") \
+        .selectExpr("component", f"cast(least(nodes, greatest(ceil(nodes / {PART}), ceil(shingles / {PART_SHINGLES}))) AS int) AS k")
+    sets = every.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    whole = docs.filter("doc_id IS NOT NULL").join(sets, "doc_id").dropDuplicates(["node", "text"])
+    parts = whole.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("k") - 1))) \
+        .withColumns({"i": F.least("part", "q"), "j": F.greatest("part", "q")})
+    found = written(compared(parts, width, percent), "jaccard-counts")
+    pairs = found.filter("other IS NOT NULL").select("node", "other") \
+        .union(weights.filter("mixed").select("node", F.col("node").alias("other")))
+    mixed = members.filter("mixed").select("doc_id", "node")
+    others = mixed.select(F.col("doc_id").alias("m"), F.col("node").alias("other"))
+    # Of a document with one text: copies and linked documents with one text, and mixed ones.
+    sums = found.groupBy("node").agg(F.sum("links").alias("links"))
+    beside = pairs.join(others, "other").groupBy("node").agg(F.count_distinct("m").alias("beside"))
+    single = members.filter("NOT mixed").join(weights.select("node", "weight"), "node").join(sums, "node", "left") \
+        .join(beside, "node", "left").selectExpr("doc_id", "weight - 1 + coalesce(links, 0) + coalesce(beside, 0) AS n_links")
+    # Of a mixed one: the documents of all nodes that any of its own is linked with.
+    around = mixed.join(pairs, "node").select("doc_id", "other").distinct()
+    ones = around.join(weights.select(F.col("node").alias("other"), "weight"), "other").groupBy("doc_id").agg(F.sum("weight").alias("ones"))
+    more = around.join(others, "other").groupBy("doc_id").agg(F.count_distinct("m").alias("more"))
+    return single.union(ones.join(more, "doc_id").selectExpr("doc_id", "ones + more - 1 AS n_links"))
+
+
+def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``join``, with ``n_links``: how many other documents the document is linked with."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows, reached = _joined(docs, width, percent)
+    reached = written(reached, "jaccard-reached")
+    counts = link_counts(docs, rows, reached, width, percent)
+    return _told(rows, reached).join(counts, "doc_id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+
+
 def query(docs: DataFrame) -> DataFrame:
-    return join(docs)
+    return linked(docs)

@@ -80,6 +80,24 @@ def test_components_equal_all_pairs(frame, monkeypatch, seed, percent, small):
     assert sorted(r.n_shingles for r in got) == sorted(len(shingled(t)) for _, t in rows)
 
 
+@pytest.mark.parametrize("seed,percent,part", [(1, 80, 256), (4, 80, 3), (3, 60, 2)])
+def test_links_equal_all_pairs(frame, monkeypatch, seed, percent, part):
+    monkeypatch.setattr(jaccard, "PART", part, raising=False)
+    monkeypatch.setattr(jaccard, "COLUMNS", 16 * part, raising=False)
+    mixed = [(6000, "a b c d e f"), (6000, "q r s t u v"), (6001, "A B C D E F"), (6002, "q r s t u v"), (6003, "a b c d e f"), (6003, "q R s t u v")]
+    rows = corpus(seed) + [(i and 5000 + i, t) for i, t in EDGE] + mixed
+    rows += [(7000 + k % 7, t) for k, (_, t) in enumerate(corpus(seed)[:40])] + [(8000 + i, t) for i, t in corpus(seed)[:30]]
+    sets = {}
+    for i, t in rows:
+        if i is not None and t and t.split():
+            sets.setdefault(i, set()).add(shingled(t))
+    alike = lambda x, y: 100 * len(x & y) >= percent * len(x | y)
+    want = {i: sum(j != i and any(alike(x, y) for x in sets[i] for y in sets[j]) for j in sets) for i in sets}
+    got = jaccard.query(frame(rows)).collect() if percent == jaccard.PERCENT else jaccard.linked(frame(rows), percent=percent).collect()
+    assert len(got) == len(rows) and max(want.values()) > 25
+    assert {(r.doc_id, r.n_links) for r in got} == {(i, want.get(i, 0)) for i, _ in rows}
+
+
 def test_chains_reach_their_smallest_member(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100 + i, 100) for i in range(1, 30)] + [(200, 201), (201, 202), (202, 200)]
     rng = random.Random(2)
