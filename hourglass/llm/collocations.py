@@ -6,15 +6,15 @@ are counted; a phrase occurs as often as windows begin with it, so ROLLUP over
 the window's columns gives the counts of all shorter phrases by summing
 prefixes, and no text is read again for them.
 
-Tasks count the windows of about a million words at a time (each chunk with a
-dictionary of its own words, so counts are exact) and send sums, ordered by
-window. The sums of a window meet by the hash of the whole window: a frequent
-word or pair is spread by what follows it. Of a window seen fewer than
-``min_count`` times no candidate comes, so its last word is padded before the
-ROLLUP, which then carries frequent windows and pairs only; the pair keeps the
-sum. What remains (phrases of at least ``min_count``) is joined with the counts
-of its parts; scores are exact in decimals of up to 38 digits, for counts below
-10^15.
+Tasks count the windows of about two million words at a time (each chunk with
+a dictionary of its own words, so counts are exact) and send sums. Windows meet
+by their first word, so that the sums of its pairs are whole where they meet, and
+pairs below ``min_count``, of which no phrase comes, go on as their first word
+only. A word that begins a ``HOT``-th of all windows is dealt by pairs instead, such
+a pair by whole windows; these words and pairs, at most ``HOT`` of each, are counted first.
+ROLLUP sums what is left to pairs, words and languages. What remains (phrases
+of at least ``min_count``) is joined with the counts of its parts; scores are
+exact in decimals of up to 38 digits, for counts below 10^15.
 
 Defined cases: null texts are empty, null ``lang`` is ``und``; empty texts,
 texts of separators alone and empty tables give no rows; repeated rows and
@@ -29,15 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import small_batches, written
+from hourglass.llm.storage import BATCH_ROWS, batch_rows, written
 
 MIN_COUNT, TOP = 10, 2000
-#: Bytes of text gathered before their windows are counted, and windows counted at a time.
-CHUNK_BYTES, WINDOWS = 8 << 20, 1 << 20
+#: Bytes of text gathered before their windows are counted, and windows counted
+#: at a time: their words, numbered from 1, take 21 bits.
+CHUNK_BYTES, WINDOWS = 12 << 20, (1 << 21) - 8
+#: Share of all windows (one in so many) from which the windows of a word or pair are dealt out.
+HOT = 20_000
 #: Partitions of the window sums for each partition of documents.
 SPREAD = 8
 UNKNOWN = "und"
-SCHEMA = "lang string, w1 string, w2 string, w3 string, c long"
 
 
 def _cut(text: bytes, most: int):
@@ -74,9 +76,9 @@ def _tokens(texts: list[bytes]):
     return words, np.searchsorted(ends, first, side="right"), fresh
 
 
-def _window_sums(texts: list[bytes], langs: list[str]):
-    """Record batches of (lang, w1, w2, w3, c): the distinct windows of the
-    texts and how often they occur, in blocks of ``WINDOWS``."""
+def _blocks(texts: list[bytes], langs: list[str]):
+    """(language, vocabulary, windows) of the texts in blocks of ``WINDOWS``: all
+    windows of a language, each as three 21-bit numbers of words in the vocabulary."""
     import numpy as np
     import pyarrow as pa
     words, text, fresh = _tokens(texts)
@@ -85,66 +87,124 @@ def _window_sums(texts: list[bytes], langs: list[str]):
     lang = np.array([numbers[x] for x in langs])[text]
     n = len(words)
     for lo in range(0, n, WINDOWS):
-        hi = min(n, lo + WINDOWS)
-        part = words.slice(lo, min(n, hi + 2) - lo).dictionary_encode()
+        size = min(n, lo + WINDOWS) - lo
+        part = words.slice(lo, size + 2).dictionary_encode()
         code = np.concatenate([part.indices.to_numpy(zero_copy_only=False).astype("i8") + 1, [0, 0]])  # under 2^21; 0 pads
-        begins = np.concatenate([fresh[lo:hi + 2], [True, True]])
-        size = hi - lo
+        begins = np.concatenate([fresh[lo:lo + size + 2], [True, True]])
         second = np.where(begins[1:size + 1], 0, code[1:size + 1])
         third = np.where(begins[1:size + 1] | begins[2:size + 2], 0, code[2:size + 2])
         packed = (code[:size] << 42) | (second << 21) | third
         vocabulary = pa.concat_arrays([pa.array([""]), part.dictionary.cast(pa.string())])
-        for number in np.unique(lang[lo:hi]):
-            seen, times = np.unique(packed[lang[lo:hi] == number], return_counts=True)
-            columns = [vocabulary.take(pa.array((seen >> shift) & 0x1FFFFF)) for shift in (42, 21, 0)]
-            whole = pa.RecordBatch.from_arrays([pa.array([names[number]] * len(seen), pa.string()), *columns, pa.array(times, pa.int64())],
-                                               names=["lang", "w1", "w2", "w3", "c"])
-            for at in range(0, len(seen), 1 << 16):
-                yield whole.slice(at, 1 << 16)
-
-
-def windows(docs: DataFrame) -> DataFrame:
-    """(lang, w1, w2, w3, c) of ``docs`` (lang, text): sums of longest windows, one row or
-    more for each distinct one."""
-    def run(batches):
-        texts, langs, held = [], [], 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for part in _cut(bytes(text.as_buffer()), CHUNK_BYTES):
-                    texts.append(part)
-                    langs.append(lang)
-                    held += len(part) + 1
-                    if held >= CHUNK_BYTES:
-                        yield from _window_sums(texts, langs)
-                        texts, langs, held = [], [], 0
-        if texts:
-            yield from _window_sums(texts, langs)
-
-    return docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), "text").filter("text IS NOT NULL AND text <> ''") \
-        .mapInArrow(run, SCHEMA)
-
-
-def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+        for number in np.unique(lang[lo:lo + size]):
+            yield names[number], vocabulary, packed[lang[lo:lo + size] == number]
+
+
+def _joined(lang: str, vocabulary, packed, words: int):
+    """The leading words of packed windows as strings, the language and a newline
+    before them."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    columns = [vocabulary.take(pa.array((packed >> shift) & 0x1FFFFF)) for shift in (42, 21, 0)[:words]]
+    return pc.binary_join_element_wise(lang, pc.binary_join_element_wise(*columns, " ") if words > 1 else columns[0], "\n")
+
+
+def _chunks(batches, make):
+    """What ``make`` yields of the blocks of (lang, text) batches, gathered to
+    chunks of texts."""
+    texts, langs, held = [], [], 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for part in _cut(bytes(text.as_buffer()), CHUNK_BYTES):
+                texts.append(part)
+                langs.append(lang)
+                held += len(part) + 1
+                if held >= CHUNK_BYTES:
+                    for block in _blocks(texts, langs):
+                        yield from make(*block)
+                    texts, langs, held = [], [], 0
+    for block in _blocks(texts, langs) if texts else ():
+        yield from make(*block)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), "text").filter("text IS NOT NULL AND text <> ''")
+
+
+def hot_beginnings(docs: DataFrame, hot: int) -> tuple[frozenset, frozenset]:
+    """Words and pairs (with their language) that begin about a ``hot``-th of all
+    windows or more: at most ``hot`` of each."""
+    def often(lang, vocabulary, packed):
+        import numpy as np
+        import pyarrow as pa
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([""]), pa.array([len(packed)], pa.int64())], names=["words", "p", "c"])
+        for words, shift in ((1, 42), (2, 21)):
+            found, times = np.unique(packed >> shift, return_counts=True)
+            many = times * hot >= len(packed)
+            if words == 2:
+                many &= (found & 0x1FFFFF) > 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(many.sum(), words), pa.int32()), _joined(lang, vocabulary, found[many] << shift, words),
+                                              pa.array(times[many], pa.int64())], names=["words", "p", "c"])
+
+    sums = _texts(docs).mapInArrow(lambda batches: _chunks(batches, often), "words int, p string, c long") \
+        .groupBy("words", "p").agg(F.sum("c").alias("c"))
+    total = sums.filter("words = 0").agg(F.sum("c")).first()[0] or 0
+    rows = sums.filter(f"words > 0 AND c * {hot} >= {total}").select("words", "p").collect()
+    return tuple(frozenset(r["p"] for r in rows if r["words"] == words) for words in (1, 2))
+
+
+def windows(docs: DataFrame, hot: tuple[frozenset, frozenset]) -> DataFrame:
+    """(level, window, c) of ``docs`` (lang, text): sums of longest windows, one row
+    or more for each distinct one; ``level`` 1 if its first word is hot, 2 if its pair
+    is, else 0. A window is one string, its language and a newline before the
+    words, which hold none; as one column it takes half the shuffle."""
+    def sums(lang, vocabulary, packed):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        seen, times = np.unique(packed, return_counts=True)
+        hot_words, hot_pairs = (pa.array(sorted(x), pa.string()) for x in hot)
+        for at in range(0, len(seen), 1 << 16):
+            some = seen[at:at + (1 << 16)]
+            level = np.zeros(len(some), "i4")
+            for words, shift, known in ((1, 42, hot_words), (2, 21, hot_pairs)):
+                begin, where = np.unique(some >> shift, return_inverse=True)
+                is_hot = pc.is_in(_joined(lang, vocabulary, begin << shift, words), known).to_numpy(zero_copy_only=False)
+                level[is_hot[where]] = words
+            yield pa.RecordBatch.from_arrays([pa.array(level), _joined(lang, vocabulary, some, 3), pa.array(times[at:at + (1 << 16)], pa.int64())],
+                                             names=["level", "window", "c"])
+
+    return _texts(docs).mapInArrow(lambda batches: _chunks(batches, sums), "level int, window string, c long")
+
+
+def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, hot: int = HOT) -> DataFrame:
     """(words, lang, w1, w2, w3, f): words 0 being the total of each language, for
     1 to 3 the phrases that occur at least ``min_count`` times, unused
     columns null."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    tasks = SPREAD * docs._jdf.queryExecution().toRdd().getNumPartitions()
-    longest = windows(docs).repartition(max(tasks, 1), "lang", "w1", "w2", "w3") \
-        .groupBy("lang", "w1", "w2", "w3").agg(F.sum("c").alias("c")) \
-        .withColumn("w3", F.when(F.col("c") >= min_count, F.col("w3")).otherwise(""))
-    rolled = spark.sql("""
-        SELECT 3 - bit_count(grouping_id()) AS words, lang, w1, w2, w3, sum(c) AS f
-        FROM {longest} GROUP BY lang, ROLLUP (w1, w2, w3)""", longest=longest)
-    padded = "coalesce(w2 = '', false) OR coalesce(w3 = '', false)"
-    return rolled.filter(f"words = 0 OR (f >= {min_count} AND NOT ({padded}))")
+    tasks = max(1, SPREAD * docs._jdf.queryExecution().toRdd().getNumPartitions())
+    found = windows(docs, hot_beginnings(docs, hot)) \
+        .withColumn("place", F.expr(f"cast(pmod(xxhash64(substring_index(window, ' ', level + 1)), {tasks}) AS int)"))
+    longest = found.repartitionById(tasks, "place").groupBy("place", "level", "window").agg(F.sum("c").alias("c")) \
+        .withColumn("p", F.substring_index("window", "\n", -1)) \
+        .selectExpr("place", "level", "left(window, length(window) - length(p) - 1) AS lang", "split(p, ' ') AS w", "c")
+    # A frequent window is a phrase, and part of its pair; other windows only that.
+    pairs = longest.selectExpr("place", "level", "lang", "w[0] AS w1", "w[1] AS w2",
+                               f"explode(if(c >= {min_count} AND w[2] <> '', array(w[2], cast(null AS string)), array(cast(null AS string)))) AS w3", "c") \
+        .groupBy("place", "level", "lang", "w1", "w2", "w3").agg(F.sum("c").alias("c")) \
+        .withColumn("w2", F.when(F.col("level") == 2, F.col("w2")).when(F.col("c") >= min_count, F.col("w2")).otherwise("")) \
+        .groupBy("place", "lang", "w1", "w2", "w3").agg(F.sum("c").alias("c")).drop("place")
+    known = written(pairs, "phrase-windows")
+    shorter = docs.sparkSession.sql("""
+        SELECT 2 - bit_count(grouping_id()) AS words, lang, w1, w2, CAST(NULL AS string) AS w3, sum(c) AS f
+        FROM {known} WHERE w3 IS NULL GROUP BY lang, ROLLUP (w1, w2)""", known=known)
+    frequent = known.filter("w3 IS NOT NULL").selectExpr("3 AS words", "lang", "w1", "w2", "w3", "c AS f")
+    return shorter.filter(f"words = 0 OR (f >= {min_count} AND coalesce(w2, 'x') <> '')").union(frequent)
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) -> DataFrame:
     """Each language's ``top`` phrases of two or three words with the counts of
     the lowest-scoring cut."""
-    counts = written(phrase_counts(docs, min_count), "phrase-counts")
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        counts = written(phrase_counts(docs, min_count), "phrase-counts")
     total = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     one = counts.filter("words = 1").select("lang", "w1", "f")
     two = counts.filter("words = 2").select("lang", "w1", "w2", F.col("f").alias("a"))
