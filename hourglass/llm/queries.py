@@ -3,7 +3,7 @@ DataFrame``, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, collocations, jaccard, language, lattice, mixing, nearest, pii, quality_rules, repair, toxicity, warc
+from hourglass.llm import bpe, collocations, jaccard, language, lattice, minhash, mixing, nearest, pii, quality_rules, repair, toxicity, warc
 from hourglass.llm.storage import table
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op6_warc": lambda spark, sf_dir: warc.query(table(spark, sf_dir, "pages")),
     "op7_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
     "op8_nearest": lambda spark, sf_dir: nearest.query(table(spark, sf_dir, "embeddings")),
+    "op12_minhash": lambda spark, sf_dir: minhash.query(table(spark, sf_dir, "documents")),
     "op13_repair": lambda spark, sf_dir: repair.query(table(spark, sf_dir, "conversations")),
     "op11_collocations": lambda spark, sf_dir: collocations.query(table(spark, sf_dir, "documents")),
 }
@@ -28,5 +29,6 @@ ORACLE: dict[str, str] = {
     "op7_mixing": mixing.oracle_sql(),
     "op8_nearest": nearest.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
+    "op12_minhash": minhash.ORACLE_SQL,
     "op13_repair": repair.ORACLE_SQL,
 }
