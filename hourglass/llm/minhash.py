@@ -49,9 +49,9 @@ def min_max(found, sizes):
     rng = np.random.default_rng(SEED)
     odd = rng.integers(0, 1 << 63, PERMUTATIONS, dtype="u8") * np.uint64(2) + np.uint64(1)
     flip = rng.integers(0, 1 << 63, PERMUTATIONS, dtype="u8")
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    starts = np.cumsum(sizes) - sizes
     least, greatest = np.empty((2, PERMUTATIONS, len(sizes)), "u8")
-    for k in range(PERMUTATIONS):
+    for k in range(PERMUTATIONS if len(sizes) else 0):
         x = (found ^ flip[k]) * odd[k]
         np.minimum.reduceat(x, starts, out=least[k])
         np.maximum.reduceat(x, starts, out=greatest[k])

@@ -39,6 +39,21 @@ def test_stages_on_edge_rows(spark, frame):
     assert all((r.doc_id, b"".join(vocab.bytes_of[x] for x in r.token_ids).decode()) in texts and r.n_tokens == len(r.token_ids) for r in after)
 
 
+def test_different_texts_under_one_id_are_documents_of_their_own(spark, frame):
+    base = [f"w{i}" for i in range(40)]
+    near = " ".join([*base[:-1], "x"])
+    alone = "one text that stands alone here and has words of its own in it"
+    other = "another text under that id which nobody else has and which must not go"
+    rows = [(1, " ".join(base), "en", "a"), (7, near, "en", "a"), (7, other, "en", "b"),     # one of 7's texts is linked
+            (8, alone, "en", "b"), (8, alone[::-1], "en", "a"), (8, alone, "en", "a"),     # none of 8's is; one row twice
+            (9, None, "en", "a"), (9, "", "en", "a"), (9, None, "de", "a"), (None, alone, "en", "z")]
+    for order in (rows, rows[::-1]):
+        got = P.near_duplicates(spark, frame(order).repartition(3), "").collect()
+        assert sorted(((r.doc_id, r.text, r.lang, r.source) for r in got), key=str) == sorted([
+            (1, " ".join(base), "en", "a"), (7, other, "en", "b"), (8, alone, "en", "a"), (8, alone[::-1], "en", "a"),
+            (9, None, "de", "a"), (9, "", "en", "a"), (None, alone, "en", "z")], key=str)
+
+
 WORDS = {
     "de": "der die das und ist nicht haus wald auf mit einem wir gehen schnee", "en": "the and is not house forest on with we walk through snow this which",
     "nl": "het een en niet huis bos wij lopen door sneeuw naar zijn deze voor", "sv": "och inte huset skogen med vi genom detta som till hade vintern",
