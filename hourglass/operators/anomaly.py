@@ -3,13 +3,15 @@ flatline runs (D17, D18, D22), sensor health (D19), seasonal z-scores
 (D20, C3) and the threshold x window sweep (D24).
 
 The trailing baseline (the previous ``n`` rows, the current one excluded) is
-one plan at every size: running count, sum and sum of squares of the non-NULL
-readings in one window per series, and the difference to the same sums ``n``
-rows back (``lag``). O(rows) for any number of windows, one shuffle. A window
-of equal readings is recognised by where the reading last changed, so its
-``sd`` is exactly 0 whatever the rounding.
+put together from mergeable moments (``operators.moments``) of the blocks that
+end at a row: blocks of 1, 4, 16, ... rows, each merged from four shorter ones
+some rows back (``lag``), and a window from the few blocks that make up its
+length. O(rows) for each of the log4(n) block lengths, which all windows share;
+one shuffle, one sort. Nothing is ever subtracted from a larger sum, so an
+outlier leaves a window with its last row and spoils no other; equal readings
+have an ``sd`` of exactly 0.
 
-``chunk_rows`` cuts each series into chunks of that many rows, each with the
+``chunk_rows`` (``chunk_hours`` for time frames) cuts each series into chunks, each with the
 rows before it that its windows reach back to (a halo), for inputs whose
 series are too long for one task; the caller asks for it, no size decides.
 """
@@ -22,6 +24,7 @@ from pyspark.sql.window import Window
 
 from hourglass import constants as K
 from hourglass.functions.exprs import anomaly_class, fixed, health_status, pct, safe_div
+from hourglass.operators import moments as M
 from hourglass.operators.sequence import CHUNK, runs, sequence
 
 SERIES = ["site_id", "parameter_code"]
@@ -33,7 +36,7 @@ def _month_chunk() -> Column:
 
 def trailing_baseline(fact: DataFrame, windows: list[int], keys: list[str] | None = None,
                       value: str = "value_clean", frame: str = "rows",
-                      chunk_rows: int | None = None) -> DataFrame:
+                      chunk_rows: int | None = None, chunk_hours: int | None = None) -> DataFrame:
     """Rows of ``fact`` x ``windows`` (long format, column ``window_rows``)
     with ``roll_mean`` / ``roll_sd`` (sample sd) of ``value`` over the
     previous ``window_rows`` rows of the series, and ``prev_value``. NULL
@@ -45,7 +48,7 @@ def trailing_baseline(fact: DataFrame, windows: list[int], keys: list[str] | Non
     seconds)."""
     keys = keys or SERIES
     if frame == "time":
-        return _trailing_time(fact, windows, keys, value)
+        return _trailing_time(fact, windows, keys, value, chunk_hours)
     return _per_window(trailing_wide(fact, windows, keys, value, chunk_rows), fact.columns, windows)
 
 
@@ -73,56 +76,82 @@ def trailing_wide(fact: DataFrame, windows: list[int], keys: list[str] | None =
                                                                         .otherwise(F.array(own))))
         part = [*keys, "_part"]
     w = Window.partitionBy(*part).orderBy("obs_time")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     v = F.col(value)
-    # Readings relative to the first one keep the sums of squares small.
-    rows = rows.withColumns({"prev_value": F.lag(value, 1).over(w), "_base": F.first(value, True).over(so_far),
-                             "_before": F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                             "_n": F.count(value).over(so_far)})
-    x = v - F.col("_base")
-    changed = v.isNotNull() & ~v.eqNullSafe(F.col("_before"))
-    rows = rows.withColumns({"_s1": F.sum(x).over(so_far), "_s2": F.sum(x * x).over(so_far),
-                             # the number of the reading at which it last changed
-                             "_changed": F.max(F.when(changed, F.col("_n"))).over(so_far)})
-    lagged = lambda c, n: F.coalesce(F.lag(c, n).over(w), F.lit(0))
-    out = {f"_{c}_1": lagged(f"_{c}", 1) for c in ("n", "s1", "s2", "changed")}
+    rows = rows.withColumns({"prev_value": F.lag(value, 1).over(w)} | M.as_columns("_b1", M.of_value(v)))
+    # Blocks: _b4 are the moments of the four rows that end at this one, _b16 of sixteen, ...
+    size = 1
+    while size * 4 <= max(windows):
+        rows = _merged_lags(rows, w, f"_b{size * 4}", [(f"_b{size}", k * size) for k in range(4)])
+        size *= 4
     for n in windows:
-        out |= {f"_{c}_{n + 1}_": lagged(f"_{c}", n + 1) for c in ("n", "s1", "s2")}
-    rows = rows.withColumns(out)
+        rows = _merged_lags(rows, w, f"_w{n}", _blocks(n, size))
     cols = []
     for n in windows:
-        cnt, s1, s2 = (F.col(f"_{c}_1") - F.col(f"_{c}_{n + 1}_") for c in ("n", "s1", "s2"))
-        cnt = cnt.cast("double")
-        var = safe_div(s2 - safe_div(s1 * s1, cnt), cnt - 1.0)
-        constant = F.col("_changed_1") <= F.col(f"_n_{n + 1}_") + 1
-        base = F.last("_base", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        cols += [F.when(cnt >= 1, base + safe_div(s1, cnt)).alias(f"_m{n}"),
-                 F.when(cnt < 2, F.lit(None).cast("double")).when(constant, F.lit(0.0))
-                  .otherwise(F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"_s{n}")]
+        moments = M.columns(f"_w{n}")
+        cols += [M.mean(moments).alias(f"_m{n}"), M.sd(moments).alias(f"_s{n}")]
     if chunk_rows is not None:
         return rows.select(*fact.columns, "prev_value", "_own", "_part", *cols) \
             .filter("_own = _part").drop("_own", "_part")
     return rows.select(*fact.columns, "prev_value", *cols)
 
 
-def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value: str) -> DataFrame:
+def _blocks(n: int, size: int) -> list[tuple[str, int]]:
+    """The blocks (largest first) that make up the ``n`` rows before a row, and
+    how many rows back each ends."""
+    out, back = [], 1
+    while n:
+        while size > n:
+            size //= 4
+        out.append((f"_b{size}", back))
+        back, n = back + size, n - size
+    return out
+
+
+def _merged_lags(rows: DataFrame, w, name: str, blocks: list[tuple[str, int]]) -> DataFrame:
+    """``rows`` with the moments ``name`` of the union of the ``blocks``."""
+    lagged = {}
+    for i, (block, back) in enumerate(blocks):
+        for c in M.columns(block):
+            lagged[f"_l{i}{c[-2:]}"] = F.coalesce(F.lag(c, back).over(w), F.lit(0.0)) if back else F.col(c)
+    rows = rows.withColumns(lagged)
+    for i in range(1, len(blocks)):
+        rows = rows.withColumns(M.as_columns("_l0", M.merge(M.columns("_l0"), M.columns(f"_l{i}")))).drop(*M.columns(f"_l{i}"))
+    return rows.withColumnsRenamed(dict(zip(M.columns("_l0"), M.columns(name))))
+
+
+def _trailing_time(fact: DataFrame, windows: list[int], keys: list[str], value: str,
+                   chunk_hours: int | None = None) -> DataFrame:
     secs = F.col("obs_time").cast("timestamp").cast("long")
-    f = fact.withColumn("_secs", secs)
-    w = Window.partitionBy(*keys).orderBy("_secs")
-    cols = [F.lag(value, 1).over(Window.partitionBy(*keys).orderBy("obs_time")).alias("prev_value")]
+    f, part = fact.withColumn("_secs", secs), keys
+    if chunk_hours is None:
+        f = f.withColumn("prev_value", F.lag(value, 1).over(Window.partitionBy(*keys).orderBy("obs_time")))
+    else:
+        if chunk_hours < max(windows):
+            raise ValueError(f"chunk_hours must be at least {max(windows)}, the longest window")
+        # The row before may lie any time back, beyond the halo: chunks hand their last reading on.
+        length = chunk_hours * 3600
+        own = F.floor(F.col("_secs") / length)
+        f = sequence(f, keys, "obs_time", own, lags=(value,)).withColumnRenamed(f"_prev_{value}", "prev_value").drop(CHUNK, "_idx")
+        late = F.col("_secs") >= (own + 1) * length - max(windows) * 3600  # the next chunk's halo, too
+        f = f.withColumn("_own", own).withColumn("_part", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+        part = [*keys, "_part"]
+    w = Window.partitionBy(*part).orderBy("_secs")
+    cols = []
     for n in windows:
         fr = w.rangeBetween(-n * 3600, -1)
         cols += [F.avg(value).over(fr).alias(f"_m{n}"), F.stddev(value).over(fr).alias(f"_s{n}")]
-    return _per_window(f.select("*", *cols), fact.columns, windows)
+    wide = f.select("*", *cols)
+    return _per_window(wide if chunk_hours is None else wide.filter("_own = _part"), fact.columns, windows)
 
 
 def observation_anomaly(fact: DataFrame, window: int = K.ANOMALY_WINDOW_ROWS,
                         unusual: float = K.UNUSUAL_Z, extreme: float = K.EXTREME_Z,
-                        frame: str = "rows", chunk_rows: int | None = None) -> DataFrame:
+                        frame: str = "rows", chunk_rows: int | None = None,
+                        chunk_hours: int | None = None) -> DataFrame:
     """Per reading, trailing mean/sd over the previous ``window``
     rows, z-score, hourly delta and class. Output columns are rounded like
     the published table; the class uses the unrounded values."""
-    b = trailing_baseline(fact, [window], frame=frame, chunk_rows=chunk_rows)
+    b = trailing_baseline(fact, [window], frame=frame, chunk_rows=chunk_rows, chunk_hours=chunk_hours)
     m, s, v = F.col("roll_mean"), F.col("roll_sd"), F.col("value_clean")
     z = safe_div(v - m, s)
     return b.select(
@@ -176,7 +205,8 @@ def flatline_runs(fact: DataFrame, value: str = "value_clean", min_rows: int = K
     """Maximal runs of identical consecutive readings (present
     rows; a missing hour does not break a run) of at least ``min_rows``.
     ``exclude_zero`` drops zero readings first (the raw-value detector).
-    ``method="time"`` makes a missing hour break the run."""
+    ``method="time"`` makes a missing hour break the run, ``method="time_chunked"``
+    the same by chunks of a series."""
     f = fact.filter(F.col(value) != 0) if exclude_zero else fact
     tagged = runs(f.select(*SERIES, "obs_time", value), SERIES, "obs_time", value, _month_chunk(), method,
                   step_seconds=3600)
@@ -208,28 +238,22 @@ def sensor_health(anomaly: DataFrame) -> DataFrame:
 def seasonal_anomaly(fact: DataFrame, exclude_current_year: bool = False) -> DataFrame:
     """Z-score of each reading against its station's calendar-month
     norm. Default: the norm over all years (current included). With
-    ``exclude_current_year`` the norm uses the other years only, from
-    per-year sums, so no reading is compared with itself."""
+    ``exclude_current_year`` the norm uses the other years only, so no reading
+    is compared with itself: the moments of the years before and after, merged."""
     f = fact.withColumn("mth", F.month("obs_date"))
     keys = [*SERIES, "mth"]
     if not exclude_current_year:
-        norms = f.groupBy(*keys).agg(F.avg("value_clean").alias("seasonal_mean"),
-                                     F.stddev("value_clean").alias("seasonal_sd"))
-        j = f.join(norms, keys, "inner")
+        # One scan and one shuffle: a group holds a month of each year of a series.
+        same = Window.partitionBy(*keys)
+        j = f.withColumns({"seasonal_mean": F.avg("value_clean").over(same), "seasonal_sd": F.stddev("value_clean").over(same)})
     else:
         yr = f.withColumn("yr", F.year("obs_date"))
-        per = yr.groupBy(*keys, "yr").agg(F.count(F.lit(1)).alias("n"), F.sum("value_clean").alias("s1"),
-                                          F.sum(F.col("value_clean") * F.col("value_clean")).alias("s2"))
-        tot = per.groupBy(*keys).agg(F.sum("n").alias("tn"), F.sum("s1").alias("ts1"), F.sum("s2").alias("ts2"))
-        o = per.join(tot, keys).select(*keys, "yr", (F.col("tn") - F.col("n")).alias("n"),
-                                       (F.col("ts1") - F.col("s1")).alias("s1"),
-                                       (F.col("ts2") - F.col("s2")).alias("s2"))
-        norms = o.select(*keys, "yr",
-                         safe_div(F.col("s1"), F.col("n")).alias("seasonal_mean"),
-                         F.when(F.col("n") >= 2, F.sqrt(F.greatest(
-                             safe_div(F.col("s2") - safe_div(F.col("s1") * F.col("s1"), F.col("n")),
-                                      F.col("n") - 1),
-                             F.lit(0.0)))).alias("seasonal_sd"))
+        per = yr.groupBy(*keys, "yr").agg(M.aggregate("value_clean").alias("_y"))
+        by_year = Window.partitionBy(*keys).orderBy("yr")  # a row for each year
+        others = F.concat(F.collect_list("_y").over(by_year.rowsBetween(Window.unboundedPreceding, -1)),
+                          F.collect_list("_y").over(by_year.rowsBetween(1, Window.unboundedFollowing)))
+        norms = per.withColumn("_o", M.merge_all(others)).select(
+            *keys, "yr", M.mean(M.fields("_o")).alias("seasonal_mean"), M.sd(M.fields("_o")).alias("seasonal_sd"))
         j = yr.join(norms, [*keys, "yr"], "inner")
     return j.select("site_id", "parameter_code", "obs_time", "obs_date", "value_clean",
                     fixed(F.col("seasonal_mean"), 3).alias("seasonal_mean"),

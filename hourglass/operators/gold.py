@@ -67,6 +67,10 @@ def gold_daily(fact: DataFrame, dim: DataFrame, generation: int = 2) -> DataFram
                              *[fixed(c, 3).alias(c) for c in ("daily_avg", "daily_max", "daily_min")],
                              "valid_hours")
     daily = daily.withColumn("completeness_pct", fixed(pct(F.col("valid_hours"), F.lit(24)), 1))
+    return with_station(daily, dim)
+
+
+def with_station(daily: DataFrame, dim: DataFrame) -> DataFrame:
     st = _stations(dim, ["site_name", "region", "latitude", "longitude"])
     return daily.join(st, "site_id", "inner").select(
         "site_id", "site_name", "region", "latitude", "longitude", "obs_date", "parameter_code",
@@ -95,6 +99,11 @@ def monthly_regional(fact: DataFrame, dim: DataFrame) -> DataFrame:
               .withColumn("month_start", F.trunc("obs_date", "month"))
     per_site = obs.groupBy("site_id", "parameter_code", "units", "month_start").agg(
         F.sum("value_clean").alias("s"), F.count("value_clean").alias("n"))
+    return regional_months(per_site, dim)
+
+
+def regional_months(per_site: DataFrame, dim: DataFrame) -> DataFrame:
+    """Region months from station months (sum ``s``, count ``n``)."""
     j = per_site.join(_stations(dim, ["region"]), "site_id", "inner")
     return j.groupBy("region", "parameter_code", "units", "month_start").agg(
         safe_div(F.sum("s"), F.sum("n")).alias("monthly_avg"),
@@ -107,7 +116,10 @@ def gold_regional(fact: DataFrame, dim: DataFrame, lag_mode: str = "rows") -> Da
 
     ``lag_mode='rows'`` reproduces LAG(…, 12) (a missing month shifts it);
     ``lag_mode='calendar'`` matches the same month a year earlier by date."""
-    m = monthly_regional(fact, dim)
+    return regional_trend(monthly_regional(fact, dim), lag_mode)
+
+
+def regional_trend(m: DataFrame, lag_mode: str = "rows") -> DataFrame:
     w = Window.partitionBy("region", "parameter_code").orderBy("month_start")
     m = m.withColumn("rolling_12m_avg", F.avg("monthly_avg").over(w.rowsBetween(-11, 0)))
     if lag_mode == "rows":

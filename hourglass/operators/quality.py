@@ -209,3 +209,11 @@ def assert_regression(suite: DataFrame) -> None:
     failures = [f"{r['test_name']} ({r['detail']})" for r in suite.filter(~F.col("passed")).collect()]
     if failures:
         raise QualityGateError(" | ".join(failures))
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type, nulls, rows) of a table, in one
+    aggregate; types as Spark names them."""
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)])
+    cells = ", ".join(f"{i + 1}, '{f.name}', '{f.dataType.simpleString()}', n{i}, rows" for i, f in enumerate(df.schema))
+    return counts.selectExpr(f"stack({len(df.schema)}, {cells}) AS (position, column_name, data_type, nulls, rows)")

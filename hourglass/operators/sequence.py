@@ -110,7 +110,8 @@ def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
     ``method="window"``: ROW_NUMBER() - ROW_NUMBER() BY state, one shuffle,
     every series sorted in one task. ``method="chunked"``: run ids from the
     chunked sequence (no single-task series), if the caller asks for it. ``method="time"``: runs must also be consecutive in
-    time (``step_seconds`` apart for timestamps, 1 for day numbers)."""
+    time (``step_seconds`` apart for timestamps, 1 for day numbers); ``method="time_chunked"``: the same from two chunked
+    sequences, one for the row before, one to number the breaks. Both take one row per time."""
     if method == "time":
         # consecutive in time: rows one ``step_seconds`` apart with equal state;
         # island key = time - rank-within-state * step (missing hours break runs)
@@ -118,6 +119,13 @@ def runs(df: DataFrame, keys: list[str], order: str, state: str, chunk: Column,
         secs = F.col(order).cast("timestamp").cast("long") if step_seconds else F.col(order)
         grp = secs - F.row_number().over(w_state) * F.lit(step_seconds or 1)
         return df.withColumn("_run", F.struct(F.col(state).alias("s"), grp.alias("g")))
+    if method == "time_chunked":
+        secs = F.col(order).cast("timestamp").cast("long") if step_seconds else F.col(order)
+        d = sequence(df.withColumn("_secs", secs), keys, order, chunk, lags=(state, "_secs")).drop(CHUNK, "_idx")
+        goes_on = F.col(state).eqNullSafe(F.col(f"_prev_{state}")) & F.col("_prev__secs").eqNullSafe(F.col("_secs") - (step_seconds or 1))
+        d = d.withColumn("_break", F.when(goes_on, 0).otherwise(1)).drop(f"_prev_{state}", "_prev__secs", "_secs")
+        return sequence(d, keys, order, chunk, sums=("_break",)).withColumn("_run", F.col("_pre__break") + F.col("_break")) \
+            .drop(CHUNK, "_idx", "_break", "_pre__break")
     if method == "window":
         w_all = Window.partitionBy(*keys).orderBy(order)
         w_state = Window.partitionBy(*keys, state).orderBy(order)

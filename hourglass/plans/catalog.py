@@ -20,8 +20,9 @@ from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
+from hourglass.operators import sketches as SK
 from hourglass.plans import reports as R
-from hourglass.plans.context import Dense, Pipeline, Written
+from hourglass.plans.context import Dense, Pipeline, Sentinel, Written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,8 +30,7 @@ REPORTS: dict[str, Callable[[Pipeline], DataFrame]] = {}
 
 from hourglass.plans.params import (DIURNAL, EPISODE_CLASSES_ADAPTER,  # noqa: E402
                                     EPISODE_MIN_HOURS_ADAPTER, EXCEEDANCE_MIN_COMPLETENESS,
-                                    FLATLINE_MIN_ROWS_ADAPTER, LOOKUP, MAP_YEAR, MONTH, SWEEP_SLICE,
-                                    TREND_POLLUTANT)
+                                    FLATLINE_MIN_ROWS_ADAPTER, LOOKUP, MAP_YEAR, TREND_POLLUTANT)
 
 
 def query(name: str, pipeline: type[Pipeline] = Pipeline):
@@ -108,7 +108,7 @@ def _silver_audit(p): return R.silver_audit(p.silver)
 
 
 @query("quarantine_profile")
-def _quarantine_profile(p): return R.quarantine_profile(p.quarantine, p.bronze)
+def _quarantine_profile(p): return R.quarantine_profile(p.tagged)
 
 
 @query("below_detection_profile")
@@ -318,7 +318,7 @@ def _health_worst(p): return R.health_worst(p.health, p.dim)
 
 
 @query("month_daily_anomalies")
-def _month_daily_anomalies(p): return R.month_daily_anomalies(p.anomaly, "PM2.5", *MONTH)
+def _month_daily_anomalies(p): return R.month_daily_anomalies(p.anomaly, "PM2.5", *p.month)
 
 
 @query("hourly_network_state")
@@ -358,7 +358,7 @@ def _event_hours_by_month(p): return R.event_hours_by_month(p.classification)
 
 
 @query("baseline_adaptation")
-def _baseline_adaptation(p): return R.baseline_adaptation(p.state, "PM2.5", *MONTH)
+def _baseline_adaptation(p): return R.baseline_adaptation(p.state, "PM2.5", *p.month)
 
 
 @query("seasonal_anomaly")
@@ -370,8 +370,8 @@ def _seasonal_by_month(p): return R.seasonal_by_month(p.seasonal, "PM2.5")
 
 
 @query("threshold_sweep")
-def _threshold_sweep(p): return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0],
-                                                  slice_end=SWEEP_SLICE[1])
+def _threshold_sweep(p): return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=p.sweep_slice[0],
+                                                  slice_end=p.sweep_slice[1])
 
 
 # ---- quality ----------------------------------------------------------------
@@ -433,7 +433,7 @@ def _sensor_flatline_chunked(p):
 
 @query("threshold_sweep_chunked")
 def _threshold_sweep_chunked(p):
-    return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=SWEEP_SLICE[0], slice_end=SWEEP_SLICE[1],
+    return AN.threshold_sweep(p.fact1, "PM2.5", slice_start=p.sweep_slice[0], slice_end=p.sweep_slice[1],
                               chunk_rows=CHUNK_ROWS)
 
 
@@ -474,6 +474,18 @@ def _observation_anomaly_time(p):
     return AN.observation_anomaly(p.fact1, frame="time")
 
 
+# Hours of a chunk of a series, where time frames are asked for in chunks.
+CHUNK_HOURS = 240
+
+
+@query("observation_anomaly_time_chunked")
+def _observation_anomaly_time_chunked(p): return AN.observation_anomaly(p.fact1, frame="time", chunk_hours=CHUNK_HOURS)
+
+
+@query("flatline_time_chunked")
+def _flatline_time_chunked(p): return AN.flatline_runs(p.fact1, min_rows=2, method="time_chunked")
+
+
 @query("flatline_time")
 def _flatline_time(p):
     """A missing hour breaks a run."""
@@ -528,6 +540,24 @@ def _widget_class(p): return R.widget_sum(p.state, ["parameter_code"], "stations
 def _widget_daily_mean(p): return R.widget_daily_mean(p.daily)
 
 
+@query("sketch_profile")
+def _sketch_profile(p): return SK.profile(p.sketches, p.dim)
+
+
+@query("sketch_negative_quantiles")
+def _sketch_negative_quantiles(p): return SK.rejected_quantiles(p.sketches, R.PROFILE_QUANTILES)
+
+
+@query("sketch_regional_p95")
+def _sketch_regional_p95(p): return SK.regional_quantile(p.sketches, p.dim)
+
+
+@query("schema_inspection")
+def _schema_inspection(p):
+    """Columns of the silver table in order, with types and NULLs."""
+    return Q.schema_profile(p.silver.select(*S.FACT_COLUMNS, "hour_1based", "below_detection"))
+
+
 # The detectors and their reports over the dense records, where every class,
 # state and run type occurs and the library's own limits select something.
 DENSE = ["observation_anomaly", "observation_anomaly_chunked", "observation_anomaly_time", "anomaly_share", "hourly_network_state",
@@ -535,6 +565,14 @@ DENSE = ["observation_anomaly", "observation_anomaly_chunked", "observation_anom
          "episode_top", "event_hours_by_month", "anomaly_episodes", "sensor_flatline", "sensor_flatline_chunked",
          "sensor_flatline_raw", "flatline_raw_summary", "flatline_raw_top", "flatline_run_type", "flatline_time",
          "run_length_summary", "sensor_health", "health_share", "health_worst", "exceedance_events", "exceedance_summary",
-         "exceedance_by_year"]
+         "exceedance_by_year",
+         "threshold_sweep", "threshold_sweep_chunked", "sweep_ranked", "anomaly_by_year", "month_daily_anomalies",
+         "network_summary", "baseline_adaptation", "anomaly_episodes_chunked", "observation_anomaly_time_chunked",
+         "flatline_time_chunked", "sketch_profile", "sketch_regional_p95"]
 for _name in DENSE:
     query(f"dense_{_name}", Dense)(REPORTS[_name])
+
+# The baselines over series that begin with a sentinel.
+SENTINEL = ["observation_anomaly", "observation_anomaly_chunked", "threshold_sweep", "network_summary"]
+for _name in SENTINEL:
+    query(f"sentinel_{_name}", Sentinel)(REPORTS[_name])

@@ -26,11 +26,15 @@ from hourglass.operators import anomaly as AN
 from hourglass.operators import events as EV
 from hourglass.operators import gold as G
 from hourglass.operators import silver as S
+from hourglass.operators import sketches as SK
+from hourglass.plans.params import DENSE_MONTH, DENSE_SWEEP_SLICE, MONTH, SWEEP_SLICE
 from hourglass.sources import adapters as A
 from hourglass.sources.sinks import materialize
 
 
 class Pipeline:
+    month, sweep_slice = MONTH, SWEEP_SLICE
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
@@ -86,6 +90,11 @@ class Pipeline:
     def profile(self) -> DataFrame:
         return G.site_hourly_profile(self.fact1, self.dim)
 
+    @cached_property
+    def sketches(self) -> DataFrame:
+        """The sketch table, written once; reports merge its column."""
+        return materialize(SK.sketch_table(self.fact1, self.quarantine), "sketches")
+
     @cached_property
     def wide(self) -> DataFrame:
         return G.hourly_wide(self.silver)
@@ -138,11 +147,21 @@ class Pipeline:
 class Dense(Pipeline):
     """The hourly chain over the dense records."""
 
+    month, sweep_slice = DENSE_MONTH, DENSE_SWEEP_SLICE
+
     @cached_property
     def bronze(self) -> DataFrame:
         return A.dense_records(self.spark, self.sf_dir)
 
 
+class Sentinel(Dense):
+    """The dense records with start-up readings far off in some series."""
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return A.sentinel_records(self.spark, self.sf_dir)
+
+
 class Written(Pipeline):
     """The pipeline with every layer written once under the shared folder and
     read back, for checks that read several layers: each source is scanned

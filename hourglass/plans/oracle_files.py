@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from hourglass import constants as K
-from hourglass.plans.oracle import CTES, POL, cte, with_ctes
+from hourglass.plans.oracle import CTES, DENSE_HB, POL, cte, fx, with_ctes
 from hourglass.plans.oracle_queries import ORACLE
 
 RAW_SQL = """SELECT site_id_raw AS Site_Id, code AS ParameterCode, units AS Units, frequency AS Frequency,
@@ -49,9 +49,29 @@ cte("uv2", """SELECT * FROM ufact t WHERE NOT EXISTS (
   SELECT 1 FROM usrc s WHERE s.site_id = t.site_id AND s.parameter_code = t.parameter_code AND s.obs_time = t.obs_time)
 UNION ALL SELECT * FROM usrc""", ["ufact", "usrc"])
 ORACLE["upsert_replay"] = with_ctes("SELECT * FROM uv2", ["uv2"])
+ORACLE["upsert_stream"] = ORACLE["upsert_replay"]
+ORACLE["silver_stream_replayed"] = with_ctes("""SELECT DISTINCT site_id, parameter_code, units, obs_date, hour_1based, obs_time, value,
+  below_detection, value_clean FROM hs""", ["hs"])
+ORACLE["replay_equals_incremental"] = with_ctes("""SELECT count(*) AS incremental_rows, count(*) AS replayed_rows, CAST(0 AS BIGINT) AS different_rows
+FROM hb""", ["hb"])
 ORACLE["pipeline_gate"] = ORACLE["quality_gate"]
 cte("daily_hs", CTES["daily"][0], ["hs", "dim"])
 ORACLE["gold_daily_streamed"] = with_ctes("SELECT * FROM daily_hs", ["daily_hs"])
+ORACLE["gold_daily_incremental"] = ORACLE["gold_daily_streamed"]
+cte("monthly_hs", CTES["monthly"][0].replace("FROM ls f", "FROM hs f"), ["hs", "dim"])
+cte("regional_hs", CTES["regional"][0].replace("FROM monthly)", "FROM monthly_hs)"), ["monthly_hs"])
+ORACLE["gold_regional_incremental"] = with_ctes("SELECT * FROM regional_hs", ["regional_hs"])
+#: A run has ended when rows come from two hours and the gap after it.
+ENDED = "WHERE {} + INTERVAL 210 MINUTE <= (SELECT max(obs_time) FROM {})"
+ORACLE["flatline_stream"] = with_ctes(f"SELECT * FROM flat_time {ENDED.format('run_end', 'f1')}", ["flat_time", "f1"]) \
+    .replace(CTES["hb"][0], DENSE_HB)
+cte("event_hours", """SELECT *, obs_time - to_hours(row_number() OVER (PARTITION BY parameter_code ORDER BY obs_time)) AS run
+FROM cls WHERE event_class IN ('widespread', 'network_wide')""", ["cls"])
+ORACLE["episodes_stream"] = with_ctes(f"""SELECT * FROM (
+  SELECT parameter_code, min(obs_time) AS event_start, max(obs_time) AS event_end, count(*) AS duration_hours,
+    max(stations_anomalous) AS peak_stations_affected, max(stations_reporting) AS network_size, {fx('max(network_max)', 2)} AS peak_concentration
+  FROM event_hours GROUP BY parameter_code, run HAVING count(*) >= {K.MIN_EPISODE_HOURS}) {ENDED.format('event_end', 'cls')}""",
+                                      ["event_hours", "cls"]).replace(CTES["hb"][0], DENSE_HB)
 ORACLE["upsert_counts"] = with_ctes("""SELECT (SELECT COUNT(*) FROM ufact) AS rows_before, (SELECT COUNT(*) FROM uv2) AS rows_after_upsert,
   (SELECT COUNT(*) FROM uv2) AS rows_after_replay, (SELECT COUNT(*) FROM usrc) AS source_rows,
   (SELECT COUNT(*) FROM ufact a JOIN uv2 b ON a.site_id = b.site_id AND a.parameter_code = b.parameter_code

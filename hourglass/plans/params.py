@@ -7,6 +7,9 @@ EXCEEDANCE_MIN_COMPLETENESS = 10.0
 FLATLINE_MIN_ROWS_ADAPTER = 3
 SWEEP_SLICE = ("2024-01-01", "2024-01-08")
 MONTH = ("2024-01-01", "2024-02-01")
+# The dense records begin in February 2023.
+DENSE_SWEEP_SLICE = ("2023-02-08", "2023-02-15")
+DENSE_MONTH = ("2023-02-01", "2023-03-01")
 LOOKUP = (1, "PM2.5", "2024-01-05")
 DIURNAL = ("NO2", "Africa")
 TREND_POLLUTANT = "PM2.5"

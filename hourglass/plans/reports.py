@@ -28,12 +28,12 @@ def reject_reason_counts(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def quarantine_profile(quarantine: DataFrame, bronze_rows: DataFrame) -> DataFrame:
-    """Reason, rows and % of bronze (the denominator is a one-row
-    aggregate joined on a constant key)."""
-    q = quarantine.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows")).withColumn("_k", F.lit(1))
-    b = bronze_rows.agg(F.count(F.lit(1)).alias("_bronze")).withColumn("_k", F.lit(1))
-    return q.join(F.broadcast(b), "_k").select(
+def quarantine_profile(tagged: DataFrame) -> DataFrame:
+    """Reason, rows and % of bronze, from one scan of the tagged rows: the
+    denominator is the sum over the few aggregated rows, accepted ones included."""
+    reasons = tagged.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows")) \
+        .withColumn("_bronze", F.sum("rows").over(Window.partitionBy()))
+    return reasons.filter(F.col("reject_reason").isNotNull()).select(
         "reject_reason", "rows", fixed(pct(F.col("rows"), F.col("_bronze")), 2).alias("pct_of_bronze"))
 
 

@@ -154,6 +154,15 @@ def dense_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_suppkey") * 10_000_000 + n).alias("_record_id"))
 
 
+def sentinel_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense records, but a series begins with 99,999 at every third station
+    and with 9,999 twice at the next ones: a start-up sentinel far from where the
+    series stays."""
+    n, third = F.col("_record_id") % 10_000_000, (F.col("Site_Id") - 1) % 3
+    return dense_records(spark, sf_dir).withColumn(
+        "Value", F.when((third == 0) & (n == 0), 99_999.0).when((third == 1) & (n < 2), 9_999.0).otherwise(F.col("Value")))
+
+
 def station_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station details (``Site_Id, SiteName, Region, Latitude, Longitude``),
     one per supplier; region names arrive upper-case and are normalised by

@@ -47,7 +47,7 @@ def raw_lines(records: DataFrame) -> DataFrame:
 ARRAY_SPAN = 50_000
 
 
-def land(records: DataFrame, out_dir: str, arrays: bool = True) -> str:
+def land(records: DataFrame, out_dir: str, arrays: bool = True, mode: str = "overwrite") -> str:
     """A landing step: write records as raw chunk files under ``out_dir``
     (one directory per chunk file name). ``arrays``: each file is one JSON
     array of the chunk's records of a range of ``ARRAY_SPAN`` ids, so that no
@@ -59,10 +59,10 @@ def land(records: DataFrame, out_dir: str, arrays: bool = True) -> str:
         span = F.floor(F.col("_record_id") / ARRAY_SPAN)
         body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_record_id", RAW_TEXT))), lambda x: x[RAW_TEXT]), ",\n ")
         files = lines.groupBy(CHUNK_FILE, span.alias("_span")).agg(F.concat(F.lit("["), body, F.lit("]")).alias(RAW_TEXT)).drop("_span")
-        files.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(CHUNK_FILE).text(out_dir)
+        files.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(CHUNK_FILE).text(out_dir)
     else:
         (lines.hint("rebalance", CHUNK_FILE).sortWithinPartitions(CHUNK_FILE, "_record_id").drop("_record_id")
-              .write.mode("overwrite").partitionBy(CHUNK_FILE).text(out_dir))
+              .write.mode(mode).partitionBy(CHUNK_FILE).text(out_dir))
     return out_dir
 
 

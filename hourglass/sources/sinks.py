@@ -14,6 +14,11 @@ from hourglass.operators.silver import dedup
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Rows of a partitioned table meet by partition first (REBALANCE: large
+    partitions are split over several tasks), so that each partition gets one
+    file or few, not one from every task."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -57,9 +62,12 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: l
                       order: tuple[str, ...]) -> None:
     """Upsert into the table at ``path``, partitioned by ``partition`` (which
     the keys determine). The touched partitions are merged into a table of
-    their own first, so that nothing is overwritten while it is read."""
+    their own first, so that nothing is overwritten while it is read. Of the
+    overwrite, partitions are replaced one after the other: a crash between two
+    leaves some new and some old, each whole; the same source again replaces
+    them all, with the same rows."""
     target = spark.read.parquet(path)
     touched = source.select(partition).distinct()
     new = materialize(merged(target.join(touched, partition, "left_semi"), source, keys, order), "upsert")
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd") \
+    new.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd") \
         .partitionBy(partition).parquet(path)

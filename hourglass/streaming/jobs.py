@@ -7,7 +7,11 @@
   micro-batch writes kept rows and rejected rows (two sinks) through
   ``foreachBatch`` into a directory named by the batch id, so a replayed
   batch overwrites its own output (idempotent); expectation counts are
-  published with ``observe``.
+  published with ``observe``. ``dedup_within`` puts watermarked dedup state
+  between bronze and silver (D14), ``state_dir`` adds each batch to the
+  incremental gold (A11/H4).
+* ``stream_sessions`` (D16/E5/X3): session windows give runs of consecutive
+  hours as they end.
 
 Output folders live under the shared checkpoint folder of the session
 (``spark.checkpoint.dir``), never under the input directory."""
@@ -24,12 +28,15 @@ from pyspark.sql import types as T
 from hourglass import constants as K
 from hourglass.operators import quality as Q
 from hourglass.operators import silver as S
+from hourglass.functions.exprs import fixed
 from hourglass.operators.gold import dim_station
 from hourglass.plans.catalog import QUERIES
+from hourglass.plans.context import Dense
 from hourglass.session import shared_path
 from hourglass.sources import adapters as A
 from hourglass.sources import raw_json as RJ
 from hourglass.sources.sinks import materialize, overwrite, upsert_partitions
+from hourglass.streaming import incremental
 
 BRONZE_SCHEMA = T.StructType(RJ.RAW_SCHEMA.fields + [
     T.StructField("_rescued_data", T.StringType()), T.StructField("_ingested_at", T.TimestampType()),
@@ -63,14 +70,30 @@ def stream_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, checkpoint
     q.awaitTermination()
 
 
+#: What makes two streamed records the same: everything but where they came from.
+RECORD = ["site_id", "parameter_code", "units", "frequency", "obs_date", "hour_1based", "value", "aqi_category"]
+
+
+def once(flat: DataFrame, within: str) -> DataFrame:
+    """D14 in the stream: a record that came before, in whatever file, is dropped
+    if it was ingested at most ``within`` before. The watermark is on ingest
+    time, which only grows, so no record is ever late: observations of any age
+    are kept. A replay after more than ``within`` counts as new; the state holds
+    the records of that span."""
+    stamped = flat.withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+    return stamped.withWatermark("_ingested_at", within).dropDuplicatesWithinWatermark(RECORD)
+
+
 def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarantine_dir: str,
-                  checkpoint: str, max_files_per_trigger: int | None = None) -> list[dict]:
+                  checkpoint: str, max_files_per_trigger: int | None = None,
+                  dedup_within: str | None = None, state_dir: str | None = None) -> list[dict]:
     """Returns the per-batch expectation metrics collected by ``observe``."""
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(bronze_dir)
-    flat = S.clean(S.flatten(src), generation=2)
+    flat = S.flatten(src)
+    flat = S.clean(once(flat, dedup_within) if dedup_within else flat, generation=2)
     metrics: list[dict] = []
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
@@ -87,6 +110,8 @@ def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarant
             overwrite(kept, f"{silver_dir}/batch_id={batch_id}")
             rejected = S.split_quarantine(S.reject_reason(df, floor=None))[1]
             overwrite(rejected, f"{quarantine_dir}/batch_id={batch_id}")
+            if state_dir:
+                incremental.add_batch(spark.read.parquet(f"{silver_dir}/batch_id={batch_id}"), batch_id, state_dir)
             metrics.append({"batch_id": batch_id, **obs.get})
         finally:
             df.unpersist()
@@ -97,6 +122,38 @@ def stream_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, quarant
     return metrics
 
 
+#: Longer than an hour, shorter than two: rows an hour apart are one session.
+SESSION_GAP, SESSION_DELAY = "90 minutes", "2 hours"
+
+
+def stream_sessions(rows: DataFrame, keys: list[str], aggregates: list, out_dir: str, checkpoint: str, min_rows: int) -> None:
+    """X3 as a stream: runs of rows of equal ``keys`` an hour apart (``obs_time``),
+    appended to ``out_dir`` once they have ended. A run has ended when rows more than
+    ``SESSION_DELAY`` after it have come; rows that come later than that are
+    dropped. Runs that are open stay in the state for the next start."""
+    timed = rows.withColumn("_at", F.col("obs_time").cast("timestamp")).withWatermark("_at", SESSION_DELAY)
+    ended = timed.groupBy(*keys, F.session_window("_at", SESSION_GAP)).agg(
+        F.min("obs_time").alias("run_start"), F.max("obs_time").alias("run_end"), F.count(F.lit(1)).alias("run_rows"), *aggregates) \
+        .filter(F.col("run_rows") >= min_rows).drop("session_window")
+    q = (ended.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start(out_dir))
+    q.awaitTermination()
+
+
+def arrivals(spark: SparkSession, rows: DataFrame, parts: int, tag: str):
+    """``rows`` as a table that grows in ``parts`` steps of time; yields the file
+    stream over it after each step. A stream drains what has come and goes on
+    from its checkpoint."""
+    rows = materialize(rows, tag)
+    path = run_dir(spark, tag)
+    first, last = rows.agg(F.min("obs_date"), F.max("obs_date")).first()  # two dates
+    step = (last - first).days // parts + 1 if first else 1
+    for i in range(parts if first else 0):
+        part = rows.filter(F.datediff("obs_date", F.lit(first)).between(i * step, (i + 1) * step - 1))
+        part.write.mode("append").parquet(path)
+        yield spark.readStream.schema(rows.schema).parquet(path)
+
+
 # ---- registered keys ----------------------------------------------------------
 def _flat_raw(df: DataFrame) -> DataFrame:
     return df.select("Site_Id", "Parameter.*", "Date", "Hour", "Value", "AirQualityCategory",
@@ -172,6 +229,102 @@ def _gold_daily_streamed(spark, sf_dir):
     return G.gold_daily(_streamed_silver(spark, sf_dir), dim_station(A.station_details(spark, sf_dir)))
 
 
+def _replayed(spark, sf_dir) -> tuple[str, str]:
+    """Silver and incremental state of a stream that got every raw file twice:
+    the second time under other names and in later batches."""
+    raw, bronze, silver, quar, state = (run_dir(spark, t) for t in ("raw", "bronze", "silver", "quarantine", "gold-state"))
+    records = A.hourly_records(spark, sf_dir)
+    again = records.withColumn("_source_file", F.concat(F.lit("again-"), "_source_file"))
+    cks = run_dir(spark, "ckpt"), run_dir(spark, "ckpt")
+    for part in (records, again):
+        RJ.land(part, raw, mode="append")
+        stream_bronze(spark, raw, bronze, cks[0])
+        stream_silver(spark, bronze, silver, quar, cks[1], max_files_per_trigger=4, dedup_within="7 days", state_dir=state)
+    return silver, state
+
+
+def _silver_stream_replayed(spark, sf_dir):
+    return spark.read.parquet(_replayed(spark, sf_dir)[0]).select(
+        "site_id", "parameter_code", "units", "obs_date", "hour_1based", "obs_time", "value", "below_detection", "value_clean")
+
+
+def _state(spark, sf_dir) -> DataFrame:
+    """The incremental state after a stream of several batches."""
+    raw, bronze, silver, quar, state = (run_dir(spark, t) for t in ("raw", "bronze", "silver", "quarantine", "gold-state"))
+    RJ.land(A.hourly_records(spark, sf_dir), raw)
+    stream_bronze(spark, raw, bronze, run_dir(spark, "ckpt"), max_files_per_trigger=16)
+    stream_silver(spark, bronze, silver, quar, run_dir(spark, "ckpt"), max_files_per_trigger=8, state_dir=state)
+    return incremental.read_state(spark, state)
+
+
+def _gold_daily_incremental(spark, sf_dir):
+    return incremental.gold_daily(_state(spark, sf_dir), dim_station(A.station_details(spark, sf_dir)))
+
+
+def _gold_regional_incremental(spark, sf_dir):
+    return incremental.gold_regional(_state(spark, sf_dir), dim_station(A.station_details(spark, sf_dir)))
+
+
+STREAM_PARTS = 4
+
+
+def _flatline_stream(spark, sf_dir):
+    """Runs of equal readings in consecutive hours on the dense records that have ended."""
+    out, ck = run_dir(spark, "sessions"), run_dir(spark, "ckpt")
+    fact = Dense(spark, sf_dir).fact1.select(*K.SILVER_GRAIN, "obs_date", "value_clean")
+    for rows in arrivals(spark, fact, STREAM_PARTS, "fact-stream"):
+        stream_sessions(rows, ["site_id", "parameter_code", "value_clean"], [], out, ck, min_rows=2)
+    return spark.read.schema("site_id int, parameter_code string, value_clean double, run_start timestamp_ntz, run_end timestamp_ntz, run_rows long") \
+        .parquet(out).select("site_id", "parameter_code", F.col("value_clean").alias("stuck_value"), "run_start", "run_end",
+                             F.col("run_rows").alias("hours_stuck"))
+
+
+def _episodes_stream(spark, sf_dir):
+    """Episodes of consecutive event hours on the dense records that have ended."""
+    out, ck = run_dir(spark, "sessions"), run_dir(spark, "ckpt")
+    hours = Dense(spark, sf_dir).classification
+    hours = hours.withColumns({"obs_date": F.col("obs_time").cast("date"), "is_event": F.col("event_class").isin("widespread", "network_wide")})
+    peaks = [F.max("stations_anomalous").alias("peak_stations_affected"), F.max("stations_reporting").alias("network_size"),
+             F.max("network_max").alias("peak_concentration")]
+    for rows in arrivals(spark, hours, STREAM_PARTS, "hours-stream"):
+        stream_sessions(rows, ["parameter_code", "is_event"], peaks, out, ck, min_rows=K.MIN_EPISODE_HOURS)
+    found = spark.read.schema("parameter_code string, is_event boolean, run_start timestamp_ntz, run_end timestamp_ntz, run_rows long, "
+                              "peak_stations_affected long, network_size long, peak_concentration double").parquet(out)
+    return found.filter("is_event").select("parameter_code", F.col("run_start").alias("event_start"), F.col("run_end").alias("event_end"),
+                                           F.col("run_rows").alias("duration_hours"), "peak_stations_affected", "network_size",
+                                           fixed(F.col("peak_concentration"), 2).alias("peak_concentration"))
+
+
+def _upsert_stream(spark, sf_dir):
+    """A14 from a stream: the table after a stream of upserts, and the same files
+    under a new checkpoint, as after its loss: each batch is replayed."""
+    fact = S.dedup(S.silver(A.hourly_records(spark, sf_dir))).select(*UPSERT_COLS)
+    path, source = run_dir(spark, "upsert"), run_dir(spark, "upsert-source")
+    overwrite(fact, path, ["obs_date"])
+    week = materialize(_reprocessed_week(spark.read.parquet(path).select(*UPSERT_COLS)), "upsert-week")
+    week.repartition(4, "obs_date").write.parquet(source)
+    for _ in range(2):
+        rows = spark.readStream.schema(week.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        stream_upsert(spark, rows, path, K.SILVER_GRAIN, "obs_date", UPSERT_ORDER, run_dir(spark, "ckpt"))
+    return spark.read.parquet(path).select(*[c for c in UPSERT_COLS if c != "obs_date"])
+
+
+def _replay_equals_incremental(spark, sf_dir):
+    """H5: bronze from a stream in small batches with a restart between, and from
+    a replay of all files into an empty table: rows of both, and rows of one only."""
+    raw = land_hourly(spark, sf_dir)
+    step, whole, ck = run_dir(spark, "bronze"), run_dir(spark, "bronze"), run_dir(spark, "ckpt")
+    for files in (8, None):
+        stream_bronze(spark, raw, step, ck, max_files_per_trigger=files)
+    stream_bronze(spark, raw, whole, run_dir(spark, "ckpt"))
+    columns = [c.name for c in BRONZE_SCHEMA if c.name != "_ingested_at"]
+    a, b = (spark.read.schema(BRONZE_SCHEMA).parquet(p).select(*columns) for p in (step, whole))
+    side = a.withColumn("_a", F.lit(1)).unionByName(b.withColumn("_a", F.lit(-1)))
+    each = side.groupBy(*columns).agg(F.count_if(F.col("_a") == 1).alias("n"), F.sum("_a").alias("_d"))
+    return each.agg(F.sum("n").alias("incremental_rows"), (F.sum("n") - F.sum("_d")).alias("replayed_rows"),
+                    F.coalesce(F.sum(F.abs("_d")), F.lit(0)).alias("different_rows"))
+
+
 def _manifest(spark, sf_dir):
     return RJ.manifest(spark, land_hourly(spark, sf_dir))
 
@@ -247,6 +400,13 @@ QUERIES.update({
     "rows_vs_manifest": _rows_vs_manifest,
     "upsert_replay": _upsert_replay,
     "upsert_counts": _upsert_counts,
+    "upsert_stream": _upsert_stream,
+    "silver_stream_replayed": _silver_stream_replayed,
+    "gold_daily_incremental": _gold_daily_incremental,
+    "gold_regional_incremental": _gold_regional_incremental,
+    "flatline_stream": _flatline_stream,
+    "episodes_stream": _episodes_stream,
+    "replay_equals_incremental": _replay_equals_incremental,
     "pipeline_gate": lambda spark, sf_dir: _pipeline_gate(spark, sf_dir),
 })
 

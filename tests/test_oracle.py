@@ -54,6 +54,8 @@ def test_dense_data_makes_every_branch_fire(spark):
     assert seen(p.classification, "event_class") == set(K.EVENT_CLASSES)
     assert seen(p.health, "health_status") == {"poor_coverage", "suspect", "gappy", "healthy"}
     assert len(seen(QUERIES["dense_flatline_run_type"](spark, sf), "run_type")) == 2
-    for name in ("dense_air_quality_event", "dense_episode_summary", "dense_sensor_flatline_raw", "dense_exceedance_events"):
+    for name in ("dense_air_quality_event", "dense_episode_summary", "dense_sensor_flatline_raw", "dense_exceedance_events",
+                 "dense_anomaly_episodes_chunked", "dense_threshold_sweep", "dense_sweep_ranked", "dense_month_daily_anomalies",
+                 "dense_baseline_adaptation", "dense_flatline_time_chunked", "flatline_stream", "episodes_stream"):
         r = compare(spark, duck(sf), QUERIES[name], ORACLE[name], sf)
         assert r["rows_spark"] == r["rows_oracle"] > 0 and r["hash_match"], (name, r)
