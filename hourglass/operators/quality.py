@@ -9,7 +9,7 @@ of check rows and raise once with every failure."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass import constants as K
@@ -111,6 +111,33 @@ def quality_gate(bronze: DataFrame, silver: DataFrame, daily: DataFrame, regiona
             "neg": F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0)}),
         d=grain_profile(daily, K.DAILY_GRAIN, {"maxc": ("max", F.col("completeness_pct"))}),
         r=grain_profile(regional, K.REGIONAL_GRAIN))
+    return _gate_rows(one, max_drop_rate)
+
+
+#: What is observed of each layer while it is written.
+def write_metrics() -> dict[str, list]:
+    rows = F.count(F.lit(1)).alias("rows")
+    return {"bronze": [rows], "regional": [rows], "daily": [rows, F.max("completeness_pct").alias("maxc")],
+            "silver": [rows, F.count_if(F.col("parameter_code").isin(K.POLLUTANTS) & (F.col("value_clean") < 0)).alias("neg")]}
+
+
+def observed_gate(metrics: dict[str, dict], silver: DataFrame, daily: DataFrame, regional: DataFrame,
+                  max_drop_rate: float = K.MAX_DROP_RATE) -> DataFrame:
+    """The quality gate from ``write_metrics`` of the layers (a few numbers for
+    each); only grain, which no row shows by itself, takes a pass over the
+    written keys."""
+    duplicates = side_by_side(**{n: grain_violations(df, keys) for n, df, keys in (
+        ("silver", silver, K.SILVER_GRAIN), ("daily", daily, K.DAILY_GRAIN), ("regional", regional, K.REGIONAL_GRAIN))})
+
+    def layer(name: str, of: str) -> Column:
+        kinds = {"maxc": "double"}
+        known = [F.lit(v).cast(kinds.get(k, "long")).alias(k) for k, v in metrics[name].items()]
+        return F.struct(*known, *([F.col(f"{name}.duplicate_keys")] if name != "bronze" else [])).alias(of)
+
+    return _gate_rows(duplicates.select(layer("bronze", "b"), layer("silver", "s"), layer("daily", "d"), layer("regional", "r")), max_drop_rate)
+
+
+def _gate_rows(one: DataFrame, max_drop_rate: float) -> DataFrame:
     empty = sum((F.col(f"{t}.rows") == 0).cast("int") for t in "bsdr")
     cells = [("drop_rate_pct", pct(F.col("b.rows") - F.col("s.rows"), F.col("b.rows")), max_drop_rate),
              ("empty_tables", empty, 0.0),

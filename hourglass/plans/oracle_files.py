@@ -19,6 +19,10 @@ ORACLE["silver_stream"] = with_ctes(
     """SELECT hs.site_id, hs.parameter_code, hs.units, hs.obs_date, hs.hour_1based, hs.obs_time, hs.value,
   hs.below_detection, hs.value_clean, hb._source_file
 FROM hs JOIN hb ON hs._record_id = hb._record_id""", ["hs", "hb"])
+ORACLE["drift_schema"] = with_ctes("""SELECT 'k' AS field, count(*) AS rows, 'BIGINT' AS data_type FROM hbx
+UNION ALL SELECT 'Value', count(*), 'STRING' FROM hbx WHERE value_raw IS NULL""", ["hbx"])
+ORACLE["promoted_field"] = with_ctes("""SELECT site_id_raw AS Site_Id, code AS ParameterCode, date_raw AS Date, hour_raw AS Hour, value_raw AS Value,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CASE WHEN value_raw IS NULL THEN '{"Value":"n/a"}' END AS _rescued_data FROM hbx""", ["hbx"])
 MAN = r"""SELECT TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 1) AS INTEGER) AS site_id,
   replace(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 2), '_', '.') AS pollutant,
   TRY_CAST(regexp_extract(_source_file, 'site(\d+|x)_(.+)_(\d{4})\.json', 3) AS INTEGER) AS year,

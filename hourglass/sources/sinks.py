@@ -8,17 +8,20 @@ all others keep their files. Replaying the same source yields the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from hourglass.operators.silver import dedup
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None,
+              observed: tuple[Observation, list[Column]] | None = None) -> str:
     """Rows of a partitioned table meet by partition first (REBALANCE: large
     partitions are split over several tasks), so that each partition gets one
     file or few, not one from every task."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if observed:  # by the writing tasks, whose results count once whatever is recomputed before them
+        df = df.observe(observed[0], *observed[1])
     w = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)

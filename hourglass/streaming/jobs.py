@@ -34,6 +34,7 @@ from hourglass.plans.catalog import QUERIES
 from hourglass.plans.context import Dense
 from hourglass.session import shared_path
 from hourglass.sources import adapters as A
+from hourglass.sources import drift
 from hourglass.sources import raw_json as RJ
 from hourglass.sources.sinks import materialize, overwrite, upsert_partitions
 from hourglass.streaming import incremental
@@ -170,6 +171,18 @@ def _bronze_rescued(spark, sf_dir):
     return _flat_raw(RJ.read_rescued(spark, land_hourly(spark, sf_dir)))
 
 
+def _drift_schema(spark, sf_dir):
+    return drift.drift_schema(RJ.read_rescued(spark, land_hourly(spark, sf_dir)))
+
+
+def _promoted_field(spark, sf_dir):
+    """The drifting field ``k`` as a typed column, of a table that was written before it was known."""
+    path = run_dir(spark, "bronze")
+    RJ.read_rescued(spark, land_hourly(spark, sf_dir)).write.parquet(path)
+    rows = drift.promote(spark.read.parquet(path), "k", "int")
+    return rows.select("Site_Id", "Parameter.ParameterCode", "Date", "Hour", "Value", "k", "_rescued_data")
+
+
 def _bronze_stream(spark, sf_dir):
     raw, out = land_hourly(spark, sf_dir), run_dir(spark, "bronze")
     ck = run_dir(spark, "ckpt")
@@ -389,6 +402,8 @@ def _upsert_counts(spark, sf_dir):
 QUERIES.update({
     "bronze_batch": _bronze_batch,
     "bronze_rescued": _bronze_rescued,
+    "drift_schema": _drift_schema,
+    "promoted_field": _promoted_field,
     "bronze_stream": _bronze_stream,
     "silver_stream": _silver_stream,
     "stream_reconciliation": _stream_reconciliation,
