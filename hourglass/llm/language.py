@@ -261,4 +261,4 @@ def fold(n: int) -> Column:
 def query(docs: DataFrame) -> DataFrame:
     model = fit(docs, fold(3) != 1)
     found = predict(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

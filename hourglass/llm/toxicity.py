@@ -352,4 +352,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     model = fit(docs, labels.select("doc_id", "toxic"), fold != 0)
-    return score(docs.select("doc_id", "text"), model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+    return score(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
