@@ -20,7 +20,8 @@ dictionary of bounded size, so no text is shuffled and memory does not grow
 with the input. A lost executor only repeats its own tasks.
 
 Defined cases: null text counts as empty; an empty text has no ids and decodes
-to the empty string; repeated rows give repeated results; input columns named
+to the empty string; texts of any length are encoded whole; repeated rows give
+repeated results; empty tables give empty results; input columns named
 like an output column are replaced by it; any other column is kept as it is.
 """
 

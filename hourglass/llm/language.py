@@ -16,7 +16,8 @@ Defined cases: a null text, or one without a letter, is ``und`` with score 0,
 as is everything if nothing was learned; with one learned language every
 other text is that language with score 1; rows without a language teach
 nothing; ties in votes go to the larger probability, then to the name that
-sorts first; repeated rows get equal predictions; input columns named like
+sorts first; texts of any length are counted whole; repeated rows get equal
+predictions; a row without doc_id is not held out and teaches nothing; input columns named like
 an output column are replaced.
 """
 

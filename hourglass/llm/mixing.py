@@ -19,7 +19,9 @@ Defined cases: null domain, language or source is the node ``?``; a null or
 empty text has no tokens (it may be chosen, at no cost); a document whose
 first token lies inside the prefix is chosen, and ``tokens_used`` says how far
 the prefix reaches into it; rows with equal doc_id in a leaf share a key and
-are chosen together; shares are rounded down; empty tables give none.
+are chosen together; shares are rounded down; texts are counted whole, whatever
+their length; input columns named like one of the output are dropped; empty
+tables give none.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ which texts are kept.
 
 Defined cases: a null text has no words; a text without words fails the base
 rule; empty tables give empty results (rules then keep their given order);
-columns of the input named like a new column are replaced; repeated rows give
+columns of the input named like a new column (``base_failed`` and ``kept`` included)
+are replaced; texts of any length are read whole; repeated rows give
 repeated results.
 """
 

@@ -18,7 +18,8 @@ Mining and the classifier use a bounded sample of labelled training rows
 over all training documents. Voting and scoring are map-only.
 
 Defined cases: a null or empty text has no matches and gets the score of such
-texts; repeated rows get equal scores; several labels of a doc_id count as
+texts; texts of any length are read whole; repeated rows get equal scores; a row without doc_id is not held
+out; several labels of a doc_id count as
 toxic if one is; without any labels the lexicon alone starts the label model;
 with an empty corpus nothing is learned and scores are 0; input columns named
 like an output column are replaced.

@@ -24,7 +24,8 @@ names one of the responses with its own payload.
 Defined cases: null html is an empty payload; a null url is recorded as the
 record's identifier; line breaks in a url are percent-encoded; repeated rows
 give a record each, which are both responses if they have the largest id of
-their payload; a null page_id is never referred to and reads back as null; an
+their payload; payloads of any length are cut into segments; other columns than
+page_id, url and html are ignored; a null page_id is never referred to and reads back as null; an
 empty table gives an empty archive, which reads as no records.
 """
 
