@@ -64,3 +64,24 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable on the executors of a cluster, whose Python
+    functions import it: the driver's copy is sent to them once for each application
+    (as ``spark-submit --py-files`` does). A local master has it already."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster") or getattr(sc, "_hourglass_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="hourglass-py-"), "hourglass.zip")  # on the driver; Spark sends it
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._hourglass_shipped = True
