@@ -23,11 +23,14 @@ Components are found by alternating stars over the verified links. Every
 step's table is written to the shared folder.
 
 The query also counts each document's links, all of them. Linked documents are
-in one component, so the sets of a component are compared with each other: in
-parts of bounded size, each pair of parts by itself, as products of matrices
-that tell which set holds which shingle. A part's task gives sums for each set,
-weighted by the copies of its partner, and no pairs. The time grows with the
-square of a component's different sets, the rows with that square over a part's.
+in one component, so the sets of a component are compared with each other. Once,
+each set meets its component's first set and is told by its differences to that
+one: C being the first set and D(A) what A lacks of it or has besides,
+|A & B| = |C| - |C \\ A| - |C \\ B| + |D(A) & D(B)|. Only these numbers, no texts,
+are dealt to parts of some thousands of sets; each pair of parts is
+compared by itself, as products of matrices that tell which set differs where. A part's task gives sums for
+each set, weighted by the copies of its partner, and no pairs. Bytes grow with
+the component's sets up to a part's size, the time with their square.
 
 Defined cases: null, empty or blank texts have no shingles and are linked with
 nothing (their component is their own id); a text of fewer words than a
@@ -54,8 +57,9 @@ COUNTERS, PER_ROW = 1 << 20, 1 << 12
 MAX_MATCHES = 4
 #: Documents in a bucket whose pairs are made before they are judged.
 SMALL_BUCKET = 32
-#: Sets in a part of a component, and their shingles altogether, about; columns of a matrix.
-PART, PART_SHINGLES, COLUMNS = 256, 300_000, 4096
+#: Sets in a part of a component, and their differences altogether, about; sets
+#: and columns of a matrix; sets of a component in a task that finds differences.
+PART, PART_NUMBERS, TILE, COLUMNS, DEALT = 4096, 2_000_000, 1024, 4096, 4096
 #: Cost of verifying a candidate, in index entries.
 VERIFY_COST = 20.0
 
@@ -351,77 +355,116 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     return _told(*_joined(docs, width, percent))
 
 
-def compared(parts: DataFrame, width: int, percent: int) -> DataFrame:
+def differences(sets: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(component, node, weight, mixed, n, lacks, diffs) of rows (component,
+    node, doc_id, weight, mixed): a set's size, how many shingles of its
+    component's first set it lacks, and these and those that it has besides, as
+    packed numbers. Rows meet the first text in groups of about ``DEALT``."""
+    leaders = sets.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("l"), F.count(F.lit(1)).alias("_c")).filter("_c > 1") \
+        .selectExpr("component", "l.doc_id AS doc_id", "l.node AS node", f"cast(ceil(_c / {DEALT}) AS int) AS k")
+    texts = docs.filter("doc_id IS NOT NULL")
+    salted = sets.join(leaders.select("component", "k"), "component").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    columns = ["component", "salt", "lead", "node", "weight", "mixed", "text"]
+    members = salted.withColumn("lead", F.lit(False)).join(texts, "doc_id").select(*columns)
+    first = leaders.select("component", "node", "doc_id", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt")) \
+        .withColumns({"lead": F.lit(True), "weight": F.lit(0).cast("long"), "mixed": F.lit(False)}).join(texts, "doc_id").select(*columns)
+
+    def run(batches):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        from hourglass.llm.shingles import shingle_sets, sliced
+        now, core, held = None, None, set()
+        for whole in batches:
+            for batch in sliced(whole, 6):
+                _, found, n = shingle_sets(batch.column(6), width)
+                out = []
+                for component, salt, lead, node, weight, mixed, own in zip(*(batch.column(k).to_pylist() for k in range(6)), np.split(found, np.cumsum(n)[:-1])):
+                    if (component, salt) != now:
+                        now, core, held = (component, salt), None, set()
+                    # Texts that aren't of their node (its document has several) are left out, copies too.
+                    if hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() != node or (not lead and node in held):
+                        continue
+                    if lead:
+                        core = own.copy()
+                        continue
+                    held.add(node)
+                    lacks = np.setdiff1d(core, own, assume_unique=True)
+                    diffs = np.concatenate([lacks, np.setdiff1d(own, core, assume_unique=True)])
+                    out.append((component, node, weight, mixed, len(own), len(lacks), diffs.tobytes()))
+                if out:
+                    kinds = (pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                                     names=["component", "node", "weight", "mixed", "n", "lacks", "diffs"])
+
+    return members.union(first).repartition("component", "salt").sortWithinPartitions("component", "salt", F.desc("lead")) \
+        .mapInArrow(run, "component long, node string, weight long, mixed boolean, n long, lacks long, diffs binary")
+
+
+def compared(parts: DataFrame, percent: int) -> DataFrame:
     """(node, other, links) of rows (component, i, j, part, node, weight, mixed,
-    text), of which those with equal component, i and j are compared: sums of
-    the linked nodes' weights, and the pairs that have a mixed node. Texts that
-    aren't of their node (their document has several) are left out."""
+    n, lacks, diffs), of which those with equal component, i and j are compared:
+    sums of the linked nodes' weights, and the pairs that have a mixed node."""
     def links(group):
         import numpy as np
         i, j = group[0][:2]
         where = np.array([g[2] for g in group])
         weights, mixed = np.array([g[4] for g in group], "i8"), np.array([g[5] for g in group], bool)
-        sets = [g[6] for g in group]
-        sizes = np.array([len(x) for x in sets], "i8")
-        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        sizes, lacks = np.array([g[6] for g in group], "i8"), np.array([g[7] for g in group], "i8")
+        diffs = [np.frombuffer(g[8], "u8") for g in group]
+        core = sizes[0] + 2 * lacks[0] - len(diffs[0])  # the first set's size: n + lacks - besides
+        _, column, often = np.unique(np.concatenate(diffs), return_inverse=True, return_counts=True)
         kept = often > 1
-        row, column = np.repeat(np.arange(len(sets)), sizes)[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
+        row, column = np.repeat(np.arange(len(diffs)), [len(d) for d in diffs])[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
         a, b = np.flatnonzero(where == i), np.flatnonzero(where == j)
-        shared = np.zeros((len(a), len(b)), "i8")
-        for at in range(0, int(kept.sum()), COLUMNS):
-            lo, hi = np.searchsorted(column, (at, at + COLUMNS))
-            x = np.zeros((len(sets), min(COLUMNS, int(kept.sum()) - at)), "f4")
-            x[row[lo:hi], column[lo:hi] - at] = 1
-            shared += (x[a] @ x[b].T).astype("i8")
-        good = (shared > 0) & (100 * shared >= percent * (sizes[a][:, None] + sizes[b][None, :] - shared))
-        if i == j:
-            np.fill_diagonal(good, False)
-        sums = np.zeros(len(sets), "i8")
-        sums[a] += good @ weights[b]
-        if i != j:
-            sums[b] += good.T @ weights[a]
-        out = [(group[k][3], None, int(sums[k])) for k in np.flatnonzero(sums)]
-        for k, m in zip(*np.nonzero(good & (mixed[a][:, None] | mixed[b][None, :]))):
-            one, two = group[a[k]][3], group[b[m]][3]
-            out += [(one, two, 0)] if i == j else [(one, two, 0), (two, one, 0)]
-        return out
+        sums = np.zeros(len(group), "i8")
+        out = []
+        for x in (a[k:k + TILE] for k in range(0, len(a), TILE)):
+            for y in (b[k:k + TILE] for k in range(0, len(b), TILE)):
+                shared = core - lacks[x][:, None] - lacks[y][None, :]
+                for at in range(0, int(kept.sum()), COLUMNS):
+                    lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+                    sides = []
+                    for side in (x, y):
+                        place = np.full(len(group), -1)
+                        place[side] = np.arange(len(side))
+                        mine = place[row[lo:hi]] >= 0
+                        dense = np.zeros((len(side), min(COLUMNS, int(kept.sum()) - at)), "f4")
+                        dense[place[row[lo:hi][mine]], column[lo:hi][mine] - at] = 1
+                        sides.append(dense)
+                    shared = shared + (sides[0] @ sides[1].T).astype("i8")
+                good = (x[:, None] != y[None, :]) & (shared > 0) & (100 * shared >= percent * (sizes[x][:, None] + sizes[y][None, :] - shared))
+                sums[x] += good @ weights[y]
+                if i != j:
+                    sums[y] += good.T @ weights[x]
+                for k, m in zip(*np.nonzero(good & (mixed[x][:, None] | mixed[y][None, :]))):
+                    one, two = group[x[k]][3], group[y[m]][3]
+                    out += [(one, two, 0)] if i == j else [(one, two, 0), (two, one, 0)]
+        return out + [(group[k][3], None, int(sums[k])) for k in np.flatnonzero(sums)]
 
     def run(batches):
-        import hashlib
-
-        import numpy as np
         import pyarrow as pa
 
-        from hourglass.llm.shingles import shingle_sets, sliced
-
-        def batch_of(out):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.string(), pa.int64()))],
-                                              names=["node", "other", "links"])
+        def told(group):
+            out = links(group) if len(group) > 1 else []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.string(), pa.int64()))],
+                                                 names=["node", "other", "links"])
 
-        now, group, held, out = None, [], set(), []
-        for whole in batches:
-            for batch in sliced(whole, 7):
-                _, found, n = shingle_sets(batch.column(7), width)
-                sets = np.split(found, np.cumsum(n)[:-1])
-                for component, *rest, own in zip(*(batch.column(k).to_pylist() for k in range(7)), sets):
-                    key = (component, *rest[:2])
-                    if key != now:
-                        out += links(group) if group else []
-                        now, group, held = key, [], set()
-                        if len(out) > 5000:
-                            yield batch_of(out)
-                            out = []
-                    node = rest[3]
-                    if node not in held and hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() == node:
-                        held.add(node)
-                        group.append((*rest, own.copy()))
-        out += links(group) if group else []
-        if out:
-            yield batch_of(out)
-
-    rows = parts.select("component", "i", "j", "part", "node", "weight", "mixed", "text")
+        now, group = None, []
+        for batch in batches:
+            for component, *row in zip(*(batch.column(k).to_pylist() for k in range(10))):
+                if (component, *row[:2]) != now:
+                    yield from told(group)
+                    now, group = (component, *row[:2]), []
+                group.append(row)
+        yield from told(group)
+
+    rows = parts.select("component", "i", "j", "part", "node", "weight", "mixed", "n", "lacks", "diffs")
     return rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j") \
         .mapInArrow(run, "node string, other string, links long")
 
@@ -437,13 +480,12 @@ def link_counts(docs: DataFrame, rows: DataFrame, reached: DataFrame, width: int
     weights = members.groupBy("node").agg(F.count_if(~F.col("mixed")).alias("weight"), F.max("mixed").alias("mixed"))
     texts = nodes.groupBy(F.col("signature").alias("node"), "n").agg(F.min("doc_id").alias("doc_id"))
     every = written(weights.join(texts, "node").join(reached.withColumnRenamed("id", "doc_id"), "doc_id"), "jaccard-nodes")
-    sizes = every.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles")).filter("nodes > 1") \
-        .selectExpr("component", f"cast(least(nodes, greatest(ceil(nodes / {PART}), ceil(shingles / {PART_SHINGLES}))) AS int) AS k")
-    sets = every.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-    whole = docs.filter("doc_id IS NOT NULL").join(sets, "doc_id").dropDuplicates(["node", "text"])
-    parts = whole.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("k") - 1))) \
-        .withColumns({"i": F.least("part", "q"), "j": F.greatest("part", "q")})
-    found = written(compared(parts, width, percent), "jaccard-counts")
+    sets = written(differences(every, docs, width), "jaccard-differences")
+    sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.length("diffs") / 8).alias("numbers")) \
+        .selectExpr("component", f"cast(least(nodes, greatest(ceil(nodes / {PART}), ceil(numbers / {PART_NUMBERS}))) AS int) AS k")
+    parts = sets.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")) \
+        .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumns({"i": F.least("part", "q"), "j": F.greatest("part", "q")})
+    found = written(compared(parts, percent), "jaccard-counts")
     pairs = found.filter("other IS NOT NULL").select("node", "other") \
         .union(weights.filter("mixed").select("node", F.col("node").alias("other")))
     mixed = members.filter("mixed").select("doc_id", "node")

@@ -82,8 +82,10 @@ def test_components_equal_all_pairs(frame, monkeypatch, seed, percent, small):
 
 @pytest.mark.parametrize("seed,percent,part", [(1, 80, 256), (4, 80, 3), (3, 60, 2)])
 def test_links_equal_all_pairs(frame, monkeypatch, seed, percent, part):
-    monkeypatch.setattr(jaccard, "PART", part, raising=False)
-    monkeypatch.setattr(jaccard, "COLUMNS", 16 * part, raising=False)
+    monkeypatch.setattr(jaccard, "PART", part)
+    monkeypatch.setattr(jaccard, "COLUMNS", 16 * part)
+    monkeypatch.setattr(jaccard, "TILE", 1 + part // 3)
+    monkeypatch.setattr(jaccard, "DEALT", 1 + part // 2)
     mixed = [(6000, "a b c d e f"), (6000, "q r s t u v"), (6001, "A B C D E F"), (6002, "q r s t u v"), (6003, "a b c d e f"), (6003, "q R s t u v")]
     rows = corpus(seed) + [(i and 5000 + i, t) for i, t in EDGE] + mixed
     rows += [(7000 + k % 7, t) for k, (_, t) in enumerate(corpus(seed)[:40])] + [(8000 + i, t) for i, t in corpus(seed)[:30]]
