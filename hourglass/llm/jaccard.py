@@ -54,6 +54,8 @@ WIDTH = 5
 PERCENT = 80
 #: Counters of shingles, and how many of them travel in a row.
 COUNTERS, PER_ROW = 1 << 20, 1 << 12
+#: Bits of the filter of texts for each id in it, and at most (16 MB).
+BITS_PER_ID, MAX_BITS = 8, 1 << 27
 MAX_MATCHES = 4
 #: Documents in a bucket whose pairs are made before they are judged.
 SMALL_BUCKET = 32
@@ -174,27 +176,50 @@ def _least_overlap(a: str, b: str, percent: int) -> str:
     return f"cast(ceil({percent} * ({a} + {b}) / {100 + percent}) AS long)"
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity. Texts are
-    shuffled only of documents that may be in a pair, by a table of fixed
-    size; the join decides."""
+def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that ``ids`` (id) may name: all of them, and
+    few others, so that a join with ``ids`` doesn't shuffle every text. The filter has
+    ``BITS_PER_ID`` bits for each id, ``MAX_BITS`` at most (beyond, more others pass)."""
     import numpy as np
+    hashed = ids.select(F.xxhash64("id").alias("h")).distinct()
+    bits = min(MAX_BITS, 1 << max(16, (BITS_PER_ID * hashed.count()).bit_length()))
+    block = 1 << 13  # bits that travel in a row
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    hashed = F.xxhash64("id")
-    may_be = counted(ids.select(hashed.alias("h")), lambda batch: [batch.column(0).to_numpy().view("u8")], ["h"]) > 0
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(may_be).tobytes())  # COUNTERS / 8 bytes
+    def mark(batches):
+        import pyarrow as pa
+        found = [np.unique((b.column(0).to_numpy().view("u8") & np.uint64(bits - 1)).astype("i8")) for b in batches]
+        marks = np.unique(np.concatenate(found)) if found else np.zeros(0, "i8")
+        starts = np.flatnonzero(np.diff(marks // block, prepend=-1))
+        rows = []
+        for lo, hi in zip(starts, [*starts[1:], len(marks)]):
+            one = np.zeros(block, bool)
+            one[marks[lo:hi] % block] = True
+            rows.append((int(marks[lo] // block), np.packbits(one).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "marks"])
+
+    table = np.zeros(bits // 8, "u1")  # at most MAX_BITS / 8 bytes
+    # A block's ids meet in one task, so that the driver gets each bit once.
+    for r in hashed.repartition(F.expr(f"(h & {bits - 1}L) div {block}")).mapInArrow(mark, "part int, marks binary").collect():
+        table[r["part"] * block // 8:(r["part"] + 1) * block // 8] |= np.frombuffer(r["marks"], "u1")
+    known = docs.sparkSession.sparkContext.broadcast(table.tobytes())
 
     def sift(batches):
         import pyarrow as pa
-        known = np.unpackbits(np.frombuffer(bits.value, "u1")).astype(bool)
+        held = np.frombuffer(known.value, "u1")
         for batch in batches:
-            h = batch.column(2).to_numpy().view("u8")
-            kept = batch.filter(pa.array(known[(h & np.uint64(COUNTERS - 1)).astype("i8")]))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["id", "text"])
+            h = (batch.column(2).to_numpy().view("u8") & np.uint64(bits - 1)).astype("i8")
+            kept = batch.filter(pa.array((held[h >> 3] >> (7 - (h & 7)).astype("u1") & 1).astype(bool)))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["doc_id", "text"])
+
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sift, "doc_id long, text string")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the similarity. Texts are
+    shuffled only of documents that may be in a pair; the join decides."""
+    import numpy as np
 
-    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id").alias("h")) \
-        .mapInArrow(sift, "id long, text string")
+    texts = sifted(docs, pairs.select(F.explode(F.array("a", "b")).alias("id"))).withColumnRenamed("doc_id", "id")
     both = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a") \
         .join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
 
@@ -362,7 +387,7 @@ def differences(sets: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     packed numbers. Rows meet the first text in groups of about ``DEALT``."""
     leaders = sets.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("l"), F.count(F.lit(1)).alias("_c")).filter("_c > 1") \
         .selectExpr("component", "l.doc_id AS doc_id", "l.node AS node", f"cast(ceil(_c / {DEALT}) AS int) AS k")
-    texts = docs.filter("doc_id IS NOT NULL")
+    texts = sifted(docs, sets.join(leaders.select("component"), "component").select(F.col("doc_id").alias("id")))
     salted = sets.join(leaders.select("component", "k"), "component").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     columns = ["component", "salt", "lead", "node", "weight", "mixed", "text"]
     members = salted.withColumn("lead", F.lit(False)).join(texts, "doc_id").select(*columns)
