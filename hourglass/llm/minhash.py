@@ -9,14 +9,15 @@ values, either least or greatest ones of different permutations, which are
 independent; with 32 bands of four a pair of similarity 0.8 meets in none with a
 chance of 5 in 10^8, and fewer for more similar ones.
 
-Equal sets are one node. Each node is first verified against the least document of each of its
-buckets, on the full shingle sets; linked nodes get a common label. Of buckets
-that hold different labels still, pairs of different labels whose signatures agree in
-``AGREE`` places or more (a pair of similarity 0.8 fails that once in 10^12) are verified, too.
-Such buckets are compared block by block of ``PART`` nodes, so that no task holds a
-large one and no pair that can't link is made. A verification ships a text to its partner's
-place, where the partner's set is made once for thousands of pairs.
-Components are the smallest reachable doc_id.
+Equal sets are one node. Each node is first verified against the least document
+of each of its buckets, on the full shingle sets; linked nodes get a common
+label. Buckets that hold different labels still (of those with the same nodes
+one) are then compared whole: their full sets, as products of matrices that
+tell which set holds which shingle, in pairs of parts of ``PART`` sets or
+``PART_SHINGLES`` shingles, so that no task holds a large bucket. A
+part gives the links that join labels and makes no row for any other pair. A
+verification ships a text to its partner's place, where the partner's set is
+made once for thousands of pairs. Components are the smallest reachable doc_id.
 
 Defined cases: null, empty or blank texts have no shingles and are linked with
 nothing; a text of fewer words than a shingle is one shingle of all its words;
@@ -31,15 +32,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.jaccard import components
+from hourglass.llm.jaccard import components, sifted
 from hourglass.llm.storage import BATCH_ROWS, batch_rows, written
 
 WIDTH, PERCENT = 4, 80
 PERMUTATIONS, ROWS, SEED = 64, 4, 20
-#: Of 2 * PERMUTATIONS values, how many agree at least in a pair worth verifying.
-AGREE = 64
-#: Nodes of a bucket in a block, and compared at a time; pairs of a document in a task's group.
-PART, TILE, PARTNERS = 4096, 256, 4096
+#: Sets of a bucket in a part, and their shingles, about; sets and columns of a
+#: matrix; pairs of a document in a task's group.
+PART, PART_SHINGLES, TILE, COLUMNS, PARTNERS = 4096, 1_000_000, 512, 4096, 4096
 
 
 def min_max(found, sizes):
@@ -74,33 +74,31 @@ def bands(least, greatest):
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, signature, buckets, sketch) of each row: the size of its set, a
-    digest of it, its bands, and a byte of each signature value."""
+    """(doc_id, n, signature, buckets) of each row: the size of its set, a digest
+    of it, and its bands."""
     def run(batches):
         import hashlib
 
         import numpy as np
         import pyarrow as pa
 
-        from hourglass.llm.shingles import mixed, shingle_sets, sliced
+        from hourglass.llm.shingles import shingle_sets, sliced
         for whole in batches:
             for batch in sliced(whole, 1):
                 _, found, sizes = shingle_sets(batch.column(1), width)
                 own = np.flatnonzero(sizes)
                 least, greatest = min_max(found, sizes[own])
                 tokens = bands(least, greatest).view("i8")
-                sketch = (mixed(np.concatenate([least, greatest])) & np.uint64(255)).astype("u1").T.copy()
                 digests = [hashlib.blake2b(x.tobytes(), digest_size=16).hexdigest() for x in np.split(found, np.cumsum(sizes[own])[:-1])] if len(own) else []
                 full = dict(zip(own.tolist(), range(len(own))))
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, tokens.shape[1], 0))]).astype("i4")
                 rows = [full.get(i) for i in range(batch.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(sizes, pa.int64()), pa.array([None if i is None else digests[i] for i in rows], pa.string()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.ravel())),
-                     pa.array([None if i is None else sketch[i].tobytes() for i in rows], pa.binary())],
-                    names=["doc_id", "n", "signature", "buckets", "sketch"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.ravel()))],
+                    names=["doc_id", "n", "signature", "buckets"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, signature string, buckets array<long>, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, signature string, buckets array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -109,7 +107,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     ``PARTNERS`` partners, about."""
     salts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_c")).selectExpr("b", f"cast(ceil(_c / {PARTNERS}) AS int) AS k")
     dealt = written(pairs.join(salts, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("k")).cast("int")).select("a", "b", "salt"), "minhash-dealt")
-    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
+    texts = sifted(docs, dealt.select(F.explode(F.array("a", "b")).alias("id")))
     left = dealt.join(texts.withColumnRenamed("doc_id", "a"), "a").select("b", "salt", "a", "text")
     right = dealt.select("b", "salt").distinct().join(texts.withColumnRenamed("doc_id", "b"), "b") \
         .select("b", "salt", F.lit(None).cast("long").alias("a"), "text")
@@ -144,53 +142,95 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
                        .mapInArrow(run, "a long, b long").distinct(), "minhash-links")
 
 
-def alike(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a > b: of entries (bucket, doc, n, label, sketch) those pairs of a bucket that have
-    different labels, sizes that may link and signatures that agree enough."""
-    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).selectExpr("bucket", f"cast(ceil(_c / {PART}) AS int) AS k")
-    parts = entries.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("k")).cast("int")) \
-        .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumns({"i": F.least("part", "q"), "j": F.greatest("part", "q")})
+def joining(sets: list, docs, labels, where, i: int, j: int, percent: int) -> list[tuple[int, int]]:
+    """Links (greater doc, smaller doc) between sets of part i and of part j that
+    have different labels: as many as it takes to join all labels that are
+    linked, by the whole sets."""
+    import numpy as np
+    sizes = np.array([len(x) for x in sets], "i8")
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = often > 1
+    row, column = np.repeat(np.arange(len(sets)), sizes)[kept[column]], (np.cumsum(kept) - 1)[column[kept[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column, n = row[order], column[order], int(kept.sum())
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
 
-    def pairs(group):
-        import numpy as np
-        i, j, where, doc, n, label = (np.array(c) for c in zip(*(g[:6] for g in group)))
-        sketch = np.frombuffer(b"".join(g[6] for g in group), "u1").reshape(len(group), -1)
-        one, two = np.flatnonzero(where == i[0]), np.flatnonzero(where == j[0])
-        for lo in range(0, len(one), TILE):
-            for hi in range(0, len(two), TILE):
-                x, y = one[lo:lo + TILE, None], two[None, hi:hi + TILE]
-                may = (label[x] != label[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-                if i[0] == j[0]:
-                    may &= doc[x] > doc[y]
-                p, q = np.nonzero(may)
-                p, q = x[p, 0], y[0, q]
-                for at in range(0, len(p), TILE * TILE // 4):
-                    a, b = p[at:at + TILE * TILE // 4], q[at:at + TILE * TILE // 4]
-                    near = (sketch[a] == sketch[b]).sum(1) >= AGREE
-                    if near.any():
-                        a, b = doc[a[near]], doc[b[near]]
-                        yield np.maximum(a, b), np.minimum(a, b)
+    out = []
+    one, two = np.flatnonzero(where == i), np.flatnonzero(where == j)
+    for x in (one[k:k + TILE] for k in range(0, len(one), TILE)):
+        for y in (two[k:k + TILE] for k in range(0, len(two), TILE)):
+            if i == j and y[-1] < x[0]:
+                continue
+            if len(np.unique(labels[np.concatenate([x, y])])) == 1:
+                continue
+            shared = np.zeros((len(x), len(y)), "f4")
+            for at in range(0, n, COLUMNS):
+                lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+                sides = []
+                for side in (x, y):
+                    place = np.full(len(sets), -1)
+                    place[side] = np.arange(len(side))
+                    mine = place[row[lo:hi]] >= 0
+                    dense = np.zeros((len(side), min(COLUMNS, n - at)), "f4")
+                    dense[place[row[lo:hi][mine]], column[lo:hi][mine] - at] = 1
+                    sides.append(dense)
+                shared += sides[0] @ sides[1].T  # whole numbers below 2^24
+            good = (shared > 0) & (100 * shared >= percent * (sizes[x][:, None] + sizes[y][None, :] - shared)) & (labels[x][:, None] != labels[y][None, :])
+            for p, q in zip(*np.nonzero(good)):
+                p, q = x[p], y[q]
+                a, b = top(int(labels[p])), top(int(labels[q]))
+                if a != b:
+                    up[a] = b
+                    out.append((int(max(docs[p], docs[q])), int(min(docs[p], docs[q]))))
+    return out
+
+
+def linked_within(entries: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b), a > b: links that join the different labels of each bucket of
+    entries (bucket, doc, n, label)."""
+    each = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_n"),
+                                         F.bit_xor(F.xxhash64("doc")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("_y"))
+    sizes = each.groupBy("_c", "_n", "_x", "_y").agg(F.min("bucket").alias("bucket")).selectExpr(  # of buckets with the same nodes one
+        "bucket", f"cast(least(_c, greatest(ceil(_c / {PART}), ceil(_n / {PART_SHINGLES}))) AS int) AS k")
+    parts = written(entries.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("k")).cast("int"))
+                    .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+                    .select("bucket", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "part", "doc", "label"), "minhash-parts")
+    texts = sifted(docs, parts.select(F.col("doc").alias("id")))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        def told(group):
-            for a, b in pairs(group):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        from hourglass.llm.shingles import shingle_sets, sliced
 
-        now, group = None, []
-        for batch in batches:
-            for bucket, *row in zip(*(batch.column(k).to_pylist() for k in range(8))):
-                if (bucket, *row[:2]) != now:
-                    if len(group) > 1:
-                        yield from told(group)
-                    now, group = (bucket, *row[:2]), []
-                group.append(row)
-        if len(group) > 1:
-            yield from told(group)
+        def told(key, group):
+            part, doc, label, sets = zip(*group)
+            found = joining(sets, np.array(doc), np.array(label), np.array(part), *key[1:], percent) if len(group) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    rows = parts.select("bucket", "i", "j", "part", "doc", "n", "label", "sketch")
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long").distinct()
+        now, group = None, []
+        for whole in batches:
+            for batch in sliced(whole, 6):
+                _, found, sizes = shingle_sets(batch.column(6), width)
+                for bucket, i, j, part, doc, label, own in zip(*(batch.column(k).to_pylist() for k in range(6)), np.split(found, np.cumsum(sizes)[:-1])):
+                    if (bucket, i, j) != now:
+                        if group:
+                            yield from told(now, group)
+                        now, group = (bucket, i, j), []
+                    group.append((part, doc, label, own.copy()))
+        if group:
+            yield from told(now, group)
+
+    rows = parts.join(texts.withColumnRenamed("doc_id", "doc"), "doc").select("bucket", "i", "j", "part", "doc", "label", "text")
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return written(rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long").distinct(),
+                       "minhash-rest")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -202,7 +242,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     sets = rows.filter("n > 0 AND doc_id IS NOT NULL")
     first = written(sets.groupBy("signature").agg(F.min("doc_id").alias("node")), "minhash-nodes")
     nodes = sets.join(first, "signature").filter("doc_id = node").dropDuplicates(["node", "signature"]) \
-        .select(F.col("node").alias("doc"), "n", "buckets", "sketch")
+        .select(F.col("node").alias("doc"), "n", "buckets")
     entries = nodes.select("doc", "n", F.explode("buckets").alias("bucket"))
     led = entries.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("l"), F.max("doc").alias("_most")).filter("l.doc < _most").drop("_most")
     shared = written(entries.join(led, "bucket"), "minhash-shared")  # buckets of several nodes
@@ -213,10 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     labelled = shared.select("bucket", "doc", "n").join(labels.withColumnsRenamed({"id": "doc", "component": "label"}), "doc", "left") \
         .withColumn("label", F.coalesce("label", "doc"))
     split = labelled.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a < _b").select("bucket")
-    rest = labelled.join(split, "bucket").join(nodes.select("doc", "n", "sketch"), ["doc", "n"]).select("bucket", "doc", "n", "label", "sketch")
-    with batch_rows(docs.sparkSession, 20 * BATCH_ROWS):
-        more = written(alike(rest, percent).join(tried, ["a", "b"], "left_anti"), "minhash-rest")
-    links = links.union(verified(more, docs, width, percent))
+    links = links.union(linked_within(labelled.join(split, "bucket"), docs, width, percent))
     # A document of several texts ties their nodes.
     several = sets.select("doc_id", "signature").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("doc_id")
     tied = sets.join(several, "doc_id").join(first, "signature").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))

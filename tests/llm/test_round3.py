@@ -97,6 +97,8 @@ def linked(rows, width, percent):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_duplicates_equal_all_pairs(spark, frame, seed, monkeypatch):
     monkeypatch.setattr(minhash, "PART", 3)
+    monkeypatch.setattr(minhash, "TILE", 2)
+    monkeypatch.setattr(minhash, "COLUMNS", 50)
     monkeypatch.setattr(minhash, "PARTNERS", 2)
     rows = corpus(seed) + [(i if i is None else 5000 + i, t) for i, t in EDGE] + [(3, "some other words that stand alone here")]
     got = minhash.near_duplicates(frame(rows).repartition(5))
