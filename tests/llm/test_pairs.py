@@ -208,3 +208,24 @@ def test_missing_segments_and_broken_payloads_are_told(spark):
     assert by["urn:a"].payload is None and "segments" in by["urn:a"].problem
     assert by["urn:b"].payload is None and "digest" in by["urn:b"].problem
     assert by["urn:c"].payload is None and by["urn:c"].problem and by["urn:d"].payload == b"abc"
+
+
+def test_a_cluster_twice_as_large_sends_twice_the_bytes(frame, monkeypatch):
+    """Each set is told by its differences to the first one of its component."""
+    sent, kept = [], jaccard.written
+
+    def written(df, tag):
+        out = kept(df, tag)
+        if tag == "jaccard-differences":
+            sent.append((out.count(), out.agg(F.sum(F.length("diffs"))).first()[0], out.agg(F.max("n")).first()[0]))
+        return out
+
+    monkeypatch.setattr(jaccard, "written", written)
+    base = [f"w{i}" for i in range(120)]
+    for n in (40, 80):
+        rows = [(0, " ".join(base))] + [(1 + i, " ".join([*base[:i + 10], f"x{i}", *base[i + 11:]])) for i in range(n)]
+        got = jaccard.linked(frame(rows)).collect()
+        assert {(r.component_id, r.n_links) for r in got} == {(0, n)}
+    (a, small, size), (b, large, _) = sent
+    assert (a, b) == (41, 81) and large == 2 * small
+    assert small / 8 / 40 <= 10 < size          # five shingles lacking and five new, not the whole set
