@@ -69,7 +69,7 @@ def _tokens(texts: list[bytes]):
     inside = ~(stops | (data == 32) | (data == 9))
     first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
     last = np.flatnonzero(inside & ~np.concatenate([inside[1:], [False]])) + 1
-    pieces = np.cumsum(stops)[first]
+    pieces = np.searchsorted(np.flatnonzero(stops), first)
     fresh = np.concatenate([[True], pieces[1:] != pieces[:-1]])[:len(first)]
     offsets = np.concatenate([[0], np.cumsum(last - first)]).astype("i4")
     words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[inside].tobytes()))
@@ -145,8 +145,8 @@ def hot_beginnings(docs: DataFrame, hot: int) -> tuple[frozenset, frozenset]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(many.sum(), words), pa.int32()), _joined(lang, vocabulary, found[many] << shift, words),
                                               pa.array(times[many], pa.int64())], names=["words", "p", "c"])
 
-    sums = _texts(docs).mapInArrow(lambda batches: _chunks(batches, often), "words int, p string, c long") \
-        .groupBy("words", "p").agg(F.sum("c").alias("c"))
+    sums = written(_texts(docs).mapInArrow(lambda batches: _chunks(batches, often), "words int, p string, c long")
+                   .groupBy("words", "p").agg(F.sum("c").alias("c")), "phrase-hot")
     total = sums.filter("words = 0").agg(F.sum("c")).first()[0] or 0
     rows = sums.filter(f"words > 0 AND c * {hot} >= {total}").select("words", "p").collect()
     return tuple(frozenset(r["p"] for r in rows if r["words"] == words) for words in (1, 2))
@@ -229,8 +229,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
         .selectExpr("lang", "concat(w1, ' ', w2, ' ', w3) AS phrase", "a", "l1", "r2", "l2", "r1", f"{score('l1', 'r2')} AS s1", f"{score('l2', 'r1')} AS s2") \
         .selectExpr("lang", "phrase", "a", "if(s1 <= s2, l1, l2) AS l", "if(s1 <= s2, r2, r1) AS r", "least(s1, s2) AS score")
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return pairs.union(triples).withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top) \
-        .join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # Ranked as an integer, so that each task sends at most ``top`` rows of a language.
+    return pairs.union(triples).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top) \
+        .join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def query(docs: DataFrame) -> DataFrame:
