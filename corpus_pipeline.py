@@ -3,13 +3,15 @@ all that the stage before kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and reread as the next stage's input. All but the last return the
-columns of ``documents``. Null, empty and repeated rows are treated as the
-operators define it; each stage's docstring says what becomes of them.
+columns of ``documents``. Every stage takes empty tables (and gives empty ones),
+reads texts of any length whole and drops columns that ``documents`` doesn't have, whatever
+their names. Null, empty and repeated rows are treated as the operators define it;
+each stage's docstring says what becomes of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm import bpe, jaccard, language, mixing, pii
@@ -32,15 +34,44 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+def _several_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, digest, other) of the texts of each doc_id that has several: ``other``
+    is null for the text of the least digest, and an id of its own, greater than
+    any of documents, for each further one."""
+    texts = rows.filter("doc_id IS NOT NULL").select("doc_id", _digest().alias("digest"))
+    again = texts.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).filter("least < most")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "digest"), 2)
+    return texts.join(again, "doc_id").distinct() \
+        .select("doc_id", "digest", F.when(F.col("digest") > F.col("least"), own).alias("other"))
+
+
+def _digest() -> Column:
+    """Of null and of empty text different ones."""
+    return F.coalesce(F.sha2("text", 256), F.lit(""))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id
-    stays; texts without words stay, as do rows without doc_id, and of rows
-    with equal doc_id one."""
+    stays; texts without words stay, as do rows without doc_id. Rows of equal
+    doc_id and text are one, with the least lang, source and n_chars. Different texts
+    under one doc_id are documents of their own: none goes because of another's
+    link; they come after all others of their group, but for the text of the
+    least digest, which stands for the doc_id."""
     rows = docs.select(*COLUMNS)
-    joined = jaccard.join(rows)
-    gone = joined.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = rows.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*COLUMNS).unionByName(rows.filter("doc_id IS NULL"))
+    several = written(_several_texts(rows), "pipeline-several")
+    if several.isEmpty():
+        named = rows.withColumn("_id", F.col("doc_id"))
+    else:
+        named = written(rows.withColumn("digest", _digest()).join(several, ["doc_id", "digest"], "left")
+                        .withColumn("_id", F.coalesce("other", "doc_id")).select(*COLUMNS, "_id"), "pipeline-named")
+    joined = jaccard.join(named.select(F.col("_id").alias("doc_id"), "text"))
+    gone = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = named.join(gone, "_id", "left_anti")
+    # Of equal rows one; only ids that stand more than once take part.
+    again = named.groupBy("_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("_id")
+    first = kept.join(again, "_id", "left_semi").groupBy("_id", "doc_id", "text") \
+        .agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*").select(*COLUMNS)
+    return kept.join(again, "_id", "left_anti").select(*COLUMNS).unionByName(first)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +83,14 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: documents of leaves that the budget takes more than
-    once are there more than once, those beyond a leaf's budget are left out."""
+    once are there more than once, those beyond a leaf's budget are left out.
+    Null and empty texts cost nothing; rows of equal doc_id in a leaf are taken
+    together; the columns that the mix adds are dropped."""
     return mixing.mix(docs.select(*COLUMNS), budget_percent=MIX_PERCENT, max_epochs=MIX_EPOCHS).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token ids."""
+    """The documents as token ids, a row for each; null and empty texts have none."""
     return bpe.encode(docs.select("doc_id", "lang", "source", "text")) \
         .select("doc_id", "lang", "source", "n_tokens", "token_ids")
 
