@@ -37,6 +37,8 @@ MIN_COUNT, TOP = 10, 2000
 CHUNK_BYTES, WINDOWS = 12 << 20, (1 << 21) - 8
 #: Share of all windows (one in so many) from which the windows of a word or pair are dealt out.
 HOT = 20_000
+#: Parts of a language's phrases that are ranked by themselves first.
+SALTS = 64
 #: Partitions of the window sums for each partition of documents.
 SPREAD = 8
 UNKNOWN = "und"
@@ -228,9 +230,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     triples = three.join(first, ["lang", "w1"]).join(tails, ["lang", "w2", "w3"]).join(heads, ["lang", "w1", "w2"]).join(last("w3"), ["lang", "w3"]) \
         .selectExpr("lang", "concat(w1, ' ', w2, ' ', w3) AS phrase", "a", "l1", "r2", "l2", "r1", f"{score('l1', 'r2')} AS s1", f"{score('l2', 'r1')} AS s2") \
         .selectExpr("lang", "phrase", "a", "if(s1 <= s2, l1, l2) AS l", "if(s1 <= s2, r2, r1) AS r", "least(s1, s2) AS score")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Ranked as an integer, so that each task sends at most ``top`` rows of a language.
-    return pairs.union(triples).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top) \
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # First among a ``SALTS``-th of a language's phrases, then among those that are left.
+    some = W.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*order)
+    left = pairs.union(triples).withColumn("_rank", F.row_number().over(some)).filter(F.col("_rank") <= top).drop("_rank")
+    return left.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top) \
         .join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
