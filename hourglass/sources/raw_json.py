@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from hourglass import constants as K
+from hourglass.sources.sinks import materialize
 
 PARAMETER_STRUCT = T.StructType([T.StructField("ParameterCode", T.StringType()),
                                  T.StructField("Units", T.StringType()),
@@ -30,38 +32,60 @@ RAW_TEXT = "_raw"
 FILE_PATTERN = r"site(\d+|x)_(.+)_(\d{4})\.json"
 
 
-def raw_lines(records: DataFrame) -> DataFrame:
+def raw_lines(records: DataFrame, *more: str) -> DataFrame:
     """Serialise bronze-shaped records to the raw API text: one JSON object
     per line, plus one field outside the schema (``k`` from the source
     ``_rescued_data``) and a text ``Value`` where the reading is missing —
-    the shapes the rescue column exists for."""
+    the shapes the rescue column exists for. ``more``: columns to keep."""
     k = F.get_json_object(F.col("_rescued_data"), "$.k")
     body = F.to_json(F.struct(F.col("Site_Id"), F.col("Parameter"), F.col("Date"), F.col("Hour"),
                               F.col("Value"), F.col("AirQualityCategory"), k.alias("k")))
     # a missing reading arrives as text, as the source API sends it
     body = F.when(F.col("Value").isNull(), F.regexp_replace(body, r"^\{", '{"Value":"n/a",')).otherwise(body)
-    return records.select(F.col("_source_file").alias(CHUNK_FILE), body.alias(RAW_TEXT), "_record_id")
+    return records.select(F.col("_source_file").alias(CHUNK_FILE), body.alias(RAW_TEXT), "_record_id", *more)
 
 
-#: Record ids an array file spans at most, and so records it holds.
+#: Records that an array file holds at most, where record ids are unique.
 ARRAY_SPAN = 50_000
+#: Record ids of a chunk that stay together when it is cut into array files.
+CELL_SPAN = ARRAY_SPAN // 4
+
+
+def _cells(records: DataFrame) -> DataFrame:
+    return records.withColumn("_cell", F.floor(F.col("_record_id") / CELL_SPAN))
+
+
+def array_files(records: DataFrame) -> DataFrame:
+    """The array file (``_file``, numbered within its chunk) of each chunk's
+    ranges of ``CELL_SPAN`` ids that have records: ranges that follow each other
+    share a file until it is full. So the number of files grows with the records,
+    not with the number of chunks times the range of the ids."""
+    counts = _cells(records).groupBy(F.col("_source_file").alias("_chunk"), F.col("_cell").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_chunk").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    full = ARRAY_SPAN - CELL_SPAN
+    return counts.select("_chunk", "_of", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / full).alias("_file"))
 
 
 def land(records: DataFrame, out_dir: str, arrays: bool = True, mode: str = "overwrite") -> str:
     """A landing step: write records as raw chunk files under ``out_dir``
     (one directory per chunk file name). ``arrays``: each file is one JSON
-    array of the chunk's records of a range of ``ARRAY_SPAN`` ids, so that no
-    array grows with the input. Otherwise one record per line, clustered by
+    array of up to ``ARRAY_SPAN`` records of the chunk (``array_files``), so that
+    neither arrays nor the number of small files grow with the input; the
+    writing tasks are as many as the files, so that each holds few of them.
+    Otherwise one record per line, clustered by
     a REBALANCE on the file name: AQE splits a chunk that holds a large share
     of the rows over several writer tasks."""
-    lines = raw_lines(records)
     if arrays:
-        span = F.floor(F.col("_record_id") / ARRAY_SPAN)
+        files = materialize(array_files(records), "array-files")
+        tasks = files.select("_chunk", "_file").distinct().count() or 1  # one number
+        cells = _cells(records)
+        placed = cells.join(files, F.col("_source_file").eqNullSafe(F.col("_chunk")) & F.col("_cell").eqNullSafe(F.col("_of")))
         body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_record_id", RAW_TEXT))), lambda x: x[RAW_TEXT]), ",\n ")
-        files = lines.groupBy(CHUNK_FILE, span.alias("_span")).agg(F.concat(F.lit("["), body, F.lit("]")).alias(RAW_TEXT)).drop("_span")
-        files.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(CHUNK_FILE).text(out_dir)
+        whole = raw_lines(placed, "_file").repartition(tasks, CHUNK_FILE, "_file").groupBy(CHUNK_FILE, "_file") \
+            .agg(F.concat(F.lit("["), body, F.lit("]")).alias(RAW_TEXT)).drop("_file")
+        whole.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(CHUNK_FILE).text(out_dir)
     else:
-        (lines.hint("rebalance", CHUNK_FILE).sortWithinPartitions(CHUNK_FILE, "_record_id").drop("_record_id")
+        (raw_lines(records).hint("rebalance", CHUNK_FILE).sortWithinPartitions(CHUNK_FILE, "_record_id").drop("_record_id")
               .write.mode(mode).partitionBy(CHUNK_FILE).text(out_dir))
     return out_dir
 
@@ -93,8 +117,9 @@ def rescue(text: DataFrame, value_col: str = RAW_TEXT) -> DataFrame:
     is_array = raw.startswith("[")
     parsed = F.from_json(raw, "array<string>")
     # Text that looks like an array but can't be read as one stays whole.
-    each = F.when(is_array & parsed.isNotNull(), parsed).otherwise(F.array(value_col))
-    d = text.filter(F.length(raw) > 0).withColumn("_rec", F.explode(each))
+    each = F.coalesce(F.when(is_array, parsed), F.array(value_col))
+    # outer, and filtered by position: for an inner explode Spark infers a filter that parses every text once more
+    d = text.filter(F.length(raw) > 0).select("*", F.posexplode_outer(each).alias("_pos", "_rec")).filter(F.col("_pos").isNotNull()).drop("_pos")
     d = d.withColumn("_m", F.when(F.trim("_rec").startswith("{") & F.try_parse_json("_rec").isNotNull(), F.from_json("_rec", "map<string,string>")))
     d = d.withColumn("_pm", F.from_json(F.col("_m")["Parameter"], "map<string,string>"))
     fields = ", ".join(repr(f.name) for f in PARAMETER_STRUCT.fields)
