@@ -36,8 +36,9 @@ def drift_schema(df: DataFrame, column: str = RESCUED) -> DataFrame:
     """(field, rows, data_type) of the rescued fields; ``data_type`` is the least
     type of all values of the field. Text that is no record is one field, of type
     NULL; rows without rescued data count nothing."""
-    held = df.filter(F.col(column).isNotNull()).select(_fields(column).alias("m"))
-    each = held.select(F.explode(F.coalesce("m", F.create_map(F.lit(NO_RECORD), F.lit(None).cast("string")))).alias("field", "v"))
+    # a filter on the rescued text, or one that Spark infers for an inner explode, would build and parse it once more
+    none = F.when(F.col(column).isNotNull(), F.create_map(F.lit(NO_RECORD), F.lit(None).cast("string")))
+    each = df.select(F.explode_outer(F.coalesce(_fields(column), none)).alias("field", "v")).filter(F.col("field").isNotNull())
     return each.groupBy("field").agg(F.count(F.lit(1)).alias("rows"), F.schema_of_variant_agg(_variant(F.col("v"))).alias("_t")) \
         .select("field", "rows", F.when(F.col("field") != NO_RECORD, F.col("_t")).alias("data_type"))
 

@@ -44,3 +44,15 @@ def test_array_files_are_bounded_and_lose_nothing(spark, tmp_path, monkeypatch):
     arrays = landed(tmp_path / "raw")
     assert max(map(len, arrays)) <= 40 and len(arrays) <= 503 // 30 + 2 * 3
     assert sorted(r["Value"] for a in arrays for r in a) == sorted(r["Value"] for r in rows.collect())
+
+
+def test_drift_schema_parses_each_text_once(spark, tmp_path):
+    RJ.land(bronze(spark, [(1, "NO2", "2024-01-01", 1, 2.5)]), str(tmp_path / "raw"))
+    found = drift.drift_schema(RJ.read_rescued(spark, str(tmp_path / "raw")))
+    text = plan(found, "optimizedPlan")
+    assert text.count("from_json(ArrayType(StringType") == 1 and text.count("map_filter(") <= 2, text
+
+
+def test_rescue_keeps_null_elements_and_no_empty_arrays(spark):
+    texts = spark.createDataFrame([("[]",), ('[null, {"Site_Id": 1}]',), ("[ ]",)], "_raw string")
+    assert sorted(str(r["Site_Id"]) for r in RJ.rescue(texts).collect()) == ["1", "None"]
