@@ -56,3 +56,32 @@ def test_drift_schema_parses_each_text_once(spark, tmp_path):
 def test_rescue_keeps_null_elements_and_no_empty_arrays(spark):
     texts = spark.createDataFrame([("[]",), ('[null, {"Site_Id": 1}]',), ("[ ]",)], "_raw string")
     assert sorted(str(r["Site_Id"]) for r in RJ.rescue(texts).collect()) == ["1", "None"]
+
+
+LINES = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, " \
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+
+
+@pytest.fixture()
+def small(spark, tmp_path):
+    rows = [(i // 4, i, i % 6 if i % 50 else None, i % 4, float(i % 3 + 1), 1.0, 0.0, 0.0, "A", "F", dt.datetime(2024, 1, 1)) for i in range(600)]
+    spark.createDataFrame(rows, LINES).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_dense_series_are_cut_into_tasks_by_rows_and_shuffled_once(spark, small, monkeypatch):
+    monkeypatch.setattr(tables.tasks_for, "__defaults__", (20,))
+    dense = Dense(spark, small)
+    for df in (AN.flatline_runs(dense.fact1, value="value", exclude_zero=True, min_rows=2), dense.anomaly):
+        shuffles = re.findall(r"Exchange (\w+)\([^)]*?(\d+)\)", plan(df))
+        assert shuffles == [("hashpartitioning", "30")], shuffles
+    assert tables.tasks_for(spark.range(5), 20) == spark.sparkContext.defaultParallelism
+    want = {s: (600 - 12) // 6 for s in range(1, 7)}
+    got = {r[0]: r[1] for r in dense.fact1.groupBy("site_id").count().collect()}
+    assert sum(got.values()) == sum(want.values()) and set(got) == set(want)
+
+
+def test_chunks_are_dealt_out_where_series_are_together(spark):
+    f = fact(spark, {(1, "NO2"): [1.0] * 100}).repartition(3, "site_id")
+    local = sequence(f, ["site_id", "parameter_code"], "obs_time", F.col("obs_date"), materialize_local=False)
+    assert re.search(r"hashpartitioning\(site_id#\d+, parameter_code#\d+, _chunk#\d+", plan(local))
