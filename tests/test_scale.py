@@ -85,3 +85,9 @@ def test_chunks_are_dealt_out_where_series_are_together(spark):
     f = fact(spark, {(1, "NO2"): [1.0] * 100}).repartition(3, "site_id")
     local = sequence(f, ["site_id", "parameter_code"], "obs_time", F.col("obs_date"), materialize_local=False)
     assert re.search(r"hashpartitioning\(site_id#\d+, parameter_code#\d+, _chunk#\d+", plan(local))
+
+
+def test_accepted_readings_meet_before_they_are_sketched(spark):
+    table = SK.sketch_table(fact(spark, {(1, "NO2"): [1.0] * 100}))
+    assert plan(table).count("Exchange ") == 1 and "REPARTITION_BY_COL" in plan(table)
+    assert table.count() == 24 and table.agg(F.sum("readings")).first()[0] == 100
