@@ -37,6 +37,7 @@ from hourglass.sources import adapters as A
 from hourglass.sources import drift
 from hourglass.sources import raw_json as RJ
 from hourglass.sources.sinks import materialize, overwrite, upsert_partitions
+from hourglass.sources.tables import tasks_for
 from hourglass.streaming import incremental
 
 BRONZE_SCHEMA = T.StructType(RJ.RAW_SCHEMA.fields + [
@@ -129,15 +130,48 @@ SESSION_GAP, SESSION_DELAY = "90 minutes", "2 hours"
 
 def stream_sessions(rows: DataFrame, keys: list[str], aggregates: list, out_dir: str, checkpoint: str, min_rows: int) -> None:
     """X3 as a stream: runs of rows of equal ``keys`` an hour apart (``obs_time``),
-    appended to ``out_dir`` once they have ended. A run has ended when rows more than
+    written to ``out_dir`` once they have ended. A run has ended when rows more than
     ``SESSION_DELAY`` after it have come; rows that come later than that are
-    dropped. Runs that are open stay in the state for the next start."""
-    timed = rows.withColumn("_at", F.col("obs_time").cast("timestamp")).withWatermark("_at", SESSION_DELAY)
-    ended = timed.groupBy(*keys, F.session_window("_at", SESSION_GAP)).agg(
-        F.min("obs_time").alias("run_start"), F.max("obs_time").alias("run_end"), F.count(F.lit(1)).alias("run_rows"), *aggregates) \
-        .filter(F.col("run_rows") >= min_rows).drop("session_window")
-    q = (ended.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(out_dir))
+    dropped. Runs that are open are kept under ``checkpoint`` for the next batch.
+
+    ``aggregates``: (name, column, function), where the function of a run is that
+    of its parts' results and of their type, as with min and max.
+
+    Each micro-batch puts its rows and the runs left open together in tasks of a
+    fixed number of rows. Only open runs are kept from batch to batch (a stateful
+    aggregation keeps every run of a batch in its executors' memory until the next
+    one). What a batch writes is named by its id: a replayed batch overwrites it."""
+    state = f"{checkpoint}/open_runs"
+    at, end = F.col("run_start").cast("timestamp"), F.col("run_end").cast("timestamp") + F.expr(f"INTERVAL {SESSION_GAP}")
+    gap = F.make_interval(secs=(F.unix_micros(end) - F.unix_micros(at)) / 1_000_000)
+    merged = [F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"), F.sum("run_rows").alias("run_rows"),
+              *[fn(name).alias(name) for name, _, fn in aggregates]]
+    # Text, so that it comes back in the column's type and the session's time zone.
+    limit = (F.max("run_end") - F.expr(f"INTERVAL {SESSION_GAP}") - F.expr(f"INTERVAL {SESSION_DELAY}")).cast("string")
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        parts = df.select(*keys, F.col("obs_time").alias("run_start"), F.col("obs_time").alias("run_end"),
+                          F.lit(1).cast("long").alias("run_rows"), *[F.col(c).alias(name) for name, c, _ in aggregates])
+        time = parts.schema["run_end"].dataType
+        if batch_id > 0:
+            still_open = df.sparkSession.read.schema(parts.schema).parquet(f"{state}/{batch_id - 1}")
+            before = still_open.agg(limit).first()[0]  # the latest row so far belongs to an open run
+            if before is not None:
+                parts = parts.filter(F.col("run_end") > F.lit(before).cast(time))
+            parts = parts.unionByName(still_open)
+        now = parts.agg(limit).first()[0]
+        ended = F.col("run_end") <= F.lit(now).cast(time) if now is not None else F.lit(False)
+        found = (parts.withColumn("_at", at).repartition(tasks_for(parts), *keys)
+                 .groupBy(*keys, F.session_window("_at", gap)).agg(*merged).drop("session_window")
+                 .filter(~ended | (F.col("run_rows") >= min_rows)).persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            overwrite(found.filter(~ended), f"{state}/{batch_id}")
+            overwrite(found.filter(ended), f"{out_dir}/batch_id={batch_id}")
+        finally:
+            found.unpersist()
+
+    q = (rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
@@ -297,8 +331,8 @@ def _episodes_stream(spark, sf_dir):
     out, ck = run_dir(spark, "sessions"), run_dir(spark, "ckpt")
     hours = Dense(spark, sf_dir).classification
     hours = hours.withColumns({"obs_date": F.col("obs_time").cast("date"), "is_event": F.col("event_class").isin("widespread", "network_wide")})
-    peaks = [F.max("stations_anomalous").alias("peak_stations_affected"), F.max("stations_reporting").alias("network_size"),
-             F.max("network_max").alias("peak_concentration")]
+    peaks = [("peak_stations_affected", "stations_anomalous", F.max), ("network_size", "stations_reporting", F.max),
+             ("peak_concentration", "network_max", F.max)]
     for rows in arrivals(spark, hours, STREAM_PARTS, "hours-stream"):
         stream_sessions(rows, ["parameter_code", "is_event"], peaks, out, ck, min_rows=K.MIN_EPISODE_HOURS)
     found = spark.read.schema("parameter_code string, is_event boolean, run_start timestamp_ntz, run_end timestamp_ntz, run_rows long, "

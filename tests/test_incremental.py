@@ -141,3 +141,23 @@ def test_stream_arrivals_of_nothing(spark):
     assert list(J.arrivals(spark, empty, 3, "t")) == []
     with pytest.raises(Exception):
         spark.read.parquet(J.run_dir(spark, "none"))
+
+
+def test_open_runs_alone_are_kept_between_batches(spark, monkeypatch):
+    """Runs go on over batches and starts, rows that come too late are dropped, peaks
+    are of the whole run, and a batch keeps what is open, not what it has read."""
+    monkeypatch.setattr(J, "tasks_for", lambda df: 3)
+    values = [5.0] * 7 + [1.0, 2.0] * 100 + [9.0] * 6
+    f = fact(spark, {(s, "NO2"): values for s in (1, 2)}).withColumn("load", F.hour("obs_time").cast("long"))
+    columns = ["site_id", "parameter_code", "obs_time", "obs_date", "value_clean", "load"]
+    hours = F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("obs_time"))
+    path, out, ck = (J.run_dir(spark, "t") for _ in range(3))
+    late = f.filter(hours < 3).withColumn("value_clean", F.lit(3.0))
+    for step in (f.filter(hours < 4), f.filter(hours.between(4, 209)), late, f.filter(hours > 209)):
+        step.select(*columns).coalesce(1).write.mode("append").parquet(path)
+        rows = spark.readStream.schema(step.select(*columns).schema).parquet(path)
+        J.stream_sessions(rows, ["site_id", "parameter_code", "value_clean"], [("peak", "load", F.max)], out, ck, 2)
+    got = sorted((r["site_id"], r["value_clean"], r["run_rows"], r["peak"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 5.0, 7, 6), (2, 5.0, 7, 6)]
+    kept = [spark.read.parquet(f"{ck}/open_runs/{i}") for i in range(4)]
+    assert [k.count() for k in kept] == [2, 4, 4, 2] and kept[3].first()["run_rows"] == 6

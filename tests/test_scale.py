@@ -81,6 +81,12 @@ def test_dense_series_are_cut_into_tasks_by_rows_and_shuffled_once(spark, small,
     assert sum(got.values()) == sum(want.values()) and set(got) == set(want)
 
 
+def test_dense_times_are_worked_out_once_for_each_row(spark, small):
+    text = plan(Dense(spark, small).fact1, "optimizedPlan")
+    filters = [line for line in text.splitlines() if re.match(r"[\s:+-]*Filter", line)]
+    assert filters and not any("timestampadd" in line or "row_number" in line or "_we0" in line for line in filters), filters
+
+
 def test_chunks_are_dealt_out_where_series_are_together(spark):
     f = fact(spark, {(1, "NO2"): [1.0] * 100}).repartition(3, "site_id")
     local = sequence(f, ["site_id", "parameter_code"], "obs_time", F.col("obs_date"), materialize_local=False)
