@@ -176,12 +176,11 @@ def _least_overlap(a: str, b: str, percent: int) -> str:
     return f"cast(ceil({percent} * ({a} + {b}) / {100 + percent}) AS long)"
 
 
-def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents that ``ids`` (id) may name: all of them, and
-    few others, so that a join with ``ids`` doesn't shuffle every text. The filter has
-    ``BITS_PER_ID`` bits for each id, ``MAX_BITS`` at most (beyond, more others pass)."""
+def marked(hashed: DataFrame):
+    """(bits, broadcast): a table of bits in which each of the different 64-bit hashes
+    ``hashed`` (h) is marked at its remainder, with ``BITS_PER_ID`` bits for each hash,
+    ``MAX_BITS`` at most."""
     import numpy as np
-    hashed = ids.select(F.xxhash64("id").alias("h")).distinct()
     bits = min(MAX_BITS, 1 << max(16, (BITS_PER_ID * hashed.count()).bit_length()))
     block = 1 << 13  # bits that travel in a row
 
@@ -201,7 +200,15 @@ def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     # A block's ids meet in one task, so that the driver gets each bit once.
     for r in hashed.repartition(F.expr(f"(h & {bits - 1}L) div {block}")).mapInArrow(mark, "part int, marks binary").collect():
         table[r["part"] * block // 8:(r["part"] + 1) * block // 8] |= np.frombuffer(r["marks"], "u1")
-    known = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+    return bits, hashed.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that ``ids`` (id) may name: all of them, and
+    few others (more, beyond ``MAX_BITS``), so that a join with ``ids`` doesn't shuffle
+    every text."""
+    import numpy as np
+    bits, known = marked(ids.select(F.xxhash64("id").alias("h")).distinct())
 
     def sift(batches):
         import pyarrow as pa

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.jaccard import components, sifted
+from hourglass.llm.jaccard import components, marked, sifted
 from hourglass.llm.storage import BATCH_ROWS, batch_rows, written
 
 WIDTH, PERCENT = 4, 80
@@ -101,6 +101,36 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, signature string, buckets array<long>")
 
 
+def leaders(nodes: DataFrame) -> DataFrame:
+    """(bucket, l): the least document of each bucket of several ``nodes`` (doc, n,
+    buckets), and a set size of it. Single longs, unlike a struct, are summed up by hashing,
+    without a sort of all entries."""
+    return nodes.select("doc", "n", F.explode("buckets").alias("bucket")).groupBy("bucket") \
+        .agg(F.min("doc").alias("_doc"), F.min_by("n", "doc").alias("_n"), F.max("doc").alias("_most")) \
+        .filter("_doc < _most").select("bucket", F.struct(F.col("_doc").alias("doc"), F.col("_n").alias("n")).alias("l"))
+
+
+def may_share(nodes: DataFrame, led: DataFrame) -> DataFrame:
+    """(doc, n, bucket) of the buckets that ``led`` (bucket) has: all of them, and few
+    others, so that a join with ``led`` doesn't shuffle and sort the entries that stand alone."""
+    import numpy as np
+    bits, known = marked(led.select(F.col("bucket").alias("h")))
+
+    def sift(batches):
+        import pyarrow as pa
+        held = np.frombuffer(known.value, "u1")
+        for batch in batches:
+            lists = batch.column(2)
+            buckets, counts = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            h = (buckets.view("u8") & np.uint64(bits - 1)).astype("i8")
+            kept = (held[h >> 3] >> (7 - (h & 7)).astype("u1") & 1).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), counts)[kept]),
+                                              pa.array(np.repeat(batch.column(1).to_numpy(), counts)[kept]), pa.array(buckets[kept])],
+                                             names=["doc", "n", "bucket"])
+
+    return nodes.select("doc", "n", "buckets").mapInArrow(sift, "doc long, n long, bucket long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of which a text of a and one of b reach the similarity,
     by their whole sets. Rows meet at b, whose sets are made once for at most
@@ -241,11 +271,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         rows = written(signatures(docs, width), "minhash-signatures")
     sets = rows.filter("n > 0 AND doc_id IS NOT NULL")
     first = written(sets.groupBy("signature").agg(F.min("doc_id").alias("node")), "minhash-nodes")
-    nodes = sets.join(first, "signature").filter("doc_id = node").dropDuplicates(["node", "signature"]) \
-        .select(F.col("node").alias("doc"), "n", "buckets")
-    entries = nodes.select("doc", "n", F.explode("buckets").alias("bucket"))
-    led = entries.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("l"), F.max("doc").alias("_most")).filter("l.doc < _most").drop("_most")
-    shared = written(entries.join(led, "bucket"), "minhash-shared")  # buckets of several nodes
+    nodes = written(sets.join(first, "signature").filter("doc_id = node").dropDuplicates(["node", "signature"])
+                    .select(F.col("node").alias("doc"), "n", "buckets"), "minhash-sets")
+    led = written(leaders(nodes), "minhash-leaders")
+    shared = written(may_share(nodes, led).join(led, "bucket"), "minhash-shared")  # buckets of several nodes
     near = f"100 * least(n, l.n) >= {percent} * greatest(n, l.n)"
     tried = written(shared.filter(f"doc > l.doc AND {near}").select(F.col("doc").alias("a"), F.col("l.doc").alias("b")).distinct(), "minhash-led")
     links = verified(tried, docs, width, percent)

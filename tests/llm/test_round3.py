@@ -120,6 +120,23 @@ def test_min_max_values_estimate_the_similarity():
     assert minhash.bands(least, greatest).shape == (2, 2 * minhash.PERMUTATIONS // minhash.ROWS)
 
 
+def test_entries_that_stand_alone_are_neither_sorted_nor_joined(spark):
+    rng = np.random.default_rng(4)
+    own = rng.integers(-1 << 62, 1 << 62, (3000, 32))
+    own[1::100, 5] = own[0, 0]  # a bucket of 31
+    own[2:4, 31] = own[2, 31]
+    own[7, 2] = own[7, 3]  # twice in one node
+    rows = [(i, 10 + i, x.tolist()) for i, x in enumerate(own)]
+    nodes = spark.createDataFrame(rows, "doc long, n long, buckets array<long>").repartition(3)
+    led = minhash.leaders(nodes)
+    assert "SortAggregate" not in led._jdf.queryExecution().toString()
+    assert sorted(map(tuple, led.select("bucket", "l.*").collect())) == sorted([(own[0, 0], 0, 10), (own[2, 31], 2, 12)])
+    entries = [tuple(r) for r in minhash.may_share(nodes, led).select("doc", "n", "bucket").collect()]
+    want = {(i, n, b) for i, n, x in rows for b in x if b in (own[0, 0], own[2, 31])}
+    assert len(want) == 33 and want <= set(entries) and len(entries) < 1000
+    assert set(entries) <= {(i, n, b) for i, n, x in rows for b in x}
+
+
 def test_near_duplicates_of_nothing(spark, frame):
     assert minhash.near_duplicates(frame([(1, "x")]).filter("false")).collect() == []
     assert [tuple(r) for r in minhash.near_duplicates(frame([(None, "a b"), (1, None)])).orderBy("doc_id").collect()] == [
