@@ -65,13 +65,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         named = written(rows.withColumn("digest", _digest()).join(several, ["doc_id", "digest"], "left")
                         .withColumn("_id", F.coalesce("other", "doc_id")).select(*COLUMNS, "_id"), "pipeline-named")
     joined = jaccard.join(named.select(F.col("_id").alias("doc_id"), "text"))
-    gone = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = named.join(gone, "_id", "left_anti")
-    # Of equal rows one; only ids that stand more than once take part.
-    again = named.groupBy("_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("_id")
-    first = kept.join(again, "_id", "left_semi").groupBy("_id", "doc_id", "text") \
-        .agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*").select(*COLUMNS)
-    return kept.join(again, "_id", "left_anti").select(*COLUMNS).unionByName(first)
+    gone = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.lit(True).alias("gone"))
+    again = named.groupBy("_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 AND _id IS NOT NULL").select("_id", F.lit(False).alias("gone"))
+    known = written(gone.union(again).groupBy("_id").agg(F.max("gone").alias("gone")), "pipeline-known")
+    # Only texts of ids that go or stand more than once are shuffled, and few others.
+    some, others = jaccard.parted(named, "_id", known.select(F.col("_id").alias("id")))
+    kept = some.join(known, "_id", "left").filter("gone IS NULL OR NOT gone")
+    # Of equal rows one; other ids stand once here.
+    first = kept.groupBy("_id", "doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
+    return others.select(*COLUMNS).unionByName(first.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

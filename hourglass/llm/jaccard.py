@@ -203,22 +203,33 @@ def marked(hashed: DataFrame):
     return bits, hashed.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents that ``ids`` (id) may name: all of them, and
-    few others (more, beyond ``MAX_BITS``), so that a join with ``ids`` doesn't shuffle
-    every text."""
+def parted(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts, by their column ``key``: those that ``ids`` (id) may name, that
+    is all of them and few others (more, beyond ``MAX_BITS``), and the rest, those
+    without a key among them. A join with ``ids`` needs the first part only."""
     import numpy as np
-    bits, known = marked(ids.select(F.xxhash64("id").alias("h")).distinct())
+    bits, known = marked(ids.select(F.xxhash64(F.col("id").cast("long")).alias("h")).distinct())
 
-    def sift(batches):
-        import pyarrow as pa
-        held = np.frombuffer(known.value, "u1")
-        for batch in batches:
-            h = (batch.column(2).to_numpy().view("u8") & np.uint64(bits - 1)).astype("i8")
-            kept = batch.filter(pa.array((held[h >> 3] >> (7 - (h & 7)).astype("u1") & 1).astype(bool)))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["doc_id", "text"])
+    def sift(named: bool):
+        def run(batches):
+            import pyarrow as pa
+            held = np.frombuffer(known.value, "u1")
+            for batch in batches:
+                hashes = batch.column(batch.num_columns - 1)
+                h = (hashes.fill_null(0).to_numpy().view("u8") & np.uint64(bits - 1)).astype("i8")
+                may = (held[h >> 3] >> (7 - (h & 7)).astype("u1") & 1).astype(bool) & hashes.is_valid().to_numpy(zero_copy_only=False)
+                kept = batch.filter(pa.array(may == named))
+                yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=kept.schema.names[:-1])
+        return run
 
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sift, "doc_id long, text string")
+    hashed = rows.select("*", F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("long"))).alias("_hash"))
+    return hashed.mapInArrow(sift(True), rows.schema), hashed.mapInArrow(sift(False), rows.schema)
+
+
+def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that ``ids`` (id) may name, so that a join with
+    ``ids`` doesn't shuffle every text."""
+    return parted(docs.filter("doc_id IS NOT NULL").select("doc_id", "text"), "doc_id", ids)[0]
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -35,8 +35,9 @@ UNKNOWN = "und"
 DIM = 4096
 #: Rows that the machines are fitted on at most, over all languages.
 MAX_ROWS = 2000
-#: Bytes of text whose n-grams are counted at a time.
-SLICE = 1 << 20
+#: Bytes of text whose n-grams are counted at a time, and of how many texts at most: a byte
+#: takes some forty bytes of numbers meanwhile, a text three rows of ``DIM``.
+SLICE, TEXTS = 1 << 17, 64
 
 # Families of ISO 639-1 codes. Other codes are families of their own.
 FAMILIES = {
@@ -92,7 +93,7 @@ def features(texts: list[str | None]):
             parts.append(data[at:] if last else data[at:at + SLICE + 2])
             starts.append(len(parts[-1]) + 1 if last else SLICE)
             held += len(parts[-1])
-            if held > SLICE or len(parts) >= 512:
+            if held > SLICE or len(parts) >= TEXTS:
                 count(rows, parts, starts)
                 rows, parts, starts, held = [], [], [], 0
     if parts:

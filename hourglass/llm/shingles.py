@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-#: Bytes of text hashed at a time.
-SLICE = 1 << 20
+#: Bytes of text in a slice of a batch, and hashed at a time: numbers made on the way
+#: to the words' hashes take some twenty bytes for each of these.
+SLICE, HASHED = 1 << 20, 1 << 17
 
 
 @lru_cache(maxsize=1)
@@ -57,7 +58,7 @@ def _word_hashes(data, breaks):
     first = np.flatnonzero(inside & (~before | fresh[:n]))
     after = np.concatenate([inside[1:], [False]])
     last = np.flatnonzero(inside & (~after | fresh[1:]))
-    up, down = _powers(max(SLICE, 1 << n.bit_length()) if n > SLICE else SLICE)
+    up, down = _powers(max(2 * HASHED, 1 << n.bit_length()))  # of one size but for longer words
     sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(codes[data] * up[:n])])
     words = (sums[last + 1] - sums[first]) * down[first]  # as if each word stood at 0
     return mixed(words + (last - first + 1).astype("u8") * np.uint64(0xD6E8FEB86659FD93)), first
@@ -69,9 +70,9 @@ def _batch_words(data, offsets):
     _, blank = _tables()
     hashes, rows, at, n = [], [], 0, len(data)
     while at < n:
-        end = min(n, at + SLICE)
+        end = min(n, at + HASHED)
         if end < n:  # cut where no word is: at a blank or where a text begins
-            ahead = np.flatnonzero(blank[data[end:end + SLICE]])
+            ahead = np.flatnonzero(blank[data[end:end + HASHED]])
             nearest = offsets[np.searchsorted(offsets, end)]
             end = min(int(nearest), end + int(ahead[0]) if len(ahead) else n)
         own = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)]

@@ -54,6 +54,69 @@ def test_different_texts_under_one_id_are_documents_of_their_own(spark, frame):
             (9, None, "de", "a"), (9, "", "en", "a"), (None, alone, "en", "z")], key=str)
 
 
+def shuffled_bytes(df):
+    """Bytes of the rows that the plan of ``df`` has dealt out, after it ran."""
+    total, todo, seen = 0, [df._jdf.queryExecution().executedPlan()], set()
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "ShuffleExchangeExec" and node.id() not in seen:
+            seen.add(node.id())
+            total += node.metrics().apply("dataSize").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_texts_that_stay_are_not_dealt_out(spark, frame):
+    """At the end only texts of ids that go or stand more than once meet those ids."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(300)), "en", "a") for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " end", "en", "b") for i in range(10)] + rows[20:25]      # near copies; rows that stand twice
+    size = sum(len(r[1]) for r in rows)
+    df = P.near_duplicates(spark, frame(rows), "")
+    assert sorted(r.doc_id for r in df.collect()) == list(range(300))
+    assert 0 < shuffled_bytes(df) < size / 3
+
+
+def test_work_on_a_batch_needs_little_memory(spark):
+    """Of texts of 1 MB altogether, hashed or counted by slices."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from hourglass.llm import language, shingles
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(260)) for _ in range(500)]
+    column = pa.array(texts)
+    for work, most in ((lambda: shingles.shingle_sets(column), 17e6), (lambda: language.features(texts), 30e6)):
+        work()
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most
+
+
+def test_slices_of_any_size_give_the_same_shingles(monkeypatch):
+    import pyarrow as pa
+
+    from hourglass.llm import language, shingles
+    rng = random.Random(10)
+    texts = [t for _, t in EDGE] + [None, "", "x" * 5000 + " a b", "y " * 900 + "z" * 700, " " * 800 + "q"] \
+        + ["".join(rng.choice("aB é\t\n字") for _ in range(rng.randrange(400))) for _ in range(60)]
+    whole, counts = shingles.shingle_sets(pa.array(texts)), language.features(texts)
+    for size in (16, 100, 1000):
+        monkeypatch.setattr(shingles, "HASHED", size)
+        monkeypatch.setattr(language, "SLICE", size)
+        monkeypatch.setattr(language, "TEXTS", 1 + size // 50)
+        assert all((a == b).all() for a, b in zip(shingles.shingle_sets(pa.array(texts)), whole))
+        assert (language.features(texts) == counts).all()
+
+
 WORDS = {
     "de": "der die das und ist nicht haus wald auf mit einem wir gehen schnee", "en": "the and is not house forest on with we walk through snow this which",
     "nl": "het een en niet huis bos wij lopen door sneeuw naar zijn deze voor", "sv": "och inte huset skogen med vi genom detta som till hade vintern",
