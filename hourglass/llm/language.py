@@ -98,8 +98,10 @@ def features(texts: list[str | None]):
                 rows, parts, starts, held = [], [], [], 0
     if parts:
         count(rows, parts, starts)
-    out[:, :DIM] = np.sqrt(out[:, :DIM])
-    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    for at in range(0, len(out), TEXTS):
+        some = out[at:at + TEXTS]
+        np.sqrt(some, out=some)
+        some /= np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-9)
     out[:, DIM] = 1
     return out
 
@@ -122,15 +124,17 @@ class Model:
     duels: dict[str, list[Duel]] = field(default_factory=dict)
 
 
-def fit_duel(first: str, second: str, x, is_first, rounds: int = 150, decay: float = 1e-4) -> Duel:
-    """Squared hinge loss by accelerated gradient steps; classes weigh the
-    same. A fifth of the rows is left for the probability."""
+def fit_duel(first: str, second: str, x, of, rounds: int = 150, decay: float = 1e-4) -> Duel:
+    """Fits on the rows of ``x`` whose class in ``of`` is one of the two. Squared hinge
+    loss by accelerated gradient steps; classes weigh the same. A fifth of
+    the rows is left for the probability."""
     import numpy as np
-    y = np.where(is_first, 1.0, -1.0).astype("f4")
+    own = np.flatnonzero((of == first) | (of == second))
+    y = np.where(of[own] == first, 1.0, -1.0).astype("f4")
     held = np.arange(len(y)) % 5 == 4
     if min((y[~held] > 0).sum(), (y[~held] < 0).sum()) == 0 or held.sum() < 20:
         held[:] = False
-    a, b = x[~held], y[~held]
+    a, b = x[own[~held]], y[~held]
     c = np.where(b > 0, 0.5 / max(1, (b > 0).sum()), 0.5 / max(1, (b < 0).sum())).astype("f4")
     w = v = np.zeros(x.shape[1], "f4")
     step = 1 / (2 * 2 + 2 * decay)  # rows have length of at most sqrt(2)
@@ -139,7 +143,7 @@ def fit_duel(first: str, second: str, x, is_first, rounds: int = 150, decay: flo
         grad = -2 * (a.T @ (c * b * slack)) + 2 * decay * v
         w, before = v - step * grad, w
         v = w + k / (k + 3) * (w - before)
-    m, t = (x[held] @ w, y[held] > 0) if held.any() else (x @ w, y > 0)
+    m, t = (x[own[held]] @ w, y[held] > 0) if held.any() else (a @ w, y > 0)
     slope, shift = 1.0, 0.0
     goal = np.where(t, (t.sum() + 1) / (t.sum() + 2), 1 / ((~t).sum() + 2))
     z = np.stack([m, np.ones_like(m)], 1).astype("f8")
@@ -162,8 +166,7 @@ def fit_rows(texts: list[str], langs: list[str]) -> Model:
         model.duels[name] = []
         for i, p in enumerate(names):
             for q in names[i + 1:]:
-                rows = (of == p) | (of == q)
-                model.duels[name].append(fit_duel(p, q, x[rows], of[rows] == p))
+                model.duels[name].append(fit_duel(p, q, x, of))
 
     level("", families, sorted(set(families)))
     for f in model.classes[""]:
